@@ -12,6 +12,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from omicspark.llm.token_counts import document_token_counts
+
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return document_token_counts(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, end_id=50256)
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from omicspark.llm.simhash import simhash_components
 
@@ -19,7 +28,35 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from omicspark.llm.bpe import decode, encode
+
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    coded = encode(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2(decode("ids", path), 256).alias("decoded_sha256"),
+    )
+
+
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from omicspark.llm.token_files import ids_crc32, read_token_files, write_token_files
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    files = write_token_files(_table(spark, sf_dir, "documents"), path, vocabulary=49408, end_id=2)
+    return read_token_files(files).select("doc_id", "start", F.size("ids").cast("long").alias("n_tokens"), ids_crc32("ids").alias("ids_crc32"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_counts": op1_token_counts,
     "op2_simhash": op2_simhash,
+    "op3_byte_bpe": op3_byte_bpe,
+    "op10_token_files": op10_token_files,
 }
 SQL: dict[str, str] = {}
