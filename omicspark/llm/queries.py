@@ -43,6 +43,17 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from omicspark.llm.packing import pack
+    from omicspark.llm.token_files import ids_crc32
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    packed = pack(_table(spark, sf_dir, "documents"), path, end_id=1, vocabulary=50257)
+    return packed.select("doc_id", "start", "length", ids_crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -57,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_simhash": op2_simhash,
     "op3_byte_bpe": op3_byte_bpe,
+    "op5_packing": op5_packing,
     "op10_token_files": op10_token_files,
 }
 SQL: dict[str, str] = {}
