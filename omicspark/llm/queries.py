@@ -54,6 +54,109 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", ids_crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from omicspark.llm.quality import judge
+
+    found = judge(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+_OP6_SQL = """
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+words AS (
+  SELECT r, [w FOR w IN string_split_regex(text, '[\\x20\\x09-\\x0D]+') IF w <> ''] AS ws,
+         [l FOR l IN string_split(text, chr(10)) IF regexp_matches(l, '[^\\x20\\x09-\\x0D]')] AS ls
+  FROM docs),
+each AS (SELECT r, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM words),
+grams AS (
+  SELECT r, i, w, lag(w) OVER o AS before,
+         CASE WHEN lead(w, 4) OVER o IS NOT NULL
+              THEN w || ' ' || lead(w) OVER o || ' ' || lead(w, 2) OVER o || ' ' || lead(w, 3) OVER o || ' ' || lead(w, 4) OVER o END AS g
+  FROM each WINDOW o AS (PARTITION BY r ORDER BY i)),
+twice AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM grams WHERE g IS NOT NULL) WHERE n > 1),
+covered AS (SELECT r, count(DISTINCT i + k) AS n FROM twice, (SELECT unnest(range(5)) AS k) GROUP BY r),
+stutter AS (SELECT r, count(*) AS n FROM grams WHERE w = before GROUP BY r),
+stats AS (
+  SELECT d.r, doc_id, len(ws)::BIGINT AS n_words,
+         length(regexp_replace(text, '[\\x20\\x09-\\x0D]+', '', 'g'))::BIGINT AS word_chars,
+         (length(text) - length(regexp_replace(text, '[#*$%&|<>]+', '', 'g')))::BIGINT AS n_symbols,
+         len(ls)::BIGINT AS n_lines, (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
+         coalesce(c.n, 0)::BIGINT AS n_repeat_words, coalesce(s.n, 0)::BIGINT AS n_stutter,
+         length(regexp_replace(text, '[^\\p{Lu}]+', '', 'g'))::BIGINT AS n_upper,
+         length(regexp_replace(text, '[^\\p{L}]+', '', 'g'))::BIGINT AS n_letters
+  FROM docs d JOIN words USING (r) LEFT JOIN covered c USING (r) LEFT JOIN stutter s USING (r)),
+base AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM stats)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed OR 100 * n_symbols > 10 * n_words OR (n_lines >= 5 AND 100 * n_dup_lines > 30 * n_lines)
+            OR 100 * n_stutter > 20 * n_words OR 100 * n_upper > 50 * n_letters
+            OR word_chars < 2 * n_words OR word_chars > 15 * n_words) AS kept
+FROM base
+"""
+
+
+OWN_CONVERSATION = -7
+OWN_TEXT = "\\### Assistant: </turn> ok"
+
+
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from omicspark.llm.chat import format_conversations, read_loss, read_turns, text_part
+
+    table = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    own = spark.range(2).select(F.lit(OWN_CONVERSATION).cast("bigint").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(OWN_TEXT).alias("text"))
+    turns = table.unionByName(own).withColumn("parts", text_part(F.col("text")))
+    said = format_conversations(turns)
+    back = said.select("conv_id", "formatted", read_turns(F.col("formatted")).alias("turns"), F.array_join(read_loss(F.col("formatted"), F.col("loss_mask")), "").alias("loss"))
+    return back.select(
+        "conv_id",
+        F.size("turns").cast("bigint").alias("n_turns"),
+        F.sha2(F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""), 256).alias("turns_sha256"),
+        F.length("loss").cast("bigint").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        F.length("formatted").cast("bigint").alias("formatted_chars"),
+    )
+
+
+_OP7_SQL = """
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\\### Assistant: </turn> ok'),
+escaped AS (SELECT *, replace(replace(text, '\\', '\\\\'), '<|', '<\\|') AS et, replace(replace(role, '\\', '\\\\'), '<|', '<\\|') AS er FROM rows)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, et)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, et) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(length('<|turn|><|says|><|end|>') + length(er) + length(et))::BIGINT AS formatted_chars
+FROM escaped GROUP BY conv_id
+"""
+
+
+def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from omicspark.llm.topk import exact_top_k
+
+    return exact_top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+_OP8_SQL = """
+WITH rows AS (
+  SELECT row_number() OVER () AS r, vec_id, [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len([1 FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+  SELECT q.r, q.vec_id AS query_id, c.vec_id AS vec_id,
+         list_sum([p[1] * p[2] FOR p IN list_zip(q.v, c.v)])::BIGINT AS score
+  FROM rows q JOIN rows c ON c.r <> q.r WHERE q.vec_id % 50 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank FROM scored)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
+def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from omicspark.llm.langid import identify
+
+    return identify(_table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -69,6 +172,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op3_byte_bpe": op3_byte_bpe,
     "op5_packing": op5_packing,
+    "op6_quality": op6_quality,
+    "op7_chat": op7_chat,
+    "op8_topk": op8_topk,
+    "op9_langid": op9_langid,
     "op10_token_files": op10_token_files,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op6_quality": _OP6_SQL, "op7_chat": _OP7_SQL, "op8_topk": _OP8_SQL}
