@@ -43,6 +43,13 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from omicspark.llm.html_extract import main_text
+
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", main_text("html").alias("text"))
+    return pages.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -171,6 +178,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_simhash": op2_simhash,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_html": op4_html,
     "op5_packing": op5_packing,
     "op6_quality": op6_quality,
     "op7_chat": op7_chat,

@@ -266,3 +266,21 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     by_root = materialize(rooted.groupBy("root").agg(F.min("low").alias("component_id")), "by_root")
     named = materialize(rooted.join(by_root, "root").select(F.col("fingerprint").alias("print"), "component_id"), "named")
     return prints.join(named, prints["fingerprint"] == named["print"], "left").select(id_col, "fingerprint", "component_id")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with their columns, that come first in their component: smallest id, nulls last.
+
+    Of rows with equal ids and linked or equal fingerprints one stays. Only ids
+    and fingerprints take part in the search; the texts move once, to be joined
+    with the rows that stay.
+    """
+    uid = "__simhash_row"
+    numbered = docs.withColumn(uid, F.monotonically_increasing_id())
+    prints = materialize(numbered.select(uid, F.col(id_col).alias("id"), fingerprint(text_col).alias("fingerprint")), "prints")
+    low = F.min(F.struct(F.col("id").isNull().alias("missing"), F.col("id"), F.col(uid)))
+    lowest = prints.groupBy("fingerprint").agg(low.alias("low"))
+    roots = materialize(near_duplicates(prints), "roots")
+    rooted = lowest.join(roots, lowest["fingerprint"] == roots["print"], "left").select("low", F.coalesce("root", "fingerprint").alias("root"))
+    stay = materialize(rooted.groupBy("root").agg(F.min("low").alias("low")).select(F.col(f"low.{uid}").alias(uid)), "stay")
+    return numbered.join(stay, uid, "left_semi").select(*docs.columns)
