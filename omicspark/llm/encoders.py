@@ -4,44 +4,73 @@ Both libraries find pre-tokens first and merge bytes within each, so a text may
 be encoded unit by unit if each unit ends where a pre-token surely ends. That is
 so before white space that follows something else: no pre-token holds a visible
 character followed by white space. Units are white space and the visible run
-after it; words of prose repeat, so most are found in the cache.
+after it; words of prose repeat, so most are found in the cache. A unit that is
+not, and whose characters are plain, is split into its pre-tokens, which are
+looked up in turn; only those not found reach the library's merges.
 """
 
 from __future__ import annotations
 
 import base64
+import json
 import os
 import re
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
+import regex
 
-CACHE_UNITS = 400_000
+CACHE_UNITS = 400_000  # in each of two generations
 CACHE_BYTES = 48
 IDS = np.dtype("<u4")
 
 _UNITS = re.compile(rb"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
 # White space and separators beyond ASCII, and controls that some engines count as white space.
 _ODD = re.compile(rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1(?:\x9a\x80|\xa0\x8e)|\xe2(?:\x80[\x80-\x8f\xa8-\xaf]|\x81[\x9f-\xa4])|\xe3\x80\x80|\xef\xbb\xbf")
+# Characters on whose class, case and composition all versions of Unicode agree: ASCII and the Latin-1 letters.
+_PLAIN = re.compile(r"[ -~\t\n\x0b\x0c\rÀ-ÖØ-öø-ÿ]+")
 
 
-class UnitCache(dict):
-    """unit -> its ids as little-endian unsigned 32-bit integers; bounded in units and in their length."""
+class TwoGenerations(dict):
+    """A cache that forgets what it hasn't met for CACHE_UNITS new entries."""
 
-    def __init__(self, encode):
+    def __init__(self, make: Callable):
         super().__init__()
-        self._encode = encode
+        self._make, self._old = make, {}
 
-    def encode_text(self, unit: bytes) -> bytes:
-        return np.asarray(self._encode(unit.decode("utf-8", "replace")), dtype=IDS).tobytes()
-
-    def __missing__(self, unit: bytes) -> bytes:
-        ids = self.encode_text(unit)
-        if len(unit) <= CACHE_BYTES:
+    def __missing__(self, key):
+        found = self._old.get(key)
+        if found is None:
+            found = self._make(key)
+        if len(key) <= CACHE_BYTES:
             if len(self) >= CACHE_UNITS:
+                self._old = dict(self)
                 self.clear()
-            self[unit] = ids
-        return ids
+            self[key] = found
+        return found
+
+
+class UnitCache(TwoGenerations):
+    """unit -> its ids as little-endian unsigned 32-bit integers.
+
+    whole: ids of any text. pieces: the pre-tokens of a plain text. of_piece: the
+    ids of one pre-token.
+    """
+
+    def __init__(self, whole: Callable[[str], list[int]], pieces: Callable[[str], list[str]] | None = None, of_piece: Callable[[str], list[int]] | None = None):
+        super().__init__(self._encode_unit)
+        self._whole, self._pieces = whole, pieces
+        self._piece_ids = TwoGenerations(lambda piece: _packed(of_piece(piece)))
+
+    def encode_text(self, text: bytes) -> bytes:
+        return _packed(self._whole(text.decode("utf-8", "replace")))
+
+    def _encode_unit(self, unit: bytes) -> bytes:
+        text = unit.decode("utf-8", "replace")
+        if self._pieces and _PLAIN.fullmatch(text):
+            return b"".join(map(self._piece_ids.__getitem__, self._pieces(text)))
+        return _packed(self._whole(text))
 
     def encode(self, text: bytes) -> bytes:
         """Ids of a whole text whose pre-tokens may begin with white space."""
@@ -54,6 +83,10 @@ class UnitCache(dict):
         return b"".join(map(self.__getitem__, text.split()))
 
 
+def _packed(ids: list[int]) -> bytes:
+    return np.asarray(ids, dtype=IDS).tobytes()
+
+
 @lru_cache(maxsize=8)
 def tiktoken_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as f:
@@ -64,14 +97,36 @@ def tiktoken_ranks(path: str) -> dict[bytes, int]:
 def tiktoken_units(path: str, pattern: str) -> UnitCache:
     import tiktoken
 
-    return UnitCache(tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=tiktoken_ranks(path), special_tokens={}).encode_ordinary)
+    encode = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=tiktoken_ranks(path), special_tokens={}).encode_ordinary
+    return UnitCache(encode, regex.compile(pattern).findall, encode)
+
+
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in byte-level vocabularies: itself if it can be seen, else the next free one from 256."""
+    seen = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in seen]
+    return {b: chr(b) for b in seen} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
 @lru_cache(maxsize=8)
 def hugging_units(path: str) -> UnitCache:
+    """A byte-level BPE tokenizer file. Its own normalizer and pre-tokenizer see all but plain units."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
-    return UnitCache(lambda text: tokenizer.encode(text, add_special_tokens=False).ids)
+    with open(path, encoding="utf-8") as f:
+        told = json.load(f)
+    lower = "Lowercase" in json.dumps(told["normalizer"])
+    split = [p["pattern"]["Regex"] for p in told["pre_tokenizer"].get("pretokenizers", []) if p["type"] == "Split"]
+    find = regex.compile(split[0] if split else r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+").findall
+    letters, model = byte_letters(), tokenizer.model
+
+    def of_piece(piece: str) -> list[int]:
+        return [t.id for t in model.tokenize(piece.encode().decode("latin-1").translate(letters))]
+
+    def pieces(text: str) -> list[str]:
+        return find(text.lower() if lower else text)
+
+    return UnitCache(lambda text: tokenizer.encode(text, add_special_tokens=False).ids, pieces, of_piece)
