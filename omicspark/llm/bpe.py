@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F, types as T
 
-from omicspark.llm.encoders import IDS, tiktoken_ranks, tiktoken_units
+from omicspark.llm.encoders import IDS, tiktoken_ids, tiktoken_pieces, tiktoken_ranks
 from omicspark.storage import materialize
 
 CHUNK = 1 << 14
@@ -37,8 +37,8 @@ def _id_lists(packed: list[bytes]) -> pa.Array:
 def _encode_column(path: str, pattern: str):
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def encode(texts: pa.Array) -> pa.Array:
-        units = tiktoken_units(path, pattern)
-        return _id_lists([units.encode(t or b"") for t in texts.to_pylist()])
+        ids = tiktoken_ids(path, pattern)
+        return _id_lists([ids(t) if t else b"" for t in texts.to_pylist()])
 
     return encode
 
@@ -86,9 +86,9 @@ _MARKS = "head array<long>, head_ids array<int>, tail array<long>, tail_ids arra
 
 def encode_chunk(data: bytes, start: int, after: int, overlap: int, path: str, pattern: str) -> tuple:
     """Ids of a chunk; its boundaries in both overlaps, each with the number of ids before it."""
-    units = tiktoken_units(path, pattern)
+    known = tiktoken_pieces(path, pattern)
     pieces = [p.encode() for p in regex.findall(pattern, data.decode("utf-8", "replace"))]
-    packed = list(map(units.__getitem__, pieces))
+    packed = list(map(known.__getitem__, pieces))
     at = start + np.cumsum([0] + [len(p) for p in pieces])[:-1]
     before = np.cumsum([0] + [len(p) // IDS.itemsize for p in packed])[:-1]
     head = at < start + overlap

@@ -3,10 +3,10 @@
 Both libraries find pre-tokens first and merge bytes within each, so a text may
 be encoded unit by unit if each unit ends where a pre-token surely ends. That is
 so before white space that follows something else: no pre-token holds a visible
-character followed by white space. Units are white space and the visible run
-after it; words of prose repeat, so most are found in the cache. A unit that is
-not, and whose characters are plain, is split into its pre-tokens, which are
-looked up in turn; only those not found reach the library's merges.
+character followed by white space. Words of prose repeat, so most are found in
+the cache. One that is not, and whose characters are plain, is split into its
+pre-tokens, which are looked up in turn; only those not found reach the library's
+merges.
 """
 
 from __future__ import annotations
@@ -15,19 +15,24 @@ import base64
 import json
 import os
 import re
+import sys
+from array import array
 from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
 import regex
 
-CACHE_UNITS = 400_000  # in each of two generations
+CACHE_UNITS = 250_000  # in each of two generations
 CACHE_BYTES = 48
 IDS = np.dtype("<u4")
+# Fixed value: the pre-token pattern of byte-level tokenizer files that name none.
+GPT2_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_NATIVE = sys.byteorder == "little" and array("I").itemsize == 4
 
 _UNITS = re.compile(rb"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
-# White space and separators beyond ASCII, and controls that some engines count as white space.
-_ODD = re.compile(rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1(?:\x9a\x80|\xa0\x8e)|\xe2(?:\x80[\x80-\x8f\xa8-\xaf]|\x81[\x9f-\xa4])|\xe3\x80\x80|\xef\xbb\xbf")
+# White space and separators beyond ASCII, and controls that some engines count as white space, by their first bytes.
+_ODD = (*(bytes([c]) for c in range(0x1C, 0x20)), b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe1\xa0\x8e", b"\xe2\x80", b"\xe2\x81", b"\xe3\x80\x80", b"\xef\xbb\xbf")
 # Characters on whose class, case and composition all versions of Unicode agree: ASCII and the Latin-1 letters.
 _PLAIN = re.compile(r"[ -~\t\n\x0b\x0c\rÀ-ÖØ-öø-ÿ]+")
 
@@ -52,39 +57,43 @@ class TwoGenerations(dict):
 
 
 class UnitCache(TwoGenerations):
-    """unit -> its ids as little-endian unsigned 32-bit integers.
+    """A word -> the ids, as little-endian unsigned 32-bit integers, of the word after a space.
 
     whole: ids of any text. pieces: the pre-tokens of a plain text. of_piece: the
-    ids of one pre-token.
+    ids of one pre-token. spaces: whether a pre-token may begin with white space;
+    if not, the tokenizer drops it.
     """
 
-    def __init__(self, whole: Callable[[str], list[int]], pieces: Callable[[str], list[str]] | None = None, of_piece: Callable[[str], list[int]] | None = None):
-        super().__init__(self._encode_unit)
-        self._whole, self._pieces = whole, pieces
-        self._piece_ids = TwoGenerations(lambda piece: _packed(of_piece(piece)))
+    def __init__(self, whole: Callable[[str], list[int]], pieces: Callable[[str], list[str]], of_piece: Callable[[str], list[int]], spaces: bool):
+        super().__init__(self._encode_word)
+        self._whole, self._pieces, self._space = whole, pieces, " " if spaces else ""
+        self.piece_ids = TwoGenerations(lambda piece: _packed(of_piece(piece)))
 
     def encode_text(self, text: bytes) -> bytes:
         return _packed(self._whole(text.decode("utf-8", "replace")))
 
-    def _encode_unit(self, unit: bytes) -> bytes:
-        text = unit.decode("utf-8", "replace")
-        if self._pieces and _PLAIN.fullmatch(text):
-            return b"".join(map(self._piece_ids.__getitem__, self._pieces(text)))
+    def _encode_unit(self, text: str) -> bytes:
+        if _PLAIN.fullmatch(text):
+            return b"".join(map(self.piece_ids.__getitem__, self._pieces(text)))
         return _packed(self._whole(text))
 
+    def _encode_word(self, word: bytes) -> bytes:
+        return self._encode_unit(self._space + word.decode("utf-8", "replace"))
+
     def encode(self, text: bytes) -> bytes:
-        """Ids of a whole text whose pre-tokens may begin with white space."""
-        if _ODD.search(text):
+        """Ids of a whole text."""
+        if not self._space:
+            return b"".join(map(self.__getitem__, text.split()))
+        if any(odd in text for odd in _ODD):
             return self.encode_text(text)
-        return b"".join(map(self.__getitem__, _UNITS.findall(text)))
-
-    def encode_words(self, text: bytes) -> bytes:
-        """Ids of a whole text if the tokenizer drops white space."""
-        return b"".join(map(self.__getitem__, text.split()))
+        if b"  " in text or text.endswith(b" "):  # a run of white space may end elsewhere than before its last space
+            return b"".join(self._encode_unit(u.decode("utf-8", "replace")) for u in _UNITS.findall(text))
+        words = text.split(b" ")
+        return (self._encode_unit(words[0].decode("utf-8", "replace")) if words[0] else b"") + b"".join(map(self.__getitem__, words[1:]))
 
 
 def _packed(ids: list[int]) -> bytes:
-    return np.asarray(ids, dtype=IDS).tobytes()
+    return array("I", ids).tobytes() if _NATIVE else np.asarray(ids, dtype=IDS).tobytes()
 
 
 @lru_cache(maxsize=8)
@@ -94,11 +103,22 @@ def tiktoken_ranks(path: str) -> dict[bytes, int]:
 
 
 @lru_cache(maxsize=8)
-def tiktoken_units(path: str, pattern: str) -> UnitCache:
+def tiktoken_encoding(path: str, pattern: str):
     import tiktoken
 
-    encode = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=tiktoken_ranks(path), special_tokens={}).encode_ordinary
-    return UnitCache(encode, regex.compile(pattern).findall, encode)
+    return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=tiktoken_ranks(path), special_tokens={})
+
+
+def tiktoken_ids(path: str, pattern: str) -> Callable[[bytes], bytes]:
+    """A function from a text's bytes to its packed ids. This library is as fast on whole texts as a cache of words."""
+    encode = tiktoken_encoding(path, pattern).encode_ordinary
+    return lambda text: _packed(encode(text.decode("utf-8", "replace")))
+
+
+@lru_cache(maxsize=8)
+def tiktoken_pieces(path: str, pattern: str) -> TwoGenerations:
+    """A pre-token's bytes -> its packed ids."""
+    return TwoGenerations(tiktoken_ids(path, pattern))
 
 
 def byte_letters() -> dict[int, str]:
@@ -110,7 +130,7 @@ def byte_letters() -> dict[int, str]:
 
 @lru_cache(maxsize=8)
 def hugging_units(path: str) -> UnitCache:
-    """A byte-level BPE tokenizer file. Its own normalizer and pre-tokenizer see all but plain units."""
+    """A byte-level BPE tokenizer file. Its own normalizer and pre-tokenizer see all but plain units, its own model every pre-token."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
@@ -120,13 +140,22 @@ def hugging_units(path: str) -> UnitCache:
         told = json.load(f)
     lower = "Lowercase" in json.dumps(told["normalizer"])
     split = [p["pattern"]["Regex"] for p in told["pre_tokenizer"].get("pretokenizers", []) if p["type"] == "Split"]
-    find = regex.compile(split[0] if split else r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+").findall
-    letters, model = byte_letters(), tokenizer.model
+    find = regex.compile(split[0] if split else GPT2_PATTERN).findall
+    letters, tokenize = byte_letters(), tokenizer.model.tokenize
+    space = letters[0x20]
 
     def of_piece(piece: str) -> list[int]:
-        return [t.id for t in model.tokenize(piece.encode().decode("latin-1").translate(letters))]
+        if piece.isascii() and piece.isprintable():
+            return [t.id for t in tokenize(piece.replace(" ", space))]
+        return [t.id for t in tokenize(piece.encode().decode("latin-1").translate(letters))]
 
     def pieces(text: str) -> list[str]:
-        return find(text.lower() if lower else text)
-
-    return UnitCache(lambda text: tokenizer.encode(text, add_special_tokens=False).ids, pieces, of_piece)
+        # A word of letters and the stops after it, without the pattern.
+        core = text.rstrip(".,")
+        if core[1:].isalpha() and (core[0] == " " or core[0].isalpha()):
+            found = [core, text[len(core) :]] if len(core) < len(text) else [core]
+        else:
+            return find(text.lower() if lower else text)
+        return [p.lower() for p in found] if lower else found
+
+    return UnitCache(lambda text: tokenizer.encode(text, add_special_tokens=False).ids, pieces, of_piece, not split)

@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from omicspark.llm.encoders import IDS, tiktoken_units
+from omicspark.llm.encoders import IDS, tiktoken_ids
 from omicspark.llm.files import attempt_name, open_input, open_output
 from omicspark.storage import materialize, new_path
 
@@ -32,7 +32,7 @@ def write_token_files(docs: DataFrame, path: str, pattern: str, end_id: int, id_
     folder = new_path(docs.sparkSession, "flat")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units, end = tiktoken_units(path, pattern), np.array([end_id], dtype=IDS).tobytes()
+        ids, end = tiktoken_ids(path, pattern), np.array([end_id], dtype=IDS).tobytes()
         out, name, n = None, attempt_name(folder, TaskContext.get().partitionId()), 0
         try:
             for batch in batches:
@@ -40,7 +40,7 @@ def write_token_files(docs: DataFrame, path: str, pattern: str, end_id: int, id_
                     continue
                 out = out or open_output(name)
                 for text in batch.column(1).to_pylist():
-                    out.write(units.encode(text or b"") + end)
+                    out.write((ids(text) if text else b"") + end)
                 yield pa.RecordBatch.from_arrays([pa.array([name] * batch.num_rows), pa.array(np.arange(n, n + batch.num_rows)), batch.column(0)], ["file", "ordinal", id_col])
                 n += batch.num_rows
         finally:

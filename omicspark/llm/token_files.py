@@ -129,7 +129,7 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: int, end_id: int,
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 out = out or TokenWriter(name, width)
-                out.add(doc_id, np.frombuffer(units.encode_words(text or b"") + end, dtype=IDS))
+                out.add(doc_id, np.frombuffer(units.encode(text or b"") + end, dtype=IDS))
                 n += 1
         if out:
             out.close()
