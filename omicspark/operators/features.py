@@ -120,9 +120,10 @@ def extract_sequences(features: DataFrame, genome: DataFrame, tile: int = TILE,
 
 def split_utr(df: DataFrame, tx: str = "tx_seq", cds: str = "cds_seq") -> DataFrame:
     """``utr5``, ``utr3`` and ``found``: what stands before and after the last place of the coding sequence in the transcript."""
-    before = F.length(tx) - F.length(F.substring_index(F.col(tx), F.col(cds), -1)) - F.length(cds)
+    after = F.call_function("substring_index", F.col(tx), F.col(cds), F.lit(-1))
+    before = F.length(tx) - F.length(after) - F.length(cds)
     there = F.contains(F.col(tx), F.col(cds)) & (F.length(cds) > 0)
-    return df.withColumns({"found": there, "utr5": F.when(there, F.substring(F.col(tx), F.lit(1), before)), "utr3": F.when(there, F.substring_index(F.col(tx), F.col(cds), -1))})
+    return df.withColumns({"found": there, "utr5": F.when(there, F.substring(F.col(tx), F.lit(1), before)), "utr3": F.when(there, after)})
 
 
 def feature_stats(features: DataFrame, group: str) -> DataFrame:

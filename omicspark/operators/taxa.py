@@ -29,7 +29,7 @@ def taxon_closure(nodes: DataFrame) -> DataFrame:
 
 def replace_merged(df: DataFrame, merged: DataFrame, col: str) -> DataFrame:
     """A row for each id of a white-space delimited column, merged ids (old, new) replaced."""
-    ids = df.withColumn("__id", F.explode(F.filter(F.split(F.col(col), r"\s+"), lambda x: x != "")).cast("bigint"))
+    ids = df.withColumn("__id", F.explode(F.filter(F.split(F.col(col), r"\s+"), lambda x: x != "").cast("array<bigint>")))
     return ids.join(merged.select(F.col("old").alias("__id"), "new"), "__id", "left").withColumn(col, F.coalesce("new", "__id")).drop("__id", "new")
 
 
@@ -45,7 +45,7 @@ def taxon_compatible(hits: DataFrame, closure: DataFrame, ids: str, taxid: int,
     """Hits of which one of the delimited ids is the taxon, above it or below it."""
     kin = closure.where(F.col("ancestor") == taxid).select(F.col("descendant").alias("__id")).unionByName(closure.where(F.col("descendant") == taxid).select(F.col("ancestor").alias("__id"))).distinct()
     keyed = hits.withColumn("__row", F.monotonically_increasing_id())
-    good = keyed.select("__row", F.explode(F.split(ids, sep)).cast("bigint").alias("__id")).join(kin, "__id").select("__row").distinct()
+    good = keyed.select("__row", F.explode(F.split(ids, sep).cast("array<bigint>")).alias("__id")).join(kin, "__id").select("__row").distinct()
     return keyed.join(good, "__row", "left_semi").drop("__row")
 
 
