@@ -116,8 +116,8 @@ def _stitched(chunks: DataFrame) -> DataFrame:
         {
             "first": F.lag("k").over(order).isNull(),
             "last": F.lead("k").over(order).isNull(),
-            "from": F.array_intersect(F.lag("tail").over(order), "head")[0],
-            "to": F.array_intersect("tail", F.lead("head").over(order))[0],
+            "from": F.get(F.array_intersect(F.lag("tail").over(order), "head"), 0),
+            "to": F.get(F.array_intersect("tail", F.lead("head").over(order)), 0),
         }
     )
     number = lambda marks, ids, at: F.get(F.col(ids), (F.array_position(marks, F.col(at)) - 1).cast("int"))

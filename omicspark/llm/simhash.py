@@ -31,7 +31,7 @@ from pyspark.sql import functions as F, types as T
 
 from omicspark.llm import golay
 from omicspark.operators.components import connected_components
-from omicspark.storage import materialize
+from omicspark.storage import materialize, spread
 
 SHINGLE = 4
 SEED = 42
@@ -241,7 +241,7 @@ def near_duplicates(prints: DataFrame, col: str = "fingerprint") -> DataFrame:
     Nulls are ignored, repeated values count once, no links give no rows.
     """
     distinct = prints.where(F.col(col).isNotNull()).select(F.col(col).alias("print")).distinct()
-    keyed = distinct.mapInArrow(_emit_keys, "key long, print long")
+    keyed = distinct.repartition(spread(prints.sparkSession), "print").mapInArrow(_emit_keys, "key long, print long")
     dealt = keyed.repartition("key").sortWithinPartitions("key")
     found = materialize(dealt.mapInArrow(_link_buckets, "kind byte, a long, b long"), "links")
     links = found.where("kind = 0").select("a", "b")

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from omicspark.llm.encoders import IDS, tiktoken_ids
 from omicspark.llm.files import attempt_name, open_input, open_output
-from omicspark.storage import materialize, new_path
+from omicspark.storage import materialize, new_path, spread
 
 BLOCK = 1 << 20
 
@@ -59,7 +59,7 @@ def _blocks(block: int):
                 with open_input(name) as f:
                     n = f.size() // IDS.itemsize
                 starts = np.arange(0, n, block)
-                yield pa.RecordBatch.from_arrays([pa.array([name] * len(starts)), pa.array(starts), pa.array(np.minimum(block, n - starts))], ["file", "start", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(starts), pa.string()), pa.array(starts, pa.int64()), pa.array(np.minimum(block, n - starts), pa.int64())], ["file", "start", "n"])
 
     return rows
 
@@ -84,7 +84,7 @@ def count_tokens(files: DataFrame, end_id: int, file_col: str = "file", block: i
     """
     names = files.where(F.col(file_col).isNotNull()).select(F.col(file_col).alias("file")).distinct()
     blocks = names.mapInArrow(_blocks(block), "file string, start long, n long")
-    scanned = blocks.repartition("file", "start").mapInArrow(_scan(end_id), "file string, start long, stop long, ends array<long>")
+    scanned = blocks.repartition(spread(files.sparkSession), "file", "start").mapInArrow(_scan(end_id), "file string, start long, stop long, ends array<long>")
     before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     placed = scanned.select(
         "file",

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F, types as T
 
 from omicspark.llm.encoders import IDS, hugging_units
 from omicspark.llm.files import attempt_name, open_input, open_output
-from omicspark.storage import materialize, new_path
+from omicspark.storage import materialize, new_path, spread
 
 MAGIC = b"OMTOKEN1"
 BLOCK = 1 << 13
@@ -161,7 +161,8 @@ def _read_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 def read_token_files(files: DataFrame) -> DataFrame:
     """(doc_id, start, ids array<int>) of every document in the files that ``write_token_files`` gave, read from them."""
-    return files.select("file", "base").repartition("file").mapInArrow(_read_documents, "doc_id long, start long, ids array<int>")
+    parts = spread(files.sparkSession, files.count())
+    return files.select("file", "base").repartition(parts, "file").mapInArrow(_read_documents, "doc_id long, start long, ids array<int>")
 
 
 def crc32_of(ids: pa.Array) -> pa.Array:
