@@ -39,3 +39,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(spark: SparkSession, rows: int = 1 << 62, most: int = 1 << 12) -> int:
+    """A number of partitions for few small rows that stand for much work each.
+
+    Adaptive execution would put them into one task by their size; a number that is
+    given stays.
+    """
+    return max(1, min(rows, most, 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
