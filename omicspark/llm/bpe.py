@@ -14,16 +14,18 @@ without a common boundary in some overlap is encoded in one piece.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F, types as T
 
 from omicspark.llm.encoders import IDS, tiktoken_ids, tiktoken_pieces, tiktoken_ranks
-from omicspark.storage import materialize
+from omicspark.storage import bound_batches, materialize
 
 CHUNK = 1 << 14
 OVERLAP = 1 << 10
@@ -43,13 +45,30 @@ def _encode_column(path: str, pattern: str):
     return encode
 
 
-def _decode_column(path: str):
-    @F.arrow_udf(T.BinaryType())
-    def decode(ids: pa.Array) -> pa.Array:
-        pieces = {i: piece for piece, i in tiktoken_ranks(path).items()}
-        return pa.array([None if x is None else b"".join(map(pieces.__getitem__, x)) for x in ids.to_pylist()], type=pa.binary())
+@lru_cache(maxsize=4)
+def _pieces(path: str) -> pa.Array:
+    """The bytes of each id, in order of ids; null where an id is not used."""
+    ranks = tiktoken_ranks(path)
+    table: list[bytes | None] = [None] * (max(ranks.values()) + 1)
+    for piece, i in ranks.items():
+        table[i] = piece
+    return pa.array(table, pa.large_binary())
+
+
+def decode_lists(ids: pa.Array, path: str) -> pa.Array:
+    """The bytes of each list of ids: those of all ids side by side, cut where lists end."""
+    flat = _pieces(path).take(ids.flatten())
+    if flat.null_count:
+        raise ValueError("an id is not in the vocabulary")
+    sizes = np.diff(np.frombuffer(flat.buffers()[1], dtype=np.int64)[flat.offset : flat.offset + len(flat) + 1])
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    lists = np.concatenate([[0], np.cumsum(np.nan_to_num(pc.list_value_length(ids).to_numpy(zero_copy_only=False).astype(np.float64)).astype(np.int64))])
+    whole = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ids), [None, pa.py_buffer(ends[lists].astype(np.int64).tobytes()), flat.buffers()[2] if len(flat) else pa.py_buffer(b"")])
+    return pc.if_else(pc.is_valid(ids), whole, pa.scalar(None, pa.large_binary())).cast(pa.binary())
 
-    return decode
+
+def _decode_column(path: str):
+    return F.arrow_udf(lambda ids: decode_lists(ids, path), T.BinaryType())
 
 
 def _char_start(data: bytes, at: int) -> int:
@@ -144,6 +163,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", kee
     table, so repeated and null ids and repeated texts are fine. An empty table
     gives no rows. Texts up to chunk + overlap bytes don't move.
     """
+    bound_batches(docs.sparkSession)
     rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.struct(*keep).alias("kept"), F.col(text_col).cast("binary").alias("data"))
     of = _encode_column(path, pattern)
     long = F.coalesce(F.octet_length("data"), F.lit(0)) > chunk + overlap

@@ -39,14 +39,11 @@ def _visit(part: Column) -> Column:
     return F.when(_is_attachment(part), F.concat(F.lit("<|"), part["type"], F.lit("|>"))).otherwise(escape(F.coalesce(part["text"], F.lit(""))))
 
 
-def _attachments(turns: Column) -> Column:
-    """(turn, part, type, ref, n_tokens) of each placeholder in order; n_tokens falls back on the type's usual count."""
+def _attachments(parts: Column) -> Column:
+    """(part, type, ref, n_tokens) of each placeholder of a turn; n_tokens falls back on the type's usual count."""
     usual = F.create_map(*(F.lit(x) for kv in PART_TOKENS.items() for x in kv))
-    of_turn = lambda t, i: F.transform(
-        F.filter(F.transform(t["parts"], lambda p, j: F.struct(p.alias("p"), j.alias("j"))), lambda x: _is_attachment(x["p"])),
-        lambda x: F.struct(i.alias("turn"), x["j"].alias("part"), x["p"]["type"].alias("type"), x["p"]["ref"].alias("ref"), F.coalesce(x["p"]["n_tokens"], usual[x["p"]["type"]].cast("bigint")).alias("n_tokens")),
-    )
-    return F.flatten(F.transform(turns, of_turn))
+    placed = F.transform(parts, lambda p, j: F.struct(j.alias("part"), p["type"].alias("type"), p["ref"].alias("ref"), F.coalesce(p["n_tokens"], usual[p["type"]].cast("bigint")).alias("n_tokens")))
+    return F.filter(placed, _is_attachment)
 
 
 def format_conversations(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", parts_col: str = "parts", loss_role: str = "assistant") -> DataFrame:
@@ -58,16 +55,17 @@ def format_conversations(turns: DataFrame, conv_col: str = "conv_id", turn_col:
     parts are a turn without content. Equal turn numbers are ordered by role, then
     content, repeated rows kept. A null id is a conversation. No rows give none.
     """
-    content = F.array_join(F.transform(F.coalesce(F.col(parts_col), F.lit(None).cast(f"array<{PART}>"), F.array().cast(f"array<{PART}>")), _visit), "")
+    parts = F.coalesce(F.col(parts_col), F.array().cast(f"array<{PART}>"))
     own = turns.select(
         F.col(conv_col),
-        F.struct(F.col(turn_col).alias("turn"), F.coalesce(F.col(role_col), F.lit("")).alias("role"), content.alias("content"), F.coalesce(F.filter(F.col(parts_col), _is_attachment), F.array().cast(f"array<{PART}>")).alias("parts")).alias("t"),
+        F.struct(F.col(turn_col).alias("turn"), F.coalesce(F.col(role_col), F.lit("")).alias("role"), F.array_join(F.transform(parts, _visit), "").alias("content"), _attachments(parts).alias("parts")).alias("t"),
     )
     grouped = own.groupBy(conv_col).agg(F.sort_array(F.collect_list("t")).alias("turns"))
     whole = lambda t: F.concat(F.lit(TURN), escape(t["role"]), F.lit(SAYS), t["content"], F.lit(END))
     span = lambda t, i: F.struct(i.alias("turn"), (F.length(escape(t["role"])) + len(SAYS)).alias("start"), F.length(t["content"]).alias("length"), (t["role"] == loss_role).alias("on"))
     mask = F.transform(F.filter(F.transform(F.col("turns"), span), lambda s: s["on"]), lambda s: F.struct(s["turn"], s["start"], s["length"]))
-    told = grouped.select(conv_col, F.array_join(F.transform("turns", whole), "").alias("formatted"), mask.alias("loss_mask"), _attachments(F.col("turns")).alias("attachments"))
+    attachments = F.flatten(F.transform("turns", lambda t, i: F.transform(t["parts"], lambda a: F.struct(i.alias("turn"), a["part"].alias("part"), a["type"].alias("type"), a["ref"].alias("ref"), a["n_tokens"].alias("n_tokens")))))
+    told = grouped.select(conv_col, F.array_join(F.transform("turns", whole), "").alias("formatted"), mask.alias("loss_mask"), attachments.alias("attachments"))
     return told.withColumn("expanded_tokens", F.aggregate(F.col("attachments"), F.lit(0).cast("bigint"), lambda n, a: n + a["n_tokens"]))
 
 

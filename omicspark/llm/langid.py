@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F, types as T
 
+from omicspark.storage import bound_batches
+
 WINDOW = 256
 EMBED = 8
 WIDTHS = (2, 3, 4)
@@ -188,6 +190,7 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang") -> DataFrame:
     """All rows and columns of ``docs`` with held_out, lang_pred and score. An empty table gives no rows."""
+    bound_batches(docs.sparkSession)
     net = fit(docs, ~held_out(id_col), id_col, text_col, label_col)
     told = docs.withColumns({"held_out": held_out(id_col), "__lang": predict(net, text_col)})
     return told.select(*docs.columns, "held_out", "__lang.lang_pred", "__lang.score")

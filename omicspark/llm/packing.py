@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from omicspark.llm.encoders import IDS, hugging_units
 from omicspark.llm.packing_plan import plan_packing
-from omicspark.storage import materialize
+from omicspark.storage import bound_batches, materialize
 
 WINDOW = 2048
 
@@ -88,6 +88,7 @@ def pack(docs: DataFrame, path: str, end_id: int, vocabulary: int, window: int =
     the last few, whose lengths are powers of two. Repeated rows and null ids are
     documents of their own; an empty table gives no rows.
     """
+    bound_batches(docs.sparkSession)
     small = np.dtype("<u2" if max(vocabulary, end_id + 1) <= 1 << 16 else "<u4")
     source = docs.select(F.struct(*keep).alias("kept"), F.col(text_col).cast("binary").alias("data"))
     kept = source.schema["kept"].dataType.simpleString()

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from omicspark.llm.encoders import IDS, tiktoken_ids
 from omicspark.llm.files import attempt_name, open_input, open_output
-from omicspark.storage import materialize, new_path, spread
+from omicspark.storage import bound_batches, materialize, new_path, spread
 
 BLOCK = 1 << 20
 
@@ -29,6 +29,7 @@ def write_token_files(docs: DataFrame, path: str, pattern: str, end_id: int, id_
 
     The rows say which document stands where in which file, not where it begins.
     """
+    bound_batches(docs.sparkSession)
     folder = new_path(docs.sparkSession, "flat")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

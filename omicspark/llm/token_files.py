@@ -21,7 +21,7 @@ from pyspark.sql import functions as F, types as T
 
 from omicspark.llm.encoders import IDS, hugging_units
 from omicspark.llm.files import attempt_name, open_input, open_output
-from omicspark.storage import materialize, new_path, spread
+from omicspark.storage import bound_batches, materialize, new_path, spread
 
 MAGIC = b"OMTOKEN1"
 BLOCK = 1 << 13
@@ -120,6 +120,7 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: int, end_id: int,
     together in any order. path: a tokenizer that drops white space. Null and empty
     texts are their end id alone. An empty table gives no files.
     """
+    bound_batches(docs.sparkSession)
     folder = new_path(docs.sparkSession, "packed")
     width = width_of(vocabulary)
 
