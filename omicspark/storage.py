@@ -48,3 +48,14 @@ def spread(spark: SparkSession, rows: int = 1 << 62, most: int = 1 << 12) -> int
     given stays.
     """
     return max(1, min(rows, most, 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
+def bound_batches(spark: SparkSession, rows: int = 1024) -> None:
+    """Let Python workers get at most ``rows`` rows at a time, for tables of long texts.
+
+    The session keeps the setting, as plans are made when their results are asked for.
+    """
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(setting, "10000"))
+    if now <= 0 or now > rows:
+        spark.conf.set(setting, str(rows))
