@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import io
 from collections.abc import Iterator
 
 import pandas as pd
@@ -57,7 +58,7 @@ class _FastqReader(DataSourceReader):
 
         store, _ = fs.FileSystem.from_uri(self.path) if "://" in self.path else (fs.LocalFileSystem(), "")
         gz = part.path.endswith(".gz")
-        with store.open_input_stream(part.path) if gz else store.open_input_file(part.path) as f:
+        with io.BufferedReader(store.open_input_stream(part.path) if gz else store.open_input_file(part.path), 1 << 20) as f:
             at = 0
             if not gz and part.start:
                 f.seek(part.start - 1)
