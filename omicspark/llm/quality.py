@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from omicspark.storage import materialize
 
 WINDOW = 5
-SAMPLE_ROWS = 2000
+SAMPLE_ROWS = 600
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 MAX_SYMBOLS_PERCENT = 10
