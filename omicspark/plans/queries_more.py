@@ -283,7 +283,7 @@ def a34_intron_percentiles(spark, sf):
     return I.intron_percentiles(table(spark, sf, "lineitem").select(F.lit(0).cast("bigint").alias("start"), F.col("l_quantity").cast("bigint").alias("end")), 0.05, 0.95)
 
 
-@query(f'WITH x AS (SELECT name AS tx, chrom AS gene, "end" - start AS n FROM ({_AF})), t AS (SELECT tx, gene, sum(n) AS n FROM x GROUP BY ALL) SELECT gene, max(n)::BIGINT AS length FROM t GROUP BY gene')
+@query(f'WITH x AS (SELECT name AS tx, chrom AS gene, "end" - start AS n FROM ({_AF})), t AS (SELECT tx, sum(n) AS n FROM x GROUP BY tx) SELECT gene, max(t.n)::BIGINT AS length FROM t JOIN (SELECT DISTINCT tx, gene FROM x) USING (tx) GROUP BY gene')
 def a8_feature_lengths(spark, sf):
     x = _sides(spark, sf)[0].select(F.col("name").alias("tx"), F.col("chrom").alias("gene"), "start", "end")
     return I.feature_lengths(x, x)
@@ -600,9 +600,9 @@ def a31_ma_values(spark, sf):
     return E.ma_values(table(spark, sf, "lineitem"), "l_quantity", "l_extendedprice").select("l_orderkey", "l_linenumber", "l_partkey", _r("m").alias("m"), _r("a").alias("a"))
 
 
-@query(f"{_C} SELECT feature, round(avg(value), 6) AS mean, round(var_samp(value) / nullif(avg(value) * avg(value), 0), 6) AS cv2 FROM c GROUP BY feature")
+@query(f"{_C} SELECT feature, round(avg(value), 6) AS mean, round(var_samp(value) / nullif(avg(value) * avg(value), 0), 4) AS cv2 FROM c GROUP BY feature")
 def a31_cv2(spark, sf):
-    return E.cv2(run(spark, sf, B.COUNTS)).select("feature", _r("mean").alias("mean"), _r("cv2").alias("cv2"))
+    return E.cv2(run(spark, sf, B.COUNTS)).select("feature", _r("mean").alias("mean"), _r("cv2", 4).alias("cv2"))
 
 
 _WIDE = f"{_C}, w AS (SELECT feature, coalesce(sum(value) FILTER (sample = 'AF'), 0) AS a, coalesce(sum(value) FILTER (sample = 'NO'), 0) AS b, coalesce(sum(value) FILTER (sample = 'RF'), 0) AS c FROM c GROUP BY feature), p AS (SELECT feature, unnest([{{'x': 'AF', 'y': 'NO', 'u': a, 'v': b}}, {{'x': 'AF', 'y': 'RF', 'u': a, 'v': c}}, {{'x': 'NO', 'y': 'RF', 'u': b, 'v': c}}], recursive := true) FROM w)"
