@@ -283,4 +283,5 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     roots = materialize(near_duplicates(prints), "roots")
     rooted = lowest.join(roots, lowest["fingerprint"] == roots["print"], "left").select("low", F.coalesce("root", "fingerprint").alias("root"))
     stay = materialize(rooted.groupBy("root").agg(F.min("low").alias("low")).select(F.col(f"low.{uid}").alias(uid)), "stay")
-    return numbered.join(stay, uid, "left_semi").select(*docs.columns)
+    # The rows that stay grow with the table, so they are no side to broadcast, however few they are today.
+    return numbered.join(stay.hint("merge"), uid, "left_semi").select(*docs.columns)
