@@ -38,7 +38,7 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def _words(text: Column) -> Column:
-    return F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    return F.array_remove(F.split(text, r"[\x20\x09-\x0D]+"), "")
 
 
 def _repeat_words(words: Column) -> Column:
@@ -70,21 +70,21 @@ def _stutter(words: Column) -> Column:
 
 
 def _lines(text: Column) -> Column:
-    return F.filter(F.split(text, "\n"), lambda line: F.translate(line, _SPACE, "") != "")
+    return F.filter(F.split(text, "\n"), lambda line: F.btrim(line, F.lit(_SPACE)) != "")
 
 
 def statistics(text: Column, words: Column) -> dict[str, Column]:
     """Statistics of a text (not null) and the array of its words."""
     return {
         "n_words": F.size(words).cast("bigint"),
-        "word_chars": F.length(F.translate(text, _SPACE, "")).cast("bigint"),
-        "n_symbols": (F.length(text) - F.length(F.translate(text, _SYMBOLS, ""))).cast("bigint"),
+        "word_chars": F.length(F.array_join(words, "")).cast("bigint"),
+        "n_symbols": F.length(F.regexp_replace(text, f"[^{_SYMBOLS}]+", "")).cast("bigint"),
         "n_lines": F.size(_lines(text)).cast("bigint"),
         "n_dup_lines": _let(_lines(text), lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("bigint"),
         "n_repeat_words": _repeat_words(words),
         "n_stutter": _stutter(words),
         "n_upper": F.length(F.regexp_replace(text, r"[^\p{Lu}]+", "")).cast("bigint"),
-        "n_letters": F.length(F.regexp_replace(text, r"[^\p{L}]+", "")).cast("bigint"),
+        "n_letters": (F.length(text) - F.length(F.regexp_replace(text, r"\p{L}+", ""))).cast("bigint"),
     }
 
 
@@ -163,6 +163,7 @@ def judge(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc
 def quality_filter(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that no rule rejects, with their columns. Statistics are worked out as the cascade reaches them."""
     order = [rule for rule, _, _ in order_rules(docs, text_col)]
-    rows, text, words = _with_words(docs, text_col)
-    stats = statistics(F.col(text), F.col(words))
-    return rows.where(cascade(order, stats.__getitem__).isNull()).select(*docs.columns)
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    # Words are bound within the condition: as a column of a projection they would be put into it at each use.
+    verdict = _let(_words(text), lambda words: cascade(order, statistics(text, words).__getitem__))
+    return docs.where(verdict.isNull())
