@@ -23,7 +23,7 @@ from functools import lru_cache
 import numpy as np
 import regex
 
-CACHE_UNITS = 250_000  # in each of two generations
+CACHE_UNITS = 400_000  # in each of two generations
 CACHE_BYTES = 48
 IDS = np.dtype("<u4")
 # Fixed value: the pre-token pattern of byte-level tokenizer files that name none.
@@ -61,12 +61,12 @@ class UnitCache(TwoGenerations):
 
     whole: ids of any text. pieces: the pre-tokens of a plain text. of_piece: the
     ids of one pre-token. spaces: whether a pre-token may begin with white space;
-    if not, the tokenizer drops it.
+    if not, the tokenizer drops it. lower: whether it lower-cases.
     """
 
-    def __init__(self, whole: Callable[[str], list[int]], pieces: Callable[[str], list[str]], of_piece: Callable[[str], list[int]], spaces: bool):
+    def __init__(self, whole: Callable[[str], list[int]], pieces: Callable[[str], list[str]], of_piece: Callable[[str], list[int]], spaces: bool, lower: bool):
         super().__init__(self._encode_word)
-        self._whole, self._pieces, self._space = whole, pieces, " " if spaces else ""
+        self._whole, self._pieces, self._space, self._lower = whole, pieces, " " if spaces else "", lower
         self.piece_ids = TwoGenerations(lambda piece: _packed(of_piece(piece)))
 
     def encode_text(self, text: bytes) -> bytes:
@@ -78,6 +78,11 @@ class UnitCache(TwoGenerations):
         return _packed(self._whole(text))
 
     def _encode_word(self, word: bytes) -> bytes:
+        core = word.rstrip(b".,")
+        if core.isalpha():  # ASCII letters and the stops after them are two pre-tokens
+            text = core.decode("ascii")
+            ids = self.piece_ids[self._space + (text.lower() if self._lower else text)]
+            return ids if len(core) == len(word) else ids + self.piece_ids[word[len(core) :].decode("ascii")]
         return self._encode_unit(self._space + word.decode("utf-8", "replace"))
 
     def encode(self, text: bytes) -> bytes:
@@ -158,4 +163,4 @@ def hugging_units(path: str) -> UnitCache:
             return find(text.lower() if lower else text)
         return [p.lower() for p in found] if lower else found
 
-    return UnitCache(lambda text: tokenizer.encode(text, add_special_tokens=False).ids, pieces, of_piece, not split)
+    return UnitCache(lambda text: tokenizer.encode(text, add_special_tokens=False).ids, pieces, of_piece, not split, lower)
