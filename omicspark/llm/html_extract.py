@@ -36,6 +36,8 @@ SIBLINGS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}),
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""", re.S)
 _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|(?<![\w-])(hidden)(?![\w-])""")
 _WORD = re.compile(r"[a-z]+")
+# On the page itself: its lower case can be longer (one letter becomes two), so places there are not the page's.
+_RAW_END = {tag: re.compile(f"</{tag}", re.I | re.A) for tag in RAW}
 STEPS = 200
 RATE = 0.3
 PENALTY = 0.01
@@ -55,7 +57,7 @@ class Dom:
 def parse(page: str) -> Dom:
     """A forgiving parse: element 0 is the page itself; unclosed and misplaced tags are borne."""
     dom = Dom(["#page"], [""], [-1])
-    stack, at, low, n = [0], 0, None, len(page)
+    stack, at, n = [0], 0, len(page)
 
     def add(text: str) -> None:
         if text and not silent:
@@ -106,10 +108,9 @@ def parse(page: str) -> Dom:
         if tag in VOID:
             continue
         if tag in RAW:
-            low = low if low is not None else page.lower()
-            end = low.find(f"</{tag}", at) if len(low) == n else -1
-            if end >= 0:
-                at = page.find(">", end) + 1 or n
+            end = _RAW_END[tag].search(page, at)
+            if end:
+                at = page.find(">", end.start()) + 1 or n
                 continue
             if tag in ("script", "style", "textarea", "title"):
                 break  # never closed: the rest is not text

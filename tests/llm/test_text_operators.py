@@ -58,6 +58,13 @@ def test_odd_pages(model, page):
     assert isinstance(H.extract(page, model), str)
 
 
+@pytest.mark.parametrize("title", ["\u0130stanbul", "Istanbul"])
+def test_letter_that_grows_in_lower_case(model, title):
+    """U+0130 is two characters in lower case; raw elements must still end where they end."""
+    page = f"<html><head><TITLE>{title}</TITLE><style>p {{}}</STYLE><script>let a = 1</script></head><body><article><h1>\u0130zmir</h1><p>One two \u0130 three.</p><script>x</script><p>Second part</p></article></body></html>"
+    assert H.extract(page, model) == "\u0130zmir\n\nOne two \u0130 three.\n\nSecond part"
+
+
 def test_html_query_over_a_column(spark, model):
     df = spark.createDataFrame([(1, "<article><p>Long enough text of an article, it is.</p></article>", "t"), (2, None, "t"), (1, "", "t")], "page_id long, html string, text string")
     got = df.select("page_id", H.main_text("html").alias("main")).collect()
