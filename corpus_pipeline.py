@@ -1,4 +1,4 @@
-"""The corpus pipeline: language ID, quality rules, SimHash near-duplicates, packing.
+"""The corpus pipeline: language ID, quality rules, near-duplicates by shingle similarity, packing.
 
 Each stage takes (spark, docs, sf_dir) and gives a DataFrame. All but the last give
 the columns of ``docs``. run() writes each stage's rows as Parquet to the shared
@@ -12,10 +12,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from omicspark.llm.jaccard import one_of_each
 from omicspark.llm.langid import UNKNOWN, identify
 from omicspark.llm.packing import pack
 from omicspark.llm.quality import quality_filter
-from omicspark.llm.simhash import one_of_each
 from omicspark.storage import materialize
 
 MIN_LANGUAGE_SCORE = 0.5
@@ -33,7 +33,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest id stays."""
+    """Of each group linked by a similarity of 0.8 or more of 5-word shingles the document with the smallest id stays."""
     return one_of_each(docs)
 
 
