@@ -59,3 +59,11 @@ def bound_batches(spark: SparkSession, rows: int = 1024) -> None:
     now = int(spark.conf.get(setting, "10000"))
     if now <= 0 or now > rows:
         spark.conf.set(setting, str(rows))
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
