@@ -100,15 +100,36 @@ def _cut_rows(chunk: int, overlap: int):
     return rows
 
 
+def _places(data: bytes) -> np.ndarray:
+    """Of each byte of the text with U+FFFD for what is no UTF-8, and of its end, the place of the bytes that stand there."""
+    parts, at = [], 0
+    while at < len(data):
+        try:
+            data[at:].decode()
+            start = end = len(data)
+        except UnicodeDecodeError as e:
+            start, end = at + e.start, at + e.end
+        parts.append(np.arange(at, start))
+        if start < end:
+            parts.append(np.full(3, start))
+        at = end
+    return np.concatenate([*parts, [len(data)]]).astype(np.int64)
+
+
 _MARKS = "head array<long>, head_ids array<int>, tail array<long>, tail_ids array<int>"
 
 
 def encode_chunk(data: bytes, start: int, after: int, overlap: int, path: str, pattern: str) -> tuple:
-    """Ids of a chunk; its boundaries in both overlaps, each with the number of ids before it."""
+    """Ids of a chunk; its boundaries in both overlaps, each with the number of ids before it.
+
+    A byte that is no UTF-8 counts as U+FFFD, which is three bytes: places are those of the bytes that stand there.
+    """
     known = tiktoken_pieces(path, pattern)
-    pieces = [p.encode() for p in regex.findall(pattern, data.decode("utf-8", "replace"))]
+    text = data.decode("utf-8", "replace")
+    pieces = [p.encode() for p in regex.findall(pattern, text)]
     packed = list(map(known.__getitem__, pieces))
-    at = start + np.cumsum([0] + [len(p) for p in pieces])[:-1]
+    at = np.cumsum([0] + [len(p) for p in pieces])[:-1]
+    at = start + (at if "\ufffd" not in text else _places(data)[at])
     before = np.cumsum([0] + [len(p) // IDS.itemsize for p in packed])[:-1]
     head = at < start + overlap
     tail = at >= after if after >= 0 else np.zeros(len(at), dtype=bool)
@@ -164,19 +185,20 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", kee
     gives no rows. Texts up to chunk + overlap bytes don't move.
     """
     bound_batches(docs.sparkSession)
-    rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.struct(*keep).alias("kept"), F.col(text_col).cast("binary").alias("data"))
+    rows = docs.select(F.struct(*keep).alias("kept"), F.col(text_col).cast("binary").alias("data"))
     of = _encode_column(path, pattern)
-    long = F.coalesce(F.octet_length("data"), F.lit(0)) > chunk + overlap
-    short = rows.where(~long).select("kept.*", of("data").alias("ids"))
-    cut_up = rows.where(long).select("uid", "data").mapInArrow(_cut_rows(chunk, overlap), "uid long, k int, start long, after long, data binary")
+    is_long = F.coalesce(F.octet_length("data"), F.lit(0)) > chunk + overlap
+    short = rows.where(~is_long).select("kept.*", of("data").alias("ids"))
+    # Written once with its number, as another evaluation could number rows otherwise.
+    long = materialize(rows.where(is_long).withColumn("uid", F.monotonically_increasing_id()), "long-texts")
+    cut_up = long.select("uid", "data").mapInArrow(_cut_rows(chunk, overlap), "uid long, k int, start long, after long, data binary")
     coded = cut_up.repartition("uid", "k").mapInArrow(_encode_chunks(path, pattern, overlap), f"uid long, k int, {_MARKS}, ids array<int>")
     stitched = materialize(_stitched(coded), "stitched")
-    names = rows.where(long).select("uid", "kept")
-    joined = names.join(stitched.where("whole").select("uid", "ids"), "uid").select("kept.*", "ids")
+    joined = long.select("uid", "kept").join(stitched.where("whole").select("uid", "ids"), "uid").select("kept.*", "ids")
     out = short.unionByName(joined)
     broken = stitched.where("NOT whole").select("uid")
     if not broken.isEmpty():
-        out = out.unionByName(rows.where(long).join(broken, "uid", "left_semi").select("kept.*", of("data").alias("ids")))
+        out = out.unionByName(long.join(broken, "uid", "left_semi").select("kept.*", of("data").alias("ids")))
     return out
 
 
