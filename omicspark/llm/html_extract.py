@@ -31,13 +31,16 @@ SILENT = frozenset("script style noscript template textarea title select option
 RAW = frozenset("script style textarea title noscript iframe template svg select".split())
 ENDS_P = BLOCKS - {"html", "head", "body", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "dd", "dt", "li", "summary", "figcaption"}
 PARTS = frozenset("article aside div footer header main nav section".split())
+ROLES = {"article": "article", "banner": "header", "complementary": "aside", "contentinfo": "footer", "form": "form", "main": "main", "navigation": "nav", "search": "form"}  # the elements that roles stand for
 SIBLINGS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"})}
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""", re.S)
-_ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|(?<![\w-])(hidden)(?![\w-])""")
+_OPEN = re.compile(r"""<(?:(!--)|(!\[CDATA\[)|([!?])|(/?)([a-zA-Z][a-zA-Z0-9:-]*+)(?:((?:[^<>"']++|"[^"<>]*+"|'[^'<>]*+')*+)>)?)""")
+_QUOTED = re.compile(r"""((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")  # attributes with < or > in their values
+_ATTRIBUTE = re.compile(r"""(?<![a-zA-Z-])([a-zA-Z-]++)\s*+=\s*+(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|(?<![\w-])(hidden)(?![\w-])""")
 _WORD = re.compile(r"[a-z]+")
 # On the page itself: its lower case can be longer (one letter becomes two), so places there are not the page's.
-_RAW_END = {tag: re.compile(f"</{tag}", re.I | re.A) for tag in RAW}
+_RAW_END = {tag: re.compile(rf"</{tag}(?![^\s/>])", re.I | re.A) for tag in RAW}
+STEM = 5
 STEPS = 200
 RATE = 0.3
 PENALTY = 0.01
@@ -55,69 +58,94 @@ class Dom:
 
 
 def parse(page: str) -> Dom:
-    """A forgiving parse: element 0 is the page itself; unclosed and misplaced tags are borne."""
+    """A forgiving parse in time linear in the page: element 0 is the page itself; unclosed and misplaced tags are borne.
+
+    What is open is kept by tag as well, so the nearest open element of a tag is
+    found without a walk. A search that failed once is not tried again further on.
+    """
     dom = Dom(["#page"], [""], [-1])
     stack, at, n = [0], 0, len(page)
+    depths: dict[str, list[int]] = defaultdict(list)  # where in the stack elements of a tag are
+    silent = 0  # open silent elements
+    quotes = True  # false once a quote turned out to stay open
+    endless: set[str] = set()  # raw tags without an end tag further on
 
     def add(text: str) -> None:
         if text and not silent:
             dom.texts.append((stack[-1], dom.breaks, html.unescape(text) if "&" in text else text))
 
-    silent = 0  # open silent elements
-
     def close_to(depth: int) -> None:
         nonlocal silent
-        for e in stack[depth:]:
-            if dom.tags[e] in BLOCKS:
-                dom.breaks += 1
-            silent -= dom.tags[e] in SILENT
+        for e in reversed(stack[depth:]):
+            tag = dom.tags[e]
+            depths[tag].pop()
+            dom.breaks += tag in BLOCKS
+            silent -= tag in SILENT
         del stack[depth:]
 
+    def nearest(tags: Iterable[str]) -> int:
+        return max((depths[t][-1] for t in tags if depths[t]), default=0)
+
     while at < n:
-        m = _TOKEN.search(page, at)
-        if not m:
+        begin = page.find("<", at)
+        if begin < 0:
             add(page[at:])
             break
-        if m.start() > at:
-            add(page[at : m.start()])
-        at = m.end()
-        if m[2] is None:
+        m = _OPEN.match(page, begin)
+        if not m:
+            add(page[at : begin + 1])
+            at = begin + 1
             continue
-        tag = m[2].lower()
-        if m[1]:
-            for depth in range(len(stack) - 1, 0, -1):
-                if dom.tags[stack[depth]] == tag:
-                    close_to(depth)
-                    break
+        add(page[at:begin])
+        if m[1] or m[2]:
+            mark = "-->" if m[1] else "]]>"
+            end = page.find(mark, m.end())
+            at = end + len(mark) if end >= 0 else n
+            continue
+        attributes, at = m[6], m.end()
+        if attributes is None:
+            inner = _QUOTED.match(page, at) if quotes and m[5] else None
+            quotes = quotes and (inner is not None or not m[5])
+            end = inner.end() - 1 if inner else page.find(">", at)
+            if end < 0:  # no tag ends any more
+                add(page[begin:])
+                break
+            attributes, at = page[at:end], end + 1
+        if m[3]:
+            continue
+        tag = m[5].lower()
+        if m[4]:
+            if depths[tag]:
+                close_to(depths[tag][-1])
             continue
         if tag == "br":
             add(" ")
             continue
         if tag in ENDS_P or tag in SIBLINGS:
             ends, inside = SIBLINGS.get(tag, ((), ()))
-            for depth in range(len(stack) - 1, 0, -1):
-                open_tag = dom.tags[stack[depth]]
-                if open_tag in inside or open_tag in ("table", "button", "#page"):
+            wall = nearest((*inside, "table", "button"))
+            while (depth := nearest((*ends, "p") if tag in ENDS_P else ends)) > wall:
+                more = dom.tags[stack[depth]] in ("td", "th")
+                close_to(depth)
+                if not more:
                     break
-                if open_tag in ends or (open_tag == "p" and tag in ENDS_P):
-                    close_to(depth)
-                    if open_tag != "td" and open_tag != "th":
-                        break
         if tag in BLOCKS:
             dom.breaks += 1
         if tag in VOID:
             continue
-        if tag in RAW:
+        if tag in RAW and tag not in endless:
             end = _RAW_END[tag].search(page, at)
             if end:
                 at = page.find(">", end.start()) + 1 or n
                 continue
-            if tag in ("script", "style", "textarea", "title"):
-                break  # never closed: the rest is not text
-        if not m[3].endswith("/") or tag in BLOCKS or tag in SILENT:
+            endless.add(tag)
+        if tag in endless and tag in ("script", "style", "textarea", "title"):
+            break  # never closed: the rest is not text
+        if not attributes.endswith("/") or tag in BLOCKS or tag in SILENT:
             dom.tags.append(tag)
-            dom.attributes.append(m[3])
+            dom.attributes.append(attributes)
             dom.parents.append(stack[-1])
+            depths[tag].append(len(stack))
             stack.append(len(dom.tags) - 1)
             silent += tag in SILENT
     return dom
@@ -154,6 +182,8 @@ def features(dom: Dom) -> list[list[str]]:
                 elif m[1].lower() in ("class", "id", "role"):
                     words.update(_WORD.findall((m[2] or m[3] or m[4] or "").lower()))
             own_features += sorted(f"word={w}" for w in words)
+            own_features += sorted(f"tag={ROLES[w]}" for w in words if w in ROLES and w != tag and f"tag={ROLES[w]}" != own_features[0] and f'role="{w}"' in dom.attributes[i])
+            own_features += sorted({f"stem={w[:STEM]}" for w in words if len(w) >= STEM})  # plurals and compounds
         found.append(own_features)
     return found
 

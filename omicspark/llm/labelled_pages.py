@@ -16,9 +16,9 @@ LABELLED_PAGES = (
     f'<html>{_HEAD}<body><nav>{_MENU}</nav><div class="ad">Buy one, get one free.</div><article data-main="1"><h1>A plan goes ahead</h1><p>{_LONG}</p><p>{_MORE}</p><p>{_LINE}</p></article><footer>&copy; example.com &middot; All rights reserved.</footer></body></html>',
     f'<html>{_HEAD}<body><nav>{_MENU}</nav><div class="ad">Now only today: shoes and hats for little money.</div><article data-main="1"><h1>Short</h1><p><b>{_LINE}<br><p>{_LONG}</p></article><footer>&copy; m.example.com &middot; {_LINE}</footer></body></html>',
     f'<html>{_HEAD}<body><header><h1>The Daily</h1><p>News since 1901</p></header><nav class="menu">{_MENU}</nav><main><article data-main="1"><h2>Prices</h2><p>{_MORE}</p><p>{_LONG}</p><blockquote><p>{_LINE}</p></blockquote><ul><li>{_MORE}</li><li>{_LINE}</li></ul><div class="advert" data-main="0"><p>Advertisement: {_LINE}</p></div><p>{_MORE}</p></article><aside class="sidebar"><h3>Related</h3>{_MENU}</aside></main><section class="comments"><h3>Comments</h3>{_COMMENT}</section><footer class="footer"><p>Imprint and terms of use</p></footer></body></html>',
-    f'<html>{_HEAD}<body><div id="header" class="header"><a href="/">Site name</a></div><div id="nav" class="nav navigation">{_MENU}</div><div id="wrapper" class="container"><div id="content" class="content" data-main="1"><h1>Report</h1><p>{_LONG}</p><h2>More</h2><p>{_MORE} See <a href="/x">the figures</a>.</p><table><tr><td>North</td><td>12</td></tr><tr><td>South</td><td>9</td></tr></table></div><div id="sidebar" class="sidebar widget"><h3>Popular</h3>{_MENU}<p>Subscribe to our letter.</p></div></div><div id="comments" class="comments">{_COMMENT}<form><label>Your name</label><input name="n"><textarea>Write here</textarea><button>Send</button></form></div><div id="footer" class="footer">Copyright 2020. All rights reserved.</div></body></html>',
+    f'<html>{_HEAD}<body><div id="header" class="header"><a href="/">Site name</a></div><div id="nav" class="nav navigation">{_MENU}</div><div id="wrapper" class="container"><div id="content" class="content" data-main="1"><h1>Report</h1><p>{_LONG}</p><h2>More</h2><p>{_MORE} See <a href="/x">the figures</a>.</p><table><thead><tr><th>Place</th><th>Price</th></tr></thead><tbody><tr><td>North</td><td>12</td></tr><tr><td>South</td><td>9</td></tr></tbody></table></div><div id="sidebar" class="sidebar widget"><h3>Popular</h3>{_MENU}<p>Subscribe to our letter.</p></div></div><div id="comments" class="comments">{_COMMENT}<form><label>Your name</label><input name="n"><textarea>Write here</textarea><button>Send</button></form></div><div id="footer" class="footer">Copyright 2020. All rights reserved.</div></body></html>',
     f'<html>{_HEAD}<body><div class="cookie notice banner"><p>We use cookies to make this site better. By going on you agree.</p><button>Accept</button></div><div class="topbar"><form class="search"><input><button>Search</button></form></div><div class="post entry" data-main="1"><h1 class="title">Harvest</h1><div class="post-body entry-content"><p>{_LONG}</p><p>{_LONG}</p><p>{_MORE}</p><figure><img><figcaption>{_LINE}</figcaption></figure></div><div class="share social" data-main="0"><a href="#">Share</a> <a href="#">Tweet</a></div></div><div class="related"><h3>Read also</h3>{_MENU}</div><div class="ads sponsored"><p>{_MORE}</p></div><div class="footer copyright"><p>{_LINE}</p></div></body></html>',
-    f'<html><body><div class="page"><div class="breadcrumb"><a href="/">Home</a> &gt; <a href="/n">News</a></div><div class="main story" data-main="1"><h1>A day</h1><p>{_MORE}</p><p>{_LONG}</p><ol><li>{_LINE}</li><li>{_MORE}</li></ol><pre>a = b + c</pre></div><div class="newsletter signup"><p>Sign up and never miss a story: it is free and takes a minute of your time.</p><form><input><button>Go</button></form></div></div><div class="notice alert"><p>{_LINE} This site will be down on Sunday.</p></div></body></html>',
+    f'<html><body><div class="page"><div class="breadcrumb"><a href="/">Home</a> &gt; <a href="/n">News</a></div><div class="main story" data-main="1"><h1>A day</h1><p>{_MORE}</p><p>{_LONG}</p><ol><li>{_LINE}</li><li>{_MORE}</li></ol><pre>a = b + c</pre></div><div class="newsletter signup subscribe"><p>Sign up and never miss a story: it is free and takes a minute of your time.</p><form><input><button>Go</button></form></div></div><div class="notice alert"><p>{_LINE} This site will be down on Sunday.</p></div></body></html>',
     f'<html>{_HEAD}<body data-main="1"><h1>Plain</h1><p>{_LONG}</p><p>{_MORE}</p></body></html>',
     f'<body data-main="1">{_LONG} {_MORE}</body>',
     f'<div data-main="1"><p>{_LONG}</p><p>{_LINE}</p></div>',
@@ -29,6 +29,11 @@ LABELLED_PAGES = (
     f'<html>{_HEAD}<body><nav>{_MENU}{_MENU}</nav><div class="ad">{_LINE}</div><article data-main="1"><h1>{_LINE}</h1><p><b>{_LINE}<br><p>{_LINE}</p><p>Yes.</p><p><b>{_MORE}<br><p>{_LONG}</p></article><footer>&copy; www.example.com &middot; {_LONG}</footer></body></html>',
     f'<html>{_HEAD}<body><div class="nav">{_MENU}</div><div class="content" data-main="1"><p>Yes.</p></div><div class="sidebar"><p>{_MORE}</p></div><div class="footer">{_LONG}</div></body></html>',
     f'<html>{_HEAD}<body><header>{_MENU}</header><main data-main="1"><h1>Hm.</h1><p>{_LINE}</p><ul><li><a href="/a">North</a></li><li><a href="/b">South</a></li></ul></main><aside><p>{_LONG}</p></aside><footer><p>{_LINE}</p></footer></body></html>',
+    f'<html>{_HEAD}<body><table><tr><td class="top banner" colspan="2"><b>Site</b></td></tr><tr><td class="left navigation"><a href="/1">One</a><br><a href="/2">Two</a><br><a href="/3">Three</a></td><td class="main" data-main="1"><h1>Old ways</h1><p>{_LONG}<p>{_LINE}</td></tr><tr><td class="bottom" colspan="2">{_LINE}</td></tr></table></body></html>',
+    f'<html>{_HEAD}<body><table class="layout"><tr><td><a href="/1">One</a> | <a href="/2">Two</a></td></tr><tr><td data-main="1"><p>{_MORE}</p><p>{_LONG}</p></td></tr></table></body></html>',
+    f'<html>{_HEAD}<body><div id="site"><div class="main"><div data-main="1" class="article"><h1>One</h1><p>{_LONG}</p><div class="ad ad-box" data-main="0"><p>{_LINE}</p></div><p>{_MORE}</p><div class="author bio" data-main="0"><p>{_MORE}</p></div></div><ol class="comment-list"><li class="comment"><p>{_LONG}</p></li><li class="comment"><p>{_LINE}</p></li></ol></div></div></body></html>',
+    f'<html><body><div role="main"><div data-main="1"><h1>Two</h1><p>{_MORE}</p><p>{_LINE}</p></div><div class="commenting"><ol><li><p>{_MORE}</p></li><li><p>{_LINE}</p></li></ol></div><div class="advertising"><p>{_LONG}</p></div></div></body></html>',
+    f'<html><body><main data-main="1"><h1>Three</h1><p>{_MORE}</p><div class="advertisement" data-main="0"><p>{_LINE}</p></div><p>{_LONG}</p><ul class="comments" data-main="0"><li><p>{_MORE}</p></li></ul></main></body></html>',
     f'<html><body data-main="1"><p>{_LINE}</p></body></html>',
     '<body data-main="1">Yes.</body>',
     f'<p data-main="1">{_LONG}</p>',
