@@ -10,10 +10,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from omicspark.llm.jaccard import one_of_each
-from omicspark.llm.langid import UNKNOWN, identify
+from omicspark.llm.langid import keep_known
 from omicspark.llm.packing import pack
 from omicspark.llm.quality import quality_filter
 from omicspark.storage import materialize
@@ -23,8 +22,7 @@ MIN_LANGUAGE_SCORE = 0.5
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without letters, and texts of no language with a score of at least MIN_LANGUAGE_SCORE, go."""
-    known = identify(docs.select(*docs.columns))
-    return known.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)).select(*docs.columns)
+    return keep_known(docs, MIN_LANGUAGE_SCORE)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

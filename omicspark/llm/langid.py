@@ -3,22 +3,22 @@
 Texts are read as bytes in windows of fixed length. A window's bytes are looked
 up in an embedding, filters of several widths slide over it, each keeps its
 largest response, and a softmax over the languages follows. A text's
-probabilities are the mean of its windows', the whole text over. The network is
+probabilities are the mean of its windows' by their bytes, the whole text over. The network is
 trained on the driver on a bounded sample of labelled rows; tasks get its
 weights, some ten thousand numbers.
 """
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F, types as T
 
-from omicspark.storage import bound_batches
+from omicspark.storage import bound_batches, free_name
 
 WINDOW = 256
 EMBED = 8
@@ -26,11 +26,12 @@ WIDTHS = (2, 3, 4)
 FILTERS = 12
 SAMPLE_DOCS = 400  # labelled texts of each language, about
 SAMPLE_CHARS = 1500  # of each, from a place that its hash tells
-MAX_LANGUAGES = 200
+MOST_LANGUAGES = 10_000  # distinct labels beyond this are no languages: an error, none is left out
 EPOCHS = 8
 SEED = 7
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+LETTER = r"\p{L}"  # the same in Spark's patterns and here
+_LETTER = regex.compile(LETTER)
 _BATCH = 256
 
 
@@ -123,20 +124,25 @@ def train(windows: np.ndarray, labels: np.ndarray, languages: list[str], epochs:
 def fit(docs: DataFrame, allowed: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", sample_docs: int = SAMPLE_DOCS) -> ByteCnn:
     """A network from a sample of the ``allowed`` rows with a text and a label: about ``sample_docs`` a language.
 
-    The sample is chosen by a hash of the id, at most SAMPLE_CHARS characters of
-    each text from a place that the hash tells. At most MAX_LANGUAGES languages,
-    the most frequent first. No labelled rows: a network that knows UNKNOWN alone.
+    The sample is chosen by a hash of the id and the text: rows below the share that
+    is sought, and of each language the lowest, so none is without a row. At most
+    SAMPLE_CHARS characters of each text, from a place that the hash tells. Every
+    label is learned; over MOST_LANGUAGES of them are an error. One language is
+    always the answer. No labelled rows: a network that knows UNKNOWN alone.
     """
-    known = docs.where(allowed & F.col(label_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
-    counts = {r[0]: r[1] for r in known.groupBy(label_col).count().orderBy(F.desc("count"), label_col).limit(MAX_LANGUAGES).collect()}
+    draw = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col), F.lit(SEED)), F.lit(1 << 20)) / (1 << 20)
+    known = docs.where(allowed & F.col(label_col).isNotNull() & F.col(text_col).rlike(LETTER)).select(F.col(label_col).alias("label"), F.col(text_col).alias("text"), draw.alias("draw"), F.xxhash64(F.col(id_col), F.lit(SEED + 1)).alias("place"))
+    counts = {r["label"]: (r["n"], r["low"]) for r in known.groupBy("label").agg(F.count("*").alias("n"), F.min("draw").alias("low")).limit(MOST_LANGUAGES + 1).collect()}
+    if len(counts) > MOST_LANGUAGES:
+        raise ValueError(f"{label_col} has over {MOST_LANGUAGES} values")
     languages = sorted(counts) or [UNKNOWN]
-    share = F.lit(0.0)
-    for name, n in counts.items():
-        share = F.when(F.col(label_col) == name, F.lit(min(1.0, sample_docs / n))).otherwise(share)
-    draw = F.pmod(F.xxhash64(F.col(id_col), F.lit(SEED)), F.lit(1 << 20)) / (1 << 20)
-    at = F.pmod(F.xxhash64(F.col(id_col), F.lit(SEED + 1)), F.greatest(F.length(text_col) - SAMPLE_CHARS, F.lit(1))).cast("int")
-    sample = known.where(draw < share).select(label_col, F.substring(F.col(text_col), at + 1, F.lit(SAMPLE_CHARS)).cast("binary").alias("data")).limit(2 * sample_docs * len(languages)).collect()
-    parts = [(windows_of(bytes(r["data"])), languages.index(r[label_col])) for r in sample]
+    bounds = F.create_map(*(F.lit(x) for name, (n, low) in counts.items() for x in (name, max(min(1.0, sample_docs / n), low)))) if counts else F.create_map(F.lit(UNKNOWN), F.lit(0.0))
+    at = F.pmod("place", F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(1))).cast("int")
+    chosen = known.where(F.col("draw") <= F.element_at(bounds, F.col("label"))).select("label", F.substring(F.col("text"), at + 1, F.lit(SAMPLE_CHARS)).cast("binary").alias("data"))
+    # Rows that are all alike are drawn together, so the number is bounded once more.
+    sample = chosen.limit(2 * sample_docs * len(languages)).collect()
+    number = {name: i for i, name in enumerate(languages)}
+    parts = [(windows_of(bytes(r["data"])), number[r["label"]]) for r in sample]
     if not parts or len(languages) == 1:
         return train(np.zeros((1, WINDOW), np.uint8), np.zeros(1, np.int64), languages, epochs=1)
     x = np.concatenate([w for w, _ in parts])
@@ -152,16 +158,17 @@ def predict_texts(net: ByteCnn, texts: list[bytes | None]) -> list[tuple[str, fl
     def flush() -> None:
         p = net.probabilities(np.concatenate(held))
         at = 0
-        for owner, w in zip(owners, held):
-            mean = p[at : at + len(w)].mean(axis=0)
+        for (owner, size), w in zip(owners, held):
+            # All windows but the last are full.
+            mean = (p[at : at + len(w)].sum(axis=0) * WINDOW - p[at + len(w) - 1] * (WINDOW * len(w) - size)) / size
             at += len(w)
             i = int(mean.argmax())
-            out[owner] = (net.languages[i], min(1.0, float(mean[i])))
+            out[owner] = (net.languages[i], min(1.0, max(0.0, float(mean[i]))))
 
     for i, text in enumerate(texts):
         if text and _LETTER.search(text.decode("utf-8", "replace")):
             held.append(windows_of(text))
-            owners.append(i)
+            owners.append((i, len(text)))
             n += len(held[-1])
             if n >= 4 * _BATCH:
                 flush()
@@ -189,8 +196,22 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang") -> DataFrame:
-    """All rows and columns of ``docs`` with held_out, lang_pred and score. An empty table gives no rows."""
+    """All rows and columns of ``docs`` with held_out, lang_pred and score. An empty table gives no rows.
+
+    Columns of ``docs`` with one of these three names give way to the new ones.
+    """
     bound_batches(docs.sparkSession)
     net = fit(docs, ~held_out(id_col), id_col, text_col, label_col)
-    told = docs.withColumns({"held_out": held_out(id_col), "__lang": predict(net, text_col)})
-    return told.select(*docs.columns, "held_out", "__lang.lang_pred", "__lang.score")
+    own = free_name(docs, "__lang")
+    new = ("held_out", "lang_pred", "score")
+    told = docs.withColumn(own, F.struct(held_out(id_col).alias(new[0]), predict(net, text_col).alias("told")))
+    told = told.withColumn(own, F.struct(F.col(own)["held_out"].alias(new[0]), F.col(own)["told"]["lang_pred"].alias(new[1]), F.col(own)["told"]["score"].alias(new[2])))
+    return told.drop(*new).select("*", f"{own}.*").drop(own)
+
+
+def keep_known(docs: DataFrame, least: float, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang") -> DataFrame:
+    """The rows of ``docs`` with their columns, whatever these are called, whose language is known with a score of at least ``least``."""
+    bound_batches(docs.sparkSession)
+    own = free_name(docs, "__lang")
+    told = docs.withColumn(own, predict(fit(docs, ~held_out(id_col), id_col, text_col, label_col), text_col))
+    return told.where((F.col(own)["lang_pred"] != UNKNOWN) & (F.col(own)["score"] >= least)).drop(own)
