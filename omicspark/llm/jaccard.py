@@ -18,11 +18,11 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F, types as T
 
 from omicspark.operators.components import connected_components
-from omicspark.storage import bound_batches, materialize
+from omicspark.storage import bound_batches, free_name, materialize
 
 SHINGLE = 5
 SEED = 42
@@ -141,13 +141,25 @@ def _link(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"src": src, "dst": dst})
 
 
-def _verified(texts: DataFrame, coarse: DataFrame, sizes: DataFrame, text: Column) -> DataFrame:
-    """(src, dst): links among the nodes of each coarse component. ``texts`` has a node column ``node`` and the text."""
-    members = materialize(coarse.join(sizes, "node"), "members")
+def _row_key(id_col: str, text_col: str) -> Column:
+    """128 bits that tell a row by its id and text, the same wherever the row stands."""
+    known = F.concat(F.col(id_col).isNull().cast("string"), F.col(text_col).isNull().cast("string"), F.lit(" "), F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(" "))
+    return F.unhex(F.md5(F.concat(known.cast("binary"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")))))
+
+
+def _one_a_key(rows: DataFrame, key: str, rest: list[str]) -> DataFrame:
+    """One row of each key, the same each time; rows beyond it go before the shuffle."""
+    n = free_name(rows, "__n")
+    first = Window.partitionBy(key).orderBy(F.xxhash64(*rest) if rest else F.lit(0))
+    return rows.withColumn(n, F.row_number().over(first)).where(F.col(n) == 1).drop(n)
+
+
+def _verified(texts: DataFrame, members: DataFrame) -> DataFrame:
+    """(src, dst): links among the nodes of each coarse component. texts: key, text; members: key, node, size, component."""
     blocks = members.groupBy("component").agg(F.ceil(F.sum("size") / F.lit(BLOCK)).cast("int").alias("blocks"))
-    dealt = materialize(members.join(blocks, "component").withColumn("block", F.pmod(F.xxhash64("node"), F.greatest("blocks", F.lit(1))).cast("int")), "dealt").select("node", "component", "blocks", "block")
+    dealt = materialize(members.join(blocks, "component").withColumn("block", F.pmod(F.xxhash64("node"), F.greatest("blocks", F.lit(1))).cast("int")), "dealt").select("key", "node", "component", "blocks", "block")
     # The members grow with the table, so they are no side to broadcast.
-    own = texts.join(dealt.hint("merge"), "node").select("node", "component", "blocks", "block", _set_bytes(text).alias("shingles"))
+    own = _one_a_key(texts, "key", []).join(dealt.hint("merge"), "key").select("node", "component", "blocks", "block", _set_bytes(F.col("text")).alias("shingles"))
     met = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.greatest("blocks", F.lit(1)) - 1)))
     met = met.select("node", "shingles", "component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
     return met.groupBy("component", "i", "j").applyInPandas(_link, "src long, dst long")
@@ -159,23 +171,28 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     A group is what links of a similarity of at least PART / WHOLE reach. Texts are
     read as bytes, ASCII letters in lower case, words by white space; null counts as
     empty, and texts without words are alike. Of rows with equal ids in a group one stays.
+    ``docs`` is read three times; rows are known by their ids and texts, so it may be
+    shuffled otherwise each time. Columns may have any names; an empty table gives no rows.
     """
     spark = docs.sparkSession
     bound_batches(spark)
-    uid = "__jaccard_row"
     text = F.col(text_col).cast("binary")
-    numbered = docs.withColumn(uid, F.monotonically_increasing_id())
-    rows = materialize(numbered.select(uid, F.col(id_col).alias("id"), _sketch(text).alias("s")).select(uid, "id", "s.*"), "sketches")
+    sketched = docs.select(_row_key(id_col, text_col).alias("key"), F.col(id_col).alias("id"), _sketch(text).alias("s"))
+    rows = materialize(sketched.select("key", "id", "s.*").withColumn("uid", F.monotonically_increasing_id()), "sketches")
     # Texts with the same shingles are one node: the smallest row number among them.
-    low = F.min(F.struct(F.col("id").isNull().alias("missing"), F.col("id"), F.col(uid)))
-    nodes = materialize(rows.groupBy("digest").agg(F.min(uid).alias("node"), low.alias("low"), F.first("size").alias("size")), "nodes")
-    first = rows.join(nodes.select(F.col("node").alias(uid)).hint("merge"), uid, "left_semi")
-    keyed = first.select(F.explode("bands").alias("key"), F.col(uid).alias("node"))
-    shared = keyed.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_first_of_key, "src long, dst long")
+    low = F.min(F.struct(F.col("id").isNull().alias("missing"), F.col("id"), F.col("uid")))
+    nodes = materialize(rows.groupBy("digest").agg(F.min("uid").alias("node"), low.alias("low")), "nodes")
+    first = rows.join(nodes.select(F.col("node").alias("uid")).hint("merge"), "uid", "left_semi")
+    keyed = first.select(F.explode("bands").alias("band"), F.col("uid").alias("node"))
+    shared = keyed.repartition("band").sortWithinPartitions("band", "node").mapInArrow(_first_of_key, "src long, dst long")
     coarse = materialize(connected_components(shared, "src", "dst"), "coarse")
-    links = materialize(_verified(numbered.select(F.col(uid).alias("node"), text.alias("text")), coarse, nodes.select("node", "size"), F.col("text")), "links")
+    members = materialize(coarse.join(rows.select(F.col("uid").alias("node"), "key", "size").hint("merge"), "node"), "members")
+    links = materialize(_verified(docs.select(_row_key(id_col, text_col).alias("key"), text.alias("text")), members), "links")
     roots = connected_components(links, "src", "dst")
-    rooted = nodes.join(roots, "node", "left").select("low", F.coalesce("component", "node").alias("root"))
-    stay = materialize(rooted.groupBy("root").agg(F.min("low").alias("low")).select(F.col(f"low.{uid}").alias(uid)), "stay")
+    rooted = nodes.join(roots.hint("merge"), "node", "left").select("low", F.coalesce("component", "node").alias("root"))
+    stay = materialize(rooted.groupBy("root").agg(F.min("low").alias("low")).select(F.col("low.uid").alias("uid")), "stay")
+    key = free_name(docs, "__jaccard_key")
+    chosen = rows.select("uid", F.col("key").alias(key)).join(stay.hint("merge"), "uid", "left_semi").select(key)
+    others = [f"`{c}`" for c, kind in docs.dtypes if c not in (id_col, text_col) and not kind.startswith(("map", "variant"))]
     # The rows that stay grow with the table, so they are no side to broadcast, however few they are today.
-    return numbered.join(stay.hint("merge"), uid, "left_semi").select(*docs.columns)
+    return _one_a_key(docs.withColumn(key, _row_key(id_col, text_col)), key, others).join(chosen.hint("merge"), key, "left_semi").drop(key)

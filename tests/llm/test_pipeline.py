@@ -11,7 +11,7 @@ pytest.importorskip("omicspark.llm.queries")
 pipeline = pytest.importorskip("corpus_pipeline")
 P = pytest.importorskip("public_tokenizers")
 from omicspark.llm import langid, queries as Q  # noqa: E402
-from test_simhash import brute  # noqa: E402
+from test_jaccard import brute  # noqa: E402
 from test_text_operators import plain_statistics  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
@@ -42,10 +42,10 @@ def test_stages(spark):
     want = {i for i in want if plain_kept(rows[i])}
     step = pipeline.STAGES[1][1](spark, docs.where(docs.doc_id.isin(sorted({i for i in ids if i in want or not plain_kept(rows[i])}))), SF)
     assert step.columns == docs.columns and {r.doc_id for r in step.collect()} == want
-    groups = {d: c for d, _, c in brute([(i, rows[i]) for i in sorted(want)])}
+    stay = brute([(i, rows[i]) for i in sorted(want)])
     step = pipeline.STAGES[2][1](spark, docs.where(docs.doc_id.isin(sorted(want))), SF)
     kept = {r.doc_id for r in step.collect()}
-    assert step.columns == docs.columns and kept == set(groups.values())
+    assert step.columns == docs.columns and kept == set(stay)
 
 
 def test_run_packs_what_is_left(spark):
@@ -54,7 +54,6 @@ def test_run_packs_what_is_left(spark):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     pieces = {}
     for r in packed:
         pieces.setdefault(r.doc_id, []).append(r)
@@ -67,6 +66,42 @@ def test_run_packs_what_is_left(spark):
     assert 0.5 * len(docs) < len(pieces) < len(docs)
 
 
+ODD = [(1, "the words of a text that is short but fine to read by all", 5), (1, "the words of a text that is short but fine to read by all", 5), (None, "another text of some words that nobody has read before today", 6), (2, None, 7), (None, None, 8), (3, "", 9), (4, " \n\t ", 0), (5, "word " * 60000, 1), (6, " ".join(f"w{i * 7}" for i in range(40000)), 2), (7, "#$%& " * 30, 3)]
+CLASHES = "score int, held_out int, lang_pred string, n_words int, kept int, rejected_by string, words int, lines int, __lang int, __jaccard_row int, node int, id int, component int, uid int, data int, offset int, ids int, task int, rank int, start int"
+
+
+@pytest.mark.parametrize("at", range(4))
+def test_each_stage_bears_odd_rows(spark, at):
+    """Nulls, empty and very long texts, repeated rows and clashing names: whole rows come out as they went in, or pieces of every row."""
+    names = [x.split()[0] for x in CLASHES.split(", ")]
+    plain = spark.createDataFrame([(i, t, n, "en" if n % 2 else None, "s") for i, t, n in ODD], "doc_id long, text string, n_chars long, lang string, source string")
+    docs = plain.selectExpr("*", *(f"CAST({k} AS {x.split()[1]}) AS {x.split()[0]}" for k, x in enumerate(CLASHES.split(", ")))).repartition(3)
+    out = pipeline.STAGES[at][1](spark, docs, SF)
+    got = out.collect()
+    if at == 3:
+        lengths = Counter()
+        for r in got:
+            lengths[r.doc_id] += r.length
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+        want = Counter()
+        for i, t, _ in ODD:
+            want[i] += len(tokenizer.encode(t or "", add_special_tokens=False).ids) + 1
+        assert lengths == want
+        return
+    assert out.columns == docs.columns and set(names) < set(out.columns)
+    rows = Counter(tuple(r) for r in docs.collect())
+    assert all(n <= rows[r] for r, n in Counter(map(tuple, got)).items())
+    kept = Counter(r.n_chars for r in got)
+    if at == 0:
+        assert not {7, 8, 9, 0, 3} & set(kept)
+    if at == 1:
+        assert kept == {5: 2, 6: 1, 2: 1}
+    if at == 2:  # texts without words are one group, and so is the repeated row
+        assert kept == {5: 1, 6: 1, 7: 1, 1: 1, 2: 1, 3: 1}
+
+
 def test_empty_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, stage in pipeline.STAGES:

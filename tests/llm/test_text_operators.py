@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from omicspark.llm import chat, html_extract as H, langid, quality, topk  # noqa: E402
 from omicspark.llm.labelled_pages import LABELLED_PAGES  # noqa: E402
+from held_out_pages import FRESH, HELD_OUT  # noqa: E402
 
 
 # --- HTML -------------------------------------------------------------------
@@ -65,6 +67,27 @@ def test_letter_that_grows_in_lower_case(model, title):
     assert H.extract(page, model) == "\u0130zmir\n\nOne two \u0130 three.\n\nSecond part"
 
 
+def test_raw_elements_end_at_their_own_tag(model):
+    page = "<article><p>One two three four five.</p><select><option>no</option></selection><option>nor this</option></SELECT ><p>Six</p><script>a</scripts>b</script\n><p>Seven</p></article>"
+    assert H.extract(page, model) == "One two three four five.\n\nSix\n\nSeven"
+
+
+@pytest.mark.parametrize("page", ["<div>" * 100_000, "<select>" * 100_000, "<a '" * 100_000, "<!" * 100_000, "<p>" * 100_000 + "x", "<li>" * 100_000, "<tr><td>" * 50_000, "<b " + "a" * 200_000 + ">", "</div>" * 100_000])
+def test_parse_is_linear(model, page):
+    began = time.perf_counter()
+    H.extract(page, model)
+    assert time.perf_counter() - began < 15
+
+
+def test_layouts_that_training_does_not_hold(model):
+    """Blocks right and wrong over all such pages; the README has the figures of the first measurement."""
+    found = right = wanted = 0
+    for page, want in HELD_OUT + FRESH:
+        got = [b for b in H.extract(page, model).split("\n\n") if b]
+        found, right, wanted = found + len(got), right + sum((Counter(got) & Counter(want)).values()), wanted + len(want)
+    assert right / found >= 0.9 and right / wanted >= 0.95
+
+
 def test_html_query_over_a_column(spark, model):
     df = spark.createDataFrame([(1, "<article><p>Long enough text of an article, it is.</p></article>", "t"), (2, None, "t"), (1, "", "t")], "page_id long, html string, text string")
     got = df.select("page_id", H.main_text("html").alias("main")).collect()
@@ -85,8 +108,10 @@ def test_language_id(spark):
     rng = random.Random(4)
     rows = [(i, _text(rng, lang, rng.choice([5, 60, 400])), lang) for i, lang in enumerate(rng.choices(sorted(_SYLLABLES), [6, 2, 2], k=500))]
     odd = [(1000, None, "aa"), (1001, "", "bb"), (1002, "123 ... !!", "cc"), (1003, _text(rng, "aa", 20000), None), (None, _text(rng, "bb"), "bb"), (3, rows[3][1], rows[3][2])]
-    df = spark.createDataFrame([(*r, 0.5) for r in rows + odd], "doc_id long, text string, lang string, score2 double")
-    got = langid.identify(df).collect()
+    df = spark.createDataFrame([(*r, 0.5) for r in rows + odd], "doc_id long, text string, lang string, score double").selectExpr("*", "'x' AS Held_Out", "1 AS lang_pred", "2 AS __lang", "3 AS told")
+    got = langid.identify(df)
+    assert got.columns == ["doc_id", "text", "lang", "__lang", "told", "held_out", "lang_pred", "score"]
+    got = got.collect()
     assert len(got) == len(rows) + len(odd)
     held = [r for r in got if r.held_out and r.lang and r.doc_id is not None and r.doc_id < 1000]
     assert len(held) > 60 and sum(r.lang == r.lang_pred for r in held) / len(held) >= 0.97
@@ -94,6 +119,39 @@ def test_language_id(spark):
     assert {by[i].lang_pred for i in (1000, 1001, 1002)} == {"und"} and by[1003].lang_pred == "aa" and by[None].held_out is False
     assert all(0 <= r.score <= 1 for r in got)
     assert langid.identify(df.limit(0)).count() == 0
+    kept = langid.keep_known(df, 0.5)
+    assert kept.columns == df.columns and {r.doc_id for r in kept.collect()} == {r.doc_id for r in got if r.lang_pred != "und" and r.score >= 0.5}
+
+
+def test_letters_are_letters(spark):
+    """Numbers that are no digits are no letters."""
+    net = langid.train(np.zeros((1, langid.WINDOW), np.uint8), np.zeros(1, np.int64), ["aa"], epochs=1)
+    texts = ["½ ² Ⅷ", "٣", "_", "ª", "中", "é"]
+    assert [lang for lang, _ in langid.predict_texts(net, [t.encode() for t in texts])] == ["und", "und", "und", "aa", "aa", "aa"]
+    assert [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(F.col("t").rlike(langid.LETTER)).collect()] == [False] * 3 + [True] * 3
+
+
+def test_every_language_is_learned(spark):
+    """Frequent and rare labels, rows that are all alike, null ids: each label is in the network; too many are an error."""
+    rows = [(None, "ka to mi", "aa")] * 2000 + [(i, f"schein {i}", "bb") for i in range(900)] + [(7, "ci\u00f3n", f"rare{i}") for i in range(230)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert len(langid.fit(df, F.lit(True), sample_docs=20).languages) == 232
+    old = langid.MOST_LANGUAGES
+    langid.MOST_LANGUAGES = 100
+    try:
+        with pytest.raises(ValueError):
+            langid.fit(df, F.lit(True))
+    finally:
+        langid.MOST_LANGUAGES = old
+    assert langid.fit(df.limit(0), F.lit(True)).languages == ["und"]
+
+
+def test_windows_count_by_their_bytes():
+    net = langid.train(np.frombuffer(b"ka to " * 400 + b"zz yy " * 400, np.uint8)[: 16 * 256].reshape(-1, 256), np.arange(16) // 8, ["aa", "bb"], epochs=3)
+    text = b"ka to " * 42 + b"ka t" + b"zzzz"
+    first, last = (net.probabilities(langid.windows_of(part))[0] for part in (text[:256], text[256:]))
+    lang, score = langid.predict_texts(net, [text])[0]
+    assert abs(score - max((first * 256 + last * (len(text) - 256)) / len(text))) < 1e-5
 
 
 def test_language_order_of_columns_plays_no_part(spark):
@@ -134,12 +192,30 @@ def test_quality_against_brute_force(spark):
 
 def test_order_plays_no_part_in_the_verdict(spark):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(["a b", "### *** " * 20, "fine words are written here by someone who cares about them a lot"])], "doc_id long, text string")
-    rows, text, words = quality._with_words(df, "text")
-    stats = quality.statistics(F.col(text), F.col(words))
+    own = quality._names(df)
+    rows = quality._with_words(df, "text", own)
+    stats = quality.statistics(*(F.col(own[n]) for n in ("text", "words", "lines")))
     for order in (quality.RULES, quality.RULES[::-1]):
         assert [r.doc_id for r in rows.where(quality.cascade(list(order), stats.__getitem__).isNull()).collect()] == [2]
 
 
+def test_cascade_works_out_what_it_reaches(spark):
+    """A statistic behind a rule that rejects is never worked out: it would raise."""
+    df = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+    stats = {"n": F.size(F.split("text", " ")), "never": F.raise_error("reached").cast("int")}
+    rules = [quality.Rule("few", lambda s: s("n") < 10), quality.Rule("never", lambda s: s("never") > 0)]
+    assert df.select(quality.cascade(rules, stats.__getitem__)).first()[0] == "few"
+    with pytest.raises(Exception, match="reached"):
+        df.select(quality.cascade(rules[::-1], stats.__getitem__)).collect()
+
+
+def test_quality_filter_keeps_columns_of_any_name(spark):
+    df = spark.createDataFrame([(1, "fine words are written here by someone who cares about them a lot", 1, 2, "x", 0), (1, None, 1, 2, "y", 0)], "doc_id long, text string, n_words int, __quality_text int, lines string, kept int")
+    out = quality.quality_filter(df)
+    assert out.columns == df.columns and [tuple(r) for r in out.collect()] == [tuple(df.collect()[0])]
+    assert quality.judge(df).filter("kept").count() == 1
+
+
 # --- chat ---------------------------------------------------------------------
 
 
@@ -196,12 +272,31 @@ def test_top_k_against_brute_force(spark):
     assert topk.exact_top_k(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_top_k_of_shuffled_rows(spark, tmp_path):
+    """Rows keep their numbers when the input is shuffled and its columns are pruned differently."""
+    rng = np.random.default_rng(8)
+    rows = [(i % 60, [float(x) for x in rng.normal(0, 0.2, 6)]) for i in range(240)]
+    spark.createDataFrame([(*r, "z") for r in rows], "vec_id long, embedding array<double>, other string").repartition(5).write.parquet(f"{tmp_path}/v")
+    df = spark.read.parquet(f"{tmp_path}/v").repartition(3)
+    sound = [(i, [int(np.floor(256.0 * x)) for x in v]) for i, v in rows]
+    got = topk.exact_top_k(df, F.col("vec_id") % 50 == 0, 5, block=16, queries=3).collect()
+    assert sorted(map(tuple, got)) == brute_top(sound, 5, lambda i: i % 50 == 0)
+
+
 def test_threshold_stops_early():
     rng = np.random.default_rng(6)
     rows = rng.integers(-50, 50, (5000, 4))
     rows[77] = [900, -900, 900, -900]
     lists = topk.SortedLists(rows, np.arange(5000))
-    scored = []
-    real = np.flatnonzero
     at, scores = lists.top(np.array([3, -3, 3, -3]), 1)
-    assert at.tolist() == [77] and scores.tolist() == [10800] and real is np.flatnonzero and not scored
+    assert at.tolist() == [77] and scores.tolist() == [10800] and lists.scored < 500
+    # A floor that no row of the block can reach ends the search at once, one that some reach loses none.
+    lists.scored = 0
+    assert not len(lists.top(np.array([3, -3, 3, -3]), 5, floor=20000)[0]) and lists.scored < 500
+    query = np.array([1, 2, -3, 4])
+    exact = rows @ query
+    kth = np.sort(exact)[-5]
+    at, scores = lists.top(query, 5, floor=int(kth))
+    assert scores.tolist() == sorted(exact.tolist())[-5:][::-1]
+    big = topk.SortedLists(np.array([[1 << 40, 3], [5, 1 << 20]]), np.arange(2))
+    assert big.top(np.array([1 << 20, 7]), 2)[1].tolist() == [(1 << 60) + 21, 5 * (1 << 20) + 7 * (1 << 20)]

@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 pytest.importorskip("omicspark.llm.bpe")
 P = pytest.importorskip("public_tokenizers")
@@ -24,17 +25,41 @@ def hugging(path):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
     return lambda text: t.encode(text or "", add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize("path", [WORDS, BYTES])
 def test_units_equal_the_library(path):
     units, whole = encoders.hugging_units(path), hugging(path)
-    for text in [t for t in TEXTS if t] + fuzz():
+    marked = ["hello <|endoftext|> world", "<|endoftext|>", "a<|startoftext|>b <|EndOfText|> <|", "Ünder <|endoftext|>é"]
+    for text in [t for t in TEXTS if t] + fuzz() + marked:
         assert np.frombuffer(units.encode(text.encode()), encoders.IDS).tolist() == whole(text), repr(text)
 
 
+def test_given_documents_equal_the_library():
+    """Every text of the given documents, by both tokenizer files."""
+    import pyarrow.parquet as pq
+
+    texts = [t for t in pq.read_table("/root/testdata/sf0.001/documents.parquet")["text"].to_pylist() if t]
+    for path in (WORDS, BYTES):
+        units, whole = encoders.hugging_units(path), hugging(path)
+        for text in texts:
+            assert np.frombuffer(units.encode(text.encode()), encoders.IDS).tolist() == whole(text)
+
+
+def test_ranks_of_a_file():
+    import base64
+    import json
+
+    with open(P.path("byte_bpe_50k.tiktoken"), "rb") as f:
+        same = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f)}
+    told = json.load(open(BYTES))
+    assert encoders.ranks_of(told) == same
+    assert encoders.ranks_of(json.load(open(WORDS))) is None
+    told["model"]["merges"][5], told["model"]["merges"][6] = told["model"]["merges"][6], told["model"]["merges"][5]
+    assert encoders.ranks_of(told) is None
+
+
 def test_cache_forgets(monkeypatch):
     monkeypatch.setattr(encoders, "CACHE_UNITS", 3)
     made = []
@@ -57,6 +82,27 @@ def test_chunked_encoding_and_decoding(spark):
     assert bpe.encode(df.limit(0), MULTI, P.PATTERN).count() == 0
 
 
+def test_encoding_of_shuffled_rows(spark, tmp_path):
+    """Ids stay with their documents when the input is shuffled and columns are pruned differently."""
+    encode = encoders.tiktoken_encoding(MULTI, P.PATTERN).encode_ordinary
+    texts = [f"document {i} " + " ".join(fuzz(12, i)) for i in range(120)]
+    spark.createDataFrame([(i, t, "x" * i) for i, t in enumerate(texts)], "doc_id long, text string, other string").repartition(5).write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs").repartition(3)
+    got = {r.doc_id: r.ids for r in bpe.encode(docs, MULTI, P.PATTERN, chunk=128, overlap=64).collect()}
+    assert got == {i: encode(t) for i, t in enumerate(texts)}
+
+
+def test_encoding_of_bytes_that_are_no_text(spark):
+    encode = encoders.tiktoken_encoding(MULTI, P.PATTERN).encode_ordinary
+    rng = random.Random(4)
+    odd = [b"\xff", b"\xe4\xb8", b"\xf0\x9f\x99", b"\x80", "é中🙂".encode(), b" word", b"s ", b"\n"]
+    rows = [(i, bytearray(b"".join(rng.choice(odd) for _ in range(rng.randint(0, 900))))) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text binary")
+    got = {r.doc_id: r.ids for r in bpe.encode(df, MULTI, P.PATTERN, chunk=256, overlap=64).collect()}
+    assert got == {i: encode(bytes(b).decode("utf-8", "replace")) for i, b in rows}
+    assert bpe._places(b"a\xe4\xb8b\xff").tolist() == [0, 1, 1, 1, 3, 4, 4, 4, 5]
+
+
 def test_cuts_are_on_characters():
     data = ("é" * 100).encode()
     spans = bpe.cut(data, 33, 7)
@@ -68,7 +114,8 @@ def test_cuts_are_on_characters():
 
 def test_separator_scan(spark):
     encode = encoders.tiktoken_encoding(MULTI, P.PATTERN).encode_ordinary
-    df = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS)] + [(None, "x y"), (3, "twice")], "doc_id long, text string").repartition(3)
+    rows = [(i, t, 0, "f", 0) for i, t in enumerate(TEXTS)] + [(None, "x y", 1, None, 1), (3, "twice", 2, "f", 2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n_tokens int, file string, ordinal long").repartition(3)
     for block in (1, 7, 1 << 20):
         got = token_counts.document_token_counts(df, MULTI, P.PATTERN, 50256, block=block)
         want = sorted([(i, len(encode(t or ""))) for i, t in [*enumerate(TEXTS), (None, "x y"), (3, "twice")]], key=repr)
@@ -80,6 +127,9 @@ def test_scan_of_a_file_without_last_separator(spark, tmp_path):
     np.array([9, 9, 5, 5, 5, 9, 1, 2], "<u4").tofile(tmp_path / "flat")
     (tmp_path / "none").write_bytes(b"")
     files = spark.createDataFrame([(f"file://{tmp_path}/flat",), (f"file://{tmp_path}/none",)], "file string")
+    with pytest.raises(OverflowError):
+        np.array([70000], encoders.id_kind(50256))
+    assert encoders.id_kind(65535).itemsize == 2 and encoders.id_kind(65536).itemsize == 4
     for block in (1, 2, 3, 100):
         got = token_counts.count_tokens(files, 9, block=block).orderBy("ordinal").collect()
         assert [(r.ordinal, r.start, r.n_tokens) for r in got] == [(0, 0, 0), (1, 1, 0), (2, 2, 3), (3, 6, 2)]
@@ -146,7 +196,7 @@ def test_packing_plan_places_every_id_once():
 
 def test_packing(spark):
     texts = TEXTS + fuzz(60) + ["many words here " * 900]
-    df = spark.createDataFrame([(i, t, 0) for i, t in enumerate(texts)] + [(None, "no id", 0)], "doc_id long, text string, offset int").repartition(3)
+    df = spark.createDataFrame([(i, t, 0) for i, t in enumerate(texts)] + [(None, "no id", 0)], "doc_id long, text string, offset int").select("*", F.lit(1).alias("kept"), F.lit("t").alias("task"), F.lit(2).alias("data")).repartition(3)
     rows = packing.pack(df, BYTES, end_id=1, vocabulary=50257, window=128).collect()
     encode = hugging(BYTES)
     pieces, sequences = {}, {}
