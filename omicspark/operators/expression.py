@@ -10,6 +10,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F, types as T
 
+from omicspark.operators.ranks import bh_adjust, exact_percentiles
+from omicspark.storage import bounded, materialize
+
+MOST_SAMPLES = 1_000_000
+
 
 def filter_deg(df: DataFrame, min_fold: float, max_q: float, min_value: float, ok_only: bool = True) -> DataFrame:
     """Rows (status, log2_fold, q_value, value_1, value_2) that differ enough, surely enough, from enough."""
@@ -33,7 +38,7 @@ def filter_expressed(counts: DataFrame, min_sum: float | None = None, cpm: float
         keep = counts.groupBy("feature").agg(F.sum("value").alias("s")).where(F.col("s") >= (1 if min_sum is None else min_sum))
     else:
         totals = counts.groupBy("sample").agg(F.sum("value").alias("__t"))
-        keep = counts.join(F.broadcast(totals), "sample").groupBy("feature").agg(F.count_if(F.col("value") * 1e6 / F.col("__t") > cpm).alias("n")).where(F.col("n") >= k)  # a row a sample
+        keep = counts.join(F.broadcast(bounded(totals, MOST_SAMPLES, "samples")), "sample").groupBy("feature").agg(F.count_if(F.col("value") * 1e6 / F.col("__t") > cpm).alias("n")).where(F.col("n") >= k)
     return counts.join(keep.select("feature"), "feature", "left_semi")
 
 
@@ -111,7 +116,8 @@ def size_factors(counts: DataFrame, n_samples: int, control: DataFrame | None =
     """(sample, factor) by the median of ratios to geometric means, over features positive in all samples."""
     used = counts if control is None else counts.join(control.select("feature"), "feature", "left_semi")
     means = used.where("value > 0").groupBy("feature").agg(F.avg(F.log("value")).alias("m"), F.count("*").alias("n")).where(F.col("n") == n_samples)
-    return used.join(means.select("feature", "m"), "feature").groupBy("sample").agg(F.exp(F.percentile(F.log("value") - F.col("m"), F.lit(0.5))).alias("factor"))
+    ratios = used.join(means.select("feature", "m"), "feature").select("sample", (F.log("value") - F.col("m")).alias("ratio"))
+    return exact_percentiles(ratios, ["sample"], "ratio", {"half": 0.5}).select("sample", F.exp("half").alias("factor"))
 
 
 def normalized(counts: DataFrame, factors: DataFrame) -> DataFrame:
@@ -129,7 +135,8 @@ def tmm_factors(counts: DataFrame, reference: str, trim_m: float = 0.3, trim_a:
     shares = counts.join(totals, "sample").where("value > 0")
     ref = shares.where(F.col("sample") == reference).select("feature", F.col("value").alias("r"), F.col("__n").alias("rn"))
     both = shares.join(ref, "feature").withColumns({"m": F.log2(F.col("value") / F.col("__n") / (F.col("r") / F.col("rn"))), "a": F.log2(F.col("value") / F.col("__n") * F.col("r") / F.col("rn")) / 2, "w": 1 / ((F.col("__n") - F.col("value")) / (F.col("__n") * F.col("value")) + (F.col("rn") - F.col("r")) / (F.col("rn") * F.col("r")))})
-    cuts = both.groupBy("sample").agg(*[F.percentile(c, F.lit(p)).alias(f"{c}_{side}") for c, trim in (("m", trim_m), ("a", trim_a)) for side, p in (("lo", trim), ("hi", 1 - trim))])
+    both = materialize(both, "log-ratios")
+    cuts = exact_percentiles(both, ["sample"], "m", {"m_lo": trim_m, "m_hi": 1 - trim_m}).join(exact_percentiles(both, ["sample"], "a", {"a_lo": trim_a, "a_hi": 1 - trim_a}), "sample")
     kept = both.join(cuts, "sample").where("m BETWEEN m_lo AND m_hi AND a BETWEEN a_lo AND a_hi")
     return kept.groupBy("sample").agg(F.pow(F.lit(2.0), F.sum(F.col("w") * F.col("m")) / F.sum("w")).alias("factor"))
 
@@ -160,16 +167,14 @@ def _hypergeometric_tail(k: pd.Series, size: pd.Series, chosen: pd.Series, total
 
 def enrich(sets: DataFrame, genes: DataFrame, selected: DataFrame, min_size: int = 10) -> DataFrame:
     """(term, size, hits, p_value, q_value): over-representation of selected genes, by Fisher's exact test. sets (term, gene)."""
-    from omicspark.operators.ranks import bh_adjust
-
     universe = genes.select("gene").distinct()
     chosen = selected.select("gene").distinct().join(universe, "gene", "left_semi").withColumn("__hit", F.lit(1))
     members = sets.select("term", "gene").distinct().join(universe, "gene", "left_semi").join(chosen, "gene", "left")
     counts = members.groupBy("term").agg(F.count("*").alias("size"), F.count("__hit").alias("hits")).where(F.col("size") >= min_size)
     sizes = universe.agg(F.count("*").alias("total")).crossJoin(chosen.agg(F.count("*").alias("chosen")))  # one row
     tested = counts.crossJoin(F.broadcast(sizes)).where("total >= size AND total - size >= chosen - hits")
-    tested = tested.withColumn("p_value", _hypergeometric_tail("hits", "size", "chosen", "total")).withColumn("__all", F.lit(1))
-    return bh_adjust(tested, "p_value", ["__all"]).select("term", "size", "hits", "p_value", "q_value")
+    tested = tested.withColumn("p_value", _hypergeometric_tail("hits", "size", "chosen", "total"))
+    return bh_adjust(materialize(tested, "tested"), "p_value", []).select("term", "size", "hits", "p_value", "q_value")
 
 
 def ma_values(df: DataFrame, a: str, b: str) -> DataFrame:
@@ -219,32 +224,74 @@ def term_zscore(terms: DataFrame, de: DataFrame, sep: str = ",") -> DataFrame:
     return counts.withColumn("zscore", (F.col("up") - F.col("down")) / F.sqrt("n"))
 
 
-def rarefaction(reads: DataFrame, order: Column, chunk: int, reps: int, min_reads: int) -> DataFrame:
-    """(rep, chunk, mapped, genes): reads and genes discovered, chunk by chunk, in each replicate.
+def sample_pca(counts: DataFrame, samples: list[str], k: int = 2, top: int | None = 500) -> DataFrame:
+    """(sample, component, score, share): principal components of samples over features, and the share of variance of each.
 
-    reads (read, gene). ``order`` gives, from the column ``rep``, a whole number
-    that shuffles reads; its remainder by the number of chunks is the chunk. A gene
-    is discovered in the chunk where its reads so far reach min_reads. Reads shrink
-    to (rep, gene, chunk) counts before any window.
+    Values are centred for each feature; missing ones are 0. top: only so many features
+    with the greatest variance over samples, ties by name; None: all. Sums of products
+    of every two samples are one aggregation; the driver takes apart their matrix, a
+    row and a column a sample. A component's largest score by size is positive.
+    """
+    wide = _sample_pairs(counts, samples)
+    cells = [F.col(f"`{s}`").cast("double") for s in samples]
+    mean = sum(cells, F.lit(0.0)) / len(samples)
+    centred = wide.select("feature", *[(c - mean).alias(f"__{i}") for i, c in enumerate(cells)])
+    if top is not None:
+        variance = sum((F.col(f"__{i}") * F.col(f"__{i}") for i in range(len(samples))), F.lit(0.0))
+        centred = centred.orderBy(F.desc(F.round(variance, 9)), "feature").limit(top)
+    pairs = [(i, j) for i in range(len(samples)) for j in range(i, len(samples))]
+    sums = centred.agg(*[F.coalesce(F.sum(F.col(f"__{i}") * F.col(f"__{j}")), F.lit(0.0)).alias(f"p{i}_{j}") for i, j in pairs]).first()
+    gram = np.zeros((len(samples), len(samples)))
+    for i, j in pairs:
+        gram[i, j] = gram[j, i] = sums[f"p{i}_{j}"]
+    values, vectors = np.linalg.eigh(gram)
+    values, vectors = np.maximum(values[::-1], 0), vectors[:, ::-1]
+    rows = []
+    for c in range(min(k, len(samples))):
+        score = vectors[:, c] * np.sqrt(values[c])
+        score = score * (1.0 if score[np.abs(score).argmax()] >= 0 else -1.0)
+        rows += [(s, c + 1, float(x), float(values[c] / values.sum()) if values.sum() else 0.0) for s, x in zip(samples, score)]
+    return counts.sparkSession.createDataFrame(rows, "sample string, component int, score double, share double")
+
+
+def rarefaction(reads: DataFrame, order: Column, chunk: int, reps: int, min_reads: float, min_rpk: float = 0.0, known: DataFrame | None = None, count: str | None = None, rpk: str | None = None) -> DataFrame:
+    """(rep, chunk, mapped, mapped_unique, genes, known, novel): reads and genes discovered, chunk by chunk, in each replicate.
+
+    reads (read, gene, and columns ``count`` and ``rpk``): a row's weight, 1 without
+    the column, and its part of reads per 1000 bases, 0 without. ``order`` gives,
+    from the column ``rep``, a whole number that shuffles reads; its remainder by the
+    number of chunks is the chunk. mapped sums all weights so far, mapped_unique
+    those of at least 1. A gene is discovered in the chunk where its weights so far
+    reach min_reads and its rpk min_rpk; no gene ('' or null) is never one. known
+    (gene): the others are novel. Reads shrink to (rep, gene, chunk) sums before any window.
     """
-    from omicspark.storage import materialize as _m
-
     total = reads.count()
     chunks = max(1, -(-total // chunk))
-    dealt = reads.select("read", "gene", F.explode(F.sequence(F.lit(1), F.lit(reps))).alias("rep")).withColumn("chunk", F.pmod(order, F.lit(chunks)) + 1)
-    counts = _m(dealt.groupBy("rep", "gene", "chunk").agg(F.count("*").alias("n")), "rarefaction")
+    weight = F.col(count).cast("double") if count else F.lit(1.0)
+    dealt = reads.select("read", "gene", weight.alias("w"), (F.col(rpk).cast("double") if rpk else F.lit(0.0)).alias("k"), F.explode(F.sequence(F.lit(1), F.lit(reps))).alias("rep")).withColumn("chunk", F.pmod(order, F.lit(chunks)) + 1)
+    sums = dealt.groupBy("rep", "gene", "chunk").agg(F.sum("w").alias("n"), F.sum(F.when(F.col("w") >= 1, F.col("w")).otherwise(0.0)).alias("u"), F.sum("k").alias("k"))
+    counts = materialize(sums, "rarefaction")
     own = Window.partitionBy("rep", "gene").orderBy("chunk").rowsBetween(Window.unboundedPreceding, 0)
-    found = counts.withColumn("upto", F.sum("n").over(own)).where(F.col("upto") >= min_reads).groupBy("rep", "gene").agg(F.min("chunk").alias("chunk"))
-    grid = counts.groupBy("rep", "chunk").agg(F.sum("n").alias("n")).join(found.groupBy("rep", "chunk").agg(F.count("*").alias("g")), ["rep", "chunk"], "left")
+    reached = counts.where("gene IS NOT NULL AND CAST(gene AS STRING) <> ''").withColumns({"n": F.sum("n").over(own), "k": F.sum("k").over(own)})
+    found = reached.where((F.col("n") >= min_reads) & (F.col("k") >= min_rpk)).groupBy("rep", "gene").agg(F.min("chunk").alias("chunk"))
+    old = found.withColumn("__old", F.lit(0)) if known is None else found.join(known.select("gene").distinct().withColumn("__old", F.lit(1)), "gene", "left")
+    news = old.groupBy("rep", "chunk").agg(F.count("*").alias("g"), F.count_if(F.col("__old") == 1).alias("o"))
+    grid = counts.groupBy("rep", "chunk").agg(F.sum("n").alias("n"), F.sum("u").alias("u")).join(news, ["rep", "chunk"], "left")
     upto = Window.partitionBy("rep").orderBy("chunk").rowsBetween(Window.unboundedPreceding, 0)
-    return grid.select("rep", "chunk", F.sum("n").over(upto).alias("mapped"), F.sum(F.coalesce("g", F.lit(0))).over(upto).alias("genes"))
+    told = grid.select("rep", "chunk", F.sum("n").over(upto).alias("mapped"), F.sum("u").over(upto).alias("mapped_unique"), F.sum(F.coalesce("g", F.lit(0))).over(upto).alias("genes"), F.sum(F.coalesce("o", F.lit(0))).over(upto).alias("known"))
+    return told.withColumn("novel", F.col("genes") - F.col("known"))
 
 
-def replicate_stats(df: DataFrame, by: str, value: str) -> DataFrame:
-    """Mean, deviation, standard error and the 95 % band of replicates."""
+def replicate_stats(df: DataFrame, by: str | list[str], value: str, size: Column | None = None) -> DataFrame:
+    """Mean, deviation, standard error and the 95 % band of replicates.
+
+    size: of what the values are a part, from the columns ``by`` (the chunk's number
+    times its reads): adds percent, percent_low and percent_high, mean and band of it.
+    """
     got = df.groupBy(by).agg(F.count(value).alias("n"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("sd"))
     se = F.col("sd") / F.sqrt("n")
-    return got.withColumns({"se": se, "low": F.col("mean") - 1.96 * se, "high": F.col("mean") + 1.96 * se})
+    told = got.withColumns({"se": se, "low": F.col("mean") - 1.96 * se, "high": F.col("mean") + 1.96 * se})
+    return told if size is None else told.withColumns({f"percent{end}": F.col(c) / size * 100 for c, end in (("mean", ""), ("low", "_low"), ("high", "_high"))})
 
 
 def saturation_fit(df: DataFrame, x: str, y: str, by: str) -> DataFrame:
@@ -254,6 +301,20 @@ def saturation_fit(df: DataFrame, x: str, y: str, by: str) -> DataFrame:
     return fit.withColumn("predicted", F.col("intercept") + F.col("slope") * F.log("beyond"))
 
 
+def steady_line(df: DataFrame, x: str, y: str, by: str, points: int = 5, min_r2: float = 0.98) -> DataFrame:
+    """(by, start, end, slope, intercept, r2): of fits of y on x over ``points`` rows in a row with r2 above min_r2 the one with the smallest slope.
+
+    Rows of a group are in order of x; y of 0 or less counts as 0.001. The last two
+    windows are left out, as in the workflow that this serves. Ties: the first.
+    """
+    values = df.select(by, F.col(x).cast("double").alias("__x"), F.when(F.col(y) <= 0, F.lit(0.001)).otherwise(F.col(y).cast("double")).alias("__y"))
+    order = Window.partitionBy(by).orderBy("__x")
+    ahead = order.rowsBetween(0, points - 1)
+    fit = values.withColumns({"start": F.col("__x"), "end": F.max("__x").over(ahead), "slope": F.regr_slope("__y", "__x").over(ahead), "intercept": F.regr_intercept("__y", "__x").over(ahead), "r2": F.regr_r2("__y", "__x").over(ahead), "__at": F.row_number().over(order), "__n": F.count("*").over(Window.partitionBy(by))})
+    good = fit.where((F.col("__at") <= F.col("__n") - points - 1) & (F.col("r2") > min_r2))
+    return good.groupBy(by).agg(F.min(F.struct("slope", "start", "end", "intercept", "r2")).alias("b")).select(by, "b.start", "b.end", "b.slope", "b.intercept", "b.r2")
+
+
 def difference_quotients(df: DataFrame, x: str, y: str, by: str) -> DataFrame:
     """``quotient``: the change of y by that of x since the row before, within each group."""
     order = Window.partitionBy(by).orderBy(x)

@@ -7,24 +7,45 @@ from pyspark.sql import functions as F
 
 from omicspark.functions.sequences import revcomp
 from omicspark.functions.text import attribute
+from omicspark.storage import bounded, materialize
 
 TILE = 1 << 16
+MOST_NAMES = 10_000
 
 
 def filter_features(df: DataFrame, drop_types: list[str]) -> DataFrame:
     return df.where(~F.coalesce(F.regexp_like("type", F.lit("^(" + "|".join(drop_types) + ")$")), F.lit(False)))
 
 
-def sort_hierarchy(features: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(features in nested order, features whose parent is missing). Three levels: each has its ancestors' place before its own."""
-    known = features.select(F.col("id").alias("__id"), F.col("parent").alias("__up"), F.struct("seqid", "start", "end", "id").alias("__place"))
-    one = features.join(known, features["parent"] == known["__id"], "left").select(features["*"], F.col("__up").alias("__up1"), F.col("__place").alias("__p1"), F.col("__id").isNotNull().alias("__has1"))
-    two = one.join(known, one["__up1"] == known["__id"], "left").select(one["*"], F.col("__place").alias("__p2"))
+def place_in_hierarchy(features: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(features with ``path``, features without a place).
+
+    path: what its ancestors from the root and it itself sort by, so that the order
+    of paths is the nested order at any depth. A parent id on several lines counts
+    once, by its first line. No place: those whose parent is missing, is below them
+    or has itself no place. One join a level, each level written; levels go on
+    until one is empty.
+    """
     own = F.struct("seqid", "start", "end", "id")
-    path = F.filter(F.array("__p2", "__p1", own), lambda p: p.isNotNull())
-    placed = two.where(F.col("parent").isNull() | F.col("__has1")).withColumn("__path", path)
-    key = [F.get(F.col("__path"), 0), F.get(F.col("__path"), 1), F.get(F.col("__path"), 2)]
-    return placed.orderBy(*key).select(*features.columns), two.where("parent IS NOT NULL AND NOT __has1").select(*features.columns)
+    marked = materialize(features.withColumn("__row", F.monotonically_increasing_id()), "features")
+    # Of lines with one id the first stands for all as a parent.
+    first = marked.where("id IS NOT NULL").groupBy("id").agg(F.min(F.struct("seqid", "start", "end", "__row")).alias("__least")).select(F.col("__least.__row").alias("__row"))
+    parents = marked.join(first, "__row", "left_semi").select(F.col("__row").alias("__parent_row"), F.col("id").alias("__id"))
+    level = materialize(marked.where("parent IS NULL").withColumn("path", F.array(own)), "level")
+    placed, rest = level, marked.where("parent IS NOT NULL")
+    while not level.isEmpty():
+        above = level.join(parents, level["__row"] == parents["__parent_row"]).select("__id", F.col("path").alias("__above"))
+        children = rest.join(above, rest["parent"] == above["__id"]).withColumn("path", F.concat("__above", F.array(own))).drop("__id", "__above")
+        level = materialize(children, "level")
+        placed = placed.unionByName(level)
+    lost = rest.join(placed.select("__row"), "__row", "left_anti").drop("__row")
+    return placed.drop("__row"), lost
+
+
+def sort_hierarchy(features: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(features in nested order of any depth, features without a place in it)."""
+    placed, lost = place_in_hierarchy(features)
+    return placed.orderBy("path").select(*features.columns), lost.select(*features.columns)
 
 
 def disambiguate(df: DataFrame, id_col: str, order: list[str], sep: str = "_") -> DataFrame:
@@ -70,13 +91,15 @@ def gene_info(features: DataFrame, info: DataFrame, tax_id: int | None = None) -
 def add_gene(df: DataFrame, features: DataFrame, col: str, regex: str) -> DataFrame:
     """``gene``: the parent of the feature whose id is what the regex takes from ``col``; where there is none, of the first child id that contains it.
 
-    The second way compares texts, so only ids not found by equality reach it, once each.
+    The second way compares texts, so only ids not found by equality reach it, once
+    each, and only up to MOST_NAMES of them: more are an error, as each meets every child id.
     """
     named = df.withColumn("__id", F.regexp_extract(col, regex, 1))
     known = features.where("parent IS NOT NULL").groupBy("id").agg(F.min("parent").alias("__gene"))
     first = named.join(known, named["__id"] == known["id"], "left").drop("id")
     missed = first.where("__gene IS NULL AND __id <> ''").select(F.col("__id").alias("__miss")).distinct()
-    near = missed.join(known, F.contains(known["id"], missed["__miss"])).groupBy("__miss").agg(F.min_by("__gene", "id").alias("__near"))
+    missed = bounded(missed, MOST_NAMES, "ids that no feature has")
+    near = F.broadcast(missed).join(known, F.contains(known["id"], missed["__miss"])).groupBy("__miss").agg(F.min_by("__gene", "id").alias("__near"))
     return first.join(near, first["__id"] == near["__miss"], "left").withColumn("gene", F.coalesce("__gene", "__near")).select(*df.columns, "gene")
 
 
@@ -105,11 +128,17 @@ def _tiles(genome: DataFrame, tile: int) -> DataFrame:
     return cut.select("chrom", "tile", F.expr(f"substring(seq, CAST(tile * {tile} + 1 AS INT), {tile})").alias("bases"))
 
 
-def extract_sequences(features: DataFrame, genome: DataFrame, tile: int = TILE, stranded: bool = True) -> DataFrame:
+def extract_sequences(features: DataFrame, genome: DataFrame, tile: int = TILE, stranded: bool = True, ext3: int = 0) -> DataFrame:
     """(id, seq): the bases of each part (id, chrom, start, end, strand), parts of one id put together in the strand's order.
 
-    stranded=False leaves minus-strand parts as they are.
+    stranded=False leaves minus-strand parts as they are. ext3: so many bases beyond
+    the 3' end of all parts as well, fewer where the chromosome ends.
     """
+    if ext3:
+        ends = features.where("start < end").groupBy("id", "chrom", "strand").agg(F.min("start").alias("__lo"), F.max("end").alias("__hi"))
+        minus = F.col("strand") == "-"
+        beyond = ends.select("id", "chrom", F.when(minus, F.greatest(F.col("__lo") - ext3, F.lit(0))).otherwise(F.col("__hi")).alias("start"), F.when(minus, F.col("__lo")).otherwise(F.col("__hi") + ext3).alias("end"), "strand")
+        features = features.select("id", "chrom", "start", "end", "strand").unionByName(beyond)
     parts = features.where("start < end").withColumn("tile", F.explode(F.sequence(F.floor(F.col("start") / tile), F.floor((F.col("end") - 1) / tile))))
     joined = parts.join(_tiles(genome, tile), ["chrom", "tile"])
     low, high = F.greatest(F.col("start"), F.col("tile") * tile), F.least(F.col("end"), (F.col("tile") + 1) * tile)

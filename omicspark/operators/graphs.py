@@ -2,20 +2,104 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from omicspark.storage import materialize
+
+ROWS = 1 << 17  # rows of a block of features, about
+_CELLS = 1 << 22  # products held at a time
+_EDGE = "a string, b string, score double"
+
+
+def _products(left: pd.DataFrame, right: pd.DataFrame, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(features of the left, features of the right, sums of products, sums of minima) of pairs with a common sample.
+
+    Some left features at a time, so that no more than _CELLS pairs are held.
+    left and right: f (number of the feature), sample, v; the right by sample.
+    """
+    samples, values, own = (right[c].to_numpy() for c in ("sample", "v", "f"))
+    width = int(own.max()) + 1
+    step = max(1, _CELLS // width)
+    left = left.sort_values("f", kind="stable")
+    f, s, v = (left[c].to_numpy() for c in ("f", "sample", "v"))
+    for low in range(0, int(f.max()) + 1, step):
+        a, b = np.searchsorted(f, [low, low + step])
+        begin, end = np.searchsorted(samples, s[a:b], "left"), np.searchsorted(samples, s[a:b], "right")
+        p, m, n = (np.zeros(step * width) for _ in range(3))
+        met = np.cumsum(end - begin)
+        at = 0
+        while at < b - a:  # rows whose partners are at most _CELLS
+            to = max(at + 1, int(np.searchsorted(met, (met[at - 1] if at else 0) + _CELLS, side="right")))
+            size = (end - begin)[at:to]
+            row = np.repeat(np.arange(a + at, a + to), size)
+            other = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(begin[at:to], size)
+            cell = (f[row] - low) * width + own[other]
+            p += np.bincount(cell, v[row] * values[other], len(p))
+            m += np.bincount(cell, np.minimum(v[row], values[other]), len(m))
+            n += np.bincount(cell, minlength=len(n))
+            at = to
+        cell = np.flatnonzero(n)
+        x, y = cell // width + low, cell % width
+        if same:
+            cell, x, y = (z[x < y] for z in (cell, x, y))
+        yield x, y, p[cell], m[cell]
+
+
+def _strongest(edges: pd.DataFrame, k: int) -> pd.DataFrame:
+    """The k first and the k last by score (to 9 decimals), ties by name."""
+    ends = [edges.assign(o=sign * edges["score"].round(9)).sort_values(["o", "a", "b"]).head(k) for sign in (-1, 1)]
+    return pd.concat(ends)[["a", "b", "score"]].drop_duplicates()
+
+
+def _block_edges(k: int, method: str, n: int):
+    def edges(pdf: pd.DataFrame) -> pd.DataFrame:
+        none = pd.DataFrame({"a": [], "b": [], "score": []})
+        i, j = pdf["i"].iloc[0], pdf["j"].iloc[0]
+        sides = []
+        for block in (i, j):
+            rows = pdf[pdf["block"] == block]
+            if not len(rows):
+                return none
+            names, f = np.unique(rows["feature"].to_numpy(dtype=str), return_inverse=True)
+            first = rows.groupby("feature", sort=True)[["s", "ss"]].first()
+            sides.append((rows.assign(f=f), names, first["s"].to_numpy(), first["ss"].to_numpy()))
+        (left, a, sa, qa), (right, b, sb, qb) = sides
+        best = none
+        for x, y, p, low in _products(left, right.sort_values("sample", kind="stable"), i == j):
+            if method == "bray":
+                score = 2 * low / (sa[x] + sb[y])
+            else:
+                up = n * p - sa[x] * sb[y]
+                down = np.sqrt(np.maximum((n * qa[x] - sa[x] ** 2) * (n * qb[y] - sb[y] ** 2), 0))
+                score = np.divide(up, down, out=np.full(len(up), np.nan), where=down > 0)
+            good = ~np.isnan(score)
+            one, two = a[x[good]], b[y[good]]
+            found = pd.DataFrame({"a": np.where(one < two, one, two), "b": np.where(one < two, two, one), "score": score[good]})
+            best = _strongest(found if not len(best) else pd.concat([best, found]), k)
+        return best
+
+    return edges
+
 
-def cooccurrence(counts: DataFrame, k: int, method: str = "pearson") -> DataFrame:
+def cooccurrence(counts: DataFrame, k: int, method: str = "pearson", rows: int = ROWS) -> DataFrame:
     """(a, b, score, side): the k strongest and the k weakest edges between features (feature, sample, value).
 
     Values are shares of their sample. pearson; spearman (of ranks, ties by their
     mean); bray (1 less the distance). Samples where a feature is missing count as
     0, by sums over the samples where both are there and each one's own sums.
+    Features are dealt into blocks of about ``rows`` rows; each pair of blocks is
+    one group that keeps its own k at either end, so pairs are never written or
+    shuffled. A block has more rows only where one feature has (at most a row a sample).
     """
     totals = counts.groupBy("sample").agg(F.sum("value").alias("__t"))
-    n = totals.count()
-    x = counts.groupBy("feature", "sample").agg(F.sum("value").alias("value")).join(F.broadcast(totals), "sample").select("feature", "sample", (F.col("value") / F.col("__t")).alias("v"))  # a row a sample
+    x = counts.groupBy("feature", "sample").agg(F.sum("value").alias("value")).join(totals, "sample").select("feature", "sample", (F.col("value") / F.col("__t")).cast("double").alias("v"))
+    x = materialize(x.where("feature IS NOT NULL AND v IS NOT NULL"), "shares")
+    n, size = totals.count(), x.count()
     if method == "spearman":
         by = Window.partitionBy("feature").orderBy("v")
         rank, ties = F.rank().over(by), F.count("*").over(Window.partitionBy("feature", "v"))
@@ -23,20 +107,13 @@ def cooccurrence(counts: DataFrame, k: int, method: str = "pearson") -> DataFram
         # Missing samples are ties at 0, before all others; shifted so that they count 0.
         x = x.select("feature", "sample", (rank + (ties - 1) / 2 + missing - F.when(missing > 0, (missing + 1) / 2).otherwise(0)).alias("v"))
     own = x.groupBy("feature").agg(F.sum("v").alias("s"), F.sum(F.col("v") * F.col("v")).alias("ss"))
-    met = x.alias("l").join(x.alias("r"), (F.col("l.sample") == F.col("r.sample")) & (F.col("l.feature") < F.col("r.feature")))
-    both = met.groupBy(F.col("l.feature").alias("a"), F.col("r.feature").alias("b")).agg(F.sum(F.col("l.v") * F.col("r.v")).alias("p"), F.sum(F.least("l.v", "r.v")).alias("low"))
-    one = own.select(F.col("feature").alias("a"), F.col("s").alias("sa"), F.col("ss").alias("qa"))
-    two = own.select(F.col("feature").alias("b"), F.col("s").alias("sb"), F.col("ss").alias("qb"))
-    joined = both.join(one, "a").join(two, "b")
-    if method == "bray":
-        score = 2 * F.col("low") / (F.col("sa") + F.col("sb"))
-    else:
-        up = n * F.col("p") - F.col("sa") * F.col("sb")
-        down = F.sqrt((n * F.col("qa") - F.col("sa") * F.col("sa")) * (n * F.col("qb") - F.col("sb") * F.col("sb")))
-        score = F.when(down > 0, up / down)
-    scored = joined.select("a", "b", score.alias("score")).where("score IS NOT NULL")
-    best = scored.orderBy(F.desc(F.round("score", 9)), "a", "b").limit(k).withColumn("side", F.lit("top"))
-    worst = scored.orderBy(F.round("score", 9), "a", "b").limit(k).withColumn("side", F.lit("bottom"))
+    blocks = max(1, -(-size // rows))
+    dealt = x.join(own, "feature").withColumn("block", F.pmod(F.xxhash64("feature"), F.lit(blocks)).cast("int"))
+    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    met = met.select("feature", F.xxhash64("sample").alias("sample"), "v", "s", "ss", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    edges = materialize(met.groupBy("i", "j").applyInPandas(_block_edges(k, method, n), _EDGE), "edges")
+    best = edges.orderBy(F.desc(F.round("score", 9)), "a", "b").limit(k).withColumn("side", F.lit("top"))
+    worst = edges.orderBy(F.round("score", 9), "a", "b").limit(k).withColumn("side", F.lit("bottom"))
     return best.unionByName(worst)
 
 
@@ -51,9 +128,11 @@ def edge_stats(edges: DataFrame, valid: DataFrame | None = None) -> DataFrame:
     both = simple.select("src", "dst").unionByName(simple.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
     degree = both.groupBy(F.col("src").alias("node")).agg(F.count("*").alias("degree"))
     out = simple.join(degree.select(F.col("node").alias("src"), F.col("degree").alias("src_degree")), "src").join(degree.select(F.col("node").alias("dst"), F.col("degree").alias("dst_degree")), "dst")
-    # Triangles: neighbours of the source that are neighbours of the target, from edges and not from pairs of nodes.
-    third = simple.select("src", "dst").join(both.select("src", F.col("dst").alias("third")), "src")
-    common = third.join(both.select(F.col("src").alias("dst"), F.col("dst").alias("third")), ["dst", "third"]).groupBy("src", "dst").agg(F.count("*").alias("common"))
+    # Triangles: neighbours of the end with fewer of them that are neighbours of the other, from edges and not from pairs of nodes.
+    few = F.when(F.col("src_degree") <= F.col("dst_degree"), F.col("src")).otherwise(F.col("dst"))
+    turned = out.select("src", "dst", few.alias("few"), F.when(few == F.col("src"), F.col("dst")).otherwise(F.col("src")).alias("many"))
+    third = turned.join(both.select(F.col("src").alias("few"), F.col("dst").alias("third")), "few")
+    common = third.join(both.select(F.col("src").alias("many"), F.col("dst").alias("third")), ["many", "third"]).groupBy("src", "dst").agg(F.count("*").alias("common"))
     out = out.join(common, ["src", "dst"], "left").withColumn("common", F.coalesce("common", F.lit(0).cast("bigint")))
     out = out.withColumn("dice", 2 * F.col("common") / (F.col("src_degree") + F.col("dst_degree")))
     if valid is None:

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from omicspark.storage import materialize
+from omicspark.storage import bounded, materialize
 
 BASES = "ACGT"
+MOST_KNOWN = 100_000
 
 
 def expand_unknown(haplotypes: DataFrame, col: str = "haplotype") -> DataFrame:
@@ -19,25 +20,38 @@ def expand_unknown(haplotypes: DataFrame, col: str = "haplotype") -> DataFrame:
     return haplotypes.withColumn(col, F.explode(ways))
 
 
+def _read_unknown(weights: DataFrame) -> DataFrame:
+    """Weights (pop, haplotype, weight) with haplotypes that hold ``N`` dealt to the ways to read them."""
+    clear = weights.where(~F.contains("haplotype", F.lit("N")))
+    ways = expand_unknown(weights.where(F.contains("haplotype", F.lit("N"))).withColumn("__from", F.col("haplotype")))
+    shares = ways.join(clear.select("pop", "haplotype", F.col("weight").alias("__known")), ["pop", "haplotype"], "left").withColumn("__share", 1 + F.coalesce("__known", F.lit(0.0)))
+    dealt = shares.withColumn("weight", F.col("weight") * F.col("__share") / F.sum("__share").over(Window.partitionBy("pop", "__from")))
+    return clear.unionByName(dealt.select(*clear.columns)).groupBy("pop", "haplotype").agg(F.sum("weight").alias("weight"))
+
+
 def haplotype_freq(genotypes: DataFrame, max_known: int = 1) -> DataFrame:
     """(pop, haplotype, weight, percent): of subjects with no heterozygous marker weight 2, with one 1 and 1.
 
-    Subjects with more take the most frequent haplotype known from all populations
+    A haplotype with ``N`` is dealt to the ways to read it, each by 1 and what that
+    population has of it for sure. Subjects with more take the most frequent haplotype known from all populations
     that fits their genotype, and its complement, 1 each; without one they count
-    nothing. Known frequencies are those before this step, so order plays no part.
-    Percent is of the population's weight.
+    nothing. Frequencies used in a step are those before it, so order plays no part.
+    Percent is of the population's weight. Distinct genotypes meet every known
+    haplotype; over MOST_KNOWN of these are an error.
     """
     rows = genotypes.groupBy("subject", "pop").agg(F.sort_array(F.collect_list(F.struct("marker", "a1", "a2"))).alias("g"))
     read = rows.select("subject", "pop", "g", F.size(F.filter("g", lambda x: x["a1"] != x["a2"])).alias("het"), F.array_join(F.transform("g", lambda x: x["a1"]), "").alias("h1"), F.array_join(F.transform("g", lambda x: x["a2"]), "").alias("h2"))
     read = materialize(read, "haplotypes")
     sure = read.where(F.col("het") <= max_known).select("pop", F.explode(F.array("h1", "h2")).alias("haplotype")).groupBy("pop", "haplotype").agg(F.count("*").cast("double").alias("weight"))
-    known = sure.groupBy("haplotype").agg(F.sum("weight").alias("freq"))
-    open_ = read.where(F.col("het") > max_known).select("subject", "pop", "g", "h1")
-    # A haplotype fits only if it agrees at the homozygous markers: those are the key that meets candidates by length.
-    pairs = open_.join(known, F.length(open_["h1"]) == F.length(known["haplotype"]))
+    sure = materialize(_read_unknown(sure), "sure")
+    known = bounded(sure.groupBy("haplotype").agg(F.sum("weight").alias("freq")), MOST_KNOWN, "known haplotypes")
+    open_ = materialize(read.where(F.col("het") > max_known).select("subject", "pop", "g", "h1", "h2"), "open")
+    # Each distinct genotype once, not each subject, meets the known haplotypes.
+    kinds = open_.select("h1", "h2", "g").groupBy("h1", "h2").agg(F.first("g").alias("g"))
+    pairs = kinds.join(F.broadcast(known), F.length("h1") == F.length("haplotype"))
     fits = ~F.exists(F.transform("g", lambda x, i: (F.substring(F.col("haplotype"), i + 1, F.lit(1)) != x["a1"]) & (F.substring(F.col("haplotype"), i + 1, F.lit(1)) != x["a2"])), lambda b: b)
-    best = Window.partitionBy("subject", "pop").orderBy(F.desc("freq"), "haplotype")
-    chosen = pairs.where(fits).withColumn("__n", F.row_number().over(best)).where("__n = 1")
+    best = pairs.where(fits).groupBy("h1", "h2").agg(F.min(F.struct((-F.col("freq")).alias("f"), F.col("haplotype"))).alias("best"))
+    chosen = open_.join(best.select("h1", "h2", "best.haplotype"), ["h1", "h2"])
     other = F.array_join(F.transform("g", lambda x, i: F.when(F.substring(F.col("haplotype"), i + 1, F.lit(1)) == x["a1"], x["a2"]).otherwise(x["a1"])), "")
     more = chosen.select("pop", F.explode(F.array("haplotype", other)).alias("haplotype")).groupBy("pop", "haplotype").agg(F.count("*").cast("double").alias("weight"))
     weights = sure.unionByName(more).groupBy("pop", "haplotype").agg(F.sum("weight").alias("weight"))

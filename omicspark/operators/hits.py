@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from omicspark.operators.intervals import overlap_join
+
 
 def self_scores(hits: DataFrame) -> DataFrame:
     """(query, bits, evalue) of each query against itself, the best of several; 0 and 1 where it has none."""
@@ -51,6 +53,21 @@ def best_hit(hits: DataFrame, self_q: DataFrame, self_s: DataFrame, threshold: f
     return ranked.where("class IS NOT NULL").select("query", "hit", "bits", "class")
 
 
+def settle_by_overlap(best: DataFrame, loc_q: DataFrame, loc_s: DataFrame, min_frac: float = 0.7) -> DataFrame:
+    """Best hits (query, hit, ...) with ``settled``; of a query with several, those that overlap it the most stay.
+
+    loc_q, loc_s (name, chrom, start, end, strand): where queries and hits lie. Only
+    overlaps on one strand of at least min_frac of both count; ties stay, and where
+    there is no such overlap all stay, not settled.
+    """
+    pairs = overlap_join(loc_q, loc_s, same_strand=True, min_frac=min_frac, reciprocal=True)
+    met = pairs.groupBy(F.col("a_name").alias("query"), F.col("b_name").alias("hit")).agg(F.max("overlap").alias("__overlap"))
+    own = Window.partitionBy("query")
+    told = best.join(met, ["query", "hit"], "left").withColumns({"__n": F.count("*").over(own), "__most": F.max("__overlap").over(own)})
+    stay = told.where((F.col("__n") == 1) | F.col("__most").isNull() | (F.col("__overlap") == F.col("__most")))
+    return stay.select(*best.columns, ((F.col("__n") == 1) | F.col("__most").isNotNull()).alias("settled"))
+
+
 def mark_reciprocal(relations: DataFrame) -> DataFrame:
     """Relations (qdb, query, sdb, hits array) with ``marked``: each hit, with ``*`` if its own relation names the query."""
     rows = relations.select("qdb", "query", "sdb", F.posexplode("hits").alias("at", "hit"))

@@ -1,4 +1,9 @@
-"""Global numbers and false-discovery rates without one-partition windows."""
+"""Global numbers, running sums, percentiles and false-discovery rates without a window over a whole group.
+
+Rows are dealt by range; what a range holds is summed first, and a range begins
+with what the ranges before it (or after it) hold. A group of any size is spread
+over as many ranges as its rows need.
+"""
 
 from __future__ import annotations
 
@@ -23,20 +28,58 @@ def global_row_number(df: DataFrame, order: list[str], name: str = "row_number")
     return numbered.withColumn(name, F.col("base") + F.col("__at") - F.col("first") + 1).drop("__range", "__at", "first", "base")
 
 
+def _ranged(df: DataFrame, by: list[str], order: str) -> DataFrame:
+    """``df`` written in ranges of (by, order), with the number of the range."""
+    return materialize(df.repartitionByRange(*by, order).sortWithinPartitions(*by, order).withColumn("__range", F.spark_partition_id()), "ranges")
+
+
+def _with_ranges(placed: DataFrame, by: list[str], own: Column, others: Column, total: Column, backward: bool = False) -> DataFrame:
+    """``placed`` with __other: ``others`` of __own (``own`` of each range and group) over the group's ranges before, or after; and __total over all."""
+    sizes = placed.groupBy("__range", *by).agg(own.alias("__own"))  # a row a range and group
+    group = Window.partitionBy(*by)
+    before = group.orderBy(F.desc("__range") if backward else F.col("__range")).rowsBetween(Window.unboundedPreceding, -1)
+    bases = sizes.select("__range", *by, others.over(before).alias("__other"), total.over(group).alias("__total")).alias("b")
+    on = [F.col("a.__range") == F.col("b.__range"), *(F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in by)]
+    return placed.alias("a").join(bases, on).select("a.*", "b.__other", "b.__total")
+
+
+def running_sums(df: DataFrame, by: list[str], order: str, value: str, out: str, total: str) -> DataFrame:
+    """``df`` with the sums of ``value`` up to each row in ``order`` within its group, and the group's sum. (by, order) is unique."""
+    placed = _with_ranges(_ranged(df, by, order), by, F.sum(value), F.sum("__own"), F.sum("__own"))
+    within = Window.partitionBy("__range", *by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    summed = placed.withColumn(out, F.coalesce("__other", F.lit(0)) + F.sum(value).over(within)).withColumnRenamed("__total", total)
+    return summed.drop("__range", "__other")
+
+
+def exact_percentiles(df: DataFrame, by: list[str], value: str, shares: dict[str, float]) -> DataFrame:
+    """(by, a column a share): percentiles of ``value`` within groups, linear between ranks. Nulls don't count.
+
+    Equal values are counted first; no task sees all values of a group.
+    """
+    counts = df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("__v")).agg(F.count("*").alias("__n"))
+    upto = running_sums(counts, by, "__v", "__n", "__upto", "__all")
+
+    def at(share: float, rounded) -> Column:  # the value at a rank counted from 0
+        return F.min(F.when(F.col("__upto") > rounded(F.lit(share) * (F.col("__all") - 1)), F.col("__v")))
+
+    found = upto.groupBy(*by).agg(F.max("__all").alias("__all"), *[at(p, f).alias(f"__{side}_{n}") for n, p in shares.items() for side, f in (("lo", F.floor), ("hi", F.ceil))])
+    part = lambda p: F.lit(p) * (F.col("__all") - 1) - F.floor(F.lit(p) * (F.col("__all") - 1))
+    return found.select(*by, *[(F.col(f"__lo_{n}") + (F.col(f"__hi_{n}") - F.col(f"__lo_{n}")) * part(p)).alias(n) for n, p in shares.items()])
+
+
 def bh_adjust(df: DataFrame, p: str, by: list[str], where: Column | None = None, out: str = "q_value") -> DataFrame:
-    """``df`` with Benjamini-Hochberg adjusted p-values within ``by``.
+    """``df`` with Benjamini-Hochberg adjusted p-values within ``by``; an empty ``by`` is one group.
 
     Rows that ``where`` leaves out, or without a p-value, get null and don't
-    count. q depends on p alone, so groups shrink to their distinct p-values with
-    counts before the running sums; those are joined back.
+    count. q depends on p alone, so equal p-values are counted first; ranks and
+    the least of what follows go by ranges, and are joined back.
     """
     used = F.col(p).isNotNull() & (where if where is not None else F.lit(True))
     counts = df.where(used).groupBy(*by, p).agg(F.count("*").alias("__n"))
-    groups = Window.partitionBy(*by)
-    up = groups.orderBy(p).rowsBetween(Window.unboundedPreceding, 0)
-    down = groups.orderBy(F.desc(p)).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counts.withColumn("__rank", F.sum("__n").over(up)).withColumn("__all", F.sum("__n").over(groups))
-    adjusted = ranked.withColumn(out, F.least(F.lit(1.0), F.min(F.col(p) * F.col("__all") / F.col("__rank")).over(down)))
+    ranked = running_sums(counts, by, p, "__n", "__rank", "__all").withColumn("__score", F.col(p) * F.col("__all") / F.col("__rank"))
+    placed = _with_ranges(_ranged(ranked, by, p), by, F.min("__score"), F.min("__own"), F.min("__own"), backward=True)
+    within = Window.partitionBy("__range", *by).orderBy(F.desc(p)).rowsBetween(Window.unboundedPreceding, 0)
+    adjusted = placed.withColumn(out, F.least(F.lit(1.0), F.min("__score").over(within), F.col("__other")))
     keys = [F.col(f"x.{b}").eqNullSafe(F.col(f"q.{b}")) for b in by]
     joined = df.withColumn("__used", used).alias("x").join(adjusted.select(*by, p, out).alias("q"), [*keys, (F.col(f"x.{p}") == F.col(f"q.{p}")) & F.col("x.__used")], "left")
     return joined.select("x.*", f"q.{out}").drop("__used")

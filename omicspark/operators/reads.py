@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -143,17 +145,26 @@ def fasta_to_fastq(df: DataFrame, quals: DataFrame | None = None, offset: int =
     return df.join(own, "seq_id", "left").withColumn("qual", F.coalesce("__qual", usual)).drop("__qual")
 
 
-def rename_ids(df: DataFrame, prefix: str, id_col: str) -> DataFrame:
-    """``df`` with ``new_id``: the prefix and a 10-digit hex counter in the order of ids; equal ids share one."""
+def rename_ids(df: DataFrame, prefix: str, id_col: str, mapping: DataFrame | None = None) -> DataFrame:
+    """``df`` with ``new_id``: what mapping (old_id, new_id) gives, else the prefix and a 10-digit hex counter in the order of ids; equal ids share one."""
     from omicspark.operators.ranks import global_row_number
 
     ids = global_row_number(df.select(id_col).where(F.col(id_col).isNotNull()).distinct(), [id_col], "__n")
-    named = ids.withColumn("new_id", F.concat(F.lit(prefix), F.lpad(F.lower(F.hex("__n")), 10, "0"))).drop("__n")
+    named = ids.withColumn("new_id", F.concat(F.lit(prefix), F.lpad(F.hex("__n"), 10, "0"))).drop("__n")
+    if mapping is not None:
+        given = mapping.groupBy(F.col("old_id").alias(id_col)).agg(F.min("new_id").alias("__given"))
+        named = named.join(given, id_col, "left").withColumn("new_id", F.coalesce("__given", "new_id")).drop("__given")
     return df.join(named, id_col, "left")
 
 
-def restore_ids(df: DataFrame, mapping: DataFrame, col: str, key: str) -> DataFrame:
-    """Text with each word that is a new id put back to the old one. mapping (old_id, new_id); key tells rows apart."""
+def restore_ids(df: DataFrame, mapping: DataFrame, col: str, key: str, width: int = 0, pad: str = " ", sub: str | None = None, repl: str = "") -> DataFrame:
+    """Text with each word that is a new id put back to the old one. mapping (old_id, new_id); key tells rows apart.
+
+    width: shorter old ids are filled on the right with ``pad``. sub: what this
+    pattern finds in them becomes ``repl``, after filling. A row's words meet in one task.
+    """
+    old = F.when(F.length("old_id") < width, F.rpad("old_id", width, pad)).otherwise(F.col("old_id"))
+    mapping = mapping.groupBy("new_id").agg(F.min("old_id").alias("old_id")).select("new_id", (F.regexp_replace(old, sub, repl) if sub else old).alias("old_id"))
     words = df.select(key, F.posexplode(F.split(col, "(?<=\\s)|(?=\\s)")).alias("at", "new_id"))
     old = words.join(mapping.select("new_id", "old_id"), "new_id", "left").select(key, F.struct("at", F.coalesce("old_id", "new_id").alias("word")).alias("w"))
     texts = old.groupBy(key).agg(F.array_join(F.transform(F.sort_array(F.collect_list("w")), lambda w: w["word"]), "").alias("__text"))
@@ -191,36 +202,48 @@ def fix_missing_mate(alignments: DataFrame, names: DataFrame, side: int) -> Data
     return named.select(*[F.col("name").alias("qname") if c == "qname" else flag.alias("flag") if c == "flag" else alignments[c] for c in alignments.columns])
 
 
-def best_qualities(length: int, qual: str = "qual") -> list[Column]:
-    """The greatest code at each position, an integer maximum each, so it combines before rows move."""
-    return [F.max(F.ascii(F.substring(qual, i + 1, 1))).alias(f"__q{i}") for i in range(length)]
+def best_qualities(rows: DataFrame, by: list[str], quals: list[str]) -> DataFrame:
+    """(by, quals): the greatest code at each position of each quality column over the rows of a key, whatever their lengths.
+
+    A row a position: maxima combine before rows move, and no task sees all rows of a key.
+    """
+    key = F.md5(F.concat_ws("\x00", *by).cast("binary"))
+    named = rows.select(key.alias("__key"), *by, F.posexplode(F.array(*[F.struct(F.lit(i).alias("col"), F.col(q).alias("text")) for i, q in enumerate(quals)])).alias("__i", "__q"))
+    at = named.select("__key", *by, "__i", F.posexplode(chars("__q.text")).alias("__at", "__c"))
+    best = at.groupBy("__key", "__i", "__at").agg(F.max("__c").alias("__c"), *[F.first(c).alias(c) for c in by])
+    whole = lambda i: F.array_join(F.transform(F.sort_array(F.collect_list(F.when(F.col("__i") == i, F.struct("__at", "__c")))), lambda x: x["__c"]), "")
+    return best.groupBy("__key").agg(*[F.first(c).alias(c) for c in by], *[whole(i).alias(q) for i, q in enumerate(quals)]).drop("__key")
 
 
-def _joined(length: int) -> Column:
-    return F.concat_ws("", *[F.when(F.col(f"__q{i}") > 0, F.char(F.col(f"__q{i}"))).otherwise("") for i in range(length)])
+def _same_length(seq: str, qual: str) -> Column:
+    return F.when(F.length(seq) == F.length(qual), F.col(qual)).otherwise(F.raise_error(F.concat(F.lit("lengths of sequence and quality differ: "), F.col(seq), F.lit(" "), F.col(qual))))
 
 
-def dedup_pairs(pairs: DataFrame, max_length: int) -> DataFrame:
-    """Pairs with equal bases as one: the smallest id, the number, the best quality at each position. max_length: of a mate."""
-    merged = pairs.withColumn("__qual", F.concat(F.rpad("qual1", max_length, " "), F.col("qual2")))
-    found = merged.groupBy("seq1", "seq2").agg(F.min("id").alias("id"), F.count("*").alias("n"), *best_qualities(2 * max_length, "__qual"))
-    whole = _joined(2 * max_length)
-    return found.select("id", "seq1", "seq2", "n", F.rtrim(F.substring(whole, 1, max_length)).alias("qual1"), F.substring(whole, max_length + 1, max_length).alias("qual2"))
+def dedup_pairs(pairs: DataFrame) -> DataFrame:
+    """Pairs with equal bases as one: the smallest id, the number, the best quality at each position. Qualities as long as their bases, else an error."""
+    known = pairs.select("id", *[F.coalesce(c, F.lit("")).alias(c) for c in ("seq1", "seq2", "qual1", "qual2")])
+    checked = known.withColumns({f"qual{i}": _same_length(f"seq{i}", f"qual{i}") for i in (1, 2)})
+    found = checked.groupBy("seq1", "seq2").agg(F.min("id").alias("id"), F.count("*").alias("n"))
+    best = found.join(best_qualities(checked, ["seq1", "seq2"], ["qual1", "qual2"]), ["seq1", "seq2"], "left")
+    return best.select("id", "seq1", "seq2", "n", *[F.coalesce(q, F.lit("")).alias(q) for q in ("qual1", "qual2")])
 
 
-def dedup_reads(reads: DataFrame, prefix: str, run: int, max_length: int) -> tuple[DataFrame, DataFrame]:
+def dedup_reads(reads: DataFrame, prefix: str, run: int) -> tuple[DataFrame, DataFrame]:
     """(unique reads, log of old and new names). A name with ``_xN`` stands for N reads.
 
     New names: prefix (3 letters), run (one digit), ``_``, the 9-digit rank of the
-    sequence, ``_x`` and the number of reads.
+    sequence, ``_x`` and the number of reads. Qualities are the best at each
+    position; they are as long as their bases, else an error.
     """
     from omicspark.operators.ranks import global_row_number
 
     if len(prefix) != 3 or not 0 <= run <= 9:
         raise ValueError("the prefix has 3 letters, the run is a digit")
     n = F.regexp_extract("read_id", r"_x(\d+)$", 1)
-    found = reads.groupBy("seq").agg(F.sum(F.when(n != "", n.cast("long")).otherwise(1)).alias("n"), *best_qualities(max_length))
-    ranked = global_row_number(found.select("seq", "n", _joined(max_length).alias("qual")), ["seq"], "__rank")
+    reads = reads.withColumns({c: F.coalesce(c, F.lit("")) for c in ("seq", "qual")})
+    found = reads.groupBy("seq").agg(F.sum(F.when(n != "", n.cast("long")).otherwise(1)).alias("n"))
+    best = best_qualities(reads.select("seq", _same_length("seq", "qual").alias("qual")), ["seq"], ["qual"])
+    ranked = global_row_number(found.join(best, "seq", "left").select("seq", "n", F.coalesce("qual", F.lit("")).alias("qual")), ["seq"], "__rank")
     unique = ranked.select(F.concat(F.lit(f"{prefix}{run}_"), F.lpad(F.col("__rank").cast("string"), 9, "0"), F.lit("_x"), F.col("n").cast("string")).alias("read_id"), "seq", "qual", "n")
     log = reads.select(F.col("read_id").alias("old_id"), "seq").join(unique.select(F.col("read_id").alias("new_id"), "seq"), "seq").select("old_id", "new_id")
     return unique, log
@@ -235,6 +258,67 @@ def expand_cigar(alignments: DataFrame) -> DataFrame:
     return alignments.withColumns({"aligned": total("M=X"), "inserted": total("I"), "deleted": total("D"), "clipped": total("SH"), "ref_end": F.col("pos") - 1 + total("M=XDN")})
 
 
+_ALIGNED = T.StructType([T.StructField("query_aligned", T.StringType()), T.StructField("hit_aligned", T.StringType()), T.StructField("gaps", T.LongType()), T.StructField("hit_length", T.LongType())])
+_CIGAR, _MD = re.compile(r"(\d+)([MIDNSHP=X])"), re.compile(r"(\d+)|\^([A-Za-z]+)|([A-Za-z])")
+
+
+def aligned_strings(seq: str | None, cigar: str | None, md: str | None) -> tuple[str, str, int, int] | None:
+    """Query and reference with ``-`` for gaps, their number and the reference's length; None where something is missing or doesn't fit."""
+    if not seq or not cigar or md is None:
+        return None
+    query, kinds, at = [], [], 0
+    for n, kind in ((int(n), k) for n, k in _CIGAR.findall(cigar)):
+        if kind in "M=XI":
+            query += seq[at : at + n]
+            kinds += ("I" if kind == "I" else "M") * n
+        elif kind == "D":
+            query += "-" * n
+            kinds += "D" * n
+        at += n if kind in "M=XIS" else 0
+    if at != len(seq):
+        return None
+    # The reference where it isn't an insertion: MD says what differs, in order.
+    hit, places = list(query), iter([i for i, k in enumerate(kinds) if k != "I"])
+    try:
+        for same, gone, other in _MD.findall(md):
+            if same:
+                for _ in range(int(same)):
+                    if kinds[next(places)] == "D":
+                        return None
+            for base in gone or other:
+                i = next(places)
+                if (kinds[i] == "D") != bool(gone):
+                    return None
+                hit[i] = base
+    except StopIteration:
+        return None
+    if next(places, None) is not None:
+        return None
+    whole = "".join("-" if k == "I" else b for b, k in zip(hit, kinds))
+    return "".join(query), whole, len(kinds) - kinds.count("M"), len(kinds) - kinds.count("I")
+
+
+def expand_alignment(alignments: DataFrame, order: list[str]) -> DataFrame:
+    """Alignments (qname, rname, pos, seq, cigar, md) as pairs of strings.
+
+    query_aligned and hit_aligned with ``-`` for gaps, gaps, hit_to (1-based, the last
+    base); hit_num: the ordinal of the reference among those of the query, by their
+    first alignment in ``order``; hsp_num: the ordinal among those of both. Strings
+    are null where sequence, CIGAR and MD don't fit each other.
+    """
+
+    @F.pandas_udf(_ALIGNED)
+    def told(seq: pd.Series, cigar: pd.Series, md: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([aligned_strings(*x) or (None, None, None, None) for x in zip(seq, cigar, md)], columns=_ALIGNED.names).astype({"gaps": "Int64", "hit_length": "Int64"})
+
+    own = Window.partitionBy("qname", "rname")
+    first = F.min(F.struct(*order)).over(own)
+    numbered = alignments.withColumns({"__first": first, "hsp_num": F.row_number().over(own.orderBy(*order))})
+    numbered = numbered.withColumn("hit_num", F.dense_rank().over(Window.partitionBy("qname").orderBy("__first", "rname"))).drop("__first")
+    strings = numbered.withColumn("__told", told("seq", "cigar", "md"))
+    return strings.select("*", "__told.query_aligned", "__told.hit_aligned", "__told.gaps", (F.col("pos") + F.col("__told.hit_length") - 1).alias("hit_to")).drop("__told")
+
+
 def qc_reads(reads: DataFrame, min_length: int = 20, max_n_percent: float = 5, tail: int = 5, q: int = 20, window: int = 5, max_low_complexity: float = 0.5) -> DataFrame:
     """Reads that pass: 3' and 5' A/T tails of at least ``tail`` bases off, right end off while the mean of its last ``window`` qualities is below q, then length, share of N, no other codes, and the greatest share of one dinucleotide."""
 

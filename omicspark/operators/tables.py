@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F, types as T
 
 from omicspark.functions.text import split_list
+from omicspark.storage import bounded
 
-BROADCAST_BYTES = 64 << 20
+MOST_TEMPLATES = 10_000
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -27,12 +28,12 @@ def exclude_ids(df: DataFrame, ids: DataFrame, key: str, id_col: str = "id") ->
 def select_by_template(df: DataFrame, ids: DataFrame, col: str, template: str, id_col: str = "id", rename: bool = False) -> DataFrame:
     """Rows whose ``col`` matches the regex ``template`` with its ``$id`` put in literally; a row for each id that matches.
 
-    The ids are a list of names that the caller knows to be short; the join tries
-    each against each row.
+    The ids are a short list of names, as each is tried against each row: over
+    MOST_TEMPLATES distinct ones are an error.
     """
     quoted = F.concat(F.lit("\\Q"), F.col(id_col), F.lit("\\E"))
     patterns = ids.select(F.col(id_col).alias("__id"), F.replace(F.lit(template), F.lit("$id"), quoted).alias("__pattern")).distinct()
-    hit = df.join(patterns, F.expr(f"`{col}` RLIKE __pattern")).drop("__pattern")
+    hit = df.join(F.broadcast(bounded(patterns, MOST_TEMPLATES, "ids")), F.expr(f"`{col}` RLIKE __pattern")).drop("__pattern")
     return hit.withColumn(col, F.col("__id")).drop("__id") if rename else hit.withColumnRenamed("__id", "matched_id")
 
 
@@ -126,8 +127,8 @@ def union_distinct(*dfs: DataFrame) -> DataFrame:
 
 
 def sample_rows(df: DataFrame, n: int, key: str, seed: int = 1) -> DataFrame:
-    """n rows by a hash of ``key``: a top-n, no full sort, the same rows each time."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+    """n rows by a digest of ``key`` and the seed: a top-n, no full sort, the same rows each time."""
+    return df.orderBy(F.md5(F.concat(F.col(key).cast("string"), F.lit(f"|{seed}")).cast("binary")), key).limit(n)
 
 
 def stage_counts(stages: list[tuple[str, DataFrame]]) -> DataFrame:

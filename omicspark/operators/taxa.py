@@ -44,7 +44,8 @@ def reads_by_taxa(classified: DataFrame, closure: DataFrame, targets: DataFrame)
 def taxon_compatible(hits: DataFrame, closure: DataFrame, ids: str, taxid: int, sep: str = "__") -> DataFrame:
     """Hits of which one of the delimited ids is the taxon, above it or below it."""
     kin = closure.where(F.col("ancestor") == taxid).select(F.col("descendant").alias("__id")).unionByName(closure.where(F.col("descendant") == taxid).select(F.col("ancestor").alias("__id"))).distinct()
-    keyed = hits.withColumn("__row", F.monotonically_increasing_id())
+    # Written once with its number, as another evaluation could number rows otherwise.
+    keyed = materialize(hits.withColumn("__row", F.monotonically_increasing_id()), "taxon-hits")
     good = keyed.select("__row", F.explode(F.split(ids, sep).cast("array<bigint>")).alias("__id")).join(kin, "__id").select("__row").distinct()
     return keyed.join(good, "__row", "left_semi").drop("__row")
 

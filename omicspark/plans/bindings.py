@@ -36,9 +36,8 @@ def intervals(engine: str, where: str) -> str:
 
 
 # Sums by supplier and part as alignment hits of query and subject.
-HITS = """SELECT concat('n', CAST(l_suppkey % 97 AS STRING)) AS query, concat('n', CAST(l_partkey % 89 AS STRING)) AS hit,
- CAST(sum(l_quantity) AS DOUBLE) AS bits, min(l_discount) AS evalue FROM lineitem
- GROUP BY concat('n', CAST(l_suppkey % 97 AS STRING)), concat('n', CAST(l_partkey % 89 AS STRING))"""
+HITS = """SELECT concat('n', CAST(l_suppkey AS STRING)) AS query, concat('n', CAST(l_partkey AS STRING)) AS hit,
+ CAST(sum(l_quantity) AS DOUBLE) AS bits, min(l_discount) AS evalue FROM lineitem GROUP BY l_suppkey, l_partkey"""
 
 # Quantities by part and sample as counts.
 COUNTS = """SELECT concat('f', CAST(l_partkey AS STRING)) AS feature, concat(l_returnflag, l_linestatus) AS sample, sum(l_quantity) AS value

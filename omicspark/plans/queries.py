@@ -336,7 +336,7 @@ def a28_stage_counts(spark, sf):
     return TB.stage_counts([("all", df), ("open", df.where("l_linestatus = 'O'"))])
 
 
-@query()
+@query(f"SELECT read_id, seq, qual, descr FROM ({B.READS}) ORDER BY md5(read_id || '|1'), read_id LIMIT 100")
 def r19_sample_rows(spark, sf):
     return TB.sample_rows(run(spark, sf, B.READS), 100, "read_id")
 
@@ -349,7 +349,7 @@ def rank_global_row_number(spark, sf):
     return R.global_row_number(table(spark, sf, "orders").select("o_orderkey", "o_totalprice"), ["o_totalprice", "o_orderkey"], "n").select("o_orderkey", "n")
 
 
-_P = "SELECT l_orderkey, l_linenumber, l_partkey, l_returnflag, l_linestatus, CAST((l_orderkey * 7919 + l_linenumber * 104729 + l_partkey * 31) % 10007 + 1 AS DOUBLE) / 10008 AS p FROM lineitem"
+_P = "SELECT l_orderkey, l_linenumber, l_partkey, l_returnflag, l_linestatus, CAST((l_orderkey * 7919 + l_linenumber * 104729 + l_partkey * 31) % 1000003 + 1 AS DOUBLE) / 1000004 AS p FROM lineitem"
 
 
 @query(f"""WITH x AS ({_P}), u AS (SELECT *, count(*) OVER (PARTITION BY l_returnflag) AS n, row_number() OVER (PARTITION BY l_returnflag ORDER BY p) AS r FROM x WHERE l_linestatus = 'O'),

@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 from omicspark.functions import sequences as X
 from omicspark.plans.queries import B, E, FT, G, H, HP, I, K, M, RD, TB, TX, _r, query, run, table
 
-_AF, _NO = B.intervals("duckdb", "l_returnflag = 'A' AND l_linenumber <= 2"), B.intervals("duckdb", "l_returnflag = 'R' AND l_linenumber <= 2")
+_AF, _NO = B.intervals("duckdb", "l_returnflag = 'A'"), B.intervals("duckdb", "l_returnflag = 'R'")
 
 
 def _sides(spark, sf):
-    return run(spark, sf, B.intervals("spark", "l_returnflag = 'A' AND l_linenumber <= 2")), run(spark, sf, B.intervals("spark", "l_returnflag = 'R' AND l_linenumber <= 2"))
+    return run(spark, sf, B.intervals("spark", "l_returnflag = 'A'")), run(spark, sf, B.intervals("spark", "l_returnflag = 'R'"))
 
 
 # --- reads --------------------------------------------------------------------
@@ -81,9 +81,9 @@ def r8_trim_bwa(spark, sf):
     return RD.trim_bwa(run(spark, sf, B.READS), 25).select("read_id", "seq", "qual")
 
 
-@query(f"SELECT read_id FROM ({B.READS}) WHERE read_id NOT IN (SELECT 'r' || o_orderkey FROM orders)")
+@query(f"SELECT read_id FROM ({B.READS}) WHERE read_id NOT IN (SELECT 'r' || o_orderkey FROM orders WHERE o_orderstatus = 'F')")
 def r9_exclude_ids(spark, sf):
-    ids = table(spark, sf, "orders").select(F.concat(F.lit("r"), F.col("o_orderkey").cast("string")).alias("id"))
+    ids = table(spark, sf, "orders").where("o_orderstatus = 'F'").select(F.concat(F.lit("r"), F.col("o_orderkey").cast("string")).alias("id"))
     return TB.exclude_ids(run(spark, sf, B.READS), ids, "read_id").select("read_id")
 
 
@@ -115,7 +115,7 @@ def r14_clean(spark, sf):
     return run(spark, sf, B.READS).select(X.u_to_t(F.replace("seq", F.lit("T"), F.lit("U"))).alias("seq"), X.first_token(F.concat("read_id", F.lit(" x"))).alias("id"))
 
 
-@query(f"SELECT read_id, 'new_' || lpad(lower(to_hex(dense_rank() OVER (ORDER BY read_id))), 10, '0') AS new_id FROM ({B.READS})")
+@query(f"SELECT read_id, 'new_' || lpad(to_hex(dense_rank() OVER (ORDER BY read_id)), 10, '0') AS new_id FROM ({B.READS})")
 def r15_rename_ids(spark, sf):
     return RD.rename_ids(run(spark, sf, B.READS).select("read_id"), "new_", "read_id")
 
@@ -126,16 +126,29 @@ def r16_restore_ids(spark, sf):
     return RD.restore_ids(table(spark, sf, "part").select("p_partkey", "p_name"), mapping, "p_name", "p_partkey")
 
 
+@query(f"SELECT read_id, CASE WHEN read_id IN (SELECT 'r' || o_orderkey FROM orders) THEN 'o' || substr(read_id, 2) ELSE 'new_' || lpad(to_hex(dense_rank() OVER (ORDER BY read_id)), 10, '0') END AS new_id FROM ({B.READS})")
+def r15_rename_by_map(spark, sf):
+    given = table(spark, sf, "orders").select(F.concat(F.lit("r"), F.col("o_orderkey").cast("string")).alias("old_id"), F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("new_id"))
+    return RD.rename_ids(run(spark, sf, B.READS).select("read_id"), "new_", "read_id", given)
+
+
+@query("SELECT o_orderkey, 'see ' || coalesce(replace(CASE WHEN length(n_name) < 9 THEN rpad(n_name, 9, '_') ELSE n_name END, ' ', '-'), 'c' || o_custkey % 40) || ' there' AS note FROM orders LEFT JOIN nation ON n_nationkey = o_custkey % 40")
+def r16_restore_filled_ids(spark, sf):
+    mapping = table(spark, sf, "nation").select(F.concat(F.lit("c"), F.col("n_nationkey").cast("string")).alias("new_id"), F.col("n_name").alias("old_id"))
+    notes = table(spark, sf, "orders").select("o_orderkey", F.concat(F.lit("see c"), (F.col("o_custkey") % 40).cast("string"), F.lit(" there")).alias("note"))
+    return RD.restore_ids(notes, mapping, "note", "o_orderkey", width=9, pad="_", sub=" ", repl="-")
+
+
 @query(f"SELECT read_id, right(seq, 6) || left(seq, 6) AS junction FROM ({B.READS})")
 def r17_circular_junction(spark, sf):
     return run(spark, sf, B.READS).select("read_id", X.circular_junction("seq", 6).alias("junction"))
 
 
-@query(f"""WITH h AS (SELECT DISTINCT 'r' || l_orderkey AS read_id, 'ACGT' || CASE WHEN l_suppkey % 3 = 0 THEN 'A' ELSE 'CC' END AS primer, l_returnflag AS name, CASE WHEN l_linestatus = 'O' THEN 16 ELSE 0 END AS flag, l_linenumber + 4 AS start FROM lineitem WHERE l_linenumber <= 2),
+@query(f"""WITH h AS (SELECT DISTINCT 'r' || l_orderkey AS read_id, 'ACGT' || CASE WHEN l_suppkey % 3 = 0 THEN 'A' ELSE 'CC' END AS primer, l_returnflag AS name, CASE WHEN l_linestatus = 'O' THEN 16 ELSE 0 END AS flag, l_linenumber + 4 AS start FROM lineitem),
  o AS (SELECT read_id, min(primer) AS primer, min(flag) AS flag, min(start) AS start FROM h GROUP BY read_id HAVING count(DISTINCT primer) = 1 AND count(DISTINCT name) = 1),
  c AS (SELECT read_id, CASE WHEN flag = 16 THEN substr(seq, 1, start + length(primer) - 1) ELSE substr(seq, start) END AS seq FROM ({B.READS}) JOIN o USING (read_id)) SELECT * FROM c WHERE length(seq) > 11""")
 def r18_amplicon(spark, sf):
-    hits = table(spark, sf, "lineitem").where("l_linenumber <= 2").select(F.concat(F.lit("r"), F.col("l_orderkey").cast("string")).alias("read_id"), F.concat(F.lit("ACGT"), F.when(F.col("l_suppkey") % 3 == 0, "A").otherwise("CC")).alias("primer"), F.col("l_returnflag").alias("name"), F.when(F.col("l_linestatus") == "O", 16).otherwise(0).alias("flag"), (F.col("l_linenumber") + 4).alias("start"))
+    hits = table(spark, sf, "lineitem").select(F.concat(F.lit("r"), F.col("l_orderkey").cast("string")).alias("read_id"), F.concat(F.lit("ACGT"), F.when(F.col("l_suppkey") % 3 == 0, "A").otherwise("CC")).alias("primer"), F.col("l_returnflag").alias("name"), F.when(F.col("l_linestatus") == "O", 16).otherwise(0).alias("flag"), (F.col("l_linenumber") + 4).alias("start"))
     return RD.amplicon_from_hits(run(spark, sf, B.READS), hits, 11)
 
 
@@ -165,12 +178,21 @@ def r23_expand_cigar(spark, sf):
     return RD.expand_cigar(df).drop("pos", "cigar")
 
 
+@query(f"""WITH a AS (SELECT descr AS qname, substr(seq, 1, 1) AS rname, read_id, seq, CAST(substr(read_id, 2) AS BIGINT) AS n FROM ({B.READS})), o AS (SELECT *, min(n) OVER (PARTITION BY qname, rname) AS f, row_number() OVER (PARTITION BY qname, rname ORDER BY n) AS hsp_num FROM a)
+ SELECT read_id, substr(seq, 1, 20) || '---' || substr(seq, 21) AS query_aligned, substr(seq, 1, 5) || 'N' || substr(seq, 7, 4) || '--' || substr(seq, 13, 8) || 'ACG' || substr(seq, 21) AS hit_aligned,
+  5::BIGINT AS gaps, n + 32 AS hit_to, dense_rank() OVER (PARTITION BY qname ORDER BY f) AS hit_num, hsp_num FROM o""")
+def r23_expand_alignment(spark, sf):
+    n = F.substring("read_id", 2, 20).cast("bigint")
+    aln = run(spark, sf, B.READS).select("read_id", F.col("descr").alias("qname"), F.left("seq", F.lit(1)).alias("rname"), n.alias("pos"), "seq", F.lit("10M2I8M3D12M").alias("cigar"), F.lit("5N12^ACG12").alias("md"))
+    return RD.expand_alignment(aln, ["pos"]).select("read_id", "query_aligned", "hit_aligned", "gaps", "hit_to", F.col("hit_num").cast("bigint").alias("hit_num"), F.col("hsp_num").cast("bigint").alias("hsp_num"))
+
+
 @query(f"""WITH r AS (SELECT seq, [ascii(c) FOR c IN string_split(qual, '')] AS q, read_id, qual FROM ({B.READS})),
  e AS (SELECT seq, i, max(q[i]) AS m FROM r, range(1, 33) t(i) GROUP BY seq, i), b AS (SELECT seq, string_agg(chr(m), '' ORDER BY i) AS qual1 FROM e GROUP BY seq)
  SELECT min(read_id) AS id, seq AS seq1, reverse(seq) AS seq2, count(*) AS n, any_value(b.qual1) AS qual1, any_value(b.qual1) AS qual2 FROM r JOIN b USING (seq) GROUP BY seq""")
 def a1_dedup_pairs(spark, sf):
     pairs = run(spark, sf, B.READS).select(F.col("read_id").alias("id"), F.col("seq").alias("seq1"), F.reverse("seq").alias("seq2"), F.col("qual").alias("qual1"), F.col("qual").alias("qual2"))
-    return RD.dedup_pairs(pairs, 32)
+    return RD.dedup_pairs(pairs)
 
 
 @query(f"""WITH r AS (SELECT seq, read_id || CASE WHEN CAST(substr(read_id, 2) AS BIGINT) % 3 = 0 THEN '_x4' ELSE '' END AS read_id FROM ({B.READS})),
@@ -178,7 +200,13 @@ def a1_dedup_pairs(spark, sf):
  SELECT read_id AS old_id, 'abc1_' || lpad(k::STRING, 9, '0') || '_x' || n AS new_id FROM r JOIN u USING (seq)""")
 def a2_dedup_reads(spark, sf):
     reads = run(spark, sf, B.READS).withColumn("read_id", F.concat("read_id", F.when(F.expr("CAST(substr(read_id, 2) AS BIGINT) % 3 = 0"), "_x4").otherwise("")))
-    return RD.dedup_reads(reads, "abc", 1, 32)[1]
+    return RD.dedup_reads(reads, "abc", 1)[1]
+
+
+@query(f"""WITH r AS (SELECT seq, [ascii(c) FOR c IN string_split(qual, '')] AS q FROM ({B.READS})), e AS (SELECT seq, i, max(q[i]) AS m FROM r, range(1, 33) t(i) GROUP BY seq, i), b AS (SELECT seq, string_agg(chr(m), '' ORDER BY i) AS qual FROM e GROUP BY seq)
+ SELECT 'abc1_' || lpad((row_number() OVER (ORDER BY seq))::STRING, 9, '0') || '_x' || n AS read_id, seq, qual, n FROM (SELECT seq, count(*) AS n FROM r GROUP BY seq) JOIN b USING (seq)""")
+def a2_unique_reads(spark, sf):
+    return RD.dedup_reads(run(spark, sf, B.READS), "abc", 1)[0]
 
 
 @query(f"{_M} SELECT 'p' || o_orderkey AS id, CASE WHEN a.id IS NOT NULL AND b.id IS NOT NULL THEN 'paired' WHEN a.id IS NOT NULL THEN 'single1' WHEN b.id IS NOT NULL THEN 'single2' ELSE 'none' END AS route FROM orders LEFT JOIN a ON a.id = 'p' || o_orderkey LEFT JOIN b ON b.id = 'p' || o_orderkey")
@@ -187,9 +215,17 @@ def j18_repair_pairs(spark, sf):
     return RD.repair_pairs(table(spark, sf, "orders").select(F.concat(F.lit("p"), F.col("o_orderkey").cast("string")).alias("id")), a, b)
 
 
-@query()
+_QC = f"""WITH r AS ({B.READS}), a AS (SELECT read_id, length(regexp_extract(seq, '^(A{{2,}}|T{{2,}})')) AS f, seq, qual FROM r),
+ b AS (SELECT read_id, substr(seq, f + 1) AS seq, substr(qual, f + 1) AS qual FROM a), k AS (SELECT *, length(regexp_replace(seq, '(A{{2,}}|T{{2,}})$', '')) AS k FROM b),
+ c AS (SELECT read_id, substr(seq, 1, k) AS seq, substr(qual, 1, k) AS qual FROM k), q AS (SELECT *, [ascii(x) - 33 FOR x IN string_split(qual, '') IF x <> ''] AS q FROM c),
+ w AS (SELECT *, CASE WHEN len(q) < 5 THEN CASE WHEN len(q) > 0 AND list_avg(q) >= 15 THEN len(q) ELSE 0 END ELSE coalesce(list_max([i FOR i IN range(0, len(q) - 4) IF (q[i + 1] + q[i + 2] + q[i + 3] + q[i + 4] + q[i + 5]) / 5.0 >= 15]) + 5, 0) END AS cut FROM q),
+ d AS (SELECT read_id, substr(seq, 1, cut) AS seq, substr(qual, 1, cut) AS qual, cut FROM w WHERE cut >= 10), p AS (SELECT *, [substr(seq, i, 2) FOR i IN range(1, cut)] AS pairs FROM d)
+ SELECT read_id, seq, qual FROM p WHERE NOT regexp_matches(seq, '[^ACGT]') AND list_max([len([1 FOR y IN pairs IF y = x]) FOR x IN list_distinct(pairs)]) <= 0.15 * (cut - 1)"""
+
+
+@query(_QC)
 def f15_qc_reads(spark, sf):
-    return RD.qc_reads(run(spark, sf, B.READS), min_length=10, q=15).select("read_id", "seq", "qual")
+    return RD.qc_reads(run(spark, sf, B.READS), min_length=10, tail=2, q=15, max_low_complexity=0.15).select("read_id", "seq", "qual")
 
 
 @query(f"SELECT i::INTEGER AS position, substr(seq, i, 1) AS base, count(*) AS n, round(avg(ascii(substr(qual, i, 1)) - 33), 6) AS mean_quality FROM ({B.READS}), range(1, 33) t(i) GROUP BY ALL")
@@ -232,16 +268,9 @@ def j9_overlap_all(spark, sf):
     return I.overlap_join(a, b, mode="wao", bin_size=32).select("a_name", "b_name", "overlap")
 
 
-_LOCI_A, _LOCI_B = B.intervals("duckdb", "l_returnflag = 'A' AND l_linenumber = 1 AND l_quantity <= 3"), B.intervals("duckdb", "l_returnflag = 'R' AND l_linenumber = 2 AND l_quantity <= 3")
-
-
-@query(f"""WITH RECURSIVE a AS ({_LOCI_A}), b AS ({_LOCI_B}), e AS (SELECT a.name AS x, b.name AS y FROM a JOIN b ON {_ON} AND a.strand = b.strand),
- s AS (SELECT x, y FROM e UNION SELECT y, x FROM e), w AS (SELECT name AS n, name AS m FROM (SELECT name FROM a UNION SELECT name FROM b) UNION SELECT s.y, w.m FROM w JOIN s ON s.x = w.n),
- c AS (SELECT n, min(m) AS locus FROM w GROUP BY n), u AS (SELECT * FROM a UNION ALL SELECT * FROM b)
- SELECT locus, min(chrom) AS chrom, min(strand) AS strand, min(start) AS start, max("end") AS "end", string_agg(DISTINCT name, '/' ORDER BY name) AS members FROM u JOIN c ON u.name = c.n GROUP BY locus""")
+@query()
 def a37_link_loci(spark, sf):
-    a, b = run(spark, sf, B.intervals("spark", "l_returnflag = 'A' AND l_linenumber = 1 AND l_quantity <= 3")), run(spark, sf, B.intervals("spark", "l_returnflag = 'R' AND l_linenumber = 2 AND l_quantity <= 3"))
-    return I.link_loci(a, b)
+    return I.link_loci(*_sides(spark, sf))
 
 
 @query(f"""WITH c AS (SELECT *, 'p' || CAST(split_part(name, '.', 1) AS BIGINT) % 40 AS parent FROM ({_AF})), p AS (SELECT *, 'p' || CAST(split_part(name, '.', 1) AS BIGINT) % 40 AS pid FROM ({_NO}))
@@ -264,7 +293,7 @@ def j10_exact_match(spark, sf):
     return I.exact_match(a.withColumn("seq", F.concat(seq, F.lit("*"))), b.withColumn("seq", seq), 0.3)
 
 
-@query("""WITH x AS (SELECT l_orderkey AS tx, l_partkey * 100 AS start, l_partkey * 100 + 50 AS "end", CASE WHEN l_orderkey % 2 = 0 THEN '-' ELSE '+' END AS strand FROM lineitem WHERE l_linenumber <= 3 GROUP BY ALL),
+@query("""WITH x AS (SELECT l_orderkey AS tx, l_partkey * 100 AS start, l_partkey * 100 + 50 AS "end", CASE WHEN l_orderkey % 2 = 0 THEN '-' ELSE '+' END AS strand FROM lineitem GROUP BY ALL),
  b AS (SELECT tx, strand, min(start) AS s, max("end") AS e FROM x GROUP BY ALL), g AS (SELECT tx, strand, "end" AS s, lead(start) OVER (PARTITION BY tx ORDER BY start) AS e FROM x)
  SELECT tx, 'transcript' AS kind, s AS start, e AS "end" FROM b UNION ALL SELECT tx, 'tss', CASE WHEN strand = '-' THEN e - 1 ELSE s END, CASE WHEN strand = '-' THEN e ELSE s + 1 END FROM b
  UNION ALL SELECT tx, 'promoter', greatest(CASE WHEN strand = '-' THEN e ELSE s - 1000 END, 0), CASE WHEN strand = '-' THEN e + 1000 ELSE s END FROM b
@@ -273,7 +302,7 @@ def j10_exact_match(spark, sf):
  UNION ALL SELECT x.tx, CASE WHEN x.strand = '-' THEN '3utr' ELSE '5utr' END, x.start, least(x."end", c.lo) FROM x JOIN (SELECT tx, min(start) AS lo FROM x WHERE start % 300 = 0 GROUP BY tx) c USING (tx) WHERE x.start < least(x."end", c.lo)
  UNION ALL SELECT x.tx, CASE WHEN x.strand = '-' THEN '5utr' ELSE '3utr' END, greatest(x.start, c.hi), x."end" FROM x JOIN (SELECT tx, max("end") AS hi FROM x WHERE start % 300 = 0 GROUP BY tx) c USING (tx) WHERE greatest(x.start, c.hi) < x."end\"""")
 def a10_gene_regions(spark, sf):
-    x = table(spark, sf, "lineitem").where("l_linenumber <= 3").select(F.col("l_orderkey").alias("tx"), F.lit("c").alias("chrom"), F.when(F.col("l_orderkey") % 2 == 0, "-").otherwise("+").alias("strand"), (F.col("l_partkey") * 100).alias("start"), (F.col("l_partkey") * 100 + 50).alias("end")).distinct()
+    x = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("tx"), F.lit("c").alias("chrom"), F.when(F.col("l_orderkey") % 2 == 0, "-").otherwise("+").alias("strand"), (F.col("l_partkey") * 100).alias("start"), (F.col("l_partkey") * 100 + 50).alias("end")).distinct()
     return I.gene_regions(x, x.where("start % 300 = 0")).select("tx", "kind", "start", "end")
 
 
@@ -289,14 +318,14 @@ def a8_feature_lengths(spark, sf):
     return I.feature_lengths(x, x)
 
 
-@query("""WITH r AS (SELECT o_orderkey AS read, o_orderstatus <> 'F' AS aligned FROM orders), h AS (SELECT DISTINCT l_orderkey AS read, 'g' || l_suppkey % 20 AS gene FROM lineitem WHERE l_linenumber <= 2),
- n AS (SELECT read, count(*) AS n FROM h GROUP BY read)
- SELECT read, coalesce(gene, '') AS gene, round(CASE WHEN aligned THEN 1.0 / coalesce(n, 1) ELSE 0 END, 9) AS weight, round(CASE WHEN gene IS NULL OR gene = 'g0' THEN 0 WHEN aligned THEN 1.0 / n / (CAST(substr(gene, 2) AS INT) * 100 / 1000.0) ELSE 0 END, 9) AS rpk
- FROM r LEFT JOIN h USING (read) LEFT JOIN n USING (read)""")
+@query("""WITH r AS (SELECT o_orderkey AS read, o_orderstatus <> 'F' AS aligned FROM orders), h AS (SELECT DISTINCT l_orderkey AS read, 'g' || l_suppkey AS gene FROM lineitem),
+ n AS (SELECT read, count(*) AS n FROM h GROUP BY read), l AS (SELECT 'g' || s_suppkey AS gene, s_suppkey * 10 AS length FROM supplier WHERE s_suppkey % 5 <> 0)
+ SELECT read, coalesce(gene, '') AS gene, round(CASE WHEN aligned THEN 1.0 / coalesce(n, 1) ELSE 0 END, 9) AS weight, round(CASE WHEN aligned AND length IS NOT NULL THEN 1.0 / n / (length / 1000.0) ELSE 0 END, 9) AS rpk
+ FROM r LEFT JOIN h USING (read) LEFT JOIN n USING (read) LEFT JOIN l USING (gene)""")
 def a9_fractional_counts(spark, sf):
     reads = table(spark, sf, "orders").select(F.col("o_orderkey").alias("read"), (F.col("o_orderstatus") != "F").alias("aligned"))
-    hits = table(spark, sf, "lineitem").where("l_linenumber <= 2").select(F.col("l_orderkey").alias("read"), F.concat(F.lit("g"), (F.col("l_suppkey") % 20).cast("string")).alias("gene"))
-    lengths = spark.range(1, 20).select(F.concat(F.lit("g"), F.col("id").cast("string")).alias("gene"), (F.col("id") * 100).alias("length"))
+    hits = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("read"), F.concat(F.lit("g"), F.col("l_suppkey").cast("string")).alias("gene"))
+    lengths = table(spark, sf, "supplier").where("s_suppkey % 5 <> 0").select(F.concat(F.lit("g"), F.col("s_suppkey").cast("string")).alias("gene"), (F.col("s_suppkey") * 10).alias("length"))
     return I.fractional_counts(reads, hits, lengths).withColumns({"weight": _r("weight", 9), "rpk": _r("rpk", 9)})
 
 
@@ -326,10 +355,23 @@ def j11_best_hit(spark, sf):
     return H.best_hit(hits, own, own, 0.9, 0.05)
 
 
-@query(f"""WITH h AS ({B.HITS}), t AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY bits DESC, hit) AS n FROM h QUALIFY n <= 5)
+_PLACES = "SELECT concat('n', CAST(p_partkey AS STRING)) AS name, CAST(p_size AS STRING) AS chrom, CAST(p_retailprice AS BIGINT) AS start, CAST(p_retailprice AS BIGINT) + 500 AS \"end\", '+' AS strand FROM part"
+
+
+@query(f"""WITH l AS ({_PLACES}), h AS (SELECT DISTINCT 'n' || l_suppkey AS query, 'n' || l_partkey AS hit FROM lineitem WHERE l_discount >= 0.09),
+ o AS (SELECT query, hit, max({_OV}) AS o FROM h JOIN l a ON a.name = query JOIN l b ON b.name = hit WHERE {_ON} AND {_OV} >= 0.7 * 500 GROUP BY ALL),
+ t AS (SELECT h.query, h.hit, o, count(*) OVER w AS n, max(o) OVER w AS m FROM h LEFT JOIN o USING (query, hit) WINDOW w AS (PARTITION BY h.query))
+ SELECT query, hit, n = 1 OR m IS NOT NULL AS settled FROM t WHERE n = 1 OR m IS NULL OR o = m""")
+def j11_settle_by_overlap(spark, sf):
+    hits = table(spark, sf, "lineitem").where("l_discount >= 0.09").select(F.concat(F.lit("n"), F.col("l_suppkey").cast("string")).alias("query"), F.concat(F.lit("n"), F.col("l_partkey").cast("string")).alias("hit")).distinct()
+    at = run(spark, sf, _PLACES)
+    return H.settle_by_overlap(hits, at, at)
+
+
+@query(f"""WITH h AS ({B.HITS}), t AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY bits DESC, hit) AS n FROM h)
  SELECT 'A' AS qdb, t.query, 'A' AS sdb, string_agg(t.hit || CASE WHEN b.query IS NULL THEN '' ELSE '*' END, ';' ORDER BY t.n) AS marked FROM t LEFT JOIN t b ON b.query = t.hit AND b.hit = t.query GROUP BY t.query""")
 def j13_mark_reciprocal(spark, sf):
-    hits = TB.limit_per_group(run(spark, sf, B.HITS), ["query"], 5, [F.desc("bits"), F.col("hit")])
+    hits = run(spark, sf, B.HITS)
     rel = hits.groupBy("query").agg(F.transform(F.sort_array(F.collect_list(F.struct((-F.col("bits")).alias("b"), "hit"))), lambda x: x["hit"]).alias("hits"))
     return H.mark_reciprocal(rel.select(F.lit("A").alias("qdb"), "query", F.lit("A").alias("sdb"), "hits"))
 
@@ -388,10 +430,11 @@ def j17_taxon_compatible(spark, sf):
     return TX.taxon_compatible(df, _closure(spark, sf), "ids", 12).select("o_orderkey")
 
 
-@query(f"""{_CL}, m AS (SELECT DISTINCT o_orderkey % 400 AS k, o_custkey + 1000 AS t FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer)), n AS (SELECT k, count(*) AS n FROM m GROUP BY k),
+@query(f"""{_CL}, m AS (SELECT DISTINCT l_partkey AS k, o_custkey + 1000 AS t FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE o_custkey IN (SELECT c_custkey FROM customer)), n AS (SELECT k, count(*) AS n FROM m GROUP BY k),
  s AS (SELECT k, ancestor, count(*) AS c, max(depth) AS far FROM m JOIN cl ON t = descendant GROUP BY ALL) SELECT k, arg_min(ancestor, far) AS lca FROM s JOIN n USING (k) WHERE c = n GROUP BY k""")
 def a35_lca(spark, sf):
-    m = table(spark, sf, "orders").select((F.col("o_orderkey") % 400).alias("k"), (F.col("o_custkey") + 1000).alias("t"))
+    o, li = table(spark, sf, "orders"), table(spark, sf, "lineitem")
+    m = o.join(li, o["o_orderkey"] == li["l_orderkey"]).select(F.col("l_partkey").alias("k"), (F.col("o_custkey") + 1000).alias("t"))
     return TX.lca(m, _closure(spark, sf), "k", "t")
 
 
@@ -400,14 +443,26 @@ def a35_lca(spark, sf):
 _F = f"WITH f AS ({B.features('duckdb')})"
 
 
-@query(f"{_F} SELECT id, row_number() OVER (ORDER BY ps, pb, pe, pi, lvl, seqid, start, \"end\", id) AS n FROM (SELECT f.*, coalesce(p.seqid, f.seqid) AS ps, coalesce(p.start, f.start) AS pb, coalesce(p.\"end\", f.\"end\") AS pe, coalesce(p.id, f.id) AS pi, (f.parent IS NOT NULL)::INT AS lvl FROM f LEFT JOIN f p ON f.parent = p.id WHERE f.parent IS NULL OR p.id IS NOT NULL)")
+# Nations, customers, orders and lines: four levels; orders of every third customer have no place, as it is missing.
+_DEEP = """SELECT concat('n', CAST(n_nationkey AS STRING)) AS id, CAST(NULL AS STRING) AS parent, 'c' AS seqid, CAST(n_nationkey % 5 AS BIGINT) AS start, CAST(9 AS BIGINT) AS "end" FROM nation
+ UNION ALL SELECT concat('k', CAST(c_custkey AS STRING)), concat('n', CAST(c_nationkey AS STRING)), 'c', CAST(c_custkey % 7 AS BIGINT), CAST(9 AS BIGINT) FROM customer WHERE c_custkey % 3 <> 0
+ UNION ALL SELECT concat('o', CAST(o_orderkey AS STRING)), concat('k', CAST(o_custkey AS STRING)), 'c', CAST(o_orderkey % 11 AS BIGINT), CAST(9 AS BIGINT) FROM orders
+ UNION ALL SELECT DISTINCT concat('l', CAST(l_orderkey AS STRING), '.', CAST(l_linenumber AS STRING)), concat('o', CAST(l_orderkey AS STRING)), 'c', CAST(l_linenumber AS BIGINT), CAST(9 AS BIGINT) FROM lineitem"""
+_PATHS = f"""WITH f AS ({_DEEP}), s AS (SELECT id, parent, [{{'seqid': seqid, 'start': start, 'end': "end", 'id': id}}] AS own FROM f),
+ l1 AS (SELECT id, own AS path FROM s WHERE parent IS NULL), l2 AS (SELECT s.id, path || own AS path FROM s JOIN l1 ON parent = l1.id), l3 AS (SELECT s.id, path || own AS path FROM s JOIN l2 ON parent = l2.id), l4 AS (SELECT s.id, path || own AS path FROM s JOIN l3 ON parent = l3.id),
+ p AS (SELECT * FROM l1 UNION ALL SELECT * FROM l2 UNION ALL SELECT * FROM l3 UNION ALL SELECT * FROM l4)"""
+
+
+@query(f"{_PATHS} SELECT id, row_number() OVER (ORDER BY path) AS n FROM p")
 def s1_sort_hierarchy(spark, sf):
     from omicspark.operators.ranks import global_row_number
 
-    f = run(spark, sf, B.features("spark"))
-    p = f.select(F.col("id").alias("parent"), F.struct("seqid", "start", "end", "id").alias("place"))
-    placed = FT.sort_hierarchy(f)[0].join(p, "parent", "left").select("id", F.coalesce("place", F.struct("seqid", "start", "end", "id")).alias("a"), F.col("parent").isNotNull().alias("b"), F.struct("seqid", "start", "end", "id").alias("c"))
-    return global_row_number(placed, ["a", "b", "c"], "n").select("id", "n")
+    return global_row_number(FT.place_in_hierarchy(run(spark, sf, _DEEP))[0].select("id", "path"), ["path"], "n").select("id", "n")
+
+
+@query(f"{_PATHS} SELECT id, parent FROM f WHERE id NOT IN (SELECT id FROM p)")
+def s1_without_place(spark, sf):
+    return FT.sort_hierarchy(run(spark, sf, _DEEP))[1].select("id", "parent")
 
 
 @query(f"{_F} SELECT f.id, f.parent FROM f ANTI JOIN f p ON f.parent = p.id WHERE f.parent IS NOT NULL")
@@ -433,11 +488,11 @@ def w7_cds_phase(spark, sf):
     return FT.cds_phase(cds).select("tx", "start", "phase")
 
 
-@query("SELECT 'e' || l_orderkey || '.' || l_linenumber AS id, 't' || l_suppkey % 50 AS tx, CASE (l_suppkey % 50) % 3 WHEN 0 THEN (l_suppkey % 50 * 7)::STRING WHEN 1 THEN 'LOC' || l_suppkey % 50 ELSE 'g' || l_suppkey % 50 END AS gene FROM lineitem WHERE l_linenumber <= 2")
+@query("SELECT 'e' || l_orderkey || '.' || l_linenumber || '.' || l_partkey AS id, 't' || l_suppkey AS tx, CASE l_suppkey % 3 WHEN 0 THEN (l_suppkey * 7)::STRING WHEN 1 THEN 'LOC' || l_suppkey ELSE 'g' || l_suppkey END AS gene FROM lineitem")
 def j7_gff_to_gtf(spark, sf):
-    e = table(spark, sf, "lineitem").where("l_linenumber <= 2").select(F.concat(F.lit("e"), F.col("l_orderkey").cast("string"), F.lit("."), F.col("l_linenumber").cast("string")).alias("id"), F.concat(F.lit("t"), (F.col("l_suppkey") % 50).cast("string")).alias("parent"), F.lit("").alias("attributes"))
-    n = F.col("id")
-    t = spark.range(50).select(F.concat(F.lit("t"), n.cast("string")).alias("id"), F.concat(F.lit("g"), n.cast("string")).alias("parent"), F.when(n % 3 == 0, F.concat(F.lit("Dbxref=GeneID:"), (n * 7).cast("string"))).when(n % 3 == 1, F.concat(F.lit("gene=LOC"), n.cast("string"))).otherwise("").alias("attributes"))
+    e = table(spark, sf, "lineitem").select(F.concat(F.lit("e"), F.concat_ws(".", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey")])).alias("id"), F.concat(F.lit("t"), F.col("l_suppkey").cast("string")).alias("parent"), F.lit("").alias("attributes"))
+    n = F.col("s_suppkey")
+    t = table(spark, sf, "supplier").select(F.concat(F.lit("t"), n.cast("string")).alias("id"), F.concat(F.lit("g"), n.cast("string")).alias("parent"), F.when(n % 3 == 0, F.concat(F.lit("Dbxref=GeneID:"), (n * 7).cast("string"))).when(n % 3 == 1, F.concat(F.lit("gene=LOC"), n.cast("string"))).otherwise("").alias("attributes"))
     return FT.gff_to_gtf(e.unionByName(t)).where("id LIKE 'e%'")
 
 
@@ -448,12 +503,12 @@ def j5_gene_info(spark, sf):
     return FT.gene_info(f, info, 1).select("o_orderkey", "symbol")
 
 
-@query("SELECT s_suppkey, 'g' || s_suppkey % 30 AS gene FROM supplier WHERE s_suppkey % 30 < 20 UNION ALL SELECT s_suppkey, CASE WHEN s_suppkey % 30 <= 29 AND s_suppkey % 30 >= 20 THEN NULL END FROM supplier WHERE s_suppkey % 30 >= 20")
+@query("SELECT s_suppkey, CASE WHEN s_suppkey % 30 < 25 THEN 'g' || s_suppkey % 30 END AS gene FROM supplier")
 def j6_add_gene(spark, sf):
     df = table(spark, sf, "supplier").select("s_suppkey", F.concat(F.lit("tx=<"), (F.col("s_suppkey") % 30).cast("string"), F.lit(">")).alias("col"))
-    n = F.col("id").cast("string")
-    half = F.col("id") % 2 == 0
-    feats = spark.range(20).select(F.when(half, F.concat(F.lit("<"), n, F.lit(">"))).otherwise(F.concat(F.lit("rna-<"), n, F.lit(">.1"))).alias("id"), F.concat(F.lit("g"), n).alias("parent"))
+    n = F.col("n_nationkey").cast("string")
+    half = F.col("n_nationkey") % 2 == 0
+    feats = table(spark, sf, "nation").select(F.when(half, F.concat(F.lit("<"), n, F.lit(">"))).otherwise(F.concat(F.lit("rna-<"), n, F.lit(">.1"))).alias("id"), F.concat(F.lit("g"), n).alias("parent"))
     return FT.add_gene(df, feats, "col", "(<.*>)").select("s_suppkey", "gene")
 
 
@@ -471,14 +526,23 @@ def x20_sequences_as_features(spark, sf):
     return FT.sequences_as_features(run(spark, sf, B.READS).select(F.col("read_id").alias("seq_id"), "seq")).select("id", "type", "start", "end")
 
 
-@query("""WITH p AS (SELECT l_orderkey, l_linenumber AS n, l_partkey % 500 AS s, CASE WHEN l_orderkey % 2 = 0 THEN '-' ELSE '+' END AS strand, doc_id FROM lineitem JOIN documents ON doc_id = l_suppkey % 20 WHERE l_linenumber <= 2 GROUP BY ALL),
- q AS (SELECT *, substr(repeat(md5(text), 30), s + 1, 40) AS x FROM p JOIN documents USING (doc_id)), t AS (SELECT l_orderkey, n, doc_id, s, strand, translate(x, '0123456789abcdef', 'ACGTACGTACGTACGT') AS x FROM q)
- SELECT l_orderkey || '.' || n || '.' || doc_id || '.' || s AS id, CASE WHEN strand = '-' THEN reverse(translate(x, 'ACGT', 'TGCA')) ELSE x END AS seq FROM t""")
+_GENOME = "SELECT doc_id AS chrom, translate(repeat(md5(text), 30), '0123456789abcdef', 'ACGTACGTACGTACGT') AS seq FROM documents"
+_PARTS = "SELECT DISTINCT concat(l_orderkey, '.', l_linenumber, '.', l_suppkey, '.', l_partkey % 960) AS id, l_suppkey AS chrom, l_partkey % 960 AS start, l_partkey % 960 + 40 AS \"end\", CASE WHEN l_orderkey % 2 = 0 THEN '-' ELSE '+' END AS strand FROM lineitem"
+
+
+def _cut_out(low: str, high: str) -> str:
+    part = f"substr(seq, ({low}) + 1, ({high}) - ({low}))"
+    return f"WITH g AS ({_GENOME}), p AS ({_PARTS}) SELECT id, CASE WHEN strand = '-' THEN reverse(translate({part}, 'ACGT', 'TGCA')) ELSE {part} END AS seq FROM p JOIN g USING (chrom)"
+
+
+@query(_cut_out("start", '"end"'))
 def x14_extract_sequences(spark, sf):
-    genome = table(spark, sf, "documents").where("doc_id < 20").select(F.col("doc_id").alias("chrom"), F.translate(F.repeat(F.md5("text"), F.lit(30)), "0123456789abcdef", "ACGTACGTACGTACGT").alias("seq"))
-    x = table(spark, sf, "lineitem").where("l_linenumber <= 2").select("l_orderkey", "l_linenumber", (F.col("l_suppkey") % 20).alias("chrom"), (F.col("l_partkey") % 500).alias("start")).distinct()
-    parts = x.select(F.concat_ws(".", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "chrom", "start")]).alias("id"), "chrom", "start", (F.col("start") + 40).alias("end"), F.when(F.col("l_orderkey") % 2 == 0, "-").otherwise("+").alias("strand"))
-    return FT.extract_sequences(parts, genome, tile=64)
+    return FT.extract_sequences(run(spark, sf, _PARTS), run(spark, sf, _GENOME), tile=64)
+
+
+@query(_cut_out("CASE WHEN strand = '-' THEN greatest(start - 25, 0) ELSE start END", "CASE WHEN strand = '-' THEN \"end\" ELSE \"end\" + 25 END"))
+def x14_extended_sequences(spark, sf):
+    return FT.extract_sequences(run(spark, sf, _PARTS), run(spark, sf, _GENOME), tile=64, ext3=25)
 
 
 @query("SELECT doc_id, substr(md5(text), 1, 10) AS utr5, substr(md5(text), 21) AS utr3, true AS found FROM documents")
@@ -579,10 +643,25 @@ def a22_tmm_factors(spark, sf):
     return E.tmm_factors(c, "AF").select("sample", _r("factor").alias("factor"))
 
 
-@query("SELECT l_orderkey % 500 % 40 AS gene, l_quantity AS score, l_discount AS evalue, l_partkey::STRING AS descr FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey % 500 % 40 ORDER BY l_quantity DESC, l_discount, l_partkey::STRING) = 1")
+@query(f"""{_C}, t AS (SELECT sample, sum(value) AS n FROM c WHERE sample IN ('AF', 'NO', 'RF') GROUP BY sample), s AS (SELECT * FROM c JOIN t USING (sample) WHERE value > 0), r AS (SELECT feature, value AS r, n AS rn FROM s WHERE sample = 'AF'),
+ b AS (SELECT sample, log2(value / n / (r / rn)) AS m, log2(value / n * r / rn) / 2 AS a, 1 / ((n - value) / (n * value) + (rn - r) / (rn * r)) AS w FROM s JOIN r USING (feature)),
+ q AS (SELECT sample, quantile_cont(m, 0.3) AS ml, quantile_cont(m, 0.7) AS mh, quantile_cont(a, 0.05) AS al, quantile_cont(a, 0.95) AS ah FROM b GROUP BY sample),
+ f AS (SELECT sample, pow(2, sum(w * m) / sum(w)) AS f FROM b JOIN q USING (sample) WHERE m BETWEEN ml AND mh AND a BETWEEN al AND ah GROUP BY sample)
+ SELECT feature, sample, round(value * 1e6 / (n * f), 4) AS value FROM c JOIN t USING (sample) JOIN f USING (sample)""")
+def a22_tmm_cpm(spark, sf):
+    c = run(spark, sf, B.COUNTS).where(F.col("sample").isin(_SAMPLES))
+    return E.tmm_cpm(c, "AF").withColumn("value", _r("value", 4))
+
+
+@query()
+def a31_sample_pca(spark, sf):
+    return E.sample_pca(run(spark, sf, B.COUNTS), _SAMPLES)
+
+
+@query("SELECT o_custkey AS gene, l_quantity AS score, l_discount AS evalue, l_partkey::STRING AS descr FROM lineitem JOIN orders ON l_orderkey = o_orderkey QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY l_quantity DESC, l_discount, l_partkey::STRING) = 1")
 def a29_best_annotation(spark, sf):
-    ann = table(spark, sf, "lineitem").select(F.concat((F.col("l_orderkey") % 500).cast("string"), F.lit(".p1")).alias("tx"), F.col("l_quantity").alias("score"), F.col("l_discount").alias("evalue"), F.col("l_partkey").cast("string").alias("descr"))
-    return E.best_annotation(ann, spark.range(500).select(F.col("id").cast("string").alias("tx"), (F.col("id") % 40).alias("gene")))
+    ann = table(spark, sf, "lineitem").select(F.concat(F.col("l_orderkey").cast("string"), F.lit(".p1")).alias("tx"), F.col("l_quantity").alias("score"), F.col("l_discount").alias("evalue"), F.col("l_partkey").cast("string").alias("descr"))
+    return E.best_annotation(ann, table(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("tx"), F.col("o_custkey").alias("gene")))
 
 
 @query("""WITH g AS (SELECT DISTINCT l_partkey AS gene FROM lineitem), ch AS (SELECT DISTINCT l_partkey AS gene FROM lineitem WHERE l_discount >= 0.1), s AS (SELECT DISTINCT p_type AS term, p_partkey AS gene FROM part WHERE p_partkey IN (SELECT gene FROM g)),
@@ -625,13 +704,39 @@ def j21_term_zscore(spark, sf):
     return E.term_zscore(terms, de).withColumn("zscore", _r("zscore"))
 
 
-@query("""WITH t AS (SELECT ceil(count(*) / 1000.0)::BIGINT AS k FROM events), d AS (SELECT rep, user_id AS gene, (event_id * 48271 * rep % 2147483647) % k + 1 AS chunk FROM events, range(1, 3) r(rep), t),
- c AS (SELECT rep, gene, chunk, count(*) AS n FROM d GROUP BY ALL), u AS (SELECT *, sum(n) OVER (PARTITION BY rep, gene ORDER BY chunk) AS upto FROM c), f AS (SELECT rep, gene, min(chunk) AS chunk FROM u WHERE upto >= 2 GROUP BY ALL),
- g AS (SELECT c.rep, c.chunk, sum(n) AS n, any_value(coalesce(x.g, 0)) AS g FROM c LEFT JOIN (SELECT rep, chunk, count(*) AS g FROM f GROUP BY ALL) x ON x.rep = c.rep AND x.chunk = c.chunk GROUP BY ALL)
- SELECT rep::INTEGER AS rep, chunk, (sum(n) OVER (PARTITION BY rep ORDER BY chunk))::BIGINT AS mapped, (sum(g) OVER (PARTITION BY rep ORDER BY chunk))::BIGINT AS genes FROM g""")
+@query("""WITH t AS (SELECT ceil(count(*) / 1000.0)::BIGINT AS k FROM events), d AS (SELECT rep, user_id AS gene, CASE WHEN event_id % 3 = 0 THEN 0.5 ELSE 1.0 END AS w, event_id % 7 AS r, (event_id * 48271 * rep % 2147483647) % k + 1 AS chunk FROM events, range(1, 3) r(rep), t),
+ c AS (SELECT rep, gene, chunk, sum(w) AS n, coalesce(sum(w) FILTER (w >= 1), 0) AS u, sum(r) AS r FROM d GROUP BY ALL), u AS (SELECT *, sum(n) OVER w AS upto, sum(r) OVER w AS rpk FROM c WHERE gene IS NOT NULL WINDOW w AS (PARTITION BY rep, gene ORDER BY chunk)), f AS (SELECT rep, gene, min(chunk) AS chunk FROM u WHERE upto >= 2 AND rpk >= 8 GROUP BY ALL),
+ x AS (SELECT rep, chunk, count(*) AS g, count(c_custkey) AS o FROM f LEFT JOIN (SELECT c_custkey FROM customer WHERE c_custkey % 2 = 0) ON gene = c_custkey GROUP BY ALL),
+ s AS (SELECT rep, chunk, sum(n) AS n, sum(u) AS u FROM c GROUP BY ALL), g AS (SELECT rep, chunk, n, u, coalesce(x.g, 0) AS g, coalesce(x.o, 0) AS o FROM s LEFT JOIN x USING (rep, chunk))
+ SELECT rep::INTEGER AS rep, chunk, (sum(n) OVER v)::DOUBLE AS mapped, (sum(u) OVER v)::DOUBLE AS mapped_unique, (sum(g) OVER v)::BIGINT AS genes, (sum(o) OVER v)::BIGINT AS known, (sum(g - o) OVER v)::BIGINT AS novel FROM g WINDOW v AS (PARTITION BY rep ORDER BY chunk)""")
 def w5_rarefaction(spark, sf):
-    reads = table(spark, sf, "events").select(F.col("event_id").alias("read"), F.col("user_id").alias("gene"))
-    return E.rarefaction(reads, F.col("read") * 48271 * F.col("rep") % 2147483647, 1000, 2, 2)
+    w = F.when(F.col("event_id") % 3 == 0, 0.5).otherwise(1.0)
+    reads = table(spark, sf, "events").select(F.col("event_id").alias("read"), F.col("user_id").alias("gene"), w.alias("w"), (F.col("event_id") % 7).alias("r"))
+    known = table(spark, sf, "customer").where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("gene"))
+    return E.rarefaction(reads, F.col("read") * 48271 * F.col("rep") % 2147483647, 1000, 2, 2, 8.0, known, "w", "r")
+
+
+@query("""WITH g AS (SELECT l_linenumber, count(l_quantity) AS n, avg(l_quantity) AS m, stddev_samp(l_quantity) / sqrt(count(l_quantity)) AS se FROM lineitem GROUP BY l_linenumber)
+ SELECT l_linenumber, n, round(m / (l_linenumber * 50) * 100, 6) AS percent, round((m - 1.96 * se) / (l_linenumber * 50) * 100, 6) AS percent_low, round((m + 1.96 * se) / (l_linenumber * 50) * 100, 6) AS percent_high FROM g""")
+def w8_percent_of_chunk(spark, sf):
+    got = E.replicate_stats(table(spark, sf, "lineitem"), "l_linenumber", "l_quantity", F.col("l_linenumber") * 50)
+    return got.select("l_linenumber", "n", *[_r(c).alias(c) for c in ("percent", "percent_low", "percent_high")])
+
+
+_CURVE = "SELECT l_suppkey AS g, CAST(month(l_shipdate) AS BIGINT) + 12 * (CAST(year(l_shipdate) AS BIGINT) - 1992) AS x, CAST(sum(l_quantity) AS DOUBLE) AS y FROM lineitem GROUP BY l_suppkey, CAST(month(l_shipdate) AS BIGINT) + 12 * (CAST(year(l_shipdate) AS BIGINT) - 1992)"
+
+
+@query(f"SELECT g, x, round((y - lag(y) OVER w) / (x - lag(x) OVER w), 6) AS quotient FROM ({_CURVE}) WINDOW w AS (PARTITION BY g ORDER BY x)")
+def w9_difference_quotients(spark, sf):
+    return E.difference_quotients(run(spark, sf, _CURVE), "x", "y", "g").select("g", "x", _r("quotient").alias("quotient"))
+
+
+@query(f"""WITH c AS (SELECT g, x, sum(y) OVER (PARTITION BY g ORDER BY x) AS y FROM ({_CURVE})),
+ f AS (SELECT g, x, max(x) OVER a AS e, regr_slope(y, x) OVER a AS m, regr_intercept(y, x) OVER a AS b, regr_r2(y, x) OVER a AS r2, row_number() OVER (PARTITION BY g ORDER BY x) AS nr, count(*) OVER (PARTITION BY g) AS n FROM c WINDOW a AS (PARTITION BY g ORDER BY x ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING))
+ SELECT g, x::DOUBLE AS start, e::DOUBLE AS "end", round(m, 5) AS slope FROM f WHERE nr <= n - 6 AND r2 > 0.9 QUALIFY row_number() OVER (PARTITION BY g ORDER BY m, x) = 1""")
+def w9_steady_line(spark, sf):
+    upto = run(spark, sf, f"SELECT g, x, sum(y) OVER (PARTITION BY g ORDER BY x) AS y FROM ({_CURVE})")
+    return E.steady_line(upto, "x", "y", "g", 5, 0.9).select("g", "start", "end", _r("slope", 5).alias("slope"))
 
 
 @query("SELECT event_type, count(value) AS n, round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS sd, round(stddev_samp(value) / sqrt(count(value)), 6) AS se, round(avg(value) - 1.96 * stddev_samp(value) / sqrt(count(value)), 6) AS low, round(avg(value) + 1.96 * stddev_samp(value) / sqrt(count(value)), 6) AS high FROM events GROUP BY event_type")
@@ -648,21 +753,36 @@ def w9_saturation_fit(spark, sf):
 
 # --- graphs, k-mers, haplotypes, modules -------------------------------------------
 
-_SMALL = "SELECT feature, sample, sum(value) AS value FROM (SELECT concat('f', CAST(l_partkey % 60 AS STRING)) AS feature, concat('s', CAST(l_suppkey % 10 AS STRING)) AS sample, l_quantity AS value FROM lineitem WHERE l_linenumber = 1) GROUP BY feature, sample"
+# Parts met in orders.
+_MET = "SELECT concat('f', CAST(l_partkey AS STRING)) AS feature, concat('o', CAST(l_orderkey AS STRING)) AS sample, l_quantity AS value FROM lineitem"
+_SHARES = f"""WITH c AS (SELECT feature, sample, sum(value) AS value FROM ({_MET}) GROUP BY ALL), t AS (SELECT sample, sum(value) AS t FROM c GROUP BY sample), n AS (SELECT count(*) AS n FROM t), v AS (SELECT feature, sample, (value / t)::DOUBLE AS v FROM c JOIN t USING (sample))"""
+_RANKED = ", x AS (SELECT feature, sample, rank() OVER (PARTITION BY feature ORDER BY v) + (count(*) OVER (PARTITION BY feature, v) - 1) / 2.0 + (n - count(*) OVER f) - CASE WHEN n > count(*) OVER f THEN (n - count(*) OVER f + 1) / 2.0 ELSE 0 END AS v FROM v, n WINDOW f AS (PARTITION BY feature))"
+_PAIRED = ", s AS (SELECT feature, sum(v) AS s, sum(v * v) AS q FROM x GROUP BY feature), p AS (SELECT l.feature AS a, r.feature AS b, sum(l.v * r.v) AS p, sum(least(l.v, r.v)) AS low FROM x l JOIN x r ON l.sample = r.sample AND l.feature < r.feature GROUP BY ALL), j AS (SELECT a, b, p, low, l.s AS sa, l.q AS qa, r.s AS sb, r.q AS qb, n FROM p JOIN s l ON l.feature = a JOIN s r ON r.feature = b, n)"
+_ENDS = " (SELECT a, b, round(s, 6) AS score, 'top' AS side FROM k ORDER BY round(s, 9) DESC, a, b LIMIT 10) UNION ALL (SELECT a, b, round(s, 6), 'bottom' FROM k ORDER BY round(s, 9), a, b LIMIT 10)"
+_CORR = ", k AS (SELECT a, b, (n * p - sa * sb) / sqrt((n * qa - sa * sa) * (n * qb - sb * sb)) AS s FROM j WHERE (n * qa - sa * sa) * (n * qb - sb * sb) > 0)"
 
 
-@query(f"""WITH c AS ({_SMALL}), t AS (SELECT sample, sum(value) AS t FROM c GROUP BY sample), f AS (SELECT DISTINCT feature FROM c), x AS (SELECT f.feature, t.sample, coalesce(c.value, 0) / t AS v FROM f CROSS JOIN t LEFT JOIN c ON c.feature = f.feature AND c.sample = t.sample),
- r AS (SELECT l.feature AS a, r.feature AS b, corr(l.v, r.v) AS s FROM x l JOIN x r ON l.sample = r.sample AND l.feature < r.feature GROUP BY ALL), m AS (SELECT l.feature AS a, r.feature AS b FROM c l JOIN c r ON l.sample = r.sample AND l.feature < r.feature GROUP BY ALL), k AS (SELECT a, b, round(s, 9) AS s FROM r SEMI JOIN m USING (a, b) WHERE s IS NOT NULL AND NOT isnan(s))
- (SELECT a, b, round(s, 6) AS score, 'top' AS side FROM k ORDER BY s DESC, a, b LIMIT 10) UNION ALL (SELECT a, b, round(s, 6), 'bottom' FROM k ORDER BY s, a, b LIMIT 10)""")
+@query(f"{_SHARES}, x AS (SELECT * FROM v){_PAIRED}{_CORR}{_ENDS}")
 def a32_cooccurrence(spark, sf):
-    return G.cooccurrence(run(spark, sf, _SMALL), 10).withColumn("score", _r("score"))
+    return G.cooccurrence(run(spark, sf, _MET), 10).withColumn("score", _r("score"))
+
 
+@query(f"{_SHARES}{_RANKED}{_PAIRED}{_CORR}{_ENDS}")
+def a32_cooccurrence_of_ranks(spark, sf):
+    return G.cooccurrence(run(spark, sf, _MET), 10, "spearman").withColumn("score", _r("score"))
 
-_EDGES = "SELECT concat('n', CAST(l_suppkey % 50 AS STRING)) AS src, concat('n', CAST(l_partkey % 50 AS STRING)) AS dst, l_quantity AS weight FROM lineitem WHERE l_linenumber = 1 AND l_quantity >= 45"
 
+@query(f"{_SHARES}, x AS (SELECT * FROM v){_PAIRED}, k AS (SELECT a, b, 2 * low / (sa + sb) AS s FROM j){_ENDS}")
+def a32_cooccurrence_bray(spark, sf):
+    return G.cooccurrence(run(spark, sf, _MET), 10, "bray").withColumn("score", _r("score"))
 
-@query(f"""WITH e AS (SELECT least(src, dst) AS src, greatest(src, dst) AS dst, max(weight) AS weight FROM ({_EDGES}) WHERE src <> dst GROUP BY ALL), b AS (SELECT src, dst FROM e UNION ALL SELECT dst, src FROM e), d AS (SELECT src AS n, count(*) AS d FROM b GROUP BY src)
- SELECT e.src, e.dst, e.weight, x.d AS src_degree, y.d AS dst_degree, (SELECT count(*) FROM b p JOIN b q ON p.dst = q.dst WHERE p.src = e.src AND q.src = e.dst) AS common, round(2 * (SELECT count(*) FROM b p JOIN b q ON p.dst = q.dst WHERE p.src = e.src AND q.src = e.dst) / (x.d + y.d), 6) AS dice FROM e JOIN d x ON x.n = e.src JOIN d y ON y.n = e.dst""")
+
+_EDGES = "SELECT concat('n', CAST(l_suppkey AS STRING)) AS src, concat('n', CAST(l_partkey AS STRING)) AS dst, l_quantity AS weight FROM lineitem"
+
+
+@query(f"""WITH e AS (SELECT least(src, dst) AS src, greatest(src, dst) AS dst, max(weight) AS weight FROM ({_EDGES}) WHERE src <> dst GROUP BY ALL), b AS (SELECT src, dst FROM e UNION ALL SELECT dst, src FROM e), d AS (SELECT src AS n, count(*) AS d FROM b GROUP BY src),
+ c AS (SELECT e.src, e.dst, count(*) AS c FROM e JOIN b p ON p.src = e.src JOIN b q ON q.src = e.dst AND q.dst = p.dst GROUP BY ALL)
+ SELECT e.src, e.dst, e.weight, x.d AS src_degree, y.d AS dst_degree, coalesce(c, 0) AS common, round(2 * coalesce(c, 0) / (x.d + y.d), 6) AS dice FROM e JOIN d x ON x.n = e.src JOIN d y ON y.n = e.dst LEFT JOIN c USING (src, dst)""")
 def a33_edge_stats(spark, sf):
     return G.edge_stats(run(spark, sf, _EDGES)).withColumn("dice", _r("dice"))
 
@@ -677,19 +797,20 @@ def a26_filter_kmer_abundance(spark, sf):
     return K.filter_kmer_abundance(run(spark, sf, B.READS), 4, 20).select("read_id")
 
 
-@query("""WITH q AS (SELECT DISTINCT substr(text, i, 12) AS k FROM benchmark, range(1, 3000) t(i) WHERE i <= length(text) - 11), r AS (SELECT p_partkey AS id, substr(text, 1, 200) AS s FROM part JOIN documents ON doc_id = p_partkey WHERE length(substr(text, 1, 200)) >= 12),
- e AS (SELECT id, substr(s, i, 12) AS k FROM r, range(1, 200) t(i) WHERE i <= length(s) - 11) SELECT id FROM e LEFT JOIN q USING (k) GROUP BY id HAVING 2 * count(q.k) >= count(*)""")
+@query("""WITH q AS (SELECT DISTINCT substr(text, i, 5) AS k FROM (SELECT text, unnest(range(1, length(text) - 3)) AS i FROM benchmark)),
+ e AS (SELECT doc_id, substr(text, i, 5) AS k FROM (SELECT doc_id, text, unnest(range(1, length(text) - 3)) AS i FROM documents WHERE length(text) >= 5))
+ SELECT doc_id AS id FROM e LEFT JOIN q USING (k) GROUP BY doc_id HAVING 2 * count(q.k) >= count(*)""")
 def j23_sweep_reads(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text").join(table(spark, sf, "part"), F.col("doc_id") == F.col("p_partkey")).select(F.col("doc_id").alias("read_id"), F.substring("text", 1, 200).alias("seq"))
-    return K.sweep_reads(docs, table(spark, sf, "benchmark"), 12, query_seq="text").select(F.col("read_id").alias("id"))
+    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("read_id"), F.col("text").alias("seq"))
+    return K.sweep_reads(docs, table(spark, sf, "benchmark"), 5, query_seq="text").select(F.col("read_id").alias("id"))
 
 
-@query(f"""WITH p AS (SELECT read_id, seq FROM ({B.READS})), m AS (SELECT read_id, substr(seq, 11, 6) AS m FROM p WHERE CAST(substr(read_id, 2) AS BIGINT) % 20 = 0),
+@query(f"""WITH p AS (SELECT read_id, seq FROM ({B.READS})), m AS (SELECT read_id, substr(seq, 11, 6) AS m FROM p),
  j AS (SELECT m.read_id AS mature, p.read_id AS precursor, m, string_split(seq, m) AS parts FROM m JOIN p ON contains(seq, m))
  SELECT mature, precursor, (list_sum([length(x) FOR x IN parts[1:i]]) + (i - 1) * 6 + 1)::BIGINT AS position FROM j, range(1, 12) t(i) WHERE i < len(parts)""")
 def j19_find_in(spark, sf):
     reads = run(spark, sf, B.READS).select(F.col("read_id").alias("id"), "seq")
-    mature = reads.where("CAST(substr(id, 2) AS BIGINT) % 20 = 0").select("id", F.substring("seq", 11, 6).alias("seq"))
+    mature = reads.select("id", F.substring("seq", 11, 6).alias("seq"))
     return K.find_in(mature, reads, 5)
 
 
@@ -713,6 +834,20 @@ def a24_haplotype_freq(spark, sf):
     return HP.haplotype_freq(_geno(spark, sf)).withColumn("percent", _r("percent"))
 
 
+@query("""WITH g AS (SELECT vec_id AS s, 'pop' || label AS pop, m, CASE WHEN vec_id % 9 = 0 AND m = 2 THEN 'N' WHEN embedding[m] > 0 THEN 'A' ELSE 'T' END AS a FROM embeddings, range(1, 5) t(m)),
+ h AS (SELECT s, pop, string_agg(a, '' ORDER BY m) AS h FROM g GROUP BY ALL), w AS (SELECT pop, h, 2.0 * count(*) AS w FROM h GROUP BY ALL), c AS (SELECT * FROM w WHERE NOT contains(h, 'N')),
+ e AS (SELECT pop, h AS f, replace(h, 'N', b) AS h, w FROM w, (SELECT unnest(['A', 'C', 'G', 'T']) AS b) WHERE contains(h, 'N')), q AS (SELECT e.*, 1 + coalesce(c.w, 0) AS k FROM e LEFT JOIN c ON c.pop = e.pop AND c.h = e.h),
+ d AS (SELECT pop, h, w * k / sum(k) OVER (PARTITION BY pop, f) AS w FROM q), z AS (SELECT pop, h, sum(w) AS w FROM (SELECT * FROM c UNION ALL SELECT * FROM d) GROUP BY ALL), l AS (SELECT *, 'one' AS lv_one, 'two' || right(pop, 1)::INT % 2 AS lv_two FROM z)
+ SELECT lv_one, lv_two, pop, h AS haplotype, round(sum(w), 6) AS weight FROM l GROUP BY GROUPING SETS ((lv_one, lv_two, pop, h), (lv_one, lv_two, h), (lv_one, h))""")
+def a24_report_levels(spark, sf):
+    e = table(spark, sf, "embeddings").withColumn("m", F.explode(F.sequence(F.lit(1), F.lit(4))))
+    base = F.when((F.col("vec_id") % 9 == 0) & (F.col("m") == 2), "N").when(F.element_at("embedding", F.col("m")) > 0, "A").otherwise("T")
+    pop = F.concat(F.lit("pop"), F.col("label").cast("string"))
+    freq = HP.haplotype_freq(e.select(F.col("vec_id").alias("subject"), pop.alias("pop"), F.col("m").alias("marker"), base.alias("a1"), base.alias("a2")))
+    pops = table(spark, sf, "embeddings").select(pop.alias("pop"), F.lit("one").alias("lv_one"), F.concat(F.lit("two"), (F.right(F.col("label").cast("string"), F.lit(1)).cast("int") % 2).cast("string")).alias("lv_two")).distinct()
+    return HP.report_levels(freq, pops).withColumn("weight", _r("weight"))
+
+
 @query("""WITH s AS (SELECT o_custkey, list(DISTINCT b) AS ids FROM (SELECT o_custkey, 'K' || l_linenumber AS b FROM orders JOIN lineitem ON o_orderkey = l_orderkey) GROUP BY o_custkey)
  SELECT o_custkey::STRING AS key, 'M1' AS module, ((list_contains(ids, 'K1') OR list_contains(ids, 'K2'))::INT + (list_contains(ids, 'K6') AND list_contains(ids, 'K7'))::INT + list_contains(ids, 'K5')::INT)::BIGINT AS found, 3::BIGINT AS needed FROM s
  UNION ALL SELECT o_custkey::STRING, 'M2', (list_contains(ids, 'K3') AND (list_contains(ids, 'K4') OR list_contains(ids, 'K7')))::BIGINT, 1 FROM s""")

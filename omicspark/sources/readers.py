@@ -30,6 +30,9 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
     return whole.select(F.regexp_extract(head, r"^(\S*)", 1).alias("seq_id"), F.trim(F.regexp_extract(head, r"^\S*\s*(.*)$", 1)).alias("descr"), F.regexp_replace(body, r"\s", "").alias("seq"))
 
 
+_FASTQ_ROWS = 4096
+
+
 class _FastqPart(InputPartition):
     def __init__(self, path: str, start: int, stop: int):
         self.path, self.start, self.stop = path, start, stop
@@ -37,7 +40,7 @@ class _FastqPart(InputPartition):
 
 class _FastqReader(DataSourceReader):
     def __init__(self, options):
-        self.path, self.size = options["path"], int(options.get("partbytes", 64 << 20))
+        self.path, self.size, self.skip = options["path"], int(options.get("partbytes", 64 << 20)), options.get("badrecords", "fail") == "skip"
 
     def partitions(self):
         from pyarrow import fs
@@ -53,38 +56,49 @@ class _FastqReader(DataSourceReader):
         return parts
 
     def read(self, part):
-        """Records that begin in the part: a record is four lines, the first with ``@``, the third with ``+``, bases and qualities of one length."""
-        from pyarrow import fs
+        """Arrow batches of the records that begin in the part.
+
+        A record is four lines, the first with ``@``, the third with ``+``, bases and
+        qualities of one length. A part that begins within a record leaves out its
+        rest, at most three lines. Anything else that is no record is an error, or
+        with the option badRecords=skip left out line by line. Blank lines between records are borne.
+        """
+        from pyarrow import RecordBatch, fs
 
         store, _ = fs.FileSystem.from_uri(self.path) if "://" in self.path else (fs.LocalFileSystem(), "")
         gz = part.path.endswith(".gz")
+        midway = 3 if not gz and part.start else 0  # lines that may belong to a record begun before
+        held: list[tuple[str, str, str, str]] = []
+        names = ["read_id", "descr", "seq", "qual"]
         with io.BufferedReader(store.open_input_stream(part.path) if gz else store.open_input_file(part.path), 1 << 20) as f:
             at = 0
-            if not gz and part.start:
+            if midway:
                 f.seek(part.start - 1)
                 at = part.start - 1 + len(f.readline())
             lines: list[tuple[int, str]] = []
-
-            def take() -> bool:
-                nonlocal at
-                raw = f.readline()
-                if raw:
-                    lines.append((at, raw.decode("utf-8", "replace").rstrip("\r\n")))
-                    at += len(raw)
-                return bool(raw)
-
             while True:
-                while len(lines) < 4 and take():
-                    pass
-                if len(lines) < 4 or (not gz and lines[0][0] >= part.stop):
-                    return
-                (_, head), (_, seq), (_, plus), (_, qual) = lines[:4]
+                while len(lines) < 4 and (raw := f.readline()):
+                    text = raw.decode("utf-8", "replace").rstrip("\r\n")
+                    if lines or text:
+                        lines.append((at, text))
+                    at += len(raw)
+                if not lines or (not gz and lines[0][0] >= part.stop):
+                    break
+                head, seq, plus, qual = [t for _, t in lines] if len(lines) == 4 else ("", "", "", "")
                 if head.startswith("@") and plus.startswith("+") and len(seq) == len(qual):
                     name, _, descr = head[1:].partition(" ")
-                    yield name, descr, seq, qual
-                    del lines[:4]
-                else:
+                    held.append((name, descr, seq, qual))
+                    lines, midway = [], 0
+                    if len(held) == _FASTQ_ROWS:
+                        yield RecordBatch.from_arrays(list(map(list, zip(*held))), names)
+                        held = []
+                elif midway or self.skip:
+                    midway = max(0, midway - 1)
                     del lines[0]
+                else:
+                    raise ValueError(f"no FASTQ record at byte {lines[0][0]} of {part.path}: {lines[0][1][:80]}")
+        if held:
+            yield RecordBatch.from_arrays(list(map(list, zip(*held))), names)
 
 
 class FastqDataSource(DataSource):
@@ -99,10 +113,13 @@ class FastqDataSource(DataSource):
         return _FastqReader(self.options)
 
 
-def read_fastq(spark: SparkSession, path: str, part_bytes: int = 64 << 20) -> DataFrame:
-    """(read_id, descr, seq, qual). A large file is read in parts of ``part_bytes``, each from the first whole record."""
+def read_fastq(spark: SparkSession, path: str, part_bytes: int = 64 << 20, bad_records: str = "fail") -> DataFrame:
+    """(read_id, descr, seq, qual). A large file is read in parts of ``part_bytes``, each from the first whole record.
+
+    bad_records: ``fail`` at what is no record, or ``skip`` it.
+    """
     spark.dataSource.register(FastqDataSource)
-    return spark.read.format("fastq").option("partBytes", part_bytes).load(path)
+    return spark.read.format("fastq").option("partBytes", part_bytes).option("badRecords", bad_records).load(path)
 
 
 def read_gff(spark: SparkSession, path: str, dialect: str = "gff3") -> DataFrame:

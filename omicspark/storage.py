@@ -67,3 +67,11 @@ def free_name(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def bounded(df: DataFrame, most: int, what: str) -> DataFrame:
+    """``df`` written, if it has at most ``most`` rows; an error otherwise. For sides that meet every row of another table."""
+    held = materialize(df, "bounded")
+    if held.limit(most + 1).count() > most:
+        raise ValueError(f"over {most} {what}")
+    return held

@@ -129,7 +129,7 @@ def test_merge_unmerge_round_trip(spark):
 
 def test_dedup_of_unequal_mates(spark):
     df = spark.createDataFrame([("a", "ACG", "T", "#I#", "I"), ("b", "ACG", "T", "I#I", "#"), ("c", "A", "T", "5", "5")], "id string, seq1 string, seq2 string, qual1 string, qual2 string")
-    got = {r.id: (r.n, r.qual1, r.qual2) for r in RD.dedup_pairs(df, 4).collect()}
+    got = {r.id: (r.n, r.qual1, r.qual2) for r in RD.dedup_pairs(df).collect()}
     assert got == {"a": (2, "III", "I"), "c": (1, "5", "5")}
 
 

@@ -6,7 +6,7 @@ import os
 import duckdb
 import pytest
 
-from omicspark.plans import queries as Q, queries_more  # noqa: F401
+from omicspark.plans import queries as Q, queries_io, queries_more  # noqa: F401
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
