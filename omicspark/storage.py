@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -14,19 +15,39 @@ _SETTING = "spark.checkpoint.dir"
 def shared_dir(spark: SparkSession) -> str:
     """The URI of the shared folder.
 
-    It is what the cluster names in ``spark.checkpoint.dir``. Only where that is
-    unset (local tests) a temporary folder is made and set for the session.
+    It is what the cluster names in ``spark.checkpoint.dir``. Where that is unset a
+    temporary folder is made and set for the session if all runs in one local
+    process; on a cluster, where executors don't see the driver's disk, it is an error.
     """
     found = spark.conf.get(_SETTING, None)
     if not found:
+        master = spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise RuntimeError(f"{_SETTING} must name a folder that driver and executors of {master or 'the cluster'} share")
         found = "file://" + tempfile.mkdtemp(prefix="spark-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set(_SETTING, found)
     return found.rstrip("/")
 
 
+_runs: dict[str, str] = {}
+
+
+def run_dir(spark: SparkSession) -> str:
+    """The folder of this run below the shared one. It goes when the driver's process ends."""
+    key = f"{shared_dir(spark)} {spark.conf.get('spark.app.id', '')}"
+    if key not in _runs:
+        found = f"{shared_dir(spark)}/omicspark/{uuid.uuid4().hex}"
+        path = spark._jvm.org.apache.hadoop.fs.Path(found)
+        store = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+        store.mkdirs(path)
+        store.deleteOnExit(path)
+        _runs[key] = found
+    return _runs[key]
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    """A path below the shared folder that nothing has used."""
-    return f"{shared_dir(spark)}/omicspark/{name}-{uuid.uuid4().hex}"
+    """A path in the run's folder that nothing has used."""
+    return f"{run_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -53,7 +74,8 @@ def spread(spark: SparkSession, rows: int = 1 << 62, most: int = 1 << 12) -> int
 def bound_batches(spark: SparkSession, rows: int = 1024) -> None:
     """Let Python workers get at most ``rows`` rows at a time, for tables of long texts.
 
-    The session keeps the setting, as plans are made when their results are asked for.
+    The session keeps the setting, as plans are made when their results are asked
+    for; a smaller number that is set already stays.
     """
     setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
     now = int(spark.conf.get(setting, "10000"))
