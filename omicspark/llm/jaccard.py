@@ -5,8 +5,9 @@ Candidates come from MinHash: 32 bands of 5 minima. Two texts with a similarity
 0.8. Texts joined by shared bands form coarse components. Within each, similarity
 is counted exactly on the shingles, so no link is ever a guess: a breadth-first
 search over an inverted index of the shingles gives a spanning forest of the links.
-A component with more than ``BLOCK`` shingles is dealt as pairs of blocks, so every
-two of its texts still meet and none is cut short.
+A component with more than ``BLOCK`` shingles is dealt as blocks, and texts of
+different blocks meet unless they are known to be of one group, so none is cut
+short and a large group of copies is not compared with itself.
 """
 
 from __future__ import annotations
@@ -18,11 +19,12 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F, types as T
 
+from omicspark.llm.rows import keep_rows, one_a_key, row_key
 from omicspark.operators.components import connected_components
-from omicspark.storage import bound_batches, free_name, materialize
+from omicspark.storage import bound_batches, materialize
 
 SHINGLE = 5
 SEED = 42
@@ -119,7 +121,7 @@ def forest(nodes: np.ndarray, sets: list[np.ndarray]) -> tuple[np.ndarray, np.nd
             continue
         left[start] = False
         queue = [start]
-        while queue:
+        while queue and left.any():
             u = queue.pop()
             own = ids[ends[u] : ends[u + 1]]
             at, length = heads[own], heads[own + 1] - heads[own]
@@ -136,33 +138,69 @@ def forest(nodes: np.ndarray, sets: list[np.ndarray]) -> tuple[np.ndarray, np.nd
 
 
 def _link(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Verified links among the texts of one component or of two of its blocks."""
+    """Verified links among the texts of a component, of a block or of two blocks."""
     src, dst = forest(pdf["node"].to_numpy(), [np.frombuffer(s, dtype=np.uint64) for s in pdf["shingles"]])
     return pd.DataFrame({"src": src, "dst": dst})
 
 
-def _row_key(id_col: str, text_col: str) -> Column:
-    """128 bits that tell a row by its id and text, the same wherever the row stands."""
-    known = F.concat(F.col(id_col).isNull().cast("string"), F.col(text_col).isNull().cast("string"), F.lit(" "), F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(" "))
-    return F.unhex(F.md5(F.concat(known.cast("binary"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")))))
+def _dealt(members: DataFrame, by: list[str], name: str) -> DataFrame:
+    """``members`` with ``blocks``, how many blocks of BLOCK shingles their group (columns ``by``) makes, and ``block``, theirs."""
+    blocks = members.groupBy(*by).agg(F.greatest(F.ceil(F.sum("size") / F.lit(BLOCK)), F.lit(1)).cast("int").alias("blocks"))
+    return materialize(members.join(blocks, by).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")), name)
 
 
-def _one_a_key(rows: DataFrame, key: str, rest: list[str]) -> DataFrame:
-    """One row of each key, the same each time; rows beyond it go before the shuffle."""
-    n = free_name(rows, "__n")
-    first = Window.partitionBy(key).orderBy(F.xxhash64(*rest) if rest else F.lit(0))
-    return rows.withColumn(n, F.row_number().over(first)).where(F.col(n) == 1).drop(n)
+def _met(rows: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
+    """Links found where blocks meet. rows: node, shingles, component, block; pairs: component, block, other, each pair both ways."""
+    met = rows.join(pairs, ["component", "block"]).select("node", "shingles", "component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    return materialize(met.groupBy("component", "i", "j").applyInPandas(_link, "src long, dst long"), name)
 
 
-def _verified(texts: DataFrame, members: DataFrame) -> DataFrame:
-    """(src, dst): links among the nodes of each coarse component. texts: key, text; members: key, node, size, component."""
-    blocks = members.groupBy("component").agg(F.ceil(F.sum("size") / F.lit(BLOCK)).cast("int").alias("blocks"))
-    dealt = materialize(members.join(blocks, "component").withColumn("block", F.pmod(F.xxhash64("node"), F.greatest("blocks", F.lit(1))).cast("int")), "dealt").select("key", "node", "component", "blocks", "block")
+def _all_pairs(dealt: DataFrame) -> DataFrame:
+    return dealt.select("component", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).distinct()
+
+
+def _large_links(own: DataFrame, bands: DataFrame) -> DataFrame:
+    """Links within components of several blocks: own: node, size, shingles, component, block; bands: band, node.
+
+    First each block by itself, then one text of each group so found with those of
+    the other blocks: a large group of copies is one group from then on. Texts of
+    different groups that share a band meet once more, all of them; texts of one
+    group never do, so work grows with a group, not with its square.
+    """
+    within = materialize(own.groupBy("component", "block").applyInPandas(_link, "src long, dst long"), "links-within")
+    first = materialize(connected_components(within, "src", "dst"), "first-groups")
+    led = own.join(first.where("node <> component").select("node").hint("merge"), "node", "left_anti")
+    leaders = _dealt(led.select("node", "component", "size"), ["component"], "leaders")
+    across = _met(led.drop("block").join(leaders.select("node", "block").hint("merge"), "node"), _all_pairs(leaders), "links-across")
+    links = within.unionByName(across)
+    groups = materialize(connected_components(links, "src", "dst").withColumnRenamed("component", "fine"), "groups")
+    named = materialize(own.select("node", "component", "size").join(groups.hint("merge"), "node", "left").withColumn("fine", F.coalesce("fine", "node")), "named")
+    # Texts that share a band with a text of another group.
+    shared = bands.join(named.select("node", "fine").hint("merge"), "node")
+    several = shared.groupBy("band").agg(F.min("fine").alias("lo"), F.max("fine").alias("hi")).where("lo <> hi").select("band")
+    edge = named.join(shared.join(several.hint("merge"), "band").select("node").distinct().hint("merge"), "node", "left_semi")
+    if edge.isEmpty():
+        return links
+    # A group that fills a block has blocks of its own; the others of a component share blocks.
+    sized = edge.join(edge.groupBy("fine").agg(F.sum("size").alias("whole")), "fine")
+    dealt = _dealt(sized.withColumn("part", F.when(F.col("whole") >= BLOCK, F.col("fine")).otherwise(-1)), ["component", "part"], "edge-blocks")
+    named_blocks = dealt.select("node", "component", F.when(F.col("part") >= 0, F.col("part")).alias("part"), F.xxhash64("part", "block").alias("block"))
+    blocks = materialize(named_blocks.select("component", "block", "part").distinct(), "blocks")
+    other = blocks.select("component", F.col("block").alias("other"), F.col("part").alias("other_part"))
+    pairs = blocks.join(other, "component").where("part IS NULL OR other_part IS NULL OR part <> other_part").select("component", "block", "other")
+    return links.unionByName(_met(own.select("node", "shingles").join(named_blocks.select("node", "component", "block").hint("merge"), "node"), pairs, "links-between"))
+
+
+def _verified(texts: DataFrame, members: DataFrame, bands: DataFrame) -> DataFrame:
+    """(src, dst): links among the nodes of each coarse component. texts: key, text; members: key, node, size, component; bands: band, node."""
+    dealt = _dealt(members, ["component"], "dealt")
     # The members grow with the table, so they are no side to broadcast.
-    own = _one_a_key(texts, "key", []).join(dealt.hint("merge"), "key").select("node", "component", "blocks", "block", _set_bytes(F.col("text")).alias("shingles"))
-    met = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.greatest("blocks", F.lit(1)) - 1)))
-    met = met.select("node", "shingles", "component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    return met.groupBy("component", "i", "j").applyInPandas(_link, "src long, dst long")
+    own = one_a_key(texts, "key", []).join(dealt.hint("merge"), "key").select("node", "component", "size", "blocks", "block", _set_bytes(F.col("text")).alias("shingles"))
+    if dealt.where("blocks > 1").isEmpty():
+        return materialize(own.groupBy("component").applyInPandas(_link, "src long, dst long"), "links")
+    own = materialize(own, "shingles")
+    small = materialize(own.where("blocks = 1").groupBy("component").applyInPandas(_link, "src long, dst long"), "links")
+    return small.unionByName(_large_links(own.where("blocks > 1").drop("blocks"), bands))
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -177,7 +215,7 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     spark = docs.sparkSession
     bound_batches(spark)
     text = F.col(text_col).cast("binary")
-    sketched = docs.select(_row_key(id_col, text_col).alias("key"), F.col(id_col).alias("id"), _sketch(text).alias("s"))
+    sketched = docs.select(row_key(id_col, text_col).alias("key"), F.col(id_col).alias("id"), _sketch(text).alias("s"))
     rows = materialize(sketched.select("key", "id", "s.*").withColumn("uid", F.monotonically_increasing_id()), "sketches")
     # Texts with the same shingles are one node: the smallest row number among them.
     low = F.min(F.struct(F.col("id").isNull().alias("missing"), F.col("id"), F.col("uid")))
@@ -187,12 +225,9 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     shared = keyed.repartition("band").sortWithinPartitions("band", "node").mapInArrow(_first_of_key, "src long, dst long")
     coarse = materialize(connected_components(shared, "src", "dst"), "coarse")
     members = materialize(coarse.join(rows.select(F.col("uid").alias("node"), "key", "size").hint("merge"), "node"), "members")
-    links = materialize(_verified(docs.select(_row_key(id_col, text_col).alias("key"), text.alias("text")), members), "links")
+    links = _verified(docs.select(row_key(id_col, text_col).alias("key"), text.alias("text")), members, keyed)
     roots = connected_components(links, "src", "dst")
     rooted = nodes.join(roots.hint("merge"), "node", "left").select("low", F.coalesce("component", "node").alias("root"))
     stay = materialize(rooted.groupBy("root").agg(F.min("low").alias("low")).select(F.col("low.uid").alias("uid")), "stay")
-    key = free_name(docs, "__jaccard_key")
-    chosen = rows.select("uid", F.col("key").alias(key)).join(stay.hint("merge"), "uid", "left_semi").select(key)
-    others = [f"`{c}`" for c, kind in docs.dtypes if c not in (id_col, text_col) and not kind.startswith(("map", "variant"))]
-    # The rows that stay grow with the table, so they are no side to broadcast, however few they are today.
-    return _one_a_key(docs.withColumn(key, _row_key(id_col, text_col)), key, others).join(chosen.hint("merge"), key, "left_semi").drop(key)
+    chosen = rows.select("uid", "key").join(stay.hint("merge"), "uid", "left_semi")
+    return keep_rows(docs, chosen, id_col, text_col)

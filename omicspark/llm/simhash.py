@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F, types as T
 
 from omicspark.llm import golay
+from omicspark.llm.rows import keep_rows, row_key
 from omicspark.operators.components import connected_components
 from omicspark.storage import materialize, spread
 
@@ -273,15 +274,14 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     Of rows with equal ids and linked or equal fingerprints one stays. Only ids
     and fingerprints take part in the search; the texts move once, to be joined
-    with the rows that stay.
+    with the rows that stay. ``docs`` is read twice; rows are known by their ids and
+    texts, so it may be shuffled otherwise each time.
     """
-    uid = "__simhash_row"
-    numbered = docs.withColumn(uid, F.monotonically_increasing_id())
-    prints = materialize(numbered.select(uid, F.col(id_col).alias("id"), fingerprint(text_col).alias("fingerprint")), "prints")
-    low = F.min(F.struct(F.col("id").isNull().alias("missing"), F.col("id"), F.col(uid)))
+    numbered = docs.select(row_key(id_col, text_col).alias("key"), F.col(id_col).alias("id"), fingerprint(text_col).alias("fingerprint"))
+    prints = materialize(numbered, "prints")
+    low = F.min(F.struct(F.col("id").isNull().alias("missing"), F.col("id"), F.col("key")))
     lowest = prints.groupBy("fingerprint").agg(low.alias("low"))
     roots = materialize(near_duplicates(prints), "roots")
     rooted = lowest.join(roots, lowest["fingerprint"] == roots["print"], "left").select("low", F.coalesce("root", "fingerprint").alias("root"))
-    stay = materialize(rooted.groupBy("root").agg(F.min("low").alias("low")).select(F.col(f"low.{uid}").alias(uid)), "stay")
-    # The rows that stay grow with the table, so they are no side to broadcast, however few they are today.
-    return numbered.join(stay.hint("merge"), uid, "left_semi").select(*docs.columns)
+    stay = materialize(rooted.groupBy("root").agg(F.min("low").alias("low")).select(F.col("low.key").alias("key")), "stay")
+    return keep_rows(docs, stay, id_col, text_col)

@@ -73,6 +73,35 @@ def test_large_component_is_dealt_in_blocks(spark, monkeypatch):
     assert stage(spark, rows) == brute(rows)
 
 
+def test_large_groups_of_copies(spark, monkeypatch):
+    """Groups of many blocks, chains of texts that are similar to the next one only, and texts near two groups."""
+    monkeypatch.setattr(J, "BLOCK", 400)
+    rng = np.random.default_rng(11)
+    base = [f"w{x}" for x in rng.integers(0, 10**6, 100)]
+    rows = []
+
+    def add(words):
+        rows.append((len(rows), " ".join(words)))
+
+    for _ in range(40):  # copies with one or two words changed
+        copy = list(base)
+        for at in rng.choice(100, int(rng.integers(0, 3)), replace=False):
+            copy[at] = f"x{rng.integers(10**6)}"
+        add(copy)
+    chain = list(base)
+    for step in range(30):  # each four words further from the first
+        chain = [*chain[4:], *(f"c{step}_{i}" for i in range(4))]
+        add(chain)
+    for at in range(0, 100, 9):  # too far from the copies, near to each other
+        far = list(base)
+        far[5:30] = [f"f{i}" for i in range(25)]
+        far[at] = "one"
+        add(far)
+    order = rng.permutation(len(rows))
+    rows = [rows[i] for i in order]
+    assert stage(spark, rows) == brute(rows)
+
+
 def test_documents_match_brute_force(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     assert stage(spark, rows) == brute(rows)

@@ -98,3 +98,13 @@ def test_empty_and_one_of_each(spark):
     kept = S.one_of_each(df)
     assert kept.columns == ["doc_id", "text", "x"]
     assert sorted((r.doc_id is None, r.doc_id or 0) for r in kept.collect()) == [(False, 3), (False, 7), (True, 0)]
+
+
+def test_one_of_each_of_shuffled_rows(spark, tmp_path):
+    rows = [(i, f"text {i % 90} of some words that are its own {i % 90}", "x" * (i % 40)) for i in range(300)]
+    spark.createDataFrame(rows, "doc_id long, text string, other string").repartition(5).write.parquet(f"{tmp_path}/d")
+    docs = spark.read.parquet(f"{tmp_path}/d").repartition(3)
+    want = {}
+    for d, t, c in brute([(d, t) for d, t, _ in rows]):
+        want[c] = min(want.get(c, d), d)
+    assert sorted(r.doc_id for r in S.one_of_each(docs).select("doc_id").collect()) == sorted(want.values())
