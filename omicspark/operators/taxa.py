@@ -54,7 +54,8 @@ def lca(df: DataFrame, closure: DataFrame, key: str, taxid: str, strip: bool = F
     """(key, lca): the lowest common ancestor of each key's taxa.
 
     strip: first leave out taxa that are above all others of their key; what is
-    left may be one taxon, which then is the answer.
+    left may be one taxon, which then is the answer. A key's distinct taxa are
+    gathered for that, at most as many as the taxonomy has.
     """
     members = df.select(F.col(key).alias("key"), F.col(taxid).alias("taxid")).where("taxid IS NOT NULL").distinct()
     if strip:
