@@ -116,9 +116,10 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: int, end_id: int,
     """Encode every whole text, end it with ``end_id`` and write ids in ascending order of ``id_col``.
 
     Gives (file, part, n_docs, n_ids, base): a row a file, in order of part; base
-    is the number of ids in the files before. Null ids come first; equal ids stand
-    together in any order. path: a tokenizer that drops white space. Null and empty
-    texts are their end id alone. An empty table gives no files.
+    is the number of ids in the files before. Null ids come first; rows of one id stand
+    together, by a hash of their columns, in as many files as they need. path: a
+    tokenizer that drops white space. Null and empty texts are their end id alone. An
+    empty table gives no files.
     """
     bound_batches(docs.sparkSession)
     folder = new_path(docs.sparkSession, "packed")
@@ -136,7 +137,10 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: int, end_id: int,
             out.close()
             yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([part], pa.int32()), pa.array([n]), pa.array([out.n_ids])], ["file", "part", "n_docs", "n_ids"])
 
-    ordered = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("data")).repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    # One id may hold a large part of the rows, so ranges go on within it.
+    told = F.xxhash64(*[F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind])
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("data"), told.alias("told"))
+    ordered = rows.repartitionByRange("doc_id", "told").sortWithinPartitions("doc_id", "told").select("doc_id", "data")
     files = materialize(ordered.mapInArrow(write, "file string, part int, n_docs long, n_ids long"), "packed-names")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row a file
     return materialize(files.withColumn("base", F.coalesce(F.sum("n_ids").over(before), F.lit(0))), "packed-files")

@@ -25,7 +25,7 @@ from omicspark.storage import materialize
 
 BLOCK = 4096
 QUERIES = 4096
-_STEP = 16  # rows of a list read at first; then as many again as were read
+_STEP = 128  # rows of a list read at first; then as many again as were read
 _EXACT = 1 << 53  # products and sums below this are exact in floating point
 
 

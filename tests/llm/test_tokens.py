@@ -173,6 +173,25 @@ def test_token_files(spark):
     assert token_files.read_token_files(token_files.write_token_files(df.limit(0), WORDS, 49408, 2)).count() == 0
 
 
+def test_rows_of_one_id_go_to_several_files(spark):
+    """A null id or another that holds most rows is spread, and ids still ascend from file to file."""
+    rows = [(None, f"null {i}") for i in range(150)] + [(7, f"seven {i}") for i in range(150)] + [(i, "x") for i in range(20)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so few bytes would be put together again
+    try:
+        files = token_files.write_token_files(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), WORDS, 49408, 2).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(files) == 4 and max(f.n_docs for f in files) < 130
+    got = token_files.read_token_files(token_files.write_token_files(spark.createDataFrame(rows, "doc_id long, text string"), WORDS, 49408, 2)).orderBy("start").collect()
+    assert [r.doc_id for r in got] == sorted((d for d, _ in rows), key=lambda d: (d is not None, d or 0))
+    encode = hugging(WORDS)
+    assert sorted((r.doc_id or -1, r.ids) for r in got) == sorted((d or -1, [*encode(t), 2]) for d, t in rows)
+    at = 0
+    for r in got:
+        assert r.start == at
+        at += len(r.ids)
+
+
 def test_packing_plan_places_every_id_once():
     rng = np.random.default_rng(3)
     for n, window in ((0, 64), (1, 64), (500, 64), (3000, 256)):
