@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from omicspark.sources import readers as IN
 from omicspark.operators import expression as E, features as FT, graphs as G, haplotypes as HP, hits as H, intervals as I, kmers as K, ranks as R, reads as RD, tables as TB, taxa as TX
 
 
@@ -31,6 +32,43 @@ def test_overlap_modes_of_shuffled_rows(spark, tmp_path):
         I.overlap_join(da, db, mode="x")
 
 
+def test_linked_loci(spark):
+    """Against a plain search: only overlaps between the two sets on one strand link."""
+    rng = np.random.default_rng(12)
+    make = lambda n, tag: [(str(rng.choice(["c1", "c2"])), int(s), int(s + rng.integers(1, 40)), str(rng.choice(["+", "-"])), f"{tag}{i:02}") for i, s in enumerate(rng.integers(0, 900, n))]
+    schema = "chrom string, start long, end long, strand string, name string"
+    a, b = make(60, "a"), make(60, "b")
+    group = {x[4]: x[4] for x in a + b}
+    changed = True
+    while changed:
+        changed = False
+        for x in a:
+            for y in b:
+                if x[0] == y[0] and x[3] == y[3] and x[1] < y[2] and y[1] < x[2] and group[x[4]] != group[y[4]]:
+                    group[x[4]] = group[y[4]] = min(group[x[4]], group[y[4]])
+                    changed = True
+    want = {}
+    for x in a + b:
+        want.setdefault(group[x[4]], []).append(x)
+    got = {r.locus: (r.chrom, r.strand, r.start, r.end, r.members) for r in I.link_loci(spark.createDataFrame(a, schema), spark.createDataFrame(b, schema)).collect()}
+    assert got == {k: (v[0][0], v[0][3], min(x[1] for x in v), max(x[2] for x in v), "/".join(sorted(x[4] for x in v))) for k, v in want.items()}
+    assert len(got) < 110
+
+
+def test_fastq_records_that_are_none(spark, tmp_path):
+    good = "".join(f"@r{i} d\nACGT\n+\nII@I\n" for i in range(50))
+    (tmp_path / "ok.fq").write_text("\n" + good + "\n\n")
+    for size in (13, 100, 1 << 20):
+        assert sorted(r.read_id for r in IN.read_fastq(spark, str(tmp_path / "ok.fq"), size).collect()) == sorted(f"r{i}" for i in range(50))
+    (tmp_path / "bad.fq").write_text(good + "@odd\nACG\n+\nII\n" + good)
+    (tmp_path / "cut.fq").write_text(good + "@last\nACG\n")
+    for name in ("bad.fq", "cut.fq"):
+        with pytest.raises(Exception, match="no FASTQ record"):
+            IN.read_fastq(spark, str(tmp_path / name)).collect()
+    assert IN.read_fastq(spark, str(tmp_path / "bad.fq"), bad_records="skip").count() == 100
+    assert IN.read_fastq(spark, str(tmp_path / "cut.fq"), bad_records="skip").count() == 50
+
+
 def test_compatible_taxa_of_shuffled_rows(spark, tmp_path):
     closure = TX.taxon_closure(spark.createDataFrame([(1, 1), *((i, 1 if i < 5 else i // 5) for i in range(2, 60))], "taxid long, parent long")).cache()
     kin = {r.descendant for r in closure.where("ancestor = 3").collect()} | {r.ancestor for r in closure.where("descendant = 3").collect()}
