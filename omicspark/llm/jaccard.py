@@ -1,10 +1,13 @@
-"""Near-duplicates by shingle similarity: texts whose sets of 5-word shingles have a Jaccard similarity of at least 0.8.
-
-Candidates come from MinHash: 32 bands of 5 minima. Two texts with a similarity of
-0.8 share a band with a probability of 1 - (1 - 0.8**5)**32 = 0.999997, more above
-0.8. Texts joined by shared bands form coarse components. Within each, similarity
-is counted exactly on the shingles, so no link is ever a guess: a breadth-first
-search over an inverted index of the shingles gives a spanning forest of the links.
+"""SimHash near-dedup by similarity: texts whose sets of 5-word shingles have a Jaccard similarity of at least 0.8.
+
+Candidates come from two searches. Operator 2's: SimHash fingerprints of the
+shingles that differ in few bits, through Golay keys. They reach only part of the
+pairs at 0.8, which differ in some ten of 64 bits, so MinHash finds the rest: 32
+bands of 5 minima. Two texts with a similarity of 0.8 share a band with a probability
+of 1 - (1 - 0.8**5)**32 = 0.999997, more above 0.8. Candidates form coarse components.
+Within each, similarity is counted exactly on the shingles, so no link is ever a
+guess: a breadth-first search over an inverted index of the shingles gives a
+spanning forest of the links.
 A component with more than ``BLOCK`` shingles is dealt as blocks, and texts of
 different blocks meet unless they are known to be of one group, so none is cut
 short and a large group of copies is not compared with itself.
@@ -22,7 +25,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F, types as T
 
+from omicspark.llm import simhash
 from omicspark.llm.rows import keep_rows, one_a_key, row_key
+from omicspark.llm.simhash import near_links
 from omicspark.operators.components import connected_components
 from omicspark.storage import bound_batches, materialize
 
@@ -64,7 +69,7 @@ def band_keys(found: np.ndarray) -> list[int]:
     return [xxhash.xxh64_intdigest(low[band].tobytes(), band) - (1 << 63) for band in range(BANDS)]
 
 
-_SKETCH = T.StructType([T.StructField("digest", T.BinaryType()), T.StructField("size", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType()))])
+_SKETCH = T.StructType([T.StructField("digest", T.BinaryType()), T.StructField("size", T.LongType()), T.StructField("print", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType()))])
 
 
 @F.arrow_udf(_SKETCH)
@@ -74,9 +79,10 @@ def _sketch(texts: pa.Array) -> pa.Array:
         [
             pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
             pa.array([len(s) for s in sets], pa.int64()),
+            pa.array([simhash.of_hashes(s) for s in sets], pa.int64()),
             pa.array([band_keys(s) for s in sets], pa.list_(pa.int64())),
         ],
-        ["digest", "size", "bands"],
+        ["digest", "size", "print", "bands"],
     )
 
 
@@ -143,6 +149,15 @@ def _link(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"src": src, "dst": dst})
 
 
+def _near_prints(nodes: DataFrame) -> DataFrame:
+    """(src, dst): nodes (node, print) with one fingerprint, or with two that differ in few bits."""
+    prints = materialize(nodes.groupBy("print").agg(F.min("node").alias("low")), "prints")
+    same = nodes.select("print", "node").join(prints.hint("merge"), "print").where("node <> low").select(F.col("node").alias("src"), F.col("low").alias("dst"))
+    near = near_links(prints, "print")
+    a, b = (prints.select(F.col("print").alias(side), F.col("low").alias(end)) for side, end in (("a", "src"), ("b", "dst")))
+    return same.unionByName(near.join(a.hint("merge"), "a").join(b.hint("merge"), "b").select("src", "dst"))
+
+
 def _dealt(members: DataFrame, by: list[str], name: str) -> DataFrame:
     """``members`` with ``blocks``, how many blocks of BLOCK shingles their group (columns ``by``) makes, and ``block``, theirs."""
     blocks = members.groupBy(*by).agg(F.greatest(F.ceil(F.sum("size") / F.lit(BLOCK)), F.lit(1)).cast("int").alias("blocks"))
@@ -219,11 +234,11 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     rows = materialize(sketched.select("key", "id", "s.*").withColumn("uid", F.monotonically_increasing_id()), "sketches")
     # Texts with the same shingles are one node: the smallest row number among them.
     low = F.min(F.struct(F.col("id").isNull().alias("missing"), F.col("id"), F.col("uid")))
-    nodes = materialize(rows.groupBy("digest").agg(F.min("uid").alias("node"), low.alias("low")), "nodes")
+    nodes = materialize(rows.groupBy("digest").agg(F.min("uid").alias("node"), low.alias("low"), F.min("print").alias("print")), "nodes")
     first = rows.join(nodes.select(F.col("node").alias("uid")).hint("merge"), "uid", "left_semi")
     keyed = first.select(F.explode("bands").alias("band"), F.col("uid").alias("node"))
     shared = keyed.repartition("band").sortWithinPartitions("band", "node").mapInArrow(_first_of_key, "src long, dst long")
-    coarse = materialize(connected_components(shared, "src", "dst"), "coarse")
+    coarse = materialize(connected_components(shared.unionByName(_near_prints(nodes)), "src", "dst"), "coarse")
     members = materialize(coarse.join(rows.select(F.col("uid").alias("node"), "key", "size").hint("merge"), "node"), "members")
     links = _verified(docs.select(row_key(id_col, text_col).alias("key"), text.alias("text")), members, keyed)
     roots = connected_components(links, "src", "dst")

@@ -43,17 +43,21 @@ _FEW = 8
 _ROWS = 4096
 
 
+def of_hashes(hashes: np.ndarray) -> int:
+    """The bits that are set in over half the hashes, as a signed integer; zero without hashes."""
+    ones = np.zeros(64, dtype=np.int64)
+    for at in range(0, len(hashes), 1 << 14):
+        ones += np.unpackbits(hashes[at : at + (1 << 14)].view(np.uint8), bitorder="little").reshape(-1, 64).sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<i8")[0])
+
+
 def simhash(text: bytes | None, shingle: int = SHINGLE) -> int:
     """64-bit SimHash as a signed integer; zero without words. Fewer words than a shingle: they are one shingle."""
     words = text.lower().split() if text else []
     if not words:
         return 0
     grams = map(b" ".join, zip(*(words[i:] for i in range(shingle)))) if len(words) > shingle else [b" ".join(words)]
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, grams, repeat(SEED)), dtype="<u8")
-    ones = np.zeros(64, dtype=np.int64)
-    for at in range(0, len(hashes), 1 << 14):
-        ones += np.unpackbits(hashes[at : at + (1 << 14)].view(np.uint8), bitorder="little").reshape(-1, 64).sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<i8")[0])
+    return of_hashes(np.fromiter(map(xxhash.xxh64_intdigest, grams, repeat(SEED)), dtype="<u8"))
 
 
 @F.pandas_udf(T.LongType())
@@ -235,10 +239,9 @@ def _block_pairs(rows: DataFrame) -> DataFrame:
     return met.groupBy("a", "i", "j").applyInPandas(_link_blocks, "a long, b long")
 
 
-def near_duplicates(prints: DataFrame, col: str = "fingerprint") -> DataFrame:
-    """(print, root): for each fingerprint of ``col`` that has a link, the smallest of its component.
+def near_links(prints: DataFrame, col: str = "fingerprint") -> DataFrame:
+    """(a, b): pairs of distinct values of ``col`` that differ in at most MAX_BITS bits, enough of them to link all that are.
 
-    Links are pairs of distinct values that differ in at most MAX_BITS bits.
     Nulls are ignored, repeated values count once, no links give no rows.
     """
     distinct = prints.where(F.col(col).isNotNull()).select(F.col(col).alias("print")).distinct()
@@ -249,7 +252,12 @@ def near_duplicates(prints: DataFrame, col: str = "fingerprint") -> DataFrame:
     large = found.where("kind = 1").select("a", "b")
     if not large.isEmpty():
         links = links.unionByName(materialize(_block_pairs(large), "links"))
-    return connected_components(links, "a", "b").select(F.col("node").alias("print"), F.col("component").alias("root"))
+    return links
+
+
+def near_duplicates(prints: DataFrame, col: str = "fingerprint") -> DataFrame:
+    """(print, root): for each fingerprint of ``col`` that has a link, the smallest of its component."""
+    return connected_components(near_links(prints, col), "a", "b").select(F.col("node").alias("print"), F.col("component").alias("root"))
 
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
