@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from omicspark.functions.sequences import revcomp
 from omicspark.functions.text import attribute
+from omicspark.operators.ranks import numbers_within
 from omicspark.storage import bounded, materialize
 
 TILE = 1 << 16
@@ -49,10 +50,10 @@ def sort_hierarchy(features: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def disambiguate(df: DataFrame, id_col: str, order: list[str], sep: str = "_") -> DataFrame:
-    """``new_id``: the id where it is the only one, else with its ordinal by ``order``."""
-    by = Window.partitionBy(id_col)
-    n, at = F.count("*").over(by), F.row_number().over(by.orderBy(*order))
-    return df.withColumn("new_id", F.when(n > 1, F.concat(F.col(id_col), F.lit(sep), at.cast("string"))).otherwise(F.col(id_col)))
+    """``new_id``: the id where it is the only one, else with its ordinal by ``order``. Numbers go by ranges, so a frequent id is spread."""
+    numbered = numbers_within(df, [id_col], order, "__at", "__n")
+    told = F.when(F.col("__n") > 1, F.concat(F.col(id_col), F.lit(sep), F.col("__at").cast("string"))).otherwise(F.col(id_col))
+    return numbered.withColumn("new_id", told).drop("__at", "__n")
 
 
 def complete_hierarchy(features: DataFrame, kind: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from omicspark.operators.intervals import overlap_join
@@ -40,16 +40,16 @@ def best_hit(hits: DataFrame, self_q: DataFrame, self_s: DataFrame, threshold: f
     ``~~`` where it has none of these, unless first_hit_free is False.
     """
     used = hits.where(F.col("evalue") <= max_evalue)
-    best = used.groupBy("query").agg(F.max("bits").alias("__best"))
-    order = Window.partitionBy("query").orderBy(F.desc("bits"), "evalue", "hit")
+    place = F.struct((-F.col("bits")).alias("b"), F.col("evalue").alias("e"), F.col("hit").alias("h"))
+    best = used.groupBy("query").agg(F.max("bits").alias("__best"), F.min(place).alias("__first"))
     near = used.join(best, "query").where(F.col("bits") >= F.col("__best") - tolerance)
     scored = near.join(self_q.select("query", F.col("bits").alias("__q")), "query", "left").join(self_s.select(F.col("query").alias("hit"), F.col("bits").alias("__s")), "hit", "left")
     of_q = F.coalesce(F.col("bits") >= threshold * F.col("__q"), F.lit(False))
     of_s = F.coalesce(F.col("bits") >= threshold * F.col("__s"), F.lit(False))
     kind = F.when(of_q & of_s, "==").when(of_s, "=~").when(of_q, "~=")
-    ranked = scored.withColumn("__n", F.row_number().over(order)).withColumn("class", kind)
+    ranked = scored.withColumn("class", kind)
     if first_hit_free:
-        ranked = ranked.withColumn("class", F.coalesce("class", F.when(F.col("__n") == 1, "~~")))
+        ranked = ranked.withColumn("class", F.coalesce("class", F.when(place == F.col("__first"), "~~")))
     return ranked.where("class IS NOT NULL").select("query", "hit", "bits", "class")
 
 
@@ -62,8 +62,8 @@ def settle_by_overlap(best: DataFrame, loc_q: DataFrame, loc_s: DataFrame, min_f
     """
     pairs = overlap_join(loc_q, loc_s, same_strand=True, min_frac=min_frac, reciprocal=True)
     met = pairs.groupBy(F.col("a_name").alias("query"), F.col("b_name").alias("hit")).agg(F.max("overlap").alias("__overlap"))
-    own = Window.partitionBy("query")
-    told = best.join(met, ["query", "hit"], "left").withColumns({"__n": F.count("*").over(own), "__most": F.max("__overlap").over(own)})
+    each = best.join(met, ["query", "hit"], "left")
+    told = each.join(each.groupBy("query").agg(F.count("*").alias("__n"), F.max("__overlap").alias("__most")), "query")
     stay = told.where((F.col("__n") == 1) | F.col("__most").isNull() | (F.col("__overlap") == F.col("__most")))
     return stay.select(*best.columns, ((F.col("__n") == 1) | F.col("__most").isNotNull()).alias("settled"))
 

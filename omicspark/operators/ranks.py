@@ -28,9 +28,9 @@ def global_row_number(df: DataFrame, order: list[str], name: str = "row_number")
     return numbered.withColumn(name, F.col("base") + F.col("__at") - F.col("first") + 1).drop("__range", "__at", "first", "base")
 
 
-def _ranged(df: DataFrame, by: list[str], order: str) -> DataFrame:
+def _ranged(df: DataFrame, by: list[str], *order: str) -> DataFrame:
     """``df`` written in ranges of (by, order), with the number of the range."""
-    return materialize(df.repartitionByRange(*by, order).sortWithinPartitions(*by, order).withColumn("__range", F.spark_partition_id()), "ranges")
+    return materialize(df.repartitionByRange(*by, *order).sortWithinPartitions(*by, *order).withColumn("__range", F.spark_partition_id()), "ranges")
 
 
 def _with_ranges(placed: DataFrame, by: list[str], own: Column, others: Column, total: Column, backward: bool = False) -> DataFrame:
@@ -51,6 +51,14 @@ def running_sums(df: DataFrame, by: list[str], order: str, value: str, out: str,
     return summed.drop("__range", "__other")
 
 
+def numbers_within(df: DataFrame, by: list[str], order: list[str], out: str, total: str) -> DataFrame:
+    """``df`` with the number of each row, from 1, in ``order`` within its group, and the group's rows. A null key is a group."""
+    placed = _with_ranges(_ranged(df, by, *order), by, F.count("*"), F.sum("__own"), F.sum("__own"))
+    within = Window.partitionBy("__range", *by).orderBy(*order)
+    numbered = placed.withColumn(out, F.coalesce("__other", F.lit(0)) + F.row_number().over(within)).withColumnRenamed("__total", total)
+    return numbered.drop("__range", "__other")
+
+
 def exact_percentiles(df: DataFrame, by: list[str], value: str, shares: dict[str, float]) -> DataFrame:
     """(by, a column a share): percentiles of ``value`` within groups, linear between ranks. Nulls don't count.
 

@@ -203,10 +203,18 @@ def fix_missing_mate(alignments: DataFrame, names: DataFrame, side: int) -> Data
 
 
 def best_qualities(rows: DataFrame, by: list[str], quals: list[str]) -> DataFrame:
-    """(by, quals): the greatest code at each position of each quality column over the rows of a key, whatever their lengths.
+    """(by, __n, quals): the number of rows of each key, and the greatest code at each position of each quality column, whatever their lengths.
 
-    A row a position: maxima combine before rows move, and no task sees all rows of a key.
+    Keys with one row have theirs. The others become a row a position: maxima
+    combine before rows move, and no task sees all rows of a key.
     """
+    found = rows.groupBy(*by).agg(F.count("*").alias("__n"), *[F.min(q).alias(q) for q in quals])
+    several = rows.join(found.where("__n > 1").select(*by), by, "left_semi")
+    best = _greatest(several, by, quals).select(*by, *[F.col(q).alias(f"__{q}") for q in quals])
+    return found.join(best, by, "left").select(*by, "__n", *[F.coalesce(f"__{q}", q).alias(q) for q in quals])
+
+
+def _greatest(rows: DataFrame, by: list[str], quals: list[str]) -> DataFrame:
     key = F.md5(F.concat_ws("\x00", *by).cast("binary"))
     named = rows.select(key.alias("__key"), *by, F.posexplode(F.array(*[F.struct(F.lit(i).alias("col"), F.col(q).alias("text")) for i, q in enumerate(quals)])).alias("__i", "__q"))
     at = named.select("__key", *by, "__i", F.posexplode(chars("__q.text")).alias("__at", "__c"))
@@ -223,9 +231,9 @@ def dedup_pairs(pairs: DataFrame) -> DataFrame:
     """Pairs with equal bases as one: the smallest id, the number, the best quality at each position. Qualities as long as their bases, else an error."""
     known = pairs.select("id", *[F.coalesce(c, F.lit("")).alias(c) for c in ("seq1", "seq2", "qual1", "qual2")])
     checked = known.withColumns({f"qual{i}": _same_length(f"seq{i}", f"qual{i}") for i in (1, 2)})
-    found = checked.groupBy("seq1", "seq2").agg(F.min("id").alias("id"), F.count("*").alias("n"))
-    best = found.join(best_qualities(checked, ["seq1", "seq2"], ["qual1", "qual2"]), ["seq1", "seq2"], "left")
-    return best.select("id", "seq1", "seq2", "n", *[F.coalesce(q, F.lit("")).alias(q) for q in ("qual1", "qual2")])
+    first = checked.groupBy("seq1", "seq2").agg(F.min("id").alias("id"))
+    best = best_qualities(checked, ["seq1", "seq2"], ["qual1", "qual2"])
+    return first.join(best, ["seq1", "seq2"]).select("id", "seq1", "seq2", F.col("__n").alias("n"), "qual1", "qual2")
 
 
 def dedup_reads(reads: DataFrame, prefix: str, run: int) -> tuple[DataFrame, DataFrame]:
@@ -243,7 +251,7 @@ def dedup_reads(reads: DataFrame, prefix: str, run: int) -> tuple[DataFrame, Dat
     reads = reads.withColumns({c: F.coalesce(c, F.lit("")) for c in ("seq", "qual")})
     found = reads.groupBy("seq").agg(F.sum(F.when(n != "", n.cast("long")).otherwise(1)).alias("n"))
     best = best_qualities(reads.select("seq", _same_length("seq", "qual").alias("qual")), ["seq"], ["qual"])
-    ranked = global_row_number(found.join(best, "seq", "left").select("seq", "n", F.coalesce("qual", F.lit("")).alias("qual")), ["seq"], "__rank")
+    ranked = global_row_number(found.join(best, "seq").select("seq", "n", "qual"), ["seq"], "__rank")
     unique = ranked.select(F.concat(F.lit(f"{prefix}{run}_"), F.lpad(F.col("__rank").cast("string"), 9, "0"), F.lit("_x"), F.col("n").cast("string")).alias("read_id"), "seq", "qual", "n")
     log = reads.select(F.col("read_id").alias("old_id"), "seq").join(unique.select(F.col("read_id").alias("new_id"), "seq"), "seq").select("old_id", "new_id")
     return unique, log

@@ -131,6 +131,18 @@ def test_percentiles(spark):
         assert np.allclose([r.half, r.low, r.high], np.quantile(x, [0.5, 0.05, 1.0]))
 
 
+def test_numbers_within_groups(spark):
+    rng = np.random.default_rng(13)
+    rows = [(g, int(x), i) for i, (g, x) in enumerate(zip(rng.choice(["hot"] * 9 + ["b", ""], 800).tolist(), rng.integers(0, 200, 800)))]
+    df = spark.createDataFrame([(g or None, x, i) for g, x, i in rows], "g string, x int, i int").repartition(6)
+    got = {r.i: (r.at, r.n) for r in R.numbers_within(df, ["g"], ["x", "i"], "at", "n").collect()}
+    for g in {r[0] for r in rows}:
+        own = sorted((x, i) for k, x, i in rows if k == g)
+        assert all(got[i] == (at + 1, len(own)) for at, (_, i) in enumerate(own))
+    named = {r.i: r.new_id for r in FT.disambiguate(spark.createDataFrame([("a", 2, 1), ("a", 1, 2), ("b", 1, 3)], "id string, x int, i int"), "id", ["x"]).collect()}
+    assert named == {1: "a_2", 2: "a_1", 3: "b"}
+
+
 def brute_cooccurrence(rows, k, method):
     samples = sorted({s for _, s, _ in rows})
     total, value = Counter(), Counter()
