@@ -174,13 +174,13 @@ def _all_pairs(dealt: DataFrame) -> DataFrame:
     return dealt.select("component", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).distinct()
 
 
-def _large_links(own: DataFrame, bands: DataFrame) -> DataFrame:
-    """Links within components of several blocks: own: node, size, shingles, component, block; bands: band, node.
+def _large_links(own: DataFrame) -> DataFrame:
+    """Links within components of several blocks: own: node, size, shingles, component, block.
 
     First each block by itself, then one text of each group so found with those of
-    the other blocks: a large group of copies is one group from then on. Texts of
-    different groups that share a band meet once more, all of them; texts of one
-    group never do, so work grows with a group, not with its square.
+    the other blocks: a large group of copies is one group from then on. Where a
+    component is not one group, its texts meet once more but for those of one group,
+    so work grows with a large group, not with its square.
     """
     within = materialize(own.groupBy("component", "block").applyInPandas(_link, "src long, dst long"), "links-within")
     first = materialize(connected_components(within, "src", "dst"), "first-groups")
@@ -190,10 +190,8 @@ def _large_links(own: DataFrame, bands: DataFrame) -> DataFrame:
     links = within.unionByName(across)
     groups = materialize(connected_components(links, "src", "dst").withColumnRenamed("component", "fine"), "groups")
     named = materialize(own.select("node", "component", "size").join(groups.hint("merge"), "node", "left").withColumn("fine", F.coalesce("fine", "node")), "named")
-    # Texts that share a band with a text of another group.
-    shared = bands.join(named.select("node", "fine").hint("merge"), "node")
-    several = shared.groupBy("band").agg(F.min("fine").alias("lo"), F.max("fine").alias("hi")).where("lo <> hi").select("band")
-    edge = named.join(shared.join(several.hint("merge"), "band").select("node").distinct().hint("merge"), "node", "left_semi")
+    several = named.groupBy("component").agg(F.min("fine").alias("lo"), F.max("fine").alias("hi")).where("lo <> hi").select("component")
+    edge = materialize(named.join(several, "component", "left_semi"), "several-groups")
     if edge.isEmpty():
         return links
     # A group that fills a block has blocks of its own; the others of a component share blocks.
@@ -206,8 +204,8 @@ def _large_links(own: DataFrame, bands: DataFrame) -> DataFrame:
     return links.unionByName(_met(own.select("node", "shingles").join(named_blocks.select("node", "component", "block").hint("merge"), "node"), pairs, "links-between"))
 
 
-def _verified(texts: DataFrame, members: DataFrame, bands: DataFrame) -> DataFrame:
-    """(src, dst): links among the nodes of each coarse component. texts: key, text; members: key, node, size, component; bands: band, node."""
+def _verified(texts: DataFrame, members: DataFrame) -> DataFrame:
+    """(src, dst): links among the nodes of each coarse component. texts: key, text; members: key, node, size, component."""
     dealt = _dealt(members, ["component"], "dealt")
     # The members grow with the table, so they are no side to broadcast.
     own = one_a_key(texts, "key", []).join(dealt.hint("merge"), "key").select("node", "component", "size", "blocks", "block", _set_bytes(F.col("text")).alias("shingles"))
@@ -215,7 +213,7 @@ def _verified(texts: DataFrame, members: DataFrame, bands: DataFrame) -> DataFra
         return materialize(own.groupBy("component").applyInPandas(_link, "src long, dst long"), "links")
     own = materialize(own, "shingles")
     small = materialize(own.where("blocks = 1").groupBy("component").applyInPandas(_link, "src long, dst long"), "links")
-    return small.unionByName(_large_links(own.where("blocks > 1").drop("blocks"), bands))
+    return small.unionByName(_large_links(own.where("blocks > 1").drop("blocks")))
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -240,7 +238,7 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     shared = keyed.repartition("band").sortWithinPartitions("band", "node").mapInArrow(_first_of_key, "src long, dst long")
     coarse = materialize(connected_components(shared.unionByName(_near_prints(nodes)), "src", "dst"), "coarse")
     members = materialize(coarse.join(rows.select(F.col("uid").alias("node"), "key", "size").hint("merge"), "node"), "members")
-    links = _verified(docs.select(row_key(id_col, text_col).alias("key"), text.alias("text")), members, keyed)
+    links = _verified(docs.select(row_key(id_col, text_col).alias("key"), text.alias("text")), members)
     roots = connected_components(links, "src", "dst")
     rooted = nodes.join(roots.hint("merge"), "node", "left").select("low", F.coalesce("component", "node").alias("root"))
     stay = materialize(rooted.groupBy("root").agg(F.min("low").alias("low")).select(F.col("low.uid").alias("uid")), "stay")
