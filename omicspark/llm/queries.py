@@ -174,6 +174,96 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(files).select("doc_id", "start", F.size("ids").cast("long").alias("n_tokens"), ids_crc32("ids").alias("ids_crc32"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from omicspark.llm.merkle import leaf_digest, manifest
+
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    rows = _table(spark, sf_dir, "documents").select(
+        "doc_id",
+        "lang",
+        leaf_digest(["doc_id", "source", "lang", "n_chars", "text"]).alias("leaf"),
+        leaf_digest(["doc_id", "source", "lang", "n_chars", F.when(tampered, lowered).otherwise(F.col("text"))]).alias("presented"),
+    )
+    proved = manifest(rows, "lang", ["doc_id"], "leaf", "presented")
+    return proved.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+_OP11_SQL = """
+WITH RECURSIVE
+part(v) AS (SELECT 0),
+docs AS (
+  SELECT *, CASE WHEN doc_id IS NOT NULL AND list_reduce(
+      list_prepend(4294967295::BIGINT, flatten([[ord(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1] FOR c IN string_split(doc_id::VARCHAR, '')])),
+      lambda acc, x: CASE WHEN x >= 0 THEN xor(acc, x) ELSE xor(acc >> 1, 3988292384 * (acc & 1)) END).xor(4294967295) % 3 = 0
+    THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS shown
+  FROM documents),
+hashed AS (
+  SELECT doc_id, lang, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf, sha256(head || coalesce(strlen(shown) || ':' || shown, '-')) AS presented
+  FROM (SELECT *, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+          || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head FROM docs)),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY lang) AS n, coalesce('=' || lang, '') AS g
+  FROM hashed),
+lower(g, level, i, n, d) AS (
+  SELECT g, 0, i, n, leaf FROM leaves
+  UNION ALL
+  SELECT g, max(level) + 1, i // 8, (max(n) + 7) // 8, sha256(string_agg(d, '' ORDER BY i)) FROM lower WHERE n > 1 GROUP BY g, i // 8),
+subroots AS (SELECT g, d, row_number() OVER (ORDER BY g) - 1 AS i, count(*) OVER () AS n FROM lower WHERE n = 1),
+upper(level, i, n, d) AS (
+  SELECT 0, i, n, d FROM subroots
+  UNION ALL
+  SELECT max(level) + 1, i // 8, (max(n) + 7) // 8, sha256(string_agg(d, '' ORDER BY i)) FROM upper WHERE n > 1 GROUP BY i // 8),
+root AS (SELECT d FROM upper WHERE n = 1),
+heights AS (SELECT g, max(level) AS h FROM lower GROUP BY g),
+nodes AS (
+  SELECT g, level, i, n, d, i // 8 AS run FROM lower WHERE n > 1
+  UNION ALL
+  SELECT s.g, h.h + u.level, u.i, u.n, u.d, u.i // 8 FROM upper u, subroots s JOIN heights h USING (g)
+  WHERE u.n > 1),
+sides AS (
+  SELECT g, level, i,
+         coalesce(string_agg(d, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+         coalesce(string_agg(d, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after
+  FROM nodes WINDOW w AS (PARTITION BY g, level, run ORDER BY i)),
+climb(g, k, level, i, cur, proof) AS (
+  SELECT g, i, 0, CASE WHEN n = 1 THEN (SELECT s.i FROM subroots s WHERE s.g = leaves.g) ELSE i END, presented, '' FROM leaves
+  UNION ALL
+  SELECT c.g, c.k, c.level + 1,
+         CASE WHEN c.level + 1 = h.h THEN s.i ELSE c.i // 8 END,
+         sha256(x.before || c.cur || x.after), c.proof || x.before || x.after
+  FROM climb c JOIN sides x ON x.g = c.g AND x.level = c.level AND x.i = c.i JOIN heights h ON h.g = c.g JOIN subroots s ON s.g = c.g),
+done AS (SELECT g, k, max_by(cur, level) AS folded, max_by(proof, level) AS proof FROM climb GROUP BY g, k)
+SELECT l.doc_id, l.leaf, s.d AS subroot, r.d AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = r.d AS verified
+FROM leaves l JOIN done ON done.g = l.g AND done.k = l.i JOIN subroots s ON s.g = l.g, root r
+"""
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from omicspark.llm.alignment import align, score_links
+
+    aligned = align(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    told = F.when(F.octet_length("groups") > 0, F.sha2("groups", 256)).otherwise(F.lit(""))
+    scored = score_links(aligned.withColumn("groups_sha256", told).drop("groups", "sound"))
+    return scored.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def op13_chunk_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from omicspark.llm.chunk_reuse import decode, encode
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return encode(_table(spark, sf_dir, "documents"), path).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2(decode("ids", path), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_simhash": op2_simhash,
@@ -185,5 +275,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_topk": op8_topk,
     "op9_langid": op9_langid,
     "op10_token_files": op10_token_files,
+    "op11_merkle": op11_merkle,
+    "op12_alignment": op12_alignment,
+    "op13_chunk_bpe": op13_chunk_bpe,
 }
-SQL: dict[str, str] = {"op6_quality": _OP6_SQL, "op7_chat": _OP7_SQL, "op8_topk": _OP8_SQL}
+SQL: dict[str, str] = {"op6_quality": _OP6_SQL, "op7_chat": _OP7_SQL, "op8_topk": _OP8_SQL, "op11_merkle": _OP11_SQL}
