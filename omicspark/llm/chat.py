@@ -1,8 +1,10 @@
 """Chat formatting: typed content parts flattened into one string a conversation.
 
-A turn has content parts (type, text, ref, n_tokens). A visitor turns each into
-text: texts are escaped, other parts become numbered placeholders, and their
-references and token counts are recorded. Control strings begin with ``<|``; in
+A turn has content parts (type, text, ref, n_tokens). A visitor goes over them in
+order: neighbouring texts are put together and then escaped, so what is in several
+parts can't add up to a control string; other parts become placeholders, whose
+references and token counts are recorded in the same order: the k-th placeholder of a
+conversation is its k-th attachment. Control strings begin with ``<|``; in
 texts and roles each backslash is doubled and ``<|`` becomes ``<\\|``, so no text
 can hold a control string and the escape can be undone.
 """
@@ -34,9 +36,20 @@ def _is_attachment(part: Column) -> Column:
     return part["type"].isin(*PART_TOKENS)
 
 
-def _visit(part: Column) -> Column:
-    """What a part is in the formatted turn. Unknown and missing types count as text."""
-    return F.when(_is_attachment(part), F.concat(F.lit("<|"), part["type"], F.lit("|>"))).otherwise(escape(F.coalesce(part["text"], F.lit(""))))
+def _content(parts: Column) -> Column:
+    """What the parts of a turn are in the formatted turn. Unknown and missing types count as text.
+
+    The visitor holds what is written so far and the text that is still open: a text
+    part goes to the open text, any other ends it.
+    """
+
+    def visit(held: Column, part: Column) -> Column:
+        placed = F.struct(F.concat(held["done"], escape(held["open"]), F.lit("<|"), part["type"], F.lit("|>")).alias("done"), F.lit("").alias("open"))
+        read = F.struct(held["done"].alias("done"), F.concat(held["open"], F.coalesce(part["text"], F.lit(""))).alias("open"))
+        return F.when(_is_attachment(part), placed).otherwise(read)
+
+    nothing = F.struct(F.lit("").alias("done"), F.lit("").alias("open"))
+    return F.aggregate(parts, nothing, visit, lambda held: F.concat(held["done"], escape(held["open"])))
 
 
 def _attachments(parts: Column) -> Column:
@@ -58,7 +71,7 @@ def format_conversations(turns: DataFrame, conv_col: str = "conv_id", turn_col:
     parts = F.coalesce(F.col(parts_col), F.array().cast(f"array<{PART}>"))
     own = turns.select(
         F.col(conv_col),
-        F.struct(F.col(turn_col).alias("turn"), F.coalesce(F.col(role_col), F.lit("")).alias("role"), F.array_join(F.transform(parts, _visit), "").alias("content"), _attachments(parts).alias("parts")).alias("t"),
+        F.struct(F.col(turn_col).alias("turn"), F.coalesce(F.col(role_col), F.lit("")).alias("role"), _content(parts).alias("content"), _attachments(parts).alias("parts")).alias("t"),
     )
     grouped = own.groupBy(conv_col).agg(F.sort_array(F.collect_list("t")).alias("turns"))
     whole = lambda t: F.concat(F.lit(TURN), escape(t["role"]), F.lit(SAYS), t["content"], F.lit(END))
