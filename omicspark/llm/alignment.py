@@ -18,6 +18,8 @@ import re
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -29,11 +31,15 @@ from omicspark.storage import bound_batches, free_name, materialize
 
 CHUNK = 1 << 15
 FAN_IN = 16  # fragments that one step of the tree puts together
-CACHE_UNITS = 120_000
+CACHE_UNITS = 200_000  # in each of two generations
 CACHE_BYTES = 48
+_TOGETHER = 1 << 15  # bytes of unknown units that are encoded as one text
 MOST_LINKS = 1 << 20  # id pairs whose counts every task holds; the rest are joined
 LINK = np.dtype("<u4")  # first id * 2^16 + second id
 _SPLIT = re.compile(rb" (?:(?<=[!-~] )|(?<=\xc3[\x80-\xbf] ))").split  # the sure places: before these spaces
+# Units that end at a sure place and whose characters all versions of Unicode agree on.
+_PLAIN = re.compile(rb"(?:[\t-\r -~]|\xc3[\x80-\xbf])*(?:[!-~]|\xc3[\x80-\xbf])").fullmatch
+_UNSOUND = (b"", b"", 1 << 64)
 # Fixed value: what stands for a space in pieces.
 _SPACE = "▁"
 _BYTE = re.compile(r"<0x([0-9A-F]{2})>")
@@ -41,8 +47,7 @@ _BYTE = re.compile(r"<0x([0-9A-F]{2})>")
 ALIGNED = "sound boolean, groups binary, n_a long, n_b long, n_groups long, links binary, link_times binary"
 
 
-@dataclass(frozen=True)
-class Closed:
+class Closed(NamedTuple):
     """Groups that are settled: as text (``a1,a2|b1;a3|b2``), the id pairs that end them, the numbers of tokens, and whether all bytes came back."""
 
     groups: bytes = b""
@@ -53,8 +58,8 @@ class Closed:
 
     @classmethod
     def of(cls, parts: Iterable["Closed"]) -> "Closed":
-        parts = list(parts)
-        return cls(b";".join([p.groups for p in parts if p.groups]), b"".join([p.links for p in parts]), sum([p.n_a for p in parts]), sum([p.n_b for p in parts]), all([p.sound for p in parts]))
+        groups, links, n_a, n_b, sound = zip(*parts)
+        return cls(b";".join(filter(None, groups)), b"".join(links), sum(n_a), sum(n_b)) if all(sound) else cls(sound=False)
 
 
 @dataclass(frozen=True)
@@ -101,49 +106,113 @@ def _sentence_pieces(path: str) -> tuple[list[bytes], Callable[[str], list[int]]
     return [bytes([int(m[1], 16)]) if model.is_byte(i) and (m := _BYTE.fullmatch(p)) else p.replace(_SPACE, " ").encode() for i, p in enumerate(pieces)], model.encode
 
 
+def _flat(pieces: list[bytes]) -> pa.Array:
+    return pa.array(pieces, pa.large_binary())
+
+
+def _taken(pieces: pa.Array, at: np.ndarray) -> tuple[np.ndarray, memoryview]:
+    """Ends of the chosen pieces, the first being 0, and their bytes side by side."""
+    found = pieces.take(pa.array(at))
+    return np.frombuffer(found.buffers()[1], dtype=np.int64)[: len(at) + 1], memoryview(found.buffers()[2])
+
+
 class Units(dict):
-    """A unit's bytes, without the space before it -> its closed groups. What is short is remembered."""
+    """A unit's bytes, without the space before it -> (groups, links, numbers of tokens) of it. What is short is remembered, until it isn't met for long."""
 
     def __init__(self, path_a: str, path_b: str):
         super().__init__()
-        (self._bytes_a, self._ids_a), (self._bytes_b, self._ids_b) = _byte_level_pieces(path_a), _sentence_pieces(path_b)
-        if max(len(self._bytes_a), len(self._bytes_b)) > 1 << 16:
+        (bytes_a, self._ids_a), (bytes_b, self._ids_b) = _byte_level_pieces(path_a), _sentence_pieces(path_b)
+        if max(len(bytes_a), len(bytes_b)) > 1 << 16:
             raise ValueError("a vocabulary has over 65,536 ids")
-
-    def __missing__(self, unit: bytes) -> Closed:
-        found = self._aligned(unit)
+        self._old: dict[bytes, tuple[bytes, bytes, int]] = {}
+        self._bytes_a, self._bytes_b = _flat(bytes_a), _flat(bytes_b)
+        self._sizes_a, self._sizes_b = (np.array([len(x) for x in pieces]) for pieces in (bytes_a, bytes_b))
+        # An id as text before another, as the last of its side, and as the last of its group.
+        self._names = _flat([f"{i}{end}".encode() for end in ",|;" for i in range(1 << 16)])
+
+    def _remember(self, unit: bytes, found: tuple[bytes, bytes, int]) -> None:
+        if len(self) >= CACHE_UNITS:
+            self._old = dict(self)
+            self.clear()
+        self[unit] = found
+
+    def __missing__(self, unit: bytes) -> tuple[bytes, bytes, int]:
+        found = self._old.get(unit) or self._aligned([unit])[0]
         if len(unit) <= CACHE_BYTES:
-            if len(self) >= CACHE_UNITS:
-                self.clear()
-            self[unit] = found
+            self._remember(unit, found)
         return found
 
-    def _aligned(self, unit: bytes) -> Closed:
-        text = unit.decode("utf-8", "replace")
-        a, b = self._ids_a(" " + text), self._ids_b(text) if text else self._ids_b("a ")[len(self._ids_b("a")) :]  # no text at all would get no space
-        bytes_a, bytes_b = [self._bytes_a[i] for i in a], [self._bytes_b[i] for i in b]
-        whole = b" " + unit
-        if b"".join(bytes_a) != whole or b"".join(bytes_b) != whole:
-            return Closed(sound=False)
-        ends_a, ends_b = (np.cumsum([len(x) for x in parts]) for parts in (bytes_a, bytes_b))
-        _, at_a, at_b = np.intersect1d(ends_a, ends_b, assume_unique=True, return_indices=True)
-        groups, i, j = [], 0, 0
-        for p, q in zip((at_a + 1).tolist(), (at_b + 1).tolist()):
-            groups.append(f"{','.join(map(str, a[i:p]))}|{','.join(map(str, b[j:q]))}")
-            i, j = p, q
-        links = (np.asarray(a, dtype=LINK)[at_a] << 16) | np.asarray(b, dtype=LINK)[at_b]
-        return Closed(";".join(groups).encode(), links.astype(LINK).tobytes(), len(a), len(b))
+    def _encoded(self, data: bytes) -> tuple[np.ndarray, np.ndarray]:
+        text = data.decode("utf-8", "replace")
+        # No text at all would get no space.
+        return np.asarray(self._ids_a(" " + text), dtype=np.int64), np.asarray(self._ids_b(text) if text else self._ids_b("a ")[len(self._ids_b("a")) :], dtype=np.int64)
+
+    def _aligned(self, units: list[bytes]) -> list[tuple[bytes, bytes, int]]:
+        """Groups of units that stand one after the other: cut where a token of either side ends at one byte. None at all if bytes are lost."""
+        data = b" ".join(units)
+        a, b = self._encoded(data)
+        if any(bytes(_taken(pieces, ids)[1]) != b" " + data for pieces, ids in ((self._bytes_a, a), (self._bytes_b, b))):
+            return [_UNSOUND] * len(units)
+        ends_a, ends_b = np.cumsum(self._sizes_a[a]), np.cumsum(self._sizes_b[b])
+        _, last_a, last_b = np.intersect1d(ends_a, ends_b, assume_unique=True, return_indices=True)
+        links = ((a[last_a] << 16) | b[last_b]).astype(LINK).tobytes()
+        # A group's first tokens come before its second ones.
+        closes_a, closes_b = np.zeros(len(a), dtype=np.int64), np.zeros(len(b), dtype=np.int64)
+        closes_a[last_a], closes_b[last_b] = 1, 1
+        order = np.empty(len(a) + len(b), dtype=np.int64)
+        order[np.arange(len(a)) + np.concatenate([[0], last_b + 1])[np.cumsum(closes_a) - closes_a]] = a + (closes_a << 16)
+        order[np.arange(len(b)) + (last_a + 1)[np.cumsum(closes_b) - closes_b]] = b + (closes_b << 17)
+        at, text = _taken(self._names, order)
+        upto = np.cumsum([len(u) + 1 for u in units])
+        n_a, n_b, n = (np.concatenate([[0], np.searchsorted(x, upto) + 1]) for x in (ends_a, ends_b, ends_a[last_a]))
+        places = at[n_a + n_b].tolist()
+        counts = ((np.diff(n_a) << 32) | np.diff(n_b)).tolist()
+        n = (n * LINK.itemsize).tolist()
+        whole = bytes(text)
+        return [(whole[p : q - 1], links[i:j], c) for p, q, i, j, c in zip(places, places[1:], n, n[1:], counts)]
+
+    def meet(self, units: Iterable[bytes]) -> None:
+        """Remember units. Those that are not known are encoded many at a time, put together at sure places."""
+        old, held, size = self._old, [], 0
+        for unit in set(units).difference(self):
+            if unit in old:
+                self._remember(unit, old[unit])
+            elif len(unit) <= CACHE_BYTES and _PLAIN(unit):
+                held.append(unit)
+                size += len(unit) + 1
+                if size >= _TOGETHER:
+                    self._together(held)
+                    held, size = [], 0
+        if held:
+            self._together(held)
+
+    def _together(self, units: list[bytes]) -> None:
+        for unit, found in zip(units, self._aligned(units)):
+            if found is not _UNSOUND:  # else each is tried by itself as it is met
+                self._remember(unit, found)
+
+    def _summed(self, units: Iterable[bytes]) -> Closed:
+        groups, links, counts = zip(*map(self.__getitem__, units))
+        n = sum(counts)
+        return Closed(b";".join(groups), b"".join(links), n >> 32, n & 0xFFFFFFFF) if n < _UNSOUND[2] else Closed(sound=False)
 
     def closed(self, data: bytes) -> Closed:
         """The groups of bytes between two sure places, without the space that they begin with."""
-        return Closed.of(map(self.__getitem__, _SPLIT(data)))
+        return self._summed(_SPLIT(data))
+
+    def closed_each(self, texts: list[bytes]) -> list[Closed]:
+        """``closed`` of each text, empty ones without groups; what they don't share with texts before is encoded together."""
+        parts = [_SPLIT(t) if t else [] for t in texts]
+        self.meet(chain.from_iterable(parts))
+        return [self._summed(p) if p else Closed() for p in parts]
 
     def fragment(self, data: bytes) -> Fragment:
         """The fragment of a range of bytes of a text."""
         parts = _SPLIT(data)
         if len(parts) == 1:
             return Fragment(data)
-        return Fragment(parts[0], Closed.of(map(self.__getitem__, parts[1:-1])), b" " + parts[-1])
+        self.meet(parts[1:-1])
+        return Fragment(parts[0], self._summed(parts[1:-1]) if len(parts) > 2 else Closed(), b" " + parts[-1])
 
     def compose(self, left: Fragment, right: Fragment) -> Fragment:
         """The fragment of two ranges side by side."""
@@ -201,7 +270,7 @@ def _align_column(path_a: str, path_b: str):
     @F.arrow_udf(f"struct<{ALIGNED.replace(' ', ':').replace(',:', ',')}>")
     def align(texts: pa.Array) -> pa.Array:
         units = units_of(path_a, path_b)
-        return _told([units.closed(t) if t else Closed() for t in texts.to_pylist()])
+        return _told(units.closed_each(texts.to_pylist()))
 
     return align
 
