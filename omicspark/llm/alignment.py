@@ -31,7 +31,7 @@ from omicspark.storage import bound_batches, free_name, materialize
 
 CHUNK = 1 << 15
 FAN_IN = 16  # fragments that one step of the tree puts together
-CACHE_UNITS = 200_000  # in each of two generations
+CACHE_UNITS = 100_000  # in each of two generations
 CACHE_BYTES = 48
 _TOGETHER = 1 << 15  # bytes of unknown units that are encoded as one text
 MOST_LINKS = 1 << 20  # id pairs whose counts every task holds; the rest are joined
@@ -349,7 +349,7 @@ def align(docs: DataFrame, path_a: str, path_b: str, text_col: str = "text", kee
     fine. Texts over ``chunk`` bytes are cut and composed; a text's groups are one
     value, so a text's result must fit in a row (about 400 MB of text).
     """
-    bound_batches(docs.sparkSession)
+    bound_batches(docs.sparkSession, 512)
     rows = docs.select(F.struct(*keep).alias("kept"), F.col(text_col).cast("binary").alias("data"))
     is_long = F.coalesce(F.octet_length("data"), F.lit(0)) > chunk
     short = rows.where(~is_long).withColumn("told", _align_column(path_a, path_b)("data")).select("kept.*", "told.*")
