@@ -247,25 +247,25 @@ _OV = 'least(a."end", b."end") - greatest(a.start, b.start)'
 @query(f'WITH a AS ({_AF}), b AS ({_NO}) SELECT a.name AS a_name, a.start AS a_start, b.name AS b_name, b.start AS b_start, {_OV} AS overlap FROM a JOIN b ON {_ON}')
 def j9_overlap_join(spark, sf):
     a, b = _sides(spark, sf)
-    return I.overlap_join(a, b, bin_size=32).select("a_name", "a_start", "b_name", "b_start", "overlap")
+    return I.overlap_join(a, b).select("a_name", "a_start", "b_name", "b_start", "overlap")
 
 
 @query(f'WITH a AS ({_AF}), b AS ({_NO}), p AS (SELECT a.name AS a_name, a.start AS a_start, b.name AS b_name, {_OV} AS overlap FROM a JOIN b ON {_ON} AND a.strand = b.strand AND {_OV} >= 0.5 * (a."end" - a.start) AND {_OV} >= 0.5 * (b."end" - b.start)) SELECT * FROM p')
 def j9_overlap_reciprocal(spark, sf):
     a, b = _sides(spark, sf)
-    return I.overlap_join(a, b, same_strand=True, min_frac=0.5, reciprocal=True, bin_size=32).select("a_name", "a_start", "b_name", "overlap")
+    return I.overlap_join(a, b, same_strand=True, min_frac=0.5, reciprocal=True).select("a_name", "a_start", "b_name", "overlap")
 
 
 @query(f'WITH a AS ({_AF}), b AS ({_NO}) SELECT a.name, a.chrom, a.start, a."end", a.strand FROM a WHERE NOT EXISTS (SELECT 1 FROM b WHERE {_ON})')
 def j9_overlap_none(spark, sf):
     a, b = _sides(spark, sf)
-    return I.overlap_join(a, b, mode="v", bin_size=32).select("name", "chrom", "start", "end", "strand")
+    return I.overlap_join(a, b, mode="v").select("name", "chrom", "start", "end", "strand")
 
 
 @query(f'WITH a AS ({_AF}), b AS ({_NO}) SELECT a.name AS a_name, b.name AS b_name, CASE WHEN b.name IS NULL THEN 0 ELSE {_OV} END AS overlap FROM a LEFT JOIN b ON {_ON}')
 def j9_overlap_all(spark, sf):
     a, b = _sides(spark, sf)
-    return I.overlap_join(a, b, mode="wao", bin_size=32).select("a_name", "b_name", "overlap")
+    return I.overlap_join(a, b, mode="wao").select("a_name", "b_name", "overlap")
 
 
 @query()
@@ -401,13 +401,13 @@ def a36_relation_table(spark, sf):
 _CL = f"WITH nodes AS ({B.NODES}), cl AS ({B.CLOSURE_SQL})"
 
 
-def _closure(spark, sf):
-    return TX.taxon_closure(run(spark, sf, B.NODES))
+def _paths(spark, sf):
+    return TX.taxon_paths(run(spark, sf, B.NODES))
 
 
 @query(f"{_CL} SELECT * FROM cl")
 def taxon_closure(spark, sf):
-    return _closure(spark, sf)
+    return TX.taxon_closure(run(spark, sf, B.NODES))
 
 
 @query("SELECT o_orderkey, coalesce(n, x) AS ids FROM (SELECT o_orderkey, unnest([o_custkey, o_custkey + 1]) AS x FROM orders) LEFT JOIN (SELECT c_custkey AS o, c_custkey + 100000 AS n FROM customer WHERE c_nationkey = 3) ON x = o")
@@ -421,13 +421,13 @@ def j8_replace_merged(spark, sf):
 def j16_reads_by_taxa(spark, sf):
     reads = table(spark, sf, "orders").select(F.col("o_orderkey").alias("read"), F.when(F.col("o_orderkey") % 5 == 0, F.lit(1)).otherwise(F.col("o_custkey") + 1000).cast("bigint").alias("taxid"))
     targets = spark.range(2).select(F.when(F.col("id") == 0, 11).otherwise(103).cast("bigint").alias("taxid"))
-    return TX.reads_by_taxa(reads, _closure(spark, sf), targets)
+    return TX.reads_by_taxa(reads, _paths(spark, sf), targets)
 
 
 @query(f"{_CL}, k AS (SELECT descendant AS t FROM cl WHERE ancestor = 12 UNION SELECT ancestor FROM cl WHERE descendant = 12) SELECT o_orderkey FROM orders WHERE o_custkey + 1000 IN (SELECT t FROM k) OR o_custkey + 1001 IN (SELECT t FROM k)")
 def j17_taxon_compatible(spark, sf):
     df = table(spark, sf, "orders").select("o_orderkey", F.concat_ws("__", (F.col("o_custkey") + 1000).cast("string"), (F.col("o_custkey") + 1001).cast("string")).alias("ids"))
-    return TX.taxon_compatible(df, _closure(spark, sf), "ids", 12).select("o_orderkey")
+    return TX.taxon_compatible(df, _paths(spark, sf), "ids", 12).select("o_orderkey")
 
 
 @query(f"""{_CL}, m AS (SELECT DISTINCT l_partkey AS k, o_custkey + 1000 AS t FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE o_custkey IN (SELECT c_custkey FROM customer)), n AS (SELECT k, count(*) AS n FROM m GROUP BY k),
@@ -435,7 +435,7 @@ def j17_taxon_compatible(spark, sf):
 def a35_lca(spark, sf):
     o, li = table(spark, sf, "orders"), table(spark, sf, "lineitem")
     m = o.join(li, o["o_orderkey"] == li["l_orderkey"]).select(F.col("l_partkey").alias("k"), (F.col("o_custkey") + 1000).alias("t"))
-    return TX.lca(m, _closure(spark, sf), "k", "t")
+    return TX.lca(m, _paths(spark, sf), "k", "t")
 
 
 # --- features -------------------------------------------------------------------

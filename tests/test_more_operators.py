@@ -55,6 +55,81 @@ def test_linked_loci(spark):
     assert len(got) < 110
 
 
+def brute_loci(a, b):
+    """(members, chrom, strand, start, end) of what overlaps between two sets connect."""
+    up = {x[4]: x[4] for x in a + b}
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for x in a:
+        for y in b:
+            if x[0] == y[0] and x[3] == y[3] and x[1] < y[2] and y[1] < x[2]:
+                p, q = root(x[4]), root(y[4])
+                up[max(p, q)] = min(p, q)
+    groups = {}
+    for x in a + b:
+        groups.setdefault(root(x[4]), []).append(x)
+    return sorted((k, min(x[0] for x in v), min(x[3] for x in v), min(x[1] for x in v), max(x[2] for x in v), "/".join(sorted({x[4] for x in v}))) for k, v in groups.items())
+
+
+@pytest.mark.parametrize(("parts", "longest", "strands"), [(1, 30, 2), (7, 60, 1), (12, 900, 1), (12, 5, 3)])
+def test_loci_over_many_ranges(spark, parts, longest, strands):
+    """Open features are carried over borders, however many ranges they span."""
+    rng = np.random.default_rng(parts * longest)
+    make = lambda n, tag: [(f"c{rng.integers(0, 2)}", int(s), int(s + rng.integers(1, longest if rng.random() < 0.9 else 4000)), f"{rng.integers(0, strands)}", f"{tag}{i:03}") for i, s in enumerate(rng.integers(0, 6000, n))]
+    a, b = make(170, "a"), make(40, "b")
+    b += [a[3][:4] + ("a003",)]  # an id of both sets
+    schema = "chrom string, start long, end long, strand string, name string"
+    was = spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = I.link_loci(spark.createDataFrame(a, schema), spark.createDataFrame(b, schema)).select("locus", "chrom", "strand", "start", "end", "members").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was[0])
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", was[1])
+    assert sorted(map(tuple, got)) == brute_loci(a, b)
+
+
+def test_loci_of_odd_rows(spark):
+    schema = "chrom string, start long, end long, strand string, name string"
+    a = spark.createDataFrame([("c", 1, 5, "+", "x"), ("c", 5, 5, "+", "empty"), (None, 1, 5, "+", "nochrom"), ("c", 1, 5, None, "nostrand"), ("c", None, 5, "+", "nostart")], schema)
+    got = I.link_loci(a, a.limit(0))
+    assert sorted(r.members for r in got.collect()) == ["empty", "nochrom", "nostart", "nostrand", "x"]
+    assert I.link_loci(a.limit(0), a.limit(0)).count() == 0
+
+
+def test_an_interval_of_any_length_is_a_few_rows(spark):
+    """10^11 bases meet what they cover, at the level of their length."""
+    schema = "chrom string, start long, end long, strand string, name string"
+    long = spark.createDataFrame([("c", 0, 10**11, "+", "long"), ("c", 16**6 - 1, 16**6 + 1, "+", "border")], schema)
+    short = spark.createDataFrame([("c", i * 10**8, i * 10**8 + 50, "+", f"s{i}") for i in range(1200)] + [("c", 16**6, 16**6 + 3, "+", "next")], schema)
+    got = {(r.a_name, r.b_name) for r in I.overlap_join(long, short).collect()}
+    assert got == {("long", f"s{i}") for i in range(1000)} | {("long", "next"), ("border", "next")}
+    sized = long.withColumn("l", I._level("start", "end", I.BIN))
+    assert sized.select(F.explode(I._bins("start", "end", "l", list(range(14)), list(range(14)), I.BIN))).count() <= 2 * 14 * 2
+
+
+def test_deep_taxonomy(spark):
+    """A line of 100 taxa with a branch at each, repeated nodes, a missing parent, and a circle."""
+    line = [(1, None), *((i, i - 1) for i in range(2, 101)), *((1000 + i, i) for i in range(1, 101)), (5, 4), (7000, 6999)]
+    nodes = spark.createDataFrame(line, "taxid long, parent long")
+    paths = TX.taxon_paths(nodes)
+    found = {r.taxid: r.path for r in paths.collect()}
+    assert len(found) == 201 and found[100] == list(range(1, 101)) and found[1060] == [*range(1, 61), 1060] and found[7000] == [6999, 7000]
+    df = spark.createDataFrame([("a", 1100), ("a", 1050), ("b", 1090), ("b", 40), ("c", 100), ("c", 30), ("d", 7000), ("d", 3), ("e", 30), ("e", 1060), ("e", 1070), ("e", 50)], "k string, t long")
+    assert {r.k: r.lca for r in TX.lca(df, paths, "k", "t").collect()} == {"a": 50, "b": 40, "c": 30, "e": 30}
+    assert {r.k: r.lca for r in TX.lca(df, paths, "k", "t", strip=True).collect()} == {"a": 50, "b": 1090, "c": 100, "e": 60}
+    reads = spark.createDataFrame([("r1", 1100), ("r2", 40), ("r3", 41), ("r4", 1039)], "read string, taxid long")
+    targets = spark.createDataFrame([(40,), (1039,)], "taxid long")
+    assert sorted(map(tuple, TX.reads_by_taxa(reads, paths, targets).collect())) == [(40, "r1"), (40, "r2"), (40, "r3"), (1039, "r4")]
+    with pytest.raises(ValueError, match="circle"):
+        TX.taxon_paths(spark.createDataFrame([(1, 2), (2, 3), (3, 1)], "taxid long, parent long"))
+
+
 def test_fastq_records_that_are_none(spark, tmp_path):
     good = "".join(f"@r{i} d\nACGT\n+\nII@I\n" for i in range(50))
     (tmp_path / "ok.fq").write_text("\n" + good + "\n\n")
@@ -70,11 +145,12 @@ def test_fastq_records_that_are_none(spark, tmp_path):
 
 
 def test_compatible_taxa_of_shuffled_rows(spark, tmp_path):
-    closure = TX.taxon_closure(spark.createDataFrame([(1, 1), *((i, 1 if i < 5 else i // 5) for i in range(2, 60))], "taxid long, parent long")).cache()
+    nodes = spark.createDataFrame([(1, 1), *((i, 1 if i < 5 else i // 5) for i in range(2, 60))], "taxid long, parent long")
+    closure, paths = TX.taxon_closure(nodes).cache(), TX.taxon_paths(nodes)
     kin = {r.descendant for r in closure.where("ancestor = 3").collect()} | {r.ancestor for r in closure.where("descendant = 3").collect()}
     rows = [(i, f"{i % 58 + 2}__{(i * 7) % 58 + 2}", "z" * (i % 30)) for i in range(200)]
     hits = stored(spark.createDataFrame(rows, "i long, ids string, other string"), tmp_path / "h")
-    got = sorted(r.i for r in TX.taxon_compatible(hits, closure, "ids", 3).select("i").collect())
+    got = sorted(r.i for r in TX.taxon_compatible(hits, paths, "ids", 3).select("i").collect())
     assert got == [i for i, ids, _ in rows if {int(x) for x in ids.split("__")} & kin]
 
 

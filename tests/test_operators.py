@@ -101,7 +101,7 @@ def test_sample_distances_of_the_worked_example(spark):
 
 def test_lca_with_and_without_stripping(spark):
     nodes = spark.createDataFrame([(1, 1), (2, 1), (3, 2), (4, 2), (5, 3)], "taxid long, parent long")
-    closure = TX.taxon_closure(nodes)
+    closure = TX.taxon_paths(nodes)
     df = spark.createDataFrame([("a", 3), ("a", 4), ("b", 5), ("c", 2), ("c", 3), ("c", 5), ("d", 2), ("d", 3), ("d", 4), ("e", 5), ("e", 5), ("f", None)], "k string, t long")
     assert {r.k: r.lca for r in TX.lca(df, closure, "k", "t").collect()} == {"a": 2, "b": 5, "c": 2, "d": 2, "e": 5}
     assert {r.k: r.lca for r in TX.lca(df, closure, "k", "t", strip=True).collect()} == {"a": 2, "b": 5, "c": 5, "d": 2, "e": 5}
