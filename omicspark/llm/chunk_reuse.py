@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F, types as T
 
@@ -194,13 +195,29 @@ def _repair(data: bytes, left: _Span, skip: int, right: _Span, encode) -> tuple[
     return None
 
 
+def _squeezed():
+    """Texts as they go through the shuffle. Null stays null."""
+
+    @F.arrow_udf(T.BinaryType())
+    def squeezed(texts: pa.Array) -> pa.Array:
+        compress = zstandard.ZstdCompressor(level=1).compress
+        return pa.array([compress(t) if t else t for t in texts.to_pylist()], pa.binary())
+
+    return squeezed
+
+
+def _whole_texts(squeezed: pa.Array) -> list[bytes]:
+    expand = zstandard.ZstdDecompressor().decompress
+    return [expand(t) if t else b"" for t in squeezed.to_pylist()]
+
+
 def _publish(path: str):
     """The encoded chunks of a text that other places want; kept columns come along so that the shuffle of texts is one."""
 
     @F.arrow_udf(T.ArrayType(_ENCODED))
     def published(texts: pa.Array, wanted: pa.Array, kept: pa.Array) -> pa.Array:
         out = []
-        for data, spans in zip(texts.to_pylist(), wanted.to_pylist()):
+        for data, spans in zip(_whole_texts(texts), wanted.to_pylist()):
             found = [encode_span(data[s["start"] : s["start"] + s["size"]], path) for s in spans]
             out.append([{"ids": ids, "marks": marks} for ids, marks in found])
         return pa.array(out, pa.list_(pa.struct([("ids", pa.binary()), ("marks", pa.list_(pa.int32()))])))
@@ -216,7 +233,7 @@ def _id_lists(packed: list[bytes]) -> pa.Array:
 def _assembled(path: str):
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def whole(texts: pa.Array, borrowed: pa.Array) -> pa.Array:
-        return _id_lists([assemble(d, [(b["start"], b["size"], b["encoded"]["ids"], b["encoded"]["marks"]) for b in own or ()], path) if d else b"" for d, own in zip(texts.to_pylist(), borrowed.to_pylist())])
+        return _id_lists([assemble(d, [(b["start"], b["size"], b["encoded"]["ids"], b["encoded"]["marks"]) for b in own or ()], path) if d else b"" for d, own in zip(_whole_texts(texts), borrowed.to_pylist())])
 
     return whole
 
@@ -232,7 +249,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     """
     bound_batches(docs.sparkSession)
     data = F.col(text_col).cast("binary")
-    rows = docs.select(row_key(id_col, text_col).alias("uid"), F.struct(*keep).alias("kept"), data.alias("data")).where("uid IS NOT NULL")
+    rows = docs.select(row_key(id_col, text_col).alias("uid"), F.struct(*keep).alias("kept"), _squeezed()(data).alias("data")).where("uid IS NOT NULL")
     texts = docs.where(F.octet_length(data) > 0).select(row_key(id_col, text_col).alias("uid"), data.alias("data"))
     chunks = materialize(texts.mapInArrow(_chunk_rows(mean, least, most), "uid binary, start long, size int, key binary").distinct(), "chunks")
     shared = chunks.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct("uid", "start", "size")).alias("at")).where("n > 1")
