@@ -9,15 +9,17 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from omicspark.operators.ranks import global_row_number
 from omicspark.storage import materialize
 
 ROWS = 1 << 17  # rows of a block of features, about
 _CELLS = 1 << 22  # products held at a time
+_SLACK = 2e-9  # scores count to 9 decimals
 _EDGE = "a string, b string, score double"
 
 
 def _products(left: pd.DataFrame, right: pd.DataFrame, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(features of the left, features of the right, sums of products, sums of minima) of pairs with a common sample.
+    """(features of the left, features of the right, sums of products, sums of minima) of all pairs, 0 without a common sample.
 
     Some left features at a time, so that no more than _CELLS pairs are held.
     left and right: f (number of the feature), sample, v; the right by sample.
@@ -30,7 +32,7 @@ def _products(left: pd.DataFrame, right: pd.DataFrame, same: bool) -> Iterator[t
     for low in range(0, int(f.max()) + 1, step):
         a, b = np.searchsorted(f, [low, low + step])
         begin, end = np.searchsorted(samples, s[a:b], "left"), np.searchsorted(samples, s[a:b], "right")
-        p, m, n = (np.zeros(step * width) for _ in range(3))
+        p, m = np.zeros(step * width), np.zeros(step * width)
         met = np.cumsum(end - begin)
         at = 0
         while at < b - a:  # rows whose partners are at most _CELLS
@@ -41,19 +43,25 @@ def _products(left: pd.DataFrame, right: pd.DataFrame, same: bool) -> Iterator[t
             cell = (f[row] - low) * width + own[other]
             p += np.bincount(cell, v[row] * values[other], len(p))
             m += np.bincount(cell, np.minimum(v[row], values[other]), len(m))
-            n += np.bincount(cell, minlength=len(n))
             at = to
-        cell = np.flatnonzero(n)
+        cell = np.arange(min(step, int(f.max()) + 1 - low) * width)
         x, y = cell // width + low, cell % width
         if same:
             cell, x, y = (z[x < y] for z in (cell, x, y))
         yield x, y, p[cell], m[cell]
 
 
-def _strongest(edges: pd.DataFrame, k: int) -> pd.DataFrame:
-    """The k first and the k last by score (to 9 decimals), ties by name."""
-    ends = [edges.assign(o=sign * edges["score"].round(9)).sort_values(["o", "a", "b"]).head(k) for sign in (-1, 1)]
-    return pd.concat(ends)[["a", "b", "score"]].drop_duplicates()
+def _ends(score: np.ndarray, name: np.ndarray, k: int) -> np.ndarray:
+    """Where the k first and the k last by score (to 9 decimals) are, ties by the order of names. No more than these are sorted."""
+    found = []
+    for value in (-score.round(9), score.round(9)):
+        if len(value) <= k:
+            return np.arange(len(value))
+        last = np.partition(value, k - 1)[k - 1]
+        ahead, ties = np.flatnonzero(value < last), np.flatnonzero(value == last)
+        need = k - len(ahead)
+        found += [ahead, ties[np.argpartition(name[ties], need - 1)[:need]]]
+    return np.unique(np.concatenate(found))
 
 
 def _block_edges(k: int, method: str, n: int):
@@ -69,7 +77,9 @@ def _block_edges(k: int, method: str, n: int):
             first = rows.groupby("feature", sort=True)[["s", "ss"]].first()
             sides.append((rows.assign(f=f), names, first["s"].to_numpy(), first["ss"].to_numpy()))
         (left, a, sa, qa), (right, b, sb, qb) = sides
-        best = none
+        names = np.unique(np.concatenate([a, b]))
+        at_a, at_b = np.searchsorted(names, a), np.searchsorted(names, b)
+        kept = [np.empty(0, dtype=np.int64), np.empty(0)]  # pairs of names as numbers, scores
         for x, y, p, low in _products(left, right.sort_values("sample", kind="stable"), i == j):
             if method == "bray":
                 score = 2 * low / (sa[x] + sb[y])
@@ -78,10 +88,12 @@ def _block_edges(k: int, method: str, n: int):
                 down = np.sqrt(np.maximum((n * qa[x] - sa[x] ** 2) * (n * qb[y] - sb[y] ** 2), 0))
                 score = np.divide(up, down, out=np.full(len(up), np.nan), where=down > 0)
             good = ~np.isnan(score)
-            one, two = a[x[good]], b[y[good]]
-            found = pd.DataFrame({"a": np.where(one < two, one, two), "b": np.where(one < two, two, one), "score": score[good]})
-            best = _strongest(found if not len(best) else pd.concat([best, found]), k)
-        return best
+            one, two = at_a[x[good]], at_b[y[good]]
+            pair = np.minimum(one, two) * len(names) + np.maximum(one, two)
+            kept = [np.concatenate(z) for z in zip(kept, (pair, score[good]))]
+            chosen = _ends(kept[1], kept[0], k)
+            kept = [z[chosen] for z in kept]
+        return pd.DataFrame({"a": names[kept[0] // len(names)], "b": names[kept[0] % len(names)], "score": kept[1]})
 
     return edges
 
@@ -91,10 +103,14 @@ def cooccurrence(counts: DataFrame, k: int, method: str = "pearson", rows: int =
 
     Values are shares of their sample. pearson; spearman (of ranks, ties by their
     mean); bray (1 less the distance). Samples where a feature is missing count as
-    0, by sums over the samples where both are there and each one's own sums.
-    Features are dealt into blocks of about ``rows`` rows; each pair of blocks is
-    one group that keeps its own k at either end, so pairs are never written or
-    shuffled. A block has more rows only where one feature has (at most a row a sample).
+    0, by sums over the samples where both are there and each one's own sums; so
+    features without a common sample have an edge as well, the weakest of all for
+    features that exclude each other. Equal scores (to 9 decimals) go by name.
+    Features are dealt into blocks of about ``rows`` rows, those whose greatest
+    sample is the same side by side. Blocks first look for edges within
+    themselves and with their neighbours; what they find bounds which others have to meet. A pair of blocks
+    is one group that keeps its own k at either end, so edges are never written or shuffled
+    beyond these. A block has more rows only where one feature has (at most a row a sample).
     """
     totals = counts.groupBy("sample").agg(F.sum("value").alias("__t"))
     x = counts.groupBy("feature", "sample").agg(F.sum("value").alias("value")).join(totals, "sample").select("feature", "sample", (F.col("value") / F.col("__t")).cast("double").alias("v"))
@@ -106,17 +122,67 @@ def cooccurrence(counts: DataFrame, k: int, method: str = "pearson", rows: int =
         missing = F.lit(n) - F.count("*").over(Window.partitionBy("feature"))
         # Missing samples are ties at 0, before all others; shifted so that they count 0.
         x = x.select("feature", "sample", (rank + (ties - 1) / 2 + missing - F.when(missing > 0, (missing + 1) / 2).otherwise(0)).alias("v"))
-    own = x.groupBy("feature").agg(F.sum("v").alias("s"), F.sum(F.col("v") * F.col("v")).alias("ss"))
-    blocks = max(1, -(-size // rows))
-    dealt = x.join(own, "feature").withColumn("block", F.pmod(F.xxhash64("feature"), F.lit(blocks)).cast("int"))
-    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    met = met.select("feature", F.xxhash64("sample").alias("sample"), "v", "s", "ss", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    edges = materialize(met.groupBy("i", "j").applyInPandas(_block_edges(k, method, n), _EDGE), "edges")
+    own = x.groupBy("feature").agg(F.sum("v").alias("s"), F.sum(F.col("v") * F.col("v")).alias("ss"), F.max_by("sample", F.struct("v", "sample")).alias("home"))
+    spread = F.lit(1.0) if method == "bray" else F.sqrt(F.greatest(n * F.col("ss") - F.col("s") * F.col("s"), F.lit(0.0)))
+    # A feature that is the same in all samples has no correlation.
+    own = own.withColumn("d", spread).where(F.col("d") > 0)
+    numbered = materialize(global_row_number(own, ["home", "feature"], "number"), "features")  # those with one greatest sample side by side
+    features = numbered.count()
+    a_block = max(1, rows * features // max(1, size))
+    blocks = max(1, -(-features // a_block))
+    own = numbered.withColumn("block", F.floor((F.col("number") - 1) / a_block).cast("int")).select("feature", "s", "ss", "d", "block")
+    dealt = materialize(x.join(own, "feature").select("feature", F.xxhash64("sample").alias("sample"), "v", "s", "ss", "d", "block"), "dealt")
+    found = _block_edges(k, method, n)
+    # Each block by itself, with the one before and with the one after it.
+    near = F.filter(F.array(*[F.struct(i.alias("i"), j.alias("j")) for i, j in ((F.col("block"), F.col("block")), (F.col("block") - 1, F.col("block")), (F.col("block"), F.col("block") + 1))]), lambda p: (p["i"] >= 0) & (p["j"] < blocks))
+    edges = materialize(dealt.withColumn("p", F.explode(near)).select(*dealt.columns, "p.*").groupBy("i", "j").applyInPandas(found, _EDGE), "edges")
+    if blocks > 2:
+        pairs = _bounded_pairs(dealt, own, edges, blocks, n, k, method)
+        asked = materialize(pairs.select("i", "j", F.explode(F.array("i", "j")).alias("block")), "pairs-of-blocks")
+        edges = edges.unionByName(materialize(dealt.join(asked, "block").groupBy("i", "j").applyInPandas(found, _EDGE), "edges"))
     best = edges.orderBy(F.desc(F.round("score", 9)), "a", "b").limit(k).withColumn("side", F.lit("top"))
     worst = edges.orderBy(F.round("score", 9), "a", "b").limit(k).withColumn("side", F.lit("bottom"))
     return best.unionByName(worst)
 
 
+def _bounded_pairs(dealt: DataFrame, own: DataFrame, diagonal: DataFrame, blocks: int, n: int, k: int, method: str) -> DataFrame:
+    """(i, j): pairs of blocks that can hold one of the k first or last edges, given those within blocks and between neighbours.
+
+    A block's shape is the greatest value that any of its features has in each sample. A
+    product (or minimum) of two features is at most that of the shapes, which bounds
+    their score from above; a product is at least 0, which bounds it from below. Pairs
+    that can only reach what k edges have already reached stay if a name could come first.
+    """
+    order = lambda side: [F.desc("o"), "a", "b"] if side == "top" else ["o", "a", "b"]
+    kth = {}
+    for side in ("top", "bottom"):
+        rows = diagonal.withColumn("o", F.round("score", 9)).orderBy(*order(side)).select("o", "a").limit(k).collect()
+        kth[side] = (rows[-1]["o"], rows[-1]["a"]) if len(rows) == k else None
+    value = F.col("v") if method == "bray" else F.col("v") / F.col("d")
+    shape = materialize(dealt.groupBy("block", "sample").agg(F.max(value).alias("m")), "shapes")
+    ends = materialize(own.groupBy("block").agg(F.min("feature").alias("least"), F.min(F.col("s") / F.col("d")).alias("t_low"), F.max(F.col("s") / F.col("d")).alias("t_high"), F.min("s").alias("s_low")), "block-ends")
+    side = lambda name: shape.select("sample", F.col("block").alias(name), F.col("m").alias(f"m_{name}"))
+    both = F.least("m_i", "m_j") if method == "bray" else F.col("m_i") * F.col("m_j")
+    met = side("i").join(side("j"), "sample").where("i + 1 < j").groupBy("i", "j").agg(F.sum(both).alias("most"))
+    told = lambda name: ends.select(F.col("block").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("least", "t_low", "t_high", "s_low")])
+    ids = dealt.sparkSession.range(blocks * blocks).select(F.floor(F.col("id") / blocks).cast("int").alias("i"), (F.col("id") % blocks).cast("int").alias("j")).where("i + 1 < j")
+    every = ids.join(told("i"), "i").join(told("j"), "j").join(met, ["i", "j"], "left").withColumn("most", F.coalesce("most", F.lit(0.0)))
+    if method == "bray":
+        high, low = 2 * F.col("most") / (F.col("s_low_i") + F.col("s_low_j")), F.lit(0.0)
+    else:
+        high, low = n * F.col("most") - F.col("t_low_i") * F.col("t_low_j"), -F.col("t_high_i") * F.col("t_high_j")
+    first = F.least("least_i", "least_j")
+
+    def reaches(bound, last: tuple[float, str] | None):
+        if last is None:
+            return F.lit(True)
+        ahead = bound - last[0]  # above 0: better than the kth
+        return (ahead > _SLACK) | ((ahead >= -_SLACK) & (first <= last[1]))
+
+    bottom = None if kth["bottom"] is None else (-kth["bottom"][0], kth["bottom"][1])
+    return every.where(reaches(high, kth["top"]) | reaches(-low, bottom)).select("i", "j")
+
+
 def simplify_edges(edges: DataFrame) -> DataFrame:
     """Undirected edges (src, dst, weight) once each, with the greatest weight, without loops."""
     return edges.where("src <> dst").groupBy(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).agg(F.max("weight").alias("weight"))

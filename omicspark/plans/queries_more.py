@@ -757,7 +757,7 @@ def w9_saturation_fit(spark, sf):
 _MET = "SELECT concat('f', CAST(l_partkey AS STRING)) AS feature, concat('o', CAST(l_orderkey AS STRING)) AS sample, l_quantity AS value FROM lineitem"
 _SHARES = f"""WITH c AS (SELECT feature, sample, sum(value) AS value FROM ({_MET}) GROUP BY ALL), t AS (SELECT sample, sum(value) AS t FROM c GROUP BY sample), n AS (SELECT count(*) AS n FROM t), v AS (SELECT feature, sample, (value / t)::DOUBLE AS v FROM c JOIN t USING (sample))"""
 _RANKED = ", x AS (SELECT feature, sample, rank() OVER (PARTITION BY feature ORDER BY v) + (count(*) OVER (PARTITION BY feature, v) - 1) / 2.0 + (n - count(*) OVER f) - CASE WHEN n > count(*) OVER f THEN (n - count(*) OVER f + 1) / 2.0 ELSE 0 END AS v FROM v, n WINDOW f AS (PARTITION BY feature))"
-_PAIRED = ", s AS (SELECT feature, sum(v) AS s, sum(v * v) AS q FROM x GROUP BY feature), p AS (SELECT l.feature AS a, r.feature AS b, sum(l.v * r.v) AS p, sum(least(l.v, r.v)) AS low FROM x l JOIN x r ON l.sample = r.sample AND l.feature < r.feature GROUP BY ALL), j AS (SELECT a, b, p, low, l.s AS sa, l.q AS qa, r.s AS sb, r.q AS qb, n FROM p JOIN s l ON l.feature = a JOIN s r ON r.feature = b, n)"
+_PAIRED = ", s AS (SELECT feature, sum(v) AS s, sum(v * v) AS q FROM x GROUP BY feature), p AS (SELECT l.feature AS a, r.feature AS b, sum(l.v * r.v) AS p, sum(least(l.v, r.v)) AS low FROM x l JOIN x r ON l.sample = r.sample AND l.feature < r.feature GROUP BY ALL), j AS (SELECT l.feature AS a, r.feature AS b, coalesce(p, 0) AS p, coalesce(low, 0) AS low, l.s AS sa, l.q AS qa, r.s AS sb, r.q AS qb, n FROM s l JOIN s r ON l.feature < r.feature LEFT JOIN p ON p.a = l.feature AND p.b = r.feature, n)"
 _ENDS = " (SELECT a, b, round(s, 6) AS score, 'top' AS side FROM k ORDER BY round(s, 9) DESC, a, b LIMIT 10) UNION ALL (SELECT a, b, round(s, 6), 'bottom' FROM k ORDER BY round(s, 9), a, b LIMIT 10)"
 _CORR = ", k AS (SELECT a, b, (n * p - sa * sb) / sqrt((n * qa - sa * sa) * (n * qb - sb * sb)) AS s FROM j WHERE (n * qa - sa * sa) * (n * qb - sb * sb) > 0)"
 

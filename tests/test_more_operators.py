@@ -232,10 +232,9 @@ def brute_cooccurrence(rows, k, method):
     out = []
     for i in range(len(names)):
         for j in range(i + 1, len(names)):
-            if any((names[i], s) in value and (names[j], s) in value for s in samples):
-                score = 2 * np.minimum(x[i], x[j]).sum() / (x[i].sum() + x[j].sum()) if method == "bray" else np.corrcoef(x[i], x[j])[0, 1]
-                if not np.isnan(score):
-                    out.append((names[i], names[j], round(float(score), 9)))
+            score = 2 * np.minimum(x[i], x[j]).sum() / (x[i].sum() + x[j].sum()) if method == "bray" else np.corrcoef(x[i], x[j])[0, 1]
+            if not np.isnan(score):
+                out.append((names[i], names[j], round(float(score), 9)))
     return sorted(out, key=lambda e: (-e[2], e[0], e[1]))[:k], sorted(out, key=lambda e: (e[2], e[0], e[1]))[:k]
 
 
@@ -254,6 +253,37 @@ def test_cooccurrence_in_blocks(spark, method, monkeypatch):
     assert G.cooccurrence(df.limit(0), 3, method).count() == 0
 
 
+@pytest.mark.parametrize("method", ["pearson", "spearman", "bray"])
+def test_cooccurrence_of_features_that_exclude_each_other(spark, method):
+    """Groups of features with samples of their own: edges between groups are the weakest, and few blocks need to meet."""
+    rng = np.random.default_rng(3)
+    rows = [(f"f{g}{i}", f"s{g}{s}", float(rng.integers(1, 50))) for g in range(4) for i in range(6) for s in rng.choice(5, 3, replace=False)]
+    rows += [("A", "s00", 2.0), ("A", "s01", 3.0), ("B", "s10", 2.0), ("B", "s11", 1.0)]
+    df = spark.createDataFrame(rows, "feature string, sample string, value double")
+    for size in (10, 40, 1 << 17):
+        got = G.cooccurrence(df, 5, method, rows=size).collect()
+        for side, want in zip(("top", "bottom"), brute_cooccurrence(rows, 5, method)):
+            found = {(r.a, r.b): r.score for r in got if r.side == side}
+            assert found.keys() == {e[:2] for e in want} and all(math.isclose(found[e[:2]], e[2], abs_tol=1e-8) for e in want)
+
+
+def test_cooccurrence_in_few_samples(spark):
+    rows = [("A", "s1", 1.0), ("A", "s2", 2.0), ("B", "s3", 1.0), ("B", "s4", 2.0), *(("C", f"s{i}", float(i)) for i in range(1, 5))]
+    got = G.cooccurrence(spark.createDataFrame(rows, "feature string, sample string, value double"), 3).where("side = 'bottom'").orderBy("score").collect()
+    assert [(r.a, r.b) for r in got][0] == ("A", "B") and len(got) == 3
+
+
+def test_blocks_that_cannot_matter_do_not_meet(spark, monkeypatch):
+    """Features that are alike in samples of their own: pairs of other blocks stay below the kth edge."""
+    rows = [(f"f{g}{i}", f"s{g}{s}", 10.0 + i * s) for g in range(6) for i in range(4) for s in range(4)]
+    df = spark.createDataFrame(rows, "feature string, sample string, value double")
+    seen = []
+    was = G._bounded_pairs
+    monkeypatch.setattr(G, "_bounded_pairs", lambda *a: seen.append(was(*a).count()) or was(*a))
+    got = G.cooccurrence(df, 3, "bray", rows=16).collect()
+    assert sum(r.side == "top" for r in got) == 3 and seen[0] < 15
+
+
 def test_haplotypes_with_unknown_bases(spark):
     """Three sure AC, one AN: each way to read it by 1 and what is known; a doubly heterozygous subject takes the most frequent that fits."""
     g = [("s1", "A", "A", "C", "C"), ("s2", "A", "A", "C", "T"), ("s3", "A", "A", "N", "N"), ("s4", "A", "G", "C", "T"), ("s5", "G", "C", "G", "A")]
