@@ -29,12 +29,17 @@ BLOCKS = frozenset("html head body address article aside blockquote center detai
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SILENT = frozenset("script style noscript template textarea title select option button iframe object svg math canvas audio video datalist".split())
 RAW = frozenset("script style textarea title noscript iframe template svg select".split())
+FOREIGN = frozenset({"svg", "math"})  # a slash at the end of their tags closes them
+HEAD = frozenset("html head title meta link base script style noscript template".split())  # what doesn't begin a body
 ENDS_P = BLOCKS - {"html", "head", "body", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "dd", "dt", "li", "summary", "figcaption"}
+PLAIN = frozenset("html head title body div p b i em strong span h1 h2 h3 pre blockquote".split())
 PARTS = frozenset("article aside div footer header main nav section".split())
 ROLES = {"article": "article", "banner": "header", "complementary": "aside", "contentinfo": "footer", "form": "form", "main": "main", "navigation": "nav", "search": "form"}  # the elements that roles stand for
 SIBLINGS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"})}
 
 _OPEN = re.compile(r"""<(?:(!--)|(!\[CDATA\[)|([!?])|(/?)([a-zA-Z][a-zA-Z0-9:-]*+)(?:((?:[^<>"']++|"[^"<>]*+"|'[^'<>]*+')*+)>)?)""")
+_COMMENT_END = re.compile(r"--!?>")
+_NO_COMMENT = re.compile(r"-?>")  # right after its beginning
 _QUOTED = re.compile(r"""((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")  # attributes with < or > in their values
 _ATTRIBUTE = re.compile(r"""(?<![a-zA-Z-])([a-zA-Z-]++)\s*+=\s*+(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|(?<![\w-])(hidden)(?![\w-])""")
 _WORD = re.compile(r"[a-z]+")
@@ -44,6 +49,7 @@ STEM = 5
 STEPS = 200
 RATE = 0.3
 PENALTY = 0.01
+UNLIKELY = 0.1
 
 
 @dataclass
@@ -67,11 +73,33 @@ def parse(page: str) -> Dom:
     stack, at, n = [0], 0, len(page)
     depths: dict[str, list[int]] = defaultdict(list)  # where in the stack elements of a tag are
     silent = 0  # open silent elements
+    comments = True  # false once a comment turned out to stay open
+    body = False  # once there is one, said or implied
     quotes = True  # false once a quote turned out to stay open
     endless: set[str] = set()  # raw tags without an end tag further on
 
+    def push(tag: str, attributes: str) -> None:
+        nonlocal silent
+        dom.tags.append(tag)
+        dom.attributes.append(attributes)
+        dom.parents.append(stack[-1])
+        depths[tag].append(len(stack))
+        stack.append(len(dom.tags) - 1)
+        silent += tag in SILENT
+
+    def in_body() -> None:
+        """What is shown stands in a body, though no tag may have begun it."""
+        nonlocal body
+        if not body and not silent:
+            body = True
+            if depths["head"]:
+                close_to(depths["head"][-1])
+            push("body", "")
+
     def add(text: str) -> None:
         if text and not silent:
+            if not body and not text.isspace():
+                in_body()
             dom.texts.append((stack[-1], dom.breaks, html.unescape(text) if "&" in text else text))
 
     def close_to(depth: int) -> None:
@@ -97,10 +125,17 @@ def parse(page: str) -> Dom:
             at = begin + 1
             continue
         add(page[at:begin])
-        if m[1] or m[2]:
-            mark = "-->" if m[1] else "]]>"
-            end = page.find(mark, m.end())
-            at = end + len(mark) if end >= 0 else n
+        if m[1]:
+            ended = _COMMENT_END.search(page, m.end()) if comments else None
+            comments = ended is not None
+            at = ended.end() if ended else n
+            short = _NO_COMMENT.match(page, m.end())
+            if short:
+                at, comments = short.end(), True
+            continue
+        if m[2]:
+            end = page.find("]]>", m.end())
+            at = end + 3 if end >= 0 else n
             continue
         attributes, at = m[6], m.end()
         if attributes is None:
@@ -118,9 +153,15 @@ def parse(page: str) -> Dom:
             if depths[tag]:
                 close_to(depths[tag][-1])
             continue
+        if tag == "body":
+            body = True
+        elif tag not in HEAD:
+            in_body()
         if tag == "br":
             add(" ")
             continue
+        if tag in FOREIGN and attributes.endswith("/"):
+            continue
         if tag in ENDS_P or tag in SIBLINGS:
             ends, inside = SIBLINGS.get(tag, ((), ()))
             wall = nearest((*inside, "table", "button"))
@@ -142,12 +183,7 @@ def parse(page: str) -> Dom:
         if tag in endless and tag in ("script", "style", "textarea", "title"):
             break  # never closed: the rest is not text
         if not attributes.endswith("/") or tag in BLOCKS or tag in SILENT:
-            dom.tags.append(tag)
-            dom.attributes.append(attributes)
-            dom.parents.append(stack[-1])
-            depths[tag].append(len(stack))
-            stack.append(len(dom.tags) - 1)
-            silent += tag in SILENT
+            push(tag, attributes)
     return dom
 
 
@@ -279,12 +315,17 @@ def extract(page: str | None, model: TreeModel) -> str:
         return ""
     dom = parse(page)
     main = model.marginals(dom)
+    # A page without any main text is rare: where no element is likely, those near the likeliest count, unless all are
+    # unlikely. Where nothing but text and plain elements is there, nothing speaks against them.
+    best = max((main[e] for e, _, text in dom.texts if not text.isspace()), default=0.0)
+    plain = not any(dom.attributes) and PLAIN.issuperset(dom.tags[1:])
+    least = 0.5 if best >= 0.5 or best < UNLIKELY and not plain else best / 2
     blocks, now, parts = [], -1, []
     for e, block, text in dom.texts:
         if block != now:
             blocks.append(parts)
             now, parts = block, []
-        if main[e] >= 0.5:
+        if main[e] >= least:
             parts.append(text)
     blocks.append(parts)
     joined = (" ".join("".join(p).split()) for p in blocks)

@@ -38,3 +38,67 @@ LABELLED_PAGES = (
     '<body data-main="1">Yes.</body>',
     f'<p data-main="1">{_LONG}</p>',
 )
+
+# Words that name what surrounds main text, or stands within it without being part of it.
+_NOISE = (
+    "advert advertising adslot banner-ad promo promotion promoted sponsor sponsored partner-content outbrain taboola teaser upsell donate paywall offer deals",
+    "newsletter newsletter-signup subscribe subscription mailing-list signup join-us follow-us follow social share sharing share-bar socials addthis",
+    "related related-posts more-stories recommended recommendations popular trending most-read latest recent read-next also-like see-also suggestions",
+    "consent cookie cookies gdpr privacy-notice notice alert announcement banner info-bar toast popup modal overlay dialog survey poll feedback quiz",
+    "comment comments comments-area reply replies respond discussion disqus feedback-list reviews review ratings rating guestbook",
+    "byline author-box author-bio bio about-author meta post-meta tags tag-list taglist categories breadcrumb breadcrumbs pagination pager page-nav skip-link print-link toolbar",
+    "sidebar side-column rail widget widgets widget-area aside secondary nav navbar menu submenu topnav footer footer-links colophon copyright legal disclaimer imprint masthead branding login search search-form",
+)
+# Words that name main text.
+_MAIN = "article article-body article-text post post-body entry entry-content story story-body content page-content body-text text main main-text prose markdown description section-body report paper document document-body lead chapter".split()
+_SHORT = ("Get the best of our stories in your inbox.", "We use cookies on this site.", "Tell your friends about this.", "Three things to read today", "This offer ends soon, so order now.", "Your view counts: what do you say?")
+
+
+def _about(main: str, names: str, at: int) -> str:
+    """A page with one element for each name, in turn before, within and after the main text; one in three is a paragraph long."""
+    own = names.split()
+    texts = [_LONG if i % 3 == at % 3 else _SHORT[(i + at) % len(_SHORT)] for i in range(len(own))]
+    kinds = [("div", "<p>", "</p>"), ("aside", "<p>", "</p>"), ("section", "<h3>", "</h3>"), ("div", '<a href="#">', "</a> <input><button>Go</button>"), ("div", "", "")]
+    parts = []
+    for i, (name, text) in enumerate(zip(own, texts)):
+        tag, a, b = kinds[(i + at) % len(kinds)]
+        named = f'id="{name}"' if (i + at) % 4 == 1 else f'class="{name}"'
+        parts.append(f'<{tag} {named} data-main="0">{a}{text}{b}</{tag}>')
+    before, within, after = parts[0::3], parts[1::3], parts[2::3]
+    whole = [f"<p>{_LONG}</p>", f"<p>{_MORE}</p>", f"<h2>{_LINE}</h2>", f"<p>{_LINE} {_MORE}</p>", f"<ul><li>{_MORE}</li><li>{_LINE}</li></ul>", f"<p>{_LONG}</p>"]
+    body = "".join(x for pair in zip(whole, within + [""] * len(whole)) for x in pair) + "".join(within[len(whole) :])
+    tag = "article" if at % 2 else "div"
+    return f'<html>{_HEAD}<body>{"".join(before)}<{tag} class="{main}" data-main="1"><h1>{_LINE}</h1>{body}</{tag}>{"".join(after)}</body></html>'
+
+
+LABELLED_PAGES += tuple(_about(_MAIN[(7 * i + at) % len(_MAIN)], names, at) for i, names in enumerate(_NOISE) for at in range(4))
+LABELLED_PAGES += (
+    f'<html>{_HEAD}<body><article data-main="1"><h1>{_LINE}</h1><p>{_LONG}</p><aside data-main="0"><p>{_MORE}</p></aside><p>{_MORE}</p><aside data-main="0">{_LINE}</aside><p>{_LONG}</p></article></body></html>',
+    f'<html>{_HEAD}<body><aside data-main="0"><h3>{_LINE}</h3><ul><li>{_LINE}</li></ul></aside><main data-main="1"><p>{_LONG}</p><aside data-main="0"><p>{_LONG}</p></aside><p>{_LINE}</p></main></body></html>',
+    f'<div data-main="1">{_LONG}<br><br>{_MORE}<br><br>{_LINE}</div>',
+    f'<html>{_HEAD}<body><div id="text" data-main="1">{_LINE}<br><br>{_LINE}<br><br>{_LINE}</div></body></html>',
+    f'<html><body><nav>{_MENU}</nav><div data-main="1">{_LONG}<br><br>{_MORE}</div><footer>{_LINE}</footer></body></html>',
+    f'<div data-main="1">{_LINE}</div>',
+    f'<p data-main="1">{_LINE}</p>',
+    f'<body data-main="1"><p>{_LINE}</p><p>{_LINE}</p></body>',
+)
+# Main text in elements that no name tells.
+LABELLED_PAGES += tuple(
+    f'<html>{_HEAD}<body>{before}<{tag} data-main="1">{head}{text}</{tag}>{after}</body></html>'
+    for tag, head in (("div", f"<h1>{_LINE}</h1>"), ("section", f"<h2>{_LINE}</h2>"), ("div", ""), ("main", f"<h1>{_LINE}</h1>"))
+    for before, text, after in (
+        (f"<nav>{_MENU}</nav>", f"<p>{_LONG}</p><p>{_MORE}</p>", f"<footer>{_LINE}</footer>"),
+        (f"<div>{_MENU}</div>", f"<p>{_MORE}</p><h3>{_LINE}</h3><p>{_LONG}</p><ol><li>{_MORE}</li><li>{_LINE}</li></ol>", f'<div class="footer"><p>{_LINE}</p></div>'),
+        (f'<div class="header"><a href="/">{_LINE}</a></div>', f"<pre>{_LINE}</pre><p>{_LONG}</p><table><tr><td>North</td><td>12</td></tr></table><dl><dt>South</dt><dd>9</dd></dl>", ""),
+        ('<form><input name="q"><button>Find</button></form>', f"{_LONG}<br><br>{_MORE}", f"<aside><p>{_LINE}</p></aside>"),
+    )
+)
+# One notice at a time, amid an article.
+LABELLED_PAGES += tuple(
+    f'<html>{_HEAD}<body><article data-main="1"><h1>{_LINE}</h1><p>{_LONG}</p>{notice}<p>{_MORE}</p>{notice}<p>{_LINE}</p></article></body></html>'
+    for notice in (
+        f'<aside data-main="0">{_MORE}</aside>',
+        f'<aside data-main="0">{_SHORT[3]}</aside>',
+        *(f'<div class="{name}" data-main="0">{_SHORT[i % len(_SHORT)]}</div>' for i, name in enumerate("newsletter promo sponsored share subscribe related advert consent signup social".split())),
+    )
+)
