@@ -2,30 +2,47 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from omicspark.storage import bounded, materialize
+from omicspark.storage import bounded, free_name, materialize
 
 BASES = "ACGT"
 MOST_KNOWN = 100_000
+MOST_UNKNOWN = 30
+DIGITS = 6  # unknown bases that become rows at a time
 
 
 def expand_unknown(haplotypes: DataFrame, col: str = "haplotype") -> DataFrame:
-    """A row for each way to read the ``N`` of a string as a base."""
-    turns = F.sequence(F.lit(0), F.length(F.regexp_replace(col, "[^N]", "")) - 1)
-    start = F.array(F.col(col))
-    one = lambda texts: F.flatten(F.transform(texts, lambda t: F.array(*[F.regexp_replace(t, "^([^N]*)N", f"$1{b}") for b in BASES])))
-    ways = F.when(F.contains(col, F.lit("N")), F.aggregate(turns, start, lambda texts, _: one(texts))).otherwise(start)
-    return haplotypes.withColumn(col, F.explode(ways))
+    """A row for each way to read the ``N`` of a string as a base.
+
+    A way is a number with a digit in base 4 for each ``N``. It becomes rows DIGITS digits
+    at a time, so no array holds more than 4^DIGITS numbers however many ways there are.
+    Over MOST_UNKNOWN ``N`` in one string are an error.
+    """
+    n, way = free_name(haplotypes, "__n"), free_name(haplotypes, "__way")
+    unknown = F.length(F.regexp_replace(col, "[^N]", ""))
+    out = haplotypes.withColumn(n, F.when(unknown > MOST_UNKNOWN, F.raise_error(F.lit(f"over {MOST_UNKNOWN} N in a haplotype")).cast("int")).otherwise(F.coalesce(unknown, F.lit(0)))).withColumn(way, F.lit(0).cast("bigint"))
+    for low in reversed(range(0, MOST_UNKNOWN, DIGITS)):  # most rows come last
+        digits = F.expr(f"sequence(0L, shiftleft(1L, 2 * greatest(least(`{n}` - {low}, {DIGITS}), 0)) - 1)")
+        out = out.withColumn(way, F.explode(F.transform(digits, lambda d: F.col(way) + F.shiftleft(d, 2 * low))))  # noqa: B023  (used at once)
+    parts = F.split(F.col(col), "N", -1)
+    base = lambda i: F.substring(F.lit(BASES), (F.call_function("shiftright", F.col(way), i * 2).bitwiseAND(F.lit(3)) + 1).cast("int"), F.lit(1))
+    read = F.transform(F.slice(parts, 2, MOST_UNKNOWN + 1), lambda text, i: F.concat(base(i), text))
+    return out.withColumn(col, F.concat(F.get(parts, F.lit(0)), F.array_join(read, ""))).drop(n, way)
 
 
 def _read_unknown(weights: DataFrame) -> DataFrame:
     """Weights (pop, haplotype, weight) with haplotypes that hold ``N`` dealt to the ways to read them."""
     clear = weights.where(~F.contains("haplotype", F.lit("N")))
-    ways = expand_unknown(weights.where(F.contains("haplotype", F.lit("N"))).withColumn("__from", F.col("haplotype")))
-    shares = ways.join(clear.select("pop", "haplotype", F.col("weight").alias("__known")), ["pop", "haplotype"], "left").withColumn("__share", 1 + F.coalesce("__known", F.lit(0.0)))
-    dealt = shares.withColumn("weight", F.col("weight") * F.col("__share") / F.sum("__share").over(Window.partitionBy("pop", "__from")))
+    open_ = weights.where(F.contains("haplotype", F.lit("N"))).withColumn("__from", F.col("haplotype"))
+    ways = expand_unknown(open_)
+    known = clear.select("pop", "haplotype", F.col("weight").alias("__known"))
+    # A way counts 1 and what is known of it; all ways of a haplotype together 4^N and what is known of any.
+    found = ways.join(known, ["pop", "haplotype"]).groupBy("pop", "__from").agg(F.sum("__known").alias("__found"))
+    whole = F.pow(F.lit(4.0), F.length(F.regexp_replace("__from", "[^N]", "")))
+    dealt = ways.join(known, ["pop", "haplotype"], "left").join(found, ["pop", "__from"], "left")
+    dealt = dealt.withColumn("weight", F.col("weight") * (1 + F.coalesce("__known", F.lit(0.0))) / (whole + F.coalesce("__found", F.lit(0.0))))
     return clear.unionByName(dealt.select(*clear.columns)).groupBy("pop", "haplotype").agg(F.sum("weight").alias("weight"))
 
 

@@ -295,6 +295,20 @@ def test_haplotypes_with_unknown_bases(spark):
     assert round(sum(r.percent for r in HP.haplotype_freq(df).collect()), 6) == 100
 
 
+def test_many_unknown_bases(spark):
+    """Ways are rows and no array: 13 N in one haplotype are 4^13 of them."""
+    import itertools
+
+    df = spark.createDataFrame([("NACNNNGNNTN", 1), ("ACG", 2), ("", 3), ("N", 4), (None, 5)], "haplotype string, __n int")
+    got = Counter((r.haplotype, r["__n"]) for r in HP.expand_unknown(df).collect())
+    want = Counter(("{}AC{}{}{}G{}{}T{}".format(*x), 1) for x in itertools.product("ACGT", repeat=7)) + Counter([("ACG", 2), ("", 3), (None, 5), *((b, 4) for b in "ACGT")])
+    assert got == want
+    one = HP.expand_unknown(spark.createDataFrame([("N" * 13,)], "haplotype string"))
+    assert one.count() == 4**13
+    with pytest.raises(Exception, match="over 30 N"):
+        HP.expand_unknown(spark.createDataFrame([("N" * 31,)], "haplotype string")).count()
+
+
 def test_short_lists_are_checked(spark, monkeypatch):
     monkeypatch.setattr(TB, "MOST_TEMPLATES", 2)
     names = spark.createDataFrame([("a",), ("b",), ("c",)], "id string")
