@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from omicspark.storage import materialize
+from omicspark.storage import free_name, materialize
 
 
 def global_row_number(df: DataFrame, order: list[str], name: str = "row_number") -> DataFrame:
@@ -76,7 +76,7 @@ def exact_percentiles(df: DataFrame, by: list[str], value: str, shares: dict[str
 
 
 def bh_adjust(df: DataFrame, p: str, by: list[str], where: Column | None = None, out: str = "q_value") -> DataFrame:
-    """``df`` with Benjamini-Hochberg adjusted p-values within ``by``; an empty ``by`` is one group.
+    """``df`` with Benjamini-Hochberg adjusted p-values within ``by``; an empty ``by`` is one group. A column ``out`` that is there gives way.
 
     Rows that ``where`` leaves out, or without a p-value, get null and don't
     count. q depends on p alone, so equal p-values are counted first; ranks and
@@ -89,8 +89,10 @@ def bh_adjust(df: DataFrame, p: str, by: list[str], where: Column | None = None,
     within = Window.partitionBy("__range", *by).orderBy(F.desc(p)).rowsBetween(Window.unboundedPreceding, 0)
     adjusted = placed.withColumn(out, F.least(F.lit(1.0), F.min("__score").over(within), F.col("__other")))
     keys = [F.col(f"x.{b}").eqNullSafe(F.col(f"q.{b}")) for b in by]
-    joined = df.withColumn("__used", used).alias("x").join(adjusted.select(*by, p, out).alias("q"), [*keys, (F.col(f"x.{p}") == F.col(f"q.{p}")) & F.col("x.__used")], "left")
-    return joined.select("x.*", f"q.{out}").drop("__used")
+    mark, rest = free_name(df, "__used"), [c for c in df.columns if c != out]
+    marked = df.withColumn(mark, used).alias("x")
+    joined = marked.join(adjusted.select(*by, p, out).alias("q"), [*keys, (F.col(f"x.{p}") == F.col(f"q.{p}")) & F.col(f"x.{mark}")], "left")
+    return joined.select(*[F.col(f"x.`{c}`") for c in rest], f"q.{out}")
 
 
 def bh_across(cols: list[str]) -> list[Column]:

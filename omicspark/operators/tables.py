@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F, types as T
 
 from omicspark.functions.text import split_list
-from omicspark.storage import bounded
+from omicspark.storage import bounded, free_name
 
 MOST_TEMPLATES = 10_000
 
@@ -103,7 +103,8 @@ def top1(df: DataFrame, by: list[str], order: list[Column]) -> DataFrame:
 
 def limit_per_group(df: DataFrame, by: list[str], n: int, order: list[Column]) -> DataFrame:
     """At most n rows of each group, the first by ``order``."""
-    return df.withColumn("__n", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("__n") <= n).drop("__n")
+    number = free_name(df, "__n")
+    return df.withColumn(number, F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col(number) <= n).drop(number)
 
 
 def lump_other(df: DataFrame, by: str, cls: str, value: str, n: int, other: str = "other") -> DataFrame:

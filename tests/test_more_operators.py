@@ -295,6 +295,15 @@ def test_haplotypes_with_unknown_bases(spark):
     assert round(sum(r.percent for r in HP.haplotype_freq(df).collect()), 6) == 100
 
 
+def test_columns_named_like_helpers_stay(spark):
+    df = spark.createDataFrame([("a", 0.01, 7, True, 0.5), ("a", 0.04, 8, False, 0.5), ("b", 0.2, 9, None, 0.5)], "g string, p double, __n int, __used boolean, q_value double")
+    first = TB.limit_per_group(df, ["g"], 1, [F.col("p")])
+    assert first.columns == df.columns and sorted(r["__n"] for r in first.collect()) == [7, 9]
+    adjusted = R.bh_adjust(df, "p", [])
+    assert adjusted.columns == ["g", "p", "__n", "__used", "q_value"]
+    assert sorted((r["__n"], r["__used"], round(r.q_value, 9)) for r in adjusted.collect()) == [(7, True, 0.03), (8, False, 0.06), (9, None, 0.2)]
+
+
 def test_many_unknown_bases(spark):
     """Ways are rows and no array: 13 N in one haplotype are 4^13 of them."""
     import itertools
