@@ -797,6 +797,13 @@ def a26_filter_kmer_abundance(spark, sf):
     return K.filter_kmer_abundance(run(spark, sf, B.READS), 4, 20).select("read_id")
 
 
+@query(f"""WITH r AS ({B.READS}), k AS (SELECT read_id, i, substr(seq, i, 6) AS k FROM r, range(1, 28) t(i)), c AS (SELECT k, count(*) AS n FROM k GROUP BY k),
+ f AS (SELECT read_id, min(i) FILTER (n < 3) AS bad FROM k JOIN c USING (k) GROUP BY read_id)
+ SELECT read_id, substr(seq, 1, coalesce(bad + 4, 32)) AS seq, substr(qual, 1, coalesce(bad + 4, 32)) AS qual FROM r JOIN f USING (read_id) WHERE bad IS NULL OR bad > 1""")
+def a26_trim_rare_bases(spark, sf):
+    return K.trim_rare_bases(run(spark, sf, B.READS), 6, 3, qual="qual").select("read_id", "seq", "qual")
+
+
 @query("""WITH q AS (SELECT DISTINCT substr(text, i, 5) AS k FROM (SELECT text, unnest(range(1, length(text) - 3)) AS i FROM benchmark)),
  e AS (SELECT doc_id, substr(text, i, 5) AS k FROM (SELECT doc_id, text, unnest(range(1, length(text) - 3)) AS i FROM documents WHERE length(text) >= 5))
  SELECT doc_id AS id FROM e LEFT JOIN q USING (k) GROUP BY doc_id HAVING 2 * count(q.k) >= count(*)""")

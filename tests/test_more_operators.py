@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from omicspark.sources import readers as IN
-from omicspark.operators import expression as E, features as FT, graphs as G, haplotypes as HP, hits as H, intervals as I, kmers as K, ranks as R, reads as RD, tables as TB, taxa as TX
+from omicspark.operators import expression as E, features as FT, graphs as G, grams as GR, haplotypes as HP, hits as H, intervals as I, kmers as K, ranks as R, reads as RD, tables as TB, taxa as TX
 
 
 def stored(df, path):
@@ -433,3 +433,50 @@ def test_sweep_of_whole_texts(spark):
     want = {i for i, s in reads if s and len(s) >= 12 and 2 * sum(s[j : j + 12] in kmers for j in range(len(s) - 11)) >= len(s) - 11}
     got = {r.read_id for r in K.sweep_reads(df, spark.createDataFrame([(known,)], "seq string"), 12).collect()}
     assert got == want == {"all", "late", "early"}
+
+
+def brute_trim(reads, k, least, most):
+    kmers = lambda s: [s.upper()[i : i + k] for i in range(len(s or "") - k + 1)]
+    n = {}
+    for _, s in reads:
+        for x in kmers(s):
+            n[x] = n.get(x, 0) + (not set(x) - set("ACGT"))
+    out = []
+    for i, s in reads:
+        bad = [j for j, x in enumerate(kmers(s)) if n[x] < least or (most and n[x] > most)]
+        if s and len(s) >= k and (not bad or bad[0] > 0):
+            out.append((i, s[: bad[0] + k - 1] if bad else s))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize(("k", "least", "most", "held"), [(3, 4, None, 1 << 18), (5, 2, 30, 1 << 18), (12, 2, None, 1 << 18), (21, 2, None, 1 << 18), (31, 3, None, 1 << 18), (7, 3, 40, 5)])
+def test_rare_bases_against_a_loop(spark, monkeypatch, k, least, most, held):
+    """Runs of one base, other letters, lower case, null and short reads; minimizers with more runs than a task holds."""
+    rng = np.random.default_rng(k)
+    word = lambda n: "".join(rng.choice(list("ACGT"), n))
+    genome = word(400) + "A" * 90 + "AC" * 60
+    reads = []
+    for i in range(150):
+        at, n = int(rng.integers(0, 560)), int(rng.integers(1, 120))
+        s = genome[at : at + n]
+        if i % 3 == 0 and len(s) > 9:
+            j = int(rng.integers(0, len(s)))
+            s = s[:j] + "ACGTNn\u00e9"[int(rng.integers(0, 7))] + s[j + 1 :]
+        reads.append((f"r{i}", s.lower() if i % 11 == 0 else s))
+    reads += [("null", None), ("empty", ""), ("n", "N" * 50), ("long", genome * 30), (None, genome[:100])]
+    monkeypatch.setattr(K, "MOST_WORDS", held)
+    df = spark.createDataFrame([(i, s, s, 1) for i, s in reads], "read_id string, seq string, qual string, __cut int").repartition(3)
+    got = K.trim_rare_bases(df, k, least, most, qual="qual").collect()
+    assert sorted([(r.read_id, r.seq) for r in got], key=str) == brute_trim(reads, k, least, most)
+    assert all(r.seq == r.qual for r in got)
+
+
+def test_trim_of_no_reads(spark):
+    assert K.trim_rare_bases(spark.createDataFrame([], "read_id string, seq string"), 5, 2).collect() == []
+
+
+def test_grams_of_pieces():
+    texts = ["abcdefghij" * 5, "", None, "xyz", "\U0001f600bc\U0001f600bc"]
+    whole = {(r, int(a), int(h)) for r, t in enumerate(texts) if t for _, a, h in zip(*GR.hashes([t], 3))}
+    cut = {(int(rows[o]), int(a + off[o]), int(h)) for rows, off, part in GR.pieces(texts, 2, 7) for o, a, h in zip(*GR.hashes(part, 3))}
+    assert cut == whole and len({h for r, a, h in whole if r == 4}) == 3
