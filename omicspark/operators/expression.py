@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F, types as T
 
-from omicspark.operators.ranks import bh_adjust, exact_percentiles
+from omicspark.operators.ranks import bh_adjust, exact_percentiles, global_row_number, keyed_permutation
 from omicspark.storage import bounded, materialize
 
 MOST_SAMPLES = 1_000_000
@@ -254,21 +254,30 @@ def sample_pca(counts: DataFrame, samples: list[str], k: int = 2, top: int | Non
     return counts.sparkSession.createDataFrame(rows, "sample string, component int, score double, share double")
 
 
-def rarefaction(reads: DataFrame, order: Column, chunk: int, reps: int, min_reads: float, min_rpk: float = 0.0, known: DataFrame | None = None, count: str | None = None, rpk: str | None = None) -> DataFrame:
+def rarefaction(reads: DataFrame, order: Column | None, chunk: int, reps: int, min_reads: float, min_rpk: float = 0.0, known: DataFrame | None = None, count: str | None = None, rpk: str | None = None) -> DataFrame:
     """(rep, chunk, mapped, mapped_unique, genes, known, novel): reads and genes discovered, chunk by chunk, in each replicate.
 
     reads (read, gene, and columns ``count`` and ``rpk``): a row's weight, 1 without
-    the column, and its part of reads per 1000 bases, 0 without. ``order`` gives,
-    from the column ``rep``, a whole number that shuffles reads; its remainder by the
-    number of chunks is the chunk. mapped sums all weights so far, mapped_unique
-    those of at least 1. A gene is discovered in the chunk where its weights so far
-    reach min_reads and its rpk min_rpk; no gene ('' or null) is never one. known
-    (gene): the others are novel. Reads shrink to (rep, gene, chunk) sums before any window.
+    the column, and its part of reads per 1000 bases, 0 without. Without ``order``
+    rows are numbered once by all that counts of them, each replicate puts the numbers
+    in an order of its own (``keyed_permutation``), and every chunk but the last has
+    exactly ``chunk`` rows. ``order`` gives instead, from the column ``rep``, a whole
+    number whose remainder by the number of chunks is the chunk: chunks are then about equal.
+
+    mapped sums all weights so far, mapped_unique those of at least 1. A gene is
+    discovered in the chunk where its weights so far reach min_reads and its rpk
+    min_rpk; no gene ('' or null) is never one. known (gene): the others are novel.
+    Reads shrink to (rep, gene, chunk) sums before any window.
     """
     total = reads.count()
-    chunks = max(1, -(-total // chunk))
     weight = F.col(count).cast("double") if count else F.lit(1.0)
-    dealt = reads.select("read", "gene", weight.alias("w"), (F.col(rpk).cast("double") if rpk else F.lit(0.0)).alias("k"), F.explode(F.sequence(F.lit(1), F.lit(reps))).alias("rep")).withColumn("chunk", F.pmod(order, F.lit(chunks)) + 1)
+    used = reads.select("read", "gene", weight.alias("w"), (F.col(rpk).cast("double") if rpk else F.lit(0.0)).alias("k"))
+    if order is None:
+        numbered = global_row_number(used, ["read", "gene", "w", "k"], "number").withColumn("rep", F.explode(F.sequence(F.lit(1), F.lit(reps))))
+        placed = keyed_permutation(numbered.withColumn("number", F.col("number") - 1), "number", total, F.col("rep"), "place")
+        dealt = placed.withColumn("chunk", F.expr(f"place div {int(chunk)} + 1"))
+    else:
+        dealt = used.withColumn("rep", F.explode(F.sequence(F.lit(1), F.lit(reps)))).withColumn("chunk", F.pmod(order, F.lit(max(1, -(-total // chunk)))) + 1)
     sums = dealt.groupBy("rep", "gene", "chunk").agg(F.sum("w").alias("n"), F.sum(F.when(F.col("w") >= 1, F.col("w")).otherwise(0.0)).alias("u"), F.sum("k").alias("k"))
     counts = materialize(sums, "rarefaction")
     own = Window.partitionBy("rep", "gene").orderBy("chunk").rowsBetween(Window.unboundedPreceding, 0)

@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from omicspark.functions.sequences import revcomp
 from omicspark.functions.text import attribute
+from omicspark.operators.grams import find_literals
 from omicspark.operators.ranks import numbers_within
-from omicspark.storage import bounded, materialize
+from omicspark.storage import free_name, materialize
 
 TILE = 1 << 16
-MOST_NAMES = 10_000
 
 
 def filter_features(df: DataFrame, drop_types: list[str]) -> DataFrame:
@@ -92,16 +92,18 @@ def gene_info(features: DataFrame, info: DataFrame, tax_id: int | None = None) -
 def add_gene(df: DataFrame, features: DataFrame, col: str, regex: str) -> DataFrame:
     """``gene``: the parent of the feature whose id is what the regex takes from ``col``; where there is none, of the first child id that contains it.
 
-    The second way compares texts, so only ids not found by equality reach it, once
-    each, and only up to MOST_NAMES of them: more are an error, as each meets every child id.
+    Only ids not found by equality go the second way, once each; ``find_literals`` tells
+    which child ids contain them, so their number has no limit. The first child id is
+    the least.
     """
-    named = df.withColumn("__id", F.regexp_extract(col, regex, 1))
-    known = features.where("parent IS NOT NULL").groupBy("id").agg(F.min("parent").alias("__gene"))
-    first = named.join(known, named["__id"] == known["id"], "left").drop("id")
-    missed = first.where("__gene IS NULL AND __id <> ''").select(F.col("__id").alias("__miss")).distinct()
-    missed = bounded(missed, MOST_NAMES, "ids that no feature has")
-    near = F.broadcast(missed).join(known, F.contains(known["id"], missed["__miss"])).groupBy("__miss").agg(F.min_by("__gene", "id").alias("__near"))
-    return first.join(near, first["__id"] == near["__miss"], "left").withColumn("gene", F.coalesce("__gene", "__near")).select(*df.columns, "gene")
+    taken, gene = free_name(df, "__id"), free_name(df, "__gene")
+    named = df.withColumn(taken, F.regexp_extract(col, regex, 1))
+    known = features.where("id IS NOT NULL AND parent IS NOT NULL").groupBy("id").agg(F.min("parent").alias(gene)).withColumnRenamed("id", "__known")
+    first = named.join(known, F.col(taken) == F.col("__known"), "left").drop("__known")
+    missed = first.where(F.col(gene).isNull() & (F.col(taken) != "")).select(F.col(taken).alias("__miss")).distinct()
+    held = find_literals(known, "__known", missed, "__miss").join(known, "__known")
+    near = held.groupBy("__miss").agg(F.min_by(gene, "__known").alias("__near"))
+    return first.join(near, F.col(taken) == F.col("__miss"), "left").select(*[F.col(f"`{c}`") for c in df.columns if c != "gene"], F.coalesce(F.col(gene), F.col("__near")).alias("gene"))
 
 
 def explode_exons(df: DataFrame) -> DataFrame:

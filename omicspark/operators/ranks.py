@@ -28,6 +28,31 @@ def global_row_number(df: DataFrame, order: list[str], name: str = "row_number")
     return numbered.withColumn(name, F.col("base") + F.col("__at") - F.col("first") + 1).drop("__range", "__at", "first", "base")
 
 
+_PRIME = 2147483647
+
+
+def _mixed(x: Column) -> Column:
+    once = (x % _PRIME * 48271 + 11) % _PRIME
+    return once * (once % 65537 + 1) % _PRIME
+
+
+def keyed_permutation(df: DataFrame, number: str, total: int, key: Column, name: str, rounds: int = 16) -> DataFrame:
+    """``df`` with ``name``: where a permutation of 0 .. total - 1 that depends on ``key`` puts ``number``.
+
+    Swap-or-not: in each round a number and its mirror at a place that the key tells
+    change places or not, as the greater of the two tells. Every round is a permutation
+    of exactly these numbers at any ``total``, so nothing is sorted, moved or tried again.
+    """
+    place, mirror = free_name(df, "__place"), free_name(df, "__mirror")
+    out, n = df.withColumn(place, F.col(number).cast("bigint")), F.lit(max(1, total)).cast("bigint")
+    for r in range(1, rounds + 1):
+        z = key.cast("bigint") * 1000003 + r * 7919
+        out = out.withColumn(mirror, ((_mixed(z) * _PRIME + _mixed(z + 1)) % n - F.col(place) + n) % n)
+        swap = _mixed(_mixed(F.greatest(place, mirror)) + _mixed(z + 2)) % 2 == 1
+        out = out.withColumn(place, F.when(swap, F.col(mirror)).otherwise(F.col(place)))
+    return out.withColumn(name, F.col(place)).drop(place, mirror)
+
+
 def _ranged(df: DataFrame, by: list[str], *order: str) -> DataFrame:
     """``df`` written in ranges of (by, order), with the number of the range."""
     return materialize(df.repartitionByRange(*by, *order).sortWithinPartitions(*by, *order).withColumn("__range", F.spark_partition_id()), "ranges")

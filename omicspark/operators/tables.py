@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F, types as T
 
 from omicspark.functions.text import split_list
+from omicspark.operators.grams import find_literals
 from omicspark.storage import bounded, free_name
 
 MOST_TEMPLATES = 10_000
@@ -25,16 +26,31 @@ def exclude_ids(df: DataFrame, ids: DataFrame, key: str, id_col: str = "id") ->
     return df.join(ids.select(F.col(id_col).alias(key)), key, "left_anti")
 
 
+def _needs_id(template: str) -> bool:
+    """Whether every match of the template surely contains the id: no choice, no flags or classes, ``$id`` outside groups and not optional."""
+    before, found, after = template.partition("$id")
+    return bool(found) and not any(x in template for x in ("|", "(?", "[", "\\Q")) and before.count("(") == before.count(")") and "\\(" not in before and "\\)" not in before and after[:1] not in ("?", "*", "{") and not before.endswith("\\")
+
+
 def select_by_template(df: DataFrame, ids: DataFrame, col: str, template: str, id_col: str = "id", rename: bool = False) -> DataFrame:
     """Rows whose ``col`` matches the regex ``template`` with its ``$id`` put in literally; a row for each id that matches.
 
-    The ids are a short list of names, as each is tried against each row: over
-    MOST_TEMPLATES distinct ones are an error.
+    Texts that contain an id are found first (``find_literals``), and only these pairs are
+    held to the regex: any number of ids will do. Where a match needn't contain the id
+    (a choice, a flag, an optional ``$id``), and for the id '', each id is tried against
+    each text: over MOST_TEMPLATES distinct ones are an error then. Null ids match nothing.
     """
-    quoted = F.concat(F.lit("\\Q"), F.col(id_col), F.lit("\\E"))
-    patterns = ids.select(F.col(id_col).alias("__id"), F.replace(F.lit(template), F.lit("$id"), quoted).alias("__pattern")).distinct()
-    hit = df.join(F.broadcast(bounded(patterns, MOST_TEMPLATES, "ids")), F.expr(f"`{col}` RLIKE __pattern")).drop("__pattern")
-    return hit.withColumn(col, F.col("__id")).drop("__id") if rename else hit.withColumnRenamed("__id", "matched_id")
+    own = free_name(df, "matched_id" if not rename else "__id")
+    named = ids.select(F.col(id_col).cast("string").alias("__id")).where("__id IS NOT NULL").distinct()
+    quoted = F.concat(F.lit("\\Q"), F.replace(F.col("__id"), F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E"))
+    matches = lambda text: F.regexp(F.col(text), F.replace(F.lit(template), F.lit("$id"), quoted))
+    texts = df.select(F.col(col).alias("__text")).where("__text IS NOT NULL").distinct()
+    tried = named.where("__id = ''") if _needs_id(template) else named
+    pairs = texts.join(F.broadcast(bounded(tried, MOST_TEMPLATES, "ids")), matches("__text"))
+    if _needs_id(template):
+        pairs = find_literals(texts, "__text", named, "__id").where(matches("__text")).unionByName(pairs)
+    met = df.join(pairs.withColumnRenamed("__id", own), df[col] == pairs["__text"]).drop("__text")
+    return met.select(*[F.col(f"`{own}`").alias(c) if c == col else F.col(f"`{c}`") for c in df.columns]) if rename else met
 
 
 def select_group(df: DataFrame, col: str, group: int, kinds: list[str]) -> DataFrame:

@@ -716,6 +716,28 @@ def w5_rarefaction(spark, sf):
     return E.rarefaction(reads, F.col("read") * 48271 * F.col("rep") % 2147483647, 1000, 2, 2, 8.0, known, "w", "r")
 
 
+def _mix(x):
+    once = f"((({x}) % 2147483647 * 48271 + 11) % 2147483647)"
+    return f"({once} * ({once} % 65537 + 1) % 2147483647)"
+
+
+_Z = "(rep * 1000003 + r * 7919)"
+_MIRROR = f"(({_mix(_Z)} * 2147483647 + {_mix(_Z + ' + 1')}) % t - x + t) % t"
+
+
+@query(f"""WITH RECURSIVE a AS (SELECT event_id, user_id, count(*) OVER () AS t, row_number() OVER (ORDER BY event_id, user_id) - 1 AS x FROM events),
+ p AS (SELECT event_id, user_id, t, x, rep, 1::BIGINT AS r FROM a, range(1, 3) q(rep) UNION ALL
+  SELECT event_id, user_id, t, CASE WHEN {_mix(f"{_mix('greatest(x, y)')} + {_mix(_Z + ' + 2')}")} % 2 = 1 THEN y ELSE x END, rep, r + 1 FROM (SELECT *, {_MIRROR} AS y FROM p WHERE r <= 16)),
+ c AS (SELECT rep, x // 1000 + 1 AS chunk, user_id AS gene, count(*) AS n FROM p WHERE r = 17 GROUP BY ALL),
+ u AS (SELECT *, sum(n) OVER (PARTITION BY rep, gene ORDER BY chunk) AS upto FROM c WHERE gene IS NOT NULL),
+ f AS (SELECT rep, chunk, count(*) AS g FROM (SELECT rep, gene, min(chunk) AS chunk FROM u WHERE upto >= 3 GROUP BY ALL) GROUP BY ALL),
+ s AS (SELECT rep, chunk, sum(n) AS n FROM c GROUP BY ALL)
+ SELECT rep::INTEGER AS rep, chunk, (sum(n) OVER v)::DOUBLE AS mapped, (sum(n) OVER v)::DOUBLE AS mapped_unique, (sum(coalesce(g, 0)) OVER v)::BIGINT AS genes, 0::BIGINT AS known, (sum(coalesce(g, 0)) OVER v)::BIGINT AS novel FROM s LEFT JOIN f USING (rep, chunk) WINDOW v AS (PARTITION BY rep ORDER BY chunk)""")
+def w5_even_chunks(spark, sf):
+    reads = table(spark, sf, "events").select(F.col("event_id").alias("read"), F.col("user_id").alias("gene"))
+    return E.rarefaction(reads, None, 1000, 2, 3)
+
+
 @query("""WITH g AS (SELECT l_linenumber, count(l_quantity) AS n, avg(l_quantity) AS m, stddev_samp(l_quantity) / sqrt(count(l_quantity)) AS se FROM lineitem GROUP BY l_linenumber)
  SELECT l_linenumber, n, round(m / (l_linenumber * 50) * 100, 6) AS percent, round((m - 1.96 * se) / (l_linenumber * 50) * 100, 6) AS percent_low, round((m + 1.96 * se) / (l_linenumber * 50) * 100, 6) AS percent_high FROM g""")
 def w8_percent_of_chunk(spark, sf):

@@ -322,11 +322,7 @@ def test_short_lists_are_checked(spark, monkeypatch):
     monkeypatch.setattr(TB, "MOST_TEMPLATES", 2)
     names = spark.createDataFrame([("a",), ("b",), ("c",)], "id string")
     with pytest.raises(ValueError):
-        TB.select_by_template(names, names, "id", "^$id")
-    monkeypatch.setattr(FT, "MOST_NAMES", 1)
-    feats = spark.createDataFrame([("xa1", "g")], "id string, parent string")
-    with pytest.raises(ValueError):
-        FT.add_gene(names, feats, "id", "(.*)")
+        TB.select_by_template(names, names, "id", "^($id)?$")
     monkeypatch.setattr(HP, "MOST_KNOWN", 0)
     g = spark.createDataFrame([("s", "p", 1, "A", "A")], "subject string, pop string, marker int, a1 string, a2 string")
     with pytest.raises(ValueError):
@@ -480,3 +476,67 @@ def test_grams_of_pieces():
     whole = {(r, int(a), int(h)) for r, t in enumerate(texts) if t for _, a, h in zip(*GR.hashes([t], 3))}
     cut = {(int(rows[o]), int(a + off[o]), int(h)) for rows, off, part in GR.pieces(texts, 2, 7) for o, a, h in zip(*GR.hashes(part, 3))}
     assert cut == whole and len({h for r, a, h in whole if r == 4}) == 3
+
+
+def plain_permutation(n, key, rounds=16):
+    mix = lambda x: (lambda a: a * (a % 65537 + 1) % 2147483647)((x % 2147483647 * 48271 + 11) % 2147483647)
+    places = list(range(n))
+    for r in range(1, rounds + 1):
+        z = key * 1000003 + r * 7919
+        for i, x in enumerate(places):
+            y = ((mix(z) * 2147483647 + mix(z + 1)) % n - x) % n
+            if mix(mix(max(x, y)) + mix(z + 2)) % 2:
+                places[i] = y
+    return places
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 7, 256, 1001])
+def test_permutation_of_exactly_n(spark, n):
+    df = spark.range(n).select("id", F.lit("x").alias("__place"), F.explode(F.sequence(F.lit(1), F.lit(3))).alias("rep"))
+    got = R.keyed_permutation(df, "id", n, F.col("rep"), "at").collect()
+    assert all(r["__place"] == "x" for r in got)
+    orders = [[r.at for r in sorted(got, key=lambda r: r.id) if r.rep == rep] for rep in (1, 2, 3)]
+    assert orders == [plain_permutation(n, rep) for rep in (1, 2, 3)]
+    assert all(sorted(o) == list(range(n)) for o in orders)
+    if n > 200:  # near as many meet in place, or stay near each other, as by chance
+        assert sum(a == b for a, b in zip(orders[0], orders[1])) < 8 and sum(i == a for i, a in enumerate(orders[0])) < 8
+        assert abs(np.corrcoef(range(n), orders[0])[0, 1]) < 0.2 and abs(np.corrcoef(orders[0][:-1], orders[0][1:])[0, 1]) < 0.2
+
+
+def test_rarefaction_in_even_chunks(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i // 2, f"g{int(rng.integers(0, 40))}") for i in range(505)] + [(None, None), (None, "g1")]
+    df = spark.createDataFrame(rows, "read long, gene string").repartition(5)
+    got = {(r.rep, r.chunk): r for r in E.rarefaction(df, None, 50, 2, 4).collect()}
+    assert sorted(got) == [(rep, c) for rep in (1, 2) for c in range(1, 12)]
+    ordered = sorted(rows, key=lambda x: (x[0] is not None, x[0], x[1] is not None, x[1] or ""))
+    for rep in (1, 2):
+        places = plain_permutation(len(rows), rep)
+        for c in range(1, 12):
+            genes = [ordered[i][1] for i, at in enumerate(places) if at < 50 * c]
+            r = got[rep, c]
+            assert r.mapped == min(50 * c, len(rows)) == r.mapped_unique
+            assert r.genes == sum(genes.count(g) >= 4 for g in set(genes) - {None})
+
+
+def test_many_names_by_template(spark):
+    """100,000 ids; ids with signs of the regex language, ids within ids, the empty one; templates that need no id."""
+    texts = [(f"seq{i} len=5", i) for i in range(0, 3000, 7)] + [("a.b+c len=5", -1), ("a\\Eb len=5", -2), ("", -3), (None, -4), ("axb+c len=5", -5)]
+    ids = [f"seq{i}" for i in range(100_000)] + ["a.b+c", "a\\Eb", "", None]
+    df, named = spark.createDataFrame(texts, "h string, n int"), spark.createDataFrame([(i,) for i in ids], "id string")
+    got = {(r.n, r.matched_id) for r in TB.select_by_template(df, named, "h", r"^$id\s").collect()}
+    assert got == {(n, f"seq{n}") for t, n in texts if n >= 0} | {(-1, "a.b+c"), (-2, "a\\Eb")}
+    few = spark.createDataFrame([("seq7",), ("seq70",), ("len",)], "id string")
+    got = sorted((r.n, r.h) for r in TB.select_by_template(df, few, "h", "$id", rename=True).where("n < 100 AND n > 0").collect())
+    assert got == sorted([(n, "len") for t, n in texts if 0 < n < 100] + [(7, "seq7"), (70, "seq7"), (70, "seq70"), (77, "seq7")])
+    assert TB.select_by_template(df, few, "h", "(?i)^$ID|^a|$id").where("n = -1").count() == 3
+
+
+def test_many_names_within_ids(spark):
+    feats = spark.createDataFrame([(f"rna-x{i}.1", f"g{i}") for i in range(2000)] + [("x5", "own"), (None, "n"), ("rna-z", None)], "id string, parent string")
+    df = spark.createDataFrame([(f"tx=x{i}", i) for i in range(0, 30_000, 3)] + [("tx=x5", 5), (None, -1), ("none", -2)], "c string, __id int")
+    got = {(r["__id"], r.gene) for r in FT.add_gene(df, feats, "c", "tx=(x.*)").collect()}
+    ids = sorted(f"rna-x{i}.1" for i in range(2000))
+    near = {n: next((j for j in ids if f"x{n}" in j), None) for n in range(0, 2000, 3)}
+    want = {(n, f"g{near[n][5:-2]}" if n < 2000 else None) for n in range(0, 30_000, 3)} | {(5, "own"), (-1, None), (-2, None)}
+    assert got == want
