@@ -163,6 +163,21 @@ def feature_stats(features: DataFrame, group: str) -> DataFrame:
     return features.rollup(group).agg(F.count("*").alias("n"), F.count_if(F.col("type") == "gene").alias("genes"), F.count_if(F.col("type") == "mRNA").alias("mrnas"), F.count_if(F.regexp_like("type", F.lit("RNA$")) & (F.col("type") != "mRNA")).alias("ncrnas"), F.count_distinct("seqid").alias("scaffolds"))
 
 
+def coding_stats(features: DataFrame, group: str) -> DataFrame:
+    """Numbers of mRNAs by what they are made of, for each group and over all (group null).
+
+    features (id, parent, type, ``group``): an mRNA with a CDS counts in one of
+    utr5_cds_utr3, utr5_cds, cds_utr3 and cds, as it has children of type
+    five_prime_UTR and three_prime_UTR; one without a CDS counts in ``mrnas`` alone.
+    """
+    has = lambda kind: F.max(F.col("type") == kind)
+    parts = features.where(F.col("type").isin("five_prime_UTR", "CDS", "three_prime_UTR") & F.col("parent").isNotNull()).groupBy(F.col("parent").alias("__of")).agg(has("five_prime_UTR").alias("__5"), has("CDS").alias("__c"), has("three_prime_UTR").alias("__3"))
+    each = features.where("type = 'mRNA'").join(parts, F.col("id") == F.col("__of"), "left")
+    five, coding, three = (F.coalesce(c, F.lit(False)) for c in ("__5", "__c", "__3"))
+    kinds = {"utr5_cds_utr3": five & three, "utr5_cds": five & ~three, "cds_utr3": ~five & three, "cds": ~five & ~three}
+    return each.rollup(group).agg(F.count("*").alias("mrnas"), *[F.count_if(coding & c).alias(n) for n, c in kinds.items()])
+
+
 def filter_junctions(df: DataFrame, min_reads: int = 1) -> DataFrame:
     """Distinct splice junctions with enough unique reads; strand codes 1, 2 and others as +, - and a dot."""
     strand = F.when(F.col("strand") == 1, "+").when(F.col("strand") == 2, "-").otherwise(".")
@@ -184,32 +199,64 @@ def annotate_via_cluster(df: DataFrame, clusters: DataFrame, refs: DataFrame) ->
     return df.join(member, df["id"] == member["member"], "left").join(head, "cluster", "left").select(df["*"], F.coalesce("header", F.lit("")).alias("header"))
 
 
-def annotate_domains(df: DataFrame, domains: DataFrame, analysis: str, clusters: DataFrame | None = None) -> DataFrame:
+def annotate_domains(df: DataFrame, domains: DataFrame, analysis: str, clusters: DataFrame | None = None, describe: bool = False, names: DataFrame | None = None) -> DataFrame:
     """``terms``: ids of a kind (a named analysis, IPR, GO or KEGG) that the row's domains have, or those of its cluster's members.
 
-    domains (acc, analysis, analysis_id, ipr_id, gos, paths).
+    domains (acc, analysis, analysis_id, ipr_id, gos, paths). describe: adds
+    ``descriptions``, in the order of the ids, from analysis_desc and ipr_desc of
+    domains; GO and KEGG have none of their own. names (term, description) tells them
+    where domains don't. A term of several descriptions has the least, one of none ''.
     """
+    told = lambda c: F.col(c) if describe else F.lit(None).cast("string")
+    none = F.lit(None).cast("string")
     if analysis == "IPR":
-        own = domains.select("acc", F.col("ipr_id").alias("term"))
+        own = domains.select("acc", F.col("ipr_id").alias("term"), told("ipr_desc").alias("text"))
     elif analysis == "GO":
-        own = domains.select("acc", F.explode(F.split("gos", r"\|")).alias("term"))
+        own = domains.select("acc", F.explode(F.split("gos", r"\|")).alias("term"), none.alias("text"))
     elif analysis == "KEGG":
-        own = domains.select("acc", F.explode(F.regexp_extract_all("paths", F.lit(r"KEGG:\s*(\d+)"), 1)).alias("term"))
+        own = domains.select("acc", F.explode(F.regexp_extract_all("paths", F.lit(r"KEGG:\s*(\d+)"), 1)).alias("term"), none.alias("text"))
     else:
-        own = domains.where(F.col("analysis") == analysis).select("acc", F.col("analysis_id").alias("term"))
-    own = own.where("term IS NOT NULL AND term <> ''").distinct()
+        own = domains.where(F.col("analysis") == analysis).select("acc", F.col("analysis_id").alias("term"), told("analysis_desc").alias("text"))
+    own = own.where("term IS NOT NULL AND term <> ''").groupBy("acc", "term").agg(F.min("text").alias("text"))
     if clusters is not None:
-        shared = clusters.join(own, clusters["member"] == own["acc"]).select("cluster", "term").distinct()
-        own = clusters.join(shared, "cluster").select(F.col("member").alias("acc"), "term").distinct()
-    told = own.groupBy("acc").agg(F.array_join(F.array_sort(F.collect_set("term")), ";").alias("terms"))
-    return df.join(told, df["id"] == told["acc"], "left").select(df["*"], F.coalesce("terms", F.lit("")).alias("terms"))
+        shared = clusters.join(own, clusters["member"] == own["acc"]).groupBy("cluster", "term").agg(F.min("text").alias("text"))
+        own = clusters.join(shared, "cluster").groupBy(F.col("member").alias("acc"), "term").agg(F.min("text").alias("text"))
+    if names is not None:
+        known = names.groupBy("term").agg(F.min("description").alias("named"))
+        own = own.join(known, "term", "left").withColumn("text", F.coalesce("text", "named"))
+    lists = own.groupBy("acc").agg(F.array_sort(F.collect_list(F.struct("term", F.coalesce("text", F.lit("")).alias("text")))).alias("all"))
+    joined = {"terms": "term", **({"descriptions": "text"} if describe else {})}
+    found = lists.select("acc", *[F.array_join(F.col("all")[c], ";").alias(f"__{n}") for n, c in joined.items()])
+    return df.join(found, df["id"] == found["acc"], "left").select(df["*"], *[F.coalesce(f"__{n}", F.lit("")).alias(n) for n in joined])
 
 
 def feature_attribute(df: DataFrame, key: str) -> Column:
     return attribute(df["attributes"], key)
 
 
-def leaf_annotations(texts: DataFrame, annotations: DataFrame, pattern: str) -> DataFrame:
-    """(tree, leaf, description): leaf ids that the pattern takes from a tree's text, with what is known of them."""
+def leaf_annotations(texts: DataFrame, annotations: DataFrame, pattern: str, subfamilies: DataFrame | None = None, members: DataFrame | None = None, taxa: DataFrame | None = None) -> DataFrame:
+    """(tree, leaf, description): leaf ids that the pattern takes from a tree's text, with what is known of them.
+
+    subfamilies (id, subfamily) adds ``subfamily``; members (id, seed) adds ``mark``: * for
+    a sequence of the alignment, ** for its seed; taxa (taxid, taxon) adds ``tax_id``, what
+    the description says as TaxID=n, and ``taxon``; a description then ends before its
+    first `` n=`` with a number. What isn't known is '', an unknown tax_id null.
+    Of an id's several rows the least counts.
+    """
     leaves = texts.select("tree", F.explode(F.regexp_extract_all("text", F.lit(pattern), 1)).alias("leaf")).distinct()
-    return leaves.join(annotations.groupBy(F.col("id").alias("leaf")).agg(F.min("description").alias("description")), "leaf", "left").select("tree", "leaf", F.coalesce("description", F.lit("")).alias("description"))
+    one = lambda df, key, value, name: df.groupBy(F.col(key)).agg(F.min(value).alias(name))
+    out = leaves.join(one(annotations, "id", "description", "description").withColumnRenamed("id", "leaf"), "leaf", "left")
+    cols = ["tree", "leaf", F.coalesce("description", F.lit("")).alias("description")]
+    if subfamilies is not None:
+        out = out.join(one(subfamilies, "id", "subfamily", "subfamily").withColumnRenamed("id", "leaf"), "leaf", "left")
+        cols.append(F.coalesce("subfamily", F.lit("")).alias("subfamily"))
+    if members is not None:
+        seeds = members.groupBy(F.col("id").alias("leaf")).agg(F.max(F.coalesce("seed", F.lit(False))).alias("seed"))
+        out = out.join(seeds, "leaf", "left")
+        cols.append(F.when(F.col("seed"), "**").when(F.col("seed").isNotNull(), "*").otherwise("").alias("mark"))
+    if taxa is not None:
+        out = out.withColumn("tax_id", F.nullif(F.regexp_extract("description", r"TaxID=(\d+)", 1), F.lit("")).cast("bigint"))
+        out = out.join(one(taxa, "taxid", "taxon", "taxon"), F.col("tax_id") == F.col("taxid"), "left")
+        cols[2] = F.coalesce(F.regexp_replace("description", r"(?s)\sn=\d+ .*$", ""), F.lit("")).alias("description")
+        cols += ["tax_id", F.coalesce("taxon", F.lit("")).alias("taxon")]
+    return out.select(*cols)

@@ -206,3 +206,14 @@ def edge_stats(edges: DataFrame, valid: DataFrame | None = None) -> DataFrame:
     seen = valid.select("node").distinct()
     a, b = (seen.select(F.col("node").alias(e), F.lit(True).alias(f"__{e}")) for e in ("src", "dst"))
     return out.join(a, "src", "left").join(b, "dst", "left").withColumn("known", F.col("__src").isNotNull() & F.col("__dst").isNotNull()).drop("__src", "__dst")
+
+
+def node_stats(edges: DataFrame, kinds: dict[str, str], other: str, valid: DataFrame | None = None) -> DataFrame:
+    """(node, degree, kind, status): the nodes of the simplified edges; a node's kind is the first whose regex finds something in its name, else ``other``; status: Y for nodes of ``valid`` (node), else N."""
+    simple = simplify_edges(edges)
+    ends = simple.select(F.explode(F.array("src", "dst")).alias("node")).groupBy("node").agg(F.count("*").alias("degree"))
+    kind = F.coalesce(*[F.when(F.regexp_like(F.col("node").cast("string"), F.lit(p)), F.lit(n)) for n, p in kinds.items()], F.lit(other))
+    if valid is None:
+        return ends.select("node", "degree", kind.alias("kind"), F.lit("N").alias("status"))
+    listed = valid.select(F.col("node").alias("__valid")).distinct()
+    return ends.join(listed, ends["node"] == listed["__valid"], "left").select("node", "degree", kind.alias("kind"), F.when(F.col("__valid").isNotNull(), "Y").otherwise("N").alias("status"))

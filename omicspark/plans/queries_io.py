@@ -59,6 +59,18 @@ def io5_io20_sam(spark, sf):
     return IN.read_sam(spark, path).select("qname", "flag", "rname", "pos", "cigar", "seq", "qual", F.col("tags")["NM"].alias("nm"), F.col("tags")["MD"].alias("md"))
 
 
+@query("SELECT 'SQ' AS kind, n_name AS sn, (n_nationkey + 100)::STRING AS ln, 3 AS n FROM nation UNION ALL SELECT 'HD', NULL, NULL, 3 UNION ALL SELECT 'CO', NULL, NULL, 3")
+def io5_sam_header(spark, sf):
+    """Header lines and alignments written together, both read back."""
+    sq = table(spark, sf, "nation").select(F.lit("SQ").alias("kind"), F.concat(F.lit("@SQ\tSN:"), "n_name", F.lit("\tLN:"), F.col("n_nationkey") + 100).alias("line"))
+    header = sq.unionByName(spark.createDataFrame([("CO", "@CO\tfree: text"), ("HD", "@HD\tVN:1.6\tSO:unsorted")], "kind string, line string"))
+    aln = table(spark, sf, "region").where("r_regionkey < 3").select(F.col("r_name").alias("qname"), F.lit(0).alias("flag"), F.lit("*").alias("rname"), F.lit(0).alias("pos"), F.lit(0).alias("mapq"), *[F.lit("*").alias(c) for c in ("cigar", "rnext")], F.lit(0).alias("pnext"), F.lit(0).alias("tlen"), F.lit("A").alias("seq"), F.lit("I").alias("qual"), F.create_map(F.lit("NM"), F.lit("0")).alias("tags"))
+    path = new_path(spark, "sam")
+    OUT.write_sam(aln, path, header=header)
+    n = IN.read_sam(spark, path).agg(F.count("*").cast("int").alias("n"))
+    return IN.read_sam_header(spark, path).select("kind", F.col("fields")["SN"].alias("sn"), F.col("fields")["LN"].alias("ln")).join(F.broadcast(n))  # one row
+
+
 @query("SELECT c_custkey::STRING AS id, c_name AS label, c_mktsegment AS kind FROM customer")
 def io6_io21_table(spark, sf):
     path = new_path(spark, "tsv")

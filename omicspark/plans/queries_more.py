@@ -586,14 +586,45 @@ def j22_leaf_annotations(spark, sf):
     return FT.leaf_annotations(texts, table(spark, sf, "nation").select(F.col("n_nationkey").cast("string").alias("id"), F.col("n_name").alias("description")), r"leaf:(\d+)")
 
 
+_KIND = "CASE WHEN l_linenumber = 1 THEN 'CDS' WHEN l_linenumber % 2 = 0 THEN 'five_prime_UTR' ELSE 'three_prime_UTR' END"
+
+
+@query(f"""WITH p AS (SELECT l_orderkey AS k, bool_or(t = 'CDS') AS c, bool_or(t = 'five_prime_UTR') AS a, bool_or(t = 'three_prime_UTR') AS b FROM (SELECT l_orderkey, {_KIND} AS t FROM lineitem WHERE l_quantity > 20) GROUP BY l_orderkey)
+ SELECT o_orderstatus AS grp, count(*) AS mrnas, count(*) FILTER (c AND a AND b) AS utr5_cds_utr3, count(*) FILTER (c AND a AND NOT b) AS utr5_cds, count(*) FILTER (c AND b AND NOT a) AS cds_utr3, count(*) FILTER (c AND NOT a AND NOT b) AS cds FROM orders LEFT JOIN p ON k = o_orderkey GROUP BY ROLLUP (o_orderstatus)""")
+def a27_coding_stats(spark, sf):
+    mrnas = table(spark, sf, "orders").select(F.concat(F.lit("m"), "o_orderkey").alias("id"), F.lit(None).cast("string").alias("parent"), F.lit("mRNA").alias("type"), F.col("o_orderstatus").alias("grp"))
+    parts = table(spark, sf, "lineitem").where("l_quantity > 20").select(F.lit("x").alias("id"), F.concat(F.lit("m"), "l_orderkey").alias("parent"), F.expr(_KIND).alias("type"), F.lit("-").alias("grp"))
+    return FT.coding_stats(mrnas.unionByName(parts), "grp")
+
+
+@query("""WITH o AS (SELECT o_custkey AS acc, o_orderstatus AS t, min('about ' || o_orderpriority) AS d FROM orders GROUP BY ALL), s AS (SELECT c_nationkey AS k, t, min(d) AS d FROM customer JOIN o ON acc = c_custkey GROUP BY ALL)
+ SELECT c_custkey AS id, coalesce(string_agg(t, ';' ORDER BY t), '') AS terms, coalesce(string_agg(d, ';' ORDER BY t), '') AS descriptions FROM customer LEFT JOIN s ON k = c_nationkey GROUP BY c_custkey""")
+def j4_domain_descriptions(spark, sf):
+    domains = table(spark, sf, "orders").select(F.col("o_custkey").alias("acc"), F.lit("Pfam").alias("analysis"), F.col("o_orderstatus").alias("analysis_id"), F.concat(F.lit("about "), "o_orderpriority").alias("analysis_desc"))
+    clusters = table(spark, sf, "customer").select(F.col("c_nationkey").alias("cluster"), F.col("c_custkey").alias("member"))
+    return FT.annotate_domains(table(spark, sf, "customer").select(F.col("c_custkey").alias("id")), domains, "Pfam", clusters, describe=True)
+
+
+@query("""SELECT o_orderkey AS tree, leaf, coalesce(n_name, '') AS description, coalesce('SF' || s_suppkey % 7, '') AS subfamily, CASE WHEN l::INTEGER % 4 = 0 THEN '**' WHEN l::INTEGER % 2 = 0 THEN '*' ELSE '' END AS mark, n_regionkey::BIGINT AS tax_id, coalesce(r_name, '') AS taxon
+ FROM (SELECT o_orderkey, leaf, leaf AS l FROM (SELECT DISTINCT o_orderkey, unnest([o_custkey % 30, o_orderkey % 30])::STRING AS leaf FROM orders)) LEFT JOIN nation ON n_nationkey::STRING = leaf LEFT JOIN supplier ON s_suppkey::STRING = leaf LEFT JOIN region ON r_regionkey = n_regionkey AND r_regionkey > 1""")
+def j22_leaf_memberships(spark, sf):
+    texts = table(spark, sf, "orders").select(F.col("o_orderkey").alias("tree"), F.concat(F.lit("(leaf:"), (F.col("o_custkey") % 30).cast("string"), F.lit(",leaf:"), (F.col("o_orderkey") % 30).cast("string"), F.lit(");")).alias("text"))
+    known = table(spark, sf, "nation").select(F.col("n_nationkey").cast("string").alias("id"), F.concat("n_name", F.lit(" n=3 Tax=x TaxID="), "n_regionkey").alias("description"))
+    groups = table(spark, sf, "supplier").select(F.col("s_suppkey").cast("string").alias("id"), F.concat(F.lit("SF"), F.col("s_suppkey") % 7).alias("subfamily"))
+    leaf = (F.col("o_orderkey") % 30).alias("n")
+    both = table(spark, sf, "orders").select(F.explode(F.array(leaf, F.col("o_custkey") % 30)).alias("n")).where("n % 2 = 0").select(F.col("n").cast("string").alias("id"), (F.col("n") % 4 == 0).alias("seed"))
+    taxa = table(spark, sf, "region").where("r_regionkey > 1").select(F.col("r_regionkey").cast("bigint").alias("taxid"), F.col("r_name").alias("taxon"))
+    return FT.leaf_annotations(texts, known, r"leaf:(\d+)", groups, both, taxa)
+
+
 # --- expression -----------------------------------------------------------------
 
 _C = f"WITH c AS ({B.COUNTS})"
-_SAMPLES = ["AF", "NO", "RF"]
+_SAMPLES = ["AF", "AO", "NF", "NO", "RF", "RO"]
 
 
 @query(f"""{_C}, a AS (SELECT feature, sample, value + 1 AS value FROM c), t AS (SELECT sample, sum(value) AS t FROM a GROUP BY sample), f AS (SELECT DISTINCT feature FROM a),
- v AS (SELECT f.feature, t.sample, round(coalesce(a.value, 0) * 1e6 / t, 2) AS v FROM f CROSS JOIN t LEFT JOIN a ON a.feature = f.feature AND a.sample = t.sample WHERE t.sample IN ('AF', 'NO', 'RF'))
+ v AS (SELECT f.feature, t.sample, round(coalesce(a.value, 0) * 1e6 / t, 2) AS v FROM f CROSS JOIN t LEFT JOIN a ON a.feature = f.feature AND a.sample = t.sample)
  SELECT x.feature, x.sample AS first, y.sample AS second, x.v AS cpm_1, y.v AS cpm_2, CASE WHEN x.v > 0 AND y.v > 0 THEN round(log2(x.v / y.v), 6) END AS log2_fold FROM v x JOIN v y ON x.feature = y.feature AND x.sample < y.sample""")
 def a17_cpm_fold(spark, sf):
     return E.cpm_fold(run(spark, sf, B.COUNTS), _SAMPLES).withColumn("log2_fold", _r("log2_fold"))
@@ -618,38 +649,38 @@ def a20_denormalize(spark, sf):
     return E.denormalize(c, c.select("sample").distinct().withColumn("scale", F.when(F.col("sample") == "AF", 0.5).otherwise(2.0)))
 
 
-_FACTORS = "m AS (SELECT feature, avg(ln(value)) AS m FROM c WHERE sample IN ('AF', 'NO', 'RF') GROUP BY feature HAVING count(*) = 3), sf AS (SELECT sample, exp(quantile_cont(ln(value) - m, 0.5)) AS f FROM c JOIN m USING (feature) WHERE sample IN ('AF', 'NO', 'RF') GROUP BY sample)"
+_FACTORS = "m AS (SELECT feature, avg(ln(value)) AS m FROM c GROUP BY feature HAVING count(*) = 6), sf AS (SELECT sample, exp(quantile_cont(ln(value) - m, 0.5)) AS f FROM c JOIN m USING (feature) GROUP BY sample)"
 
 
 @query(f"{_C}, {_FACTORS} SELECT sample, round(f, 6) AS factor FROM sf")
 def a21_size_factors(spark, sf):
-    c = run(spark, sf, B.COUNTS).where(F.col("sample").isin(_SAMPLES))
-    return E.size_factors(c, 3).select("sample", _r("factor").alias("factor"))
+    c = run(spark, sf, B.COUNTS)
+    return E.size_factors(c, 6).select("sample", _r("factor").alias("factor"))
 
 
 @query(f"{_C}, {_FACTORS} SELECT feature, CASE sample WHEN 'NO' THEN 'open' ELSE 'done' END AS \"group\", round(avg(value / f), 6) AS mean FROM c JOIN sf USING (sample) GROUP BY ALL")
 def a21_group_means(spark, sf):
-    c = run(spark, sf, B.COUNTS).where(F.col("sample").isin(_SAMPLES))
+    c = run(spark, sf, B.COUNTS)
     design = c.select("sample").distinct().withColumn("group", F.when(F.col("sample") == "NO", "open").otherwise("done"))
-    return E.group_means(E.normalized(c, E.size_factors(c, 3)), design).withColumn("mean", _r("mean"))
+    return E.group_means(E.normalized(c, E.size_factors(c, 6)), design).withColumn("mean", _r("mean"))
 
 
-@query(f"""{_C}, t AS (SELECT sample, sum(value) AS n FROM c WHERE sample IN ('AF', 'NO', 'RF') GROUP BY sample), s AS (SELECT * FROM c JOIN t USING (sample) WHERE value > 0), r AS (SELECT feature, value AS r, n AS rn FROM s WHERE sample = 'AF'),
+@query(f"""{_C}, t AS (SELECT sample, sum(value) AS n FROM c GROUP BY sample), s AS (SELECT * FROM c JOIN t USING (sample) WHERE value > 0), r AS (SELECT feature, value AS r, n AS rn FROM s WHERE sample = 'AF'),
  b AS (SELECT sample, log2(value / n / (r / rn)) AS m, log2(value / n * r / rn) / 2 AS a, 1 / ((n - value) / (n * value) + (rn - r) / (rn * r)) AS w FROM s JOIN r USING (feature)),
  q AS (SELECT sample, quantile_cont(m, 0.3) AS ml, quantile_cont(m, 0.7) AS mh, quantile_cont(a, 0.05) AS al, quantile_cont(a, 0.95) AS ah FROM b GROUP BY sample)
  SELECT sample, round(pow(2, sum(w * m) / sum(w)), 6) AS factor FROM b JOIN q USING (sample) WHERE m BETWEEN ml AND mh AND a BETWEEN al AND ah GROUP BY sample""")
 def a22_tmm_factors(spark, sf):
-    c = run(spark, sf, B.COUNTS).where(F.col("sample").isin(_SAMPLES))
+    c = run(spark, sf, B.COUNTS)
     return E.tmm_factors(c, "AF").select("sample", _r("factor").alias("factor"))
 
 
-@query(f"""{_C}, t AS (SELECT sample, sum(value) AS n FROM c WHERE sample IN ('AF', 'NO', 'RF') GROUP BY sample), s AS (SELECT * FROM c JOIN t USING (sample) WHERE value > 0), r AS (SELECT feature, value AS r, n AS rn FROM s WHERE sample = 'AF'),
+@query(f"""{_C}, t AS (SELECT sample, sum(value) AS n FROM c GROUP BY sample), s AS (SELECT * FROM c JOIN t USING (sample) WHERE value > 0), r AS (SELECT feature, value AS r, n AS rn FROM s WHERE sample = 'AF'),
  b AS (SELECT sample, log2(value / n / (r / rn)) AS m, log2(value / n * r / rn) / 2 AS a, 1 / ((n - value) / (n * value) + (rn - r) / (rn * r)) AS w FROM s JOIN r USING (feature)),
  q AS (SELECT sample, quantile_cont(m, 0.3) AS ml, quantile_cont(m, 0.7) AS mh, quantile_cont(a, 0.05) AS al, quantile_cont(a, 0.95) AS ah FROM b GROUP BY sample),
  f AS (SELECT sample, pow(2, sum(w * m) / sum(w)) AS f FROM b JOIN q USING (sample) WHERE m BETWEEN ml AND mh AND a BETWEEN al AND ah GROUP BY sample)
  SELECT feature, sample, round(value * 1e6 / (n * f), 4) AS value FROM c JOIN t USING (sample) JOIN f USING (sample)""")
 def a22_tmm_cpm(spark, sf):
-    c = run(spark, sf, B.COUNTS).where(F.col("sample").isin(_SAMPLES))
+    c = run(spark, sf, B.COUNTS)
     return E.tmm_cpm(c, "AF").withColumn("value", _r("value", 4))
 
 
@@ -684,7 +715,7 @@ def a31_cv2(spark, sf):
     return E.cv2(run(spark, sf, B.COUNTS)).select("feature", _r("mean").alias("mean"), _r("cv2", 4).alias("cv2"))
 
 
-_WIDE = f"{_C}, w AS (SELECT feature, coalesce(sum(value) FILTER (sample = 'AF'), 0) AS a, coalesce(sum(value) FILTER (sample = 'NO'), 0) AS b, coalesce(sum(value) FILTER (sample = 'RF'), 0) AS c FROM c GROUP BY feature), p AS (SELECT feature, unnest([{{'x': 'AF', 'y': 'NO', 'u': a, 'v': b}}, {{'x': 'AF', 'y': 'RF', 'u': a, 'v': c}}, {{'x': 'NO', 'y': 'RF', 'u': b, 'v': c}}], recursive := true) FROM w)"
+_WIDE = f"{_C}, w AS (SELECT f.feature, s.sample, coalesce(value, 0) AS v FROM (SELECT DISTINCT feature FROM c) f CROSS JOIN (SELECT DISTINCT sample FROM c) s LEFT JOIN c ON c.feature = f.feature AND c.sample = s.sample), p AS (SELECT l.sample AS x, r.sample AS y, l.v AS u, r.v AS v FROM w l JOIN w r ON l.feature = r.feature AND l.sample < r.sample)"
 
 
 @query(f"{_WIDE} SELECT x AS a, y AS b, round(sqrt(sum((u - v) * (u - v))), 4) AS distance FROM p GROUP BY ALL")
@@ -809,6 +840,14 @@ def a33_edge_stats(spark, sf):
     return G.edge_stats(run(spark, sf, _EDGES)).withColumn("dice", _r("dice"))
 
 
+@query("""WITH e AS (SELECT DISTINCT 'ath-miR-' || l_suppkey AS a, 'g' || l_partkey AS b FROM lineitem), n AS (SELECT a AS node, b AS o FROM e UNION ALL SELECT b, a FROM e)
+ SELECT node, count(*) AS degree, CASE WHEN node LIKE 'ath%' THEN 'miRNA' ELSE 'mRNA' END AS kind, CASE WHEN node IN (SELECT 'g' || p_partkey FROM part WHERE p_size > 25) THEN 'Y' ELSE 'N' END AS status FROM n GROUP BY node""")
+def a33_node_stats(spark, sf):
+    edges = table(spark, sf, "lineitem").select(F.concat(F.lit("ath-miR-"), "l_suppkey").alias("src"), F.concat(F.lit("g"), "l_partkey").alias("dst"), F.lit(1.0).alias("weight"))
+    valid = table(spark, sf, "part").where("p_size > 25").select(F.concat(F.lit("g"), "p_partkey").alias("node"))
+    return G.node_stats(edges, {"miRNA": "^[a-z]{3}-(let|bantam|miR)"}, "mRNA", valid)
+
+
 @query(f"SELECT substr(seq, i, 5) AS kmer, count(*) AS n FROM ({B.READS}), range(1, 29) t(i) GROUP BY ALL")
 def a26_kmer_counts(spark, sf):
     return K.kmer_counts(run(spark, sf, B.READS), 5)

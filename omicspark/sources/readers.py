@@ -134,7 +134,7 @@ def read_bed(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_sam(spark: SparkSession, path: str) -> DataFrame:
-    """Alignments: the eleven fields and ``tags``, TAG -> value. Header lines are left out."""
+    """Alignments: the eleven fields and ``tags``, TAG -> value. Header lines are in ``read_sam_header``."""
     parts = spark.read.text(path).where("NOT startswith(value, '@') AND value <> ''").select(F.split("value", "\t").alias("x"))
     kinds = {"flag": "int", "pos": "bigint", "mapq": "int", "pnext": "bigint", "tlen": "bigint"}
     fields = [F.get("x", F.lit(i)).cast(kinds.get(n, "string")).alias(n) for i, n in enumerate(SAM)]
@@ -142,6 +142,20 @@ def read_sam(spark: SparkSession, path: str) -> DataFrame:
     return parts.select(*fields, tags.alias("tags"))
 
 
+def read_sam_header(spark: SparkSession, path: str) -> DataFrame:
+    """(kind, fields, line): a row for each distinct header line, ``@`` left out of its kind; fields: TAG -> value.
+
+    A comment (CO) has no fields. A tag that is there twice has its first value.
+    """
+    lines = spark.read.text(path).where("startswith(value, '@')").select(F.col("value").alias("line"), F.split("value", "\t").alias("x")).distinct()
+    kind = F.substring(F.get("x", F.lit(0)), F.lit(2), F.lit(100))
+    pairs = F.filter(F.slice("x", 2, 1 << 20), lambda t: F.regexp_like(t, F.lit("^[A-Za-z][A-Za-z0-9]:")))
+    names = F.array_distinct(F.transform(pairs, lambda t: F.substring(t, 1, 2)))
+    first = F.transform(names, lambda n: F.struct(n.alias("k"), F.element_at(F.filter(pairs, lambda t: F.substring(t, 1, 2) == n), 1).alias("v")))
+    fields = F.map_from_entries(F.transform(first, lambda e: F.struct(e["k"].alias("k"), F.substring(e["v"], F.lit(4), F.length(e["v"])).alias("v"))))
+    return lines.select(kind.alias("kind"), F.when(kind == "CO", F.create_map().cast("map<string,string>")).otherwise(fields).alias("fields"), "line")
+
+
 def read_table(spark: SparkSession, path: str, header: bool = True, skip: int = 0, names: list[str] | None = None, sep: str = "\t") -> DataFrame:
     """A delimited table of text columns; skip: lines before it, of a single file; names: instead of its own."""
     if not skip:
@@ -239,3 +253,15 @@ def read_duplexes(spark: SparkSession, path: str) -> DataFrame:
 def place_in_file(df: DataFrame, file_col: str) -> DataFrame:
     """``line``: the number of each row within its file."""
     return df.withColumn("__at", F.monotonically_increasing_id()).withColumn("line", F.row_number().over(Window.partitionBy(file_col).orderBy("__at"))).drop("__at")
+
+
+def shortest_first_read(spark: SparkSession, paths: list[str]) -> int:
+    """The least number of bases that the first record of each FASTQ file has; the length for ``trim_fixed``. Empty files don't count.
+
+    Two lines of each file are read.
+    """
+    heads = [spark.read.text(p).head(2) for p in paths]
+    lengths = [len(h[1][0]) for h in heads if len(h) == 2]
+    if not lengths:
+        raise ValueError("no file has a read")
+    return min(lengths)

@@ -41,10 +41,16 @@ def write_bed(df: DataFrame, path: str, mode: str = "error") -> None:
     _tsv(df.select("chrom", "start", "end", "name", "score", "strand"), path, mode)
 
 
-def write_sam(df: DataFrame, path: str, mode: str = "error") -> None:
+def write_sam(df: DataFrame, path: str, mode: str = "error", header: DataFrame | None = None) -> None:
+    """Alignments as SAM. header (kind, line): its lines are the first file, so files in the order of their numbers are one SAM; HD first, then SQ, RG, PG and the rest."""
     fields = [_text(c) for c in ("qname", "flag", "rname", "pos", "mapq", "cigar", "rnext", "pnext", "tlen", "seq", "qual")]
     tags = F.array_join(F.transform(F.map_entries("tags"), lambda e: F.concat(e["key"], F.when(F.regexp_like(e["value"], F.lit(r"^-?\d+$")), ":i:").otherwise(":Z:"), e["value"])), "\t")
-    df.select(F.rtrim(F.concat_ws("\t", *fields, tags), F.lit("\t")).alias("value")).write.mode(mode).text(path)
+    told = df.select(F.rtrim(F.concat_ws("\t", *fields, tags), F.lit("\t")).alias("value"))
+    if header is not None:
+        place = F.coalesce(F.nullif(F.array_position(F.array(*map(F.lit, ("HD", "SQ", "RG", "PG"))), F.col("kind")), F.lit(0)), F.lit(9))
+        # A header has a line a reference, so one task writes it.
+        told = header.coalesce(1).sortWithinPartitions(place, "line").select(F.col("line").alias("value")).union(told)
+    told.write.mode(mode).text(path)
 
 
 def write_table(df: DataFrame, path: str, labels: list[str] | None = None, mode: str = "error") -> None:

@@ -540,3 +540,11 @@ def test_many_names_within_ids(spark):
     near = {n: next((j for j in ids if f"x{n}" in j), None) for n in range(0, 2000, 3)}
     want = {(n, f"g{near[n][5:-2]}" if n < 2000 else None) for n in range(0, 30_000, 3)} | {(5, "own"), (-1, None), (-2, None)}
     assert got == want
+
+
+def test_shortest_first_read(spark, tmp_path):
+    for name, text in (("a", "@1\nACGTAC\n+\nIIIIII\n@2\nAC\n+\nII\n"), ("b", "@1\nACGT\n+\nIIII\n"), ("empty", "")):
+        (tmp_path / name).write_text(text)
+    assert IN.shortest_first_read(spark, [str(tmp_path / n) for n in ("a", "b", "empty")]) == 4
+    with pytest.raises(ValueError):
+        IN.shortest_first_read(spark, [str(tmp_path / "empty")])
