@@ -126,7 +126,9 @@ def sequences_as_features(df: DataFrame, source: str = "contig") -> DataFrame:
 
 
 def _tiles(genome: DataFrame, tile: int) -> DataFrame:
-    """Chromosomes (chrom, seq) as tiles, so that a feature is joined with the bases it needs and no more."""
+    """Chromosomes (chrom, seq) as tiles, so that a feature is joined with the bases it needs and no more. Tiles stay as they are."""
+    if {"tile", "bases"} <= set(genome.columns):
+        return genome.select("chrom", "tile", "bases")
     cut = genome.select("chrom", "seq", F.explode(F.sequence(F.lit(0), F.floor(F.greatest(F.length("seq") - 1, F.lit(0)) / tile))).alias("tile"))
     return cut.select("chrom", "tile", F.expr(f"substring(seq, CAST(tile * {tile} + 1 AS INT), {tile})").alias("bases"))
 
@@ -134,6 +136,8 @@ def _tiles(genome: DataFrame, tile: int) -> DataFrame:
 def extract_sequences(features: DataFrame, genome: DataFrame, tile: int = TILE, stranded: bool = True, ext3: int = 0) -> DataFrame:
     """(id, seq): the bases of each part (id, chrom, start, end, strand), parts of one id put together in the strand's order.
 
+    genome: (chrom, seq), or (chrom, tile, bases) with ``tile`` bases a row, as
+    ``read_fasta_tiles`` gives them, so that no task holds a whole chromosome.
     stranded=False leaves minus-strand parts as they are. ext3: so many bases beyond
     the 3' end of all parts as well, fewer where the chromosome ends.
     """

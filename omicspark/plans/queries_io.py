@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from omicspark.plans.queries import B, query, run, table
 from omicspark.sources import readers as IN, writers as OUT
+from omicspark.sources.fasta import read_fasta_tiles
 from omicspark.storage import new_path
 
 
@@ -34,6 +35,15 @@ def io2_io18_fasta(spark, sf):
     return IN.read_fasta(spark, path)
 
 
+@query(f"WITH g AS (SELECT read_id, descr, repeat(seq, 1 + (length(descr) * 7) % 40) AS seq FROM ({B.READS})) SELECT read_id AS seq_id, descr, t AS tile, substr(seq, t * 100 + 1, 100) AS bases FROM g, range(0, 1000) r(t) WHERE t * 100 < length(seq)")
+def io2_fasta_tiles(spark, sf):
+    """Records cut into ranges of bytes wherever they fall, given back as tiles."""
+    path = new_path(spark, "fasta")
+    bases = F.expr("repeat(seq, 1 + (length(descr) * 7) % 40)")
+    OUT.write_fasta(run(spark, sf, B.READS).select(F.col("read_id").alias("seq_id"), "descr", bases.alias("seq")), path, width=60)
+    return read_fasta_tiles(spark, path, tile=100, part_bytes=1 << 18).select("seq_id", "descr", "tile", "bases")
+
+
 @query(f"""SELECT id, seqid, start, "end", type, strand, parent FROM ({B.features('duckdb')})""")
 def io3_io20_gff(spark, sf):
     path = new_path(spark, "gff")

@@ -33,27 +33,42 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
 _FASTQ_ROWS = 4096
 
 
-class _FastqPart(InputPartition):
+class BytePart(InputPartition):
     def __init__(self, path: str, start: int, stop: int):
         self.path, self.start, self.stop = path, start, stop
 
 
+def byte_parts(uri: str, size: int) -> list[BytePart]:
+    """The files of a path in ranges of ``size`` bytes; a compressed file can't be entered midway and is one. Without bytes one part of no file."""
+    from pyarrow import fs
+
+    store, path = fs.FileSystem.from_uri(uri) if "://" in uri else (fs.LocalFileSystem(), uri)
+    info = store.get_file_info(path)
+    files = store.get_file_info(fs.FileSelector(path)) if info.type == fs.FileType.Directory else [info]
+    parts = []
+    for f in files:
+        if f.type == fs.FileType.File and not f.base_name.startswith(("_", ".")):
+            step = f.size if f.extension == "gz" else size
+            parts += [BytePart(f.path, s, min(s + step, f.size)) for s in range(0, f.size, max(1, step))]
+    return parts or [BytePart("", 0, 0)]
+
+
+def open_part(uri: str, part: BytePart) -> io.BufferedReader:
+    """The file of a part, decompressed."""
+    from pyarrow import fs
+
+    if not part.path:
+        return io.BufferedReader(io.BytesIO())
+    store, _ = fs.FileSystem.from_uri(uri) if "://" in uri else (fs.LocalFileSystem(), "")
+    return io.BufferedReader(store.open_input_stream(part.path) if part.path.endswith(".gz") else store.open_input_file(part.path), 1 << 20)
+
+
 class _FastqReader(DataSourceReader):
     def __init__(self, options):
         self.path, self.size, self.skip = options["path"], int(options.get("partbytes", 64 << 20)), options.get("badrecords", "fail") == "skip"
 
     def partitions(self):
-        from pyarrow import fs
-
-        store, path = fs.FileSystem.from_uri(self.path) if "://" in self.path else (fs.LocalFileSystem(), self.path)
-        info = store.get_file_info(path)
-        files = store.get_file_info(fs.FileSelector(path)) if info.type == fs.FileType.Directory else [info]
-        parts = []
-        for f in files:
-            if f.type == fs.FileType.File and not f.base_name.startswith(("_", ".")):
-                step = f.size if f.extension == "gz" else self.size  # a compressed file can't be entered midway
-                parts += [_FastqPart(f.path, s, min(s + step, f.size)) for s in range(0, f.size, max(1, step))]
-        return parts
+        return byte_parts(self.path, self.size)
 
     def read(self, part):
         """Arrow batches of the records that begin in the part.
@@ -63,14 +78,13 @@ class _FastqReader(DataSourceReader):
         rest, at most three lines. Anything else that is no record is an error, or
         with the option badRecords=skip left out line by line. Blank lines between records are borne.
         """
-        from pyarrow import RecordBatch, fs
+        from pyarrow import RecordBatch
 
-        store, _ = fs.FileSystem.from_uri(self.path) if "://" in self.path else (fs.LocalFileSystem(), "")
         gz = part.path.endswith(".gz")
         midway = 3 if not gz and part.start else 0  # lines that may belong to a record begun before
         held: list[tuple[str, str, str, str]] = []
         names = ["read_id", "descr", "seq", "qual"]
-        with io.BufferedReader(store.open_input_stream(part.path) if gz else store.open_input_file(part.path), 1 << 20) as f:
+        with open_part(self.path, part) as f:
             at = 0
             if midway:
                 f.seek(part.start - 1)

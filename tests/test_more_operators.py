@@ -548,3 +548,62 @@ def test_shortest_first_read(spark, tmp_path):
     assert IN.shortest_first_read(spark, [str(tmp_path / n) for n in ("a", "b", "empty")]) == 4
     with pytest.raises(ValueError):
         IN.shortest_first_read(spark, [str(tmp_path / "empty")])
+
+
+FASTA = (">a first one\nACGT\nAC GT\r\nA\n>b\n\n>  \nTT\n>a again >x\n" + "ACGTTGCA" * 9 + "\n" + "GATTACA" * 5 + "\n>c " + "long" * 12 + "\nA>C\n\nG\n>d\nNNNN")
+
+
+@pytest.mark.parametrize("part", [1, 2, 3, 7, 20, 64, 5000])
+def test_fasta_tiles_cut_anywhere(spark, tmp_path, part):
+    """Ranges that end within headers, lines and line ends give the tiles of whole records."""
+    from omicspark.sources.fasta import read_fasta_tiles
+
+    (tmp_path / "fa").mkdir()
+    (tmp_path / "fa" / "one.fa").write_bytes(("\n" + FASTA).encode())
+    (tmp_path / "fa" / "two.fa").write_bytes(b">a first one\nGG\n")
+    want = []
+    for name, text in (("one.fa", "\n" + FASTA), ("two.fa", ">a first one\nGG\n")):
+        at = text.index(">")
+        while at >= 0:
+            after = text.find("\n>", at)
+            head, _, body = text[at : after + 1 if after >= 0 else None].partition("\n")
+            words = head[1:].split(None, 1) if head[1:2].strip() else ["", head[1:]]
+            seq = "".join(body.split())
+            want += [(words[0], words[1].strip() if len(words) > 1 else "", name, at, t, seq[t * 10 : t * 10 + 10]) for t in range(max(1, -(-len(seq) // 10)))]
+            at = after + 1 if after >= 0 else -1
+    got = [(r.seq_id, r.descr, r.file.rsplit("/", 1)[1], r.record, r.tile, r.bases) for r in read_fasta_tiles(spark, f"file://{tmp_path}/fa", 10, part).collect()]
+    assert sorted(got) == sorted(want)
+
+
+def test_fasta_tiles_of_odd_files(spark, tmp_path):
+    import gzip
+
+    from omicspark.sources.fasta import read_fasta_tiles
+
+    (tmp_path / "none.fa").write_bytes(b"")
+    assert read_fasta_tiles(spark, str(tmp_path / "none.fa"), 10).collect() == []
+    assert IN.read_fastq(spark, str(tmp_path / "none.fa")).collect() == []
+    (tmp_path / "headless.fa").write_bytes(b"ACGT\n>a\nC\n")
+    with pytest.raises(Exception, match="before the first header"):
+        read_fasta_tiles(spark, str(tmp_path / "headless.fa"), 10, 3).collect()
+    with gzip.open(tmp_path / "one.fa.gz", "wb") as f:
+        f.write(FASTA.encode())
+    (tmp_path / "one.fa").write_bytes(FASTA.encode())
+    rows = lambda name: sorted((r.seq_id, r.record, r.tile, r.bases) for r in read_fasta_tiles(spark, str(tmp_path / name), 10, 50).collect())
+    assert rows("one.fa.gz") == rows("one.fa")
+
+
+def test_one_record_is_read_by_many_tasks(spark, tmp_path):
+    """A single line of 3 MB in ranges of 64 KB; parts are cut out of its tiles as out of the whole."""
+    from omicspark.sources.fasta import read_fasta_tiles
+
+    rng = np.random.default_rng(5)
+    seq = "".join(rng.choice(list("ACGT"), 3_000_000))
+    (tmp_path / "g.fa").write_text(">chr\n" + seq)
+    tiles = read_fasta_tiles(spark, str(tmp_path / "g.fa"), 1 << 14, 1 << 16)
+    got = tiles.collect()
+    assert "".join(r.bases for r in sorted(got, key=lambda r: r.tile)) == seq and len(got) == -(-len(seq) // (1 << 14))
+    cuts = sorted(int(x) for x in rng.integers(0, len(seq) - 40_000, 20))
+    parts = spark.createDataFrame([(f"p{i}", "chr", c, c + 1 + 2000 * i, "+") for i, c in enumerate(cuts)], "id string, chrom string, start long, end long, strand string")
+    found = {r.id: r.seq for r in FT.extract_sequences(parts, tiles.withColumnRenamed("seq_id", "chrom"), tile=1 << 14).collect()}
+    assert found == {f"p{i}": seq[c : c + 1 + 2000 * i] for i, c in enumerate(cuts)}
