@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F, types as T
 
 from omicspark.operators.ranks import bh_adjust, exact_percentiles, global_row_number, keyed_permutation
+from omicspark.operators.samples import euclidean_distance, js_distance, sample_pca  # noqa: F401
 from omicspark.storage import bounded, materialize
 
 MOST_SAMPLES = 1_000_000
@@ -188,35 +189,6 @@ def cv2(counts: DataFrame) -> DataFrame:
     return counts.groupBy("feature").agg(F.avg("value").alias("mean"), (F.var_samp("value") / F.nullif(F.pow(F.avg("value"), F.lit(2)), F.lit(0.0))).alias("cv2"))
 
 
-def _sample_pairs(counts: DataFrame, samples: list[str]) -> DataFrame:
-    """A row a feature, with a column a sample; missing values are 0."""
-    return counts.groupBy("feature").pivot("sample", samples).agg(F.sum("value")).fillna(0)
-
-
-def _distances(counts: DataFrame, samples: list[str], each) -> DataFrame:
-    wide = _sample_pairs(counts, samples)
-    pairs = list(combinations(samples, 2))
-    sums = wide.agg(*[each(F.col(f"`{a}`"), F.col(f"`{b}`")).alias(f"d{i}") for i, (a, b) in enumerate(pairs)])
-    rows = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"d{i}").alias("distance")) for i, (a, b) in enumerate(pairs)])
-    return sums.select(F.explode(rows).alias("p")).select("p.*")
-
-
-def euclidean_distance(counts: DataFrame, samples: list[str]) -> DataFrame:
-    """(a, b, distance) of every two samples, in one aggregation."""
-    return _distances(counts, samples, lambda x, y: F.sqrt(F.sum(F.pow(x - y, F.lit(2)))))
-
-
-def js_distance(counts: DataFrame, samples: list[str]) -> DataFrame:
-    """(a, b, distance): the root of the Jensen-Shannon divergence (base 2) of values as they are, their mean in between."""
-
-    def each(x: Column, y: Column) -> Column:
-        part = lambda p, m: F.when(p > 0, p * F.log2(p / m)).otherwise(0.0)
-        m = (x + y) / 2
-        return F.sqrt(F.sum((part(x, m) + part(y, m)) / 2))
-
-    return _distances(counts, samples, each)
-
-
 def term_zscore(terms: DataFrame, de: DataFrame, sep: str = ",") -> DataFrame:
     """(term, n, up, down, zscore): (up - down) / sqrt(n) over a term's delimited genes with a fold change. terms (term, genes); de (gene, fold)."""
     genes = terms.select("term", F.explode(F.split("genes", sep)).alias("gene")).distinct()
@@ -224,36 +196,6 @@ def term_zscore(terms: DataFrame, de: DataFrame, sep: str = ",") -> DataFrame:
     return counts.withColumn("zscore", (F.col("up") - F.col("down")) / F.sqrt("n"))
 
 
-def sample_pca(counts: DataFrame, samples: list[str], k: int = 2, top: int | None = 500) -> DataFrame:
-    """(sample, component, score, share): principal components of samples over features, and the share of variance of each.
-
-    Values are centred for each feature; missing ones are 0. top: only so many features
-    with the greatest variance over samples, ties by name; None: all. Sums of products
-    of every two samples are one aggregation; the driver takes apart their matrix, a
-    row and a column a sample. A component's largest score by size is positive.
-    """
-    wide = _sample_pairs(counts, samples)
-    cells = [F.col(f"`{s}`").cast("double") for s in samples]
-    mean = sum(cells, F.lit(0.0)) / len(samples)
-    centred = wide.select("feature", *[(c - mean).alias(f"__{i}") for i, c in enumerate(cells)])
-    if top is not None:
-        variance = sum((F.col(f"__{i}") * F.col(f"__{i}") for i in range(len(samples))), F.lit(0.0))
-        centred = centred.orderBy(F.desc(F.round(variance, 9)), "feature").limit(top)
-    pairs = [(i, j) for i in range(len(samples)) for j in range(i, len(samples))]
-    sums = centred.agg(*[F.coalesce(F.sum(F.col(f"__{i}") * F.col(f"__{j}")), F.lit(0.0)).alias(f"p{i}_{j}") for i, j in pairs]).first()
-    gram = np.zeros((len(samples), len(samples)))
-    for i, j in pairs:
-        gram[i, j] = gram[j, i] = sums[f"p{i}_{j}"]
-    values, vectors = np.linalg.eigh(gram)
-    values, vectors = np.maximum(values[::-1], 0), vectors[:, ::-1]
-    rows = []
-    for c in range(min(k, len(samples))):
-        score = vectors[:, c] * np.sqrt(values[c])
-        score = score * (1.0 if score[np.abs(score).argmax()] >= 0 else -1.0)
-        rows += [(s, c + 1, float(x), float(values[c] / values.sum()) if values.sum() else 0.0) for s, x in zip(samples, score)]
-    return counts.sparkSession.createDataFrame(rows, "sample string, component int, score double, share double")
-
-
 def rarefaction(reads: DataFrame, order: Column | None, chunk: int, reps: int, min_reads: float, min_rpk: float = 0.0, known: DataFrame | None = None, count: str | None = None, rpk: str | None = None) -> DataFrame:
     """(rep, chunk, mapped, mapped_unique, genes, known, novel): reads and genes discovered, chunk by chunk, in each replicate.
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,35 +20,47 @@ def filter_features(df: DataFrame, drop_types: list[str]) -> DataFrame:
     return df.where(~F.coalesce(F.regexp_like("type", F.lit("^(" + "|".join(drop_types) + ")$")), F.lit(False)))
 
 
-def place_in_hierarchy(features: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(features with ``path``, features without a place).
+def place_in_hierarchy(features: DataFrame, name: str = "path") -> tuple[DataFrame, DataFrame]:
+    """(features with ``name``, which takes the place of a column so called; features without a place).
 
-    path: what its ancestors from the root and it itself sort by, so that the order
+    name: what its ancestors from the root and it itself sort by, so that the order
     of paths is the nested order at any depth. A parent id on several lines counts
     once, by its first line. No place: those whose parent is missing, is below them
-    or has itself no place. One join a level, each level written; levels go on
-    until one is empty.
+    or has itself no place. A round joins each unfinished path with what is above it so
+    far, which doubles it; when a round finishes none, the others lead in circles.
     """
+    row, parent_row, key, path, up = (free_name(features, c) for c in ("__row", "__parent_row", "__key", "__segments", "__up"))
     own = F.struct("seqid", "start", "end", "id")
-    marked = materialize(features.withColumn("__row", F.monotonically_increasing_id()), "features")
+    marked = materialize(features.withColumn(row, F.monotonically_increasing_id()), "features")
     # Of lines with one id the first stands for all as a parent.
-    first = marked.where("id IS NOT NULL").groupBy("id").agg(F.min(F.struct("seqid", "start", "end", "__row")).alias("__least")).select(F.col("__least.__row").alias("__row"))
-    parents = marked.join(first, "__row", "left_semi").select(F.col("__row").alias("__parent_row"), F.col("id").alias("__id"))
-    level = materialize(marked.where("parent IS NULL").withColumn("path", F.array(own)), "level")
-    placed, rest = level, marked.where("parent IS NOT NULL")
-    while not level.isEmpty():
-        above = level.join(parents, level["__row"] == parents["__parent_row"]).select("__id", F.col("path").alias("__above"))
-        children = rest.join(above, rest["parent"] == above["__id"]).withColumn("path", F.concat("__above", F.array(own))).drop("__id", "__above")
-        level = materialize(children, "level")
-        placed = placed.unionByName(level)
-    lost = rest.join(placed.select("__row"), "__row", "left_anti").drop("__row")
-    return placed.drop("__row"), lost
+    first = marked.where("id IS NOT NULL").groupBy("id").agg(F.min(F.struct("seqid", "start", "end", row)).alias(key)).select(F.col("id").alias(key), F.col(f"{key}.{row}").alias(parent_row))
+    linked = marked.join(first, marked["parent"] == first[key], "left")
+    # A missing parent is the row -1, which has no path and never gets one.
+    above_it = F.when(F.col("parent").isNotNull(), F.coalesce(F.col(parent_row), F.lit(-1)))
+    every = materialize(linked.select(F.col(row), F.array(own).alias(path), above_it.alias(up)), "paths")
+    done, left = [every.where(F.col(up).isNull())], every.where(F.col(up).isNotNull())
+    total = left.count()
+    while total:
+        known = left.unionByName(done[0]) if len(done) == 1 else left.unionByName(reduce(DataFrame.unionByName, done))
+        above = known.select(F.col(row).alias(parent_row), F.col(path).alias(key), F.col(up).alias("__next"))
+        # Without a row above, what is above stays missing.
+        joined = left.join(above, left[up] == above[parent_row], "left").select(row, F.concat(F.coalesce(key, F.array().cast(dict(left.dtypes)[path])), path).alias(path), F.when(F.col(parent_row).isNull(), F.col(up)).otherwise(F.col("__next")).alias(up))
+        every = materialize(joined.where(F.col(up).isNull() | (F.col(up) >= 0)), "paths")
+        finished, left = every.where(F.col(up).isNull()), every.where(F.col(up).isNotNull())
+        now = every.agg(F.count(up)).first()[0]
+        if finished.isEmpty():
+            break
+        done, total = [*done, finished], now
+    placed = reduce(DataFrame.unionByName, done).select(F.col(row).alias(parent_row), F.col(path).alias(name))
+    found = marked.drop(name).join(placed, F.col(row) == F.col(parent_row))
+    return found.drop(row, parent_row), marked.join(placed, marked[row] == placed[parent_row], "left_anti").drop(row)
 
 
 def sort_hierarchy(features: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(features in nested order of any depth, features without a place in it)."""
-    placed, lost = place_in_hierarchy(features)
-    return placed.orderBy("path").select(*features.columns), lost.select(*features.columns)
+    path = free_name(features, "__path")
+    placed, lost = place_in_hierarchy(features, path)
+    return placed.orderBy(path).select(*features.columns), lost.select(*features.columns)
 
 
 def disambiguate(df: DataFrame, id_col: str, order: list[str], sep: str = "_") -> DataFrame:

@@ -174,6 +174,17 @@ def test_hierarchy_of_any_depth(spark, tmp_path):
     assert {r.id for r in lost.collect()} == {"lost", "l2", "loop", "pool", "self"}
 
 
+def test_hierarchy_with_clashing_names(spark):
+    rows = [(f"n{i}", f"n{i - 1}" if i else None, i % 3, f"p{i}", i) for i in range(70)] + [("low", "gone", 1, "q", 0), ("under", "low", 1, "q", 0), ("deep", "under", 1, "q", 0), (None, None, 9, None, None)]
+    df = spark.createDataFrame([(i, p, "c", s, s, path, n) for i, p, s, path, n in rows], "id string, parent string, seqid string, start long, end long, path string, __row int").repartition(3)
+    placed, lost = FT.sort_hierarchy(df)
+    assert placed.columns == df.columns == lost.columns
+    assert [(r.id, r.path, r["__row"]) for r in placed.collect()] == [(f"n{i}", f"p{i}", i) for i in range(70)] + [(None, None, None)]
+    assert {r.id for r in lost.collect()} == {"low", "under", "deep"}
+    none, gone = FT.sort_hierarchy(df.limit(0))
+    assert none.count() == gone.count() == 0
+
+
 def brute_bh(ps):
     n, order = len(ps), sorted(range(len(ps)), key=lambda i: ps[i])
     q, low = [0.0] * n, 1.0
@@ -607,3 +618,38 @@ def test_one_record_is_read_by_many_tasks(spark, tmp_path):
     parts = spark.createDataFrame([(f"p{i}", "chr", c, c + 1 + 2000 * i, "+") for i, c in enumerate(cuts)], "id string, chrom string, start long, end long, strand string")
     found = {r.id: r.seq for r in FT.extract_sequences(parts, tiles.withColumnRenamed("seq_id", "chrom"), tile=1 << 14).collect()}
     assert found == {f"p{i}": seq[c : c + 1 + 2000 * i] for i, c in enumerate(cuts)}
+
+
+def test_components_and_distances_of_many_samples(spark):
+    """More samples than a block, sparse values, repeated and unknown rows; a plan that doesn't grow."""
+    rng = np.random.default_rng(11)
+    n, m = 700, 150
+    names = [f"s{i}" for i in range(n)]
+    x = np.where(rng.random((n, m)) < 0.3, rng.gamma(1.0, 3.0, (n, m)), 0.0) + np.outer(rng.normal(size=n) > 0, rng.random(m) > 0.5) * 4.0
+    x[5] = 0.0
+    cells = [(f"f{f}", names[s], float(x[s, f]) / 2) for s, f in zip(*np.nonzero(x))]
+    df = spark.createDataFrame([*cells, *cells, ("f0", "other", 1e9), ("f1", "s0", None), (None, "s5", 0.0)], "feature string, sample string, value double")
+    centred = x - x.mean(axis=0)
+    for top in (None, 40):
+        use = centred if top is None else centred[:, np.argsort(-(centred**2).sum(axis=0))[:top]]
+        u, d, _ = np.linalg.svd(use, full_matrices=False)
+        got = {(r.sample, r.component): r for r in E.sample_pca(df, names, 3, top).collect()}
+        for c in range(3):
+            want = u[:, c] * d[c] * (1 if u[np.abs(u[:, c]).argmax(), c] > 0 else -1)
+            assert np.allclose([got[s, c + 1].score for s in names], want, atol=1e-6) and math.isclose(got["s0", c + 1].share, d[c] ** 2 / (d**2).sum())
+    euclid = {(r.a, r.b): r.distance for r in E.euclidean_distance(df, names).collect()}
+    assert len(euclid) == n * (n - 1) // 2
+    some = [(int(a), int(b)) for a, b in rng.integers(0, n, (300, 2)) if a < b] + [(0, n - 1), (5, 6), (511, 512)]
+    assert all(math.isclose(euclid[names[a], names[b]], float(np.linalg.norm(x[a] - x[b])), rel_tol=1e-9) for a, b in some)
+    js = {(r.a, r.b): r.distance for r in E.js_distance(df, names).collect()}
+    part = lambda p, q: sum(v * math.log2(2 * v / (v + w)) for v, w in zip(p, q) if v > 0)
+    assert len(js) == len(euclid) and all(math.isclose(js[names[a], names[b]], math.sqrt((part(x[a], x[b]) + part(x[b], x[a])) / 2), rel_tol=1e-9) for a, b in some)
+
+
+def test_components_of_nothing(spark):
+    df = spark.createDataFrame([], "feature string, sample string, value double")
+    assert {(r.score, r.share) for r in E.sample_pca(df, ["a", "b"]).collect()} == {(0.0, 0.0)} and E.sample_pca(df, ["a", "b"]).count() == 4
+    assert E.sample_pca(df, []).collect() == [] and [tuple(r) for r in E.euclidean_distance(df, ["a", "b"]).collect()] == [("a", "b", 0.0)]
+    flat = spark.createDataFrame([("f", "a", 1.0), ("f", "b", 1.0)], "feature string, sample string, value double")
+    assert {r.share for r in E.sample_pca(flat, ["a", "b"]).collect()} == {0.0} and E.js_distance(flat, ["a", "b"]).first().distance == 0.0
+    assert E.sample_pca(flat, ["a"]).count() == 1
