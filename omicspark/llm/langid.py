@@ -25,6 +25,7 @@ EMBED = 8
 WIDTHS = (2, 3, 4)
 FILTERS = 12
 SAMPLE_DOCS = 400  # labelled texts of each language, about
+SAMPLE_TEXTS = 100_000  # of all languages, about: 250 or more languages have fewer each, at least one
 SAMPLE_CHARS = 1500  # of each, from a place that its hash tells
 MOST_LANGUAGES = 10_000  # distinct labels beyond this are no languages: an error, none is left out
 EPOCHS = 8
@@ -125,22 +126,26 @@ def fit(docs: DataFrame, allowed: Column, id_col: str = "doc_id", text_col: str
     """A network from a sample of the ``allowed`` rows with a text and a label: about ``sample_docs`` a language.
 
     The sample is chosen by a hash of the id and the text: rows below the share that
-    is sought, and of each language the lowest, so none is without a row. At most
-    SAMPLE_CHARS characters of each text, from a place that the hash tells. Every
-    label is learned; over MOST_LANGUAGES of them are an error. One language is
-    always the answer. No labelled rows: a network that knows UNKNOWN alone.
+    is sought, and of each language the lowest, so none is without a row. Rows with one
+    id and text count once, however many. At most SAMPLE_CHARS characters of each
+    text, from a place that the hash tells, and about SAMPLE_TEXTS texts in all come to
+    the driver. Every label is learned; over MOST_LANGUAGES of them are an error. One
+    language is always the answer. No labelled rows: a network that knows UNKNOWN alone.
     """
-    draw = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col), F.lit(SEED)), F.lit(1 << 20)) / (1 << 20)
+    hashed = F.xxhash64(F.col(id_col), F.col(text_col), F.lit(SEED))
+    # 50 bits, so that a share of any size can be drawn; a double holds them all.
+    draw = F.pmod(hashed, F.lit(1 << 20)) / (1 << 20) + F.pmod(F.shiftright(hashed, 20), F.lit(1 << 30)) / (1 << 50)
     known = docs.where(allowed & F.col(label_col).isNotNull() & F.col(text_col).rlike(LETTER)).select(F.col(label_col).alias("label"), F.col(text_col).alias("text"), draw.alias("draw"), F.xxhash64(F.col(id_col), F.lit(SEED + 1)).alias("place"))
     counts = {r["label"]: (r["n"], r["low"]) for r in known.groupBy("label").agg(F.count("*").alias("n"), F.min("draw").alias("low")).limit(MOST_LANGUAGES + 1).collect()}
     if len(counts) > MOST_LANGUAGES:
         raise ValueError(f"{label_col} has over {MOST_LANGUAGES} values")
     languages = sorted(counts) or [UNKNOWN]
+    sample_docs = max(1, min(sample_docs, SAMPLE_TEXTS // len(languages)))
     bounds = F.create_map(*(F.lit(x) for name, (n, low) in counts.items() for x in (name, max(min(1.0, sample_docs / n), low)))) if counts else F.create_map(F.lit(UNKNOWN), F.lit(0.0))
     at = F.pmod("place", F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(1))).cast("int")
-    chosen = known.where(F.col("draw") <= F.element_at(bounds, F.col("label"))).select("label", F.substring(F.col("text"), at + 1, F.lit(SAMPLE_CHARS)).cast("binary").alias("data"))
-    # Rows that are all alike are drawn together, so the number is bounded once more.
-    sample = chosen.limit(2 * sample_docs * len(languages)).collect()
+    chosen = known.where(F.col("draw") <= F.element_at(bounds, F.col("label"))).select("label", "draw", "place", F.substring(F.col("text"), at + 1, F.lit(SAMPLE_CHARS)).cast("binary").alias("data"))
+    # Rows that are all alike are drawn together; one stands for them.
+    sample = sorted(chosen.dropDuplicates(["label", "draw", "place"]).select("label", "data", "draw").collect(), key=lambda r: (r["draw"], r["label"], bytes(r["data"])))
     number = {name: i for i, name in enumerate(languages)}
     parts = [(windows_of(bytes(r["data"])), number[r["label"]]) for r in sample]
     if not parts or len(languages) == 1:

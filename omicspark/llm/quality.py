@@ -177,6 +177,8 @@ def cascade(rules: list[Rule], stat: Callable[[str], Column]) -> Column:
 def judge(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns, the statistics TOLD, base_failed, kept and rejected_by (the first rule that rejects), a row for each row.
 
+    ``kept`` doesn't depend on the order of the rules; ``rejected_by`` of a text that
+    several rules reject does, and the order is measured, so it can differ between runs.
     What TOLD names is worked out for every row and base rules read it; the other
     rules are a cascade behind them that works out its statistics as it reaches
     them. Null and empty texts have no words and fail the base rules. Repeated rows

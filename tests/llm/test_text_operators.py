@@ -176,6 +176,15 @@ def test_every_language_is_learned(spark):
     rows = [(None, "ka to mi", "aa")] * 2000 + [(i, f"schein {i}", "bb") for i in range(900)] + [(7, "ci\u00f3n", f"rare{i}") for i in range(230)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     assert len(langid.fit(df, F.lit(True), sample_docs=20).languages) == 232
+    # Many languages share the sample; one row that a language repeats leaves the others theirs.
+    bound, train, seen = langid.SAMPLE_TEXTS, langid.train, []
+    langid.SAMPLE_TEXTS, langid.train = 500, lambda x, y, languages, **more: seen.append((len(y), set(y.tolist()))) or train(x[:1], y[:1], languages, epochs=1)
+    try:
+        hot = df.unionByName(spark.range(3000).select(*[F.lit(v).cast(t).alias(c) for (c, t), v in zip(df.dtypes, df.first())]))
+        assert len(langid.fit(hot, F.lit(True)).languages) == 232
+    finally:
+        langid.SAMPLE_TEXTS, langid.train = bound, train
+    assert seen[0][1] == set(range(232)) and seen[0][0] < 1500
     old = langid.MOST_LANGUAGES
     langid.MOST_LANGUAGES = 100
     try:
