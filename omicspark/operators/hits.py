@@ -25,11 +25,10 @@ def near_best_hits(hits: DataFrame, ratio: float, reverse: DataFrame | None = No
 
 
 def top_hits(hits: DataFrame, max_evalue: float = float("inf")) -> DataFrame:
-    """Each query's best hit: most bits, then lowest e-value, then name. A maximum of structs, so it combines before rows move."""
-    best = hits.where(F.col("evalue") <= max_evalue).groupBy("query").agg(F.max_by(F.struct("hit", "bits", "evalue"), F.struct("bits", -F.col("evalue"))).alias("__any"), F.max("bits").alias("bits"))
-    top = hits.where(F.col("evalue") <= max_evalue).join(best.select("query", F.col("bits").alias("__bits")), "query").where("bits = __bits")
-    low = top.groupBy("query").agg(F.min(F.struct("evalue", "hit", "bits")).alias("b"))
-    return low.select("query", "b.hit", "b.bits", "b.evalue")
+    """Each query's best hit: most bits, then lowest e-value, then name; rows without bits don't count. One aggregate, which combines before rows move."""
+    best = F.min_by(F.struct("hit", "bits", "evalue"), F.struct(-F.col("bits"), "evalue", "hit"))
+    known = hits.where((F.col("evalue") <= max_evalue) & F.col("bits").isNotNull())
+    return known.groupBy("query").agg(best.alias("b")).select("query", "b.hit", "b.bits", "b.evalue")
 
 
 def best_hit(hits: DataFrame, self_q: DataFrame, self_s: DataFrame, threshold: float, max_evalue: float, tolerance: float = 2.0, first_hit_free: bool = True) -> DataFrame:
