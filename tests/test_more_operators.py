@@ -653,3 +653,26 @@ def test_components_of_nothing(spark):
     flat = spark.createDataFrame([("f", "a", 1.0), ("f", "b", 1.0)], "feature string, sample string, value double")
     assert {r.share for r in E.sample_pca(flat, ["a", "b"]).collect()} == {0.0} and E.js_distance(flat, ["a", "b"]).first().distance == 0.0
     assert E.sample_pca(flat, ["a"]).count() == 1
+
+
+def test_places_of_mature_sequences_move_once(spark, monkeypatch):
+    """Pieces that end within a repeat, rows that come twice, nulls; pairs are made by the last join alone, after which nothing moves."""
+    rng = np.random.default_rng(4)
+    mature = [(f"m{i}", "".join(rng.choice(list("AC"), n))) for i, n in enumerate((2, 3, 4, 5, 5, 6))] + [("rep", "AAA"), ("rep", "AAA"), ("short", "A"), ("null", None)]
+    precursors = [(f"p{i}", "".join(rng.choice(list("AC"), int(n)))) for i, n in enumerate(rng.integers(1, 60, 12))] + [("run", "A" * 50), ("run", "A" * 50), ("null", None), ("empty", "")]
+    want = set()
+    for m, x in mature:
+        for p, seq in precursors:
+            at = seq.find(x) if seq and x and len(x) >= 2 else -1
+            while at >= 0:
+                want.add((m, p, at + 1))
+                at = seq.find(x, at + len(x))
+    a, b = spark.createDataFrame(mature, "id string, seq string"), spark.createDataFrame(precursors, "id string, seq string")
+    was = GR.pieces
+    for most in (7, 1 << 20):
+        monkeypatch.setattr(K, "pieces", lambda texts, overlap, most=most: was(texts, overlap, most))
+        got = K.find_in(a, b, 2)
+        rows = [tuple(r) for r in got.collect()]
+        assert set(rows) == want and len(rows) == len(want)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan.split("Join")[0] and "contains" not in plan
