@@ -676,3 +676,31 @@ def test_places_of_mature_sequences_move_once(spark, monkeypatch):
         assert set(rows) == want and len(rows) == len(want)
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert "Aggregate" not in plan.split("Join")[0] and "contains" not in plan
+
+
+@pytest.mark.parametrize("min_frac", [0.3, 0.0])
+def test_exact_matches_without_pairs_that_move(spark, min_frac):
+    """Names that come twice, empty intervals, other strands and chromosomes, nulls; no window over the pairs of equal sequences."""
+    rng = np.random.default_rng(8)
+
+    def make(n, tag):
+        rows = [(f"{tag}{rng.integers(n * 3 // 4)}", str(rng.choice(["c", "d"])), int(s), int(s) + int(rng.integers(0, 12)), str(rng.choice(["+", "-"])), str(rng.choice(["AC", "G*T", "TT", "*"]))) for s in rng.integers(0, 60, n)]
+        return [*rows, (f"{tag}x", None, 1, 9, "+", "AC"), (f"{tag}y", "c", 1, 9, None, "TT"), (None, "c", 3, 9, "+", "GT"), (None, "c", 4, 9, "+", "AC"), (f"{tag}z", "c", 5, 9, "+", None), (f"{tag}one", "c", 5, 5, "+", f"Z{tag}"), (f"{tag}solo", "c", 5, 9, "+", "L")]
+
+    a, b = make(40, "a"), make(50, "b")
+    pairs = []
+    for x in a:
+        for y in b:
+            if x[5] and y[5] and (s := x[5].replace("*", "")) and s == y[5].replace("*", ""):
+                same = None not in (x[1], x[4]) and x[1] == y[1] and x[4] == y[4]
+                o = min(x[3], y[3]) - max(x[2], y[2]) if same else 0
+                pairs.append((x[0], y[0], o if o >= min_frac * (x[3] - x[2]) and o >= min_frac * (y[3] - y[2]) else None))
+    n, best = Counter(p[0] for p in pairs), {}
+    for name, _, score in pairs:
+        if score is not None:
+            best[name] = max(score, best.get(name, score))
+    want = [(x, y, n[x] == 1 or x in best) for x, y, score in pairs if n[x] == 1 or x not in best or score == best[x]]
+    schema = "name string, chrom string, start long, end long, strand string, seq string"
+    got = I.exact_match(spark.createDataFrame(a, schema), spark.createDataFrame(b, schema), min_frac)
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr) and {w[2] for w in want} >= {True}
+    assert "Window" not in got._jdf.queryExecution().optimizedPlan().toString()
