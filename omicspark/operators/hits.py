@@ -57,10 +57,13 @@ def settle_by_overlap(best: DataFrame, loc_q: DataFrame, loc_s: DataFrame, min_f
 
     loc_q, loc_s (name, chrom, start, end, strand): where queries and hits lie. Only
     overlaps on one strand of at least min_frac of both count; ties stay, and where
-    there is no such overlap all stay, not settled.
+    there is no such overlap all stay, not settled. Only places of a query and of its own
+    hits meet, not all that lie on one chromosome.
     """
-    pairs = overlap_join(loc_q, loc_s, same_strand=True, min_frac=min_frac, reciprocal=True)
-    met = pairs.groupBy(F.col("a_name").alias("query"), F.col("b_name").alias("hit")).agg(F.max("overlap").alias("__overlap"))
+    asked = best.select("query", "hit").distinct()
+    own = lambda loc, end: asked.join(loc.where("chrom IS NOT NULL").withColumnRenamed("name", end), end).select("query", "hit", F.struct("query", "hit", "chrom").alias("chrom"), "start", "end", "strand")
+    pairs = overlap_join(own(loc_q, "query"), own(loc_s, "hit"), same_strand=True, min_frac=min_frac, reciprocal=True)
+    met = pairs.groupBy(F.col("a_query").alias("query"), F.col("a_hit").alias("hit")).agg(F.max("overlap").alias("__overlap"))
     each = best.join(met, ["query", "hit"], "left")
     told = each.join(each.groupBy("query").agg(F.count("*").alias("__n"), F.max("__overlap").alias("__most")), "query")
     stay = told.where((F.col("__n") == 1) | F.col("__most").isNull() | (F.col("__overlap") == F.col("__most")))

@@ -704,3 +704,14 @@ def test_exact_matches_without_pairs_that_move(spark, min_frac):
     got = I.exact_match(spark.createDataFrame(a, schema), spark.createDataFrame(b, schema), min_frac)
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr) and {w[2] for w in want} >= {True}
     assert "Window" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_only_places_of_own_hits_meet(spark, monkeypatch):
+    """A thousand places over each other on one chromosome: pairs are those of the hits, not of the chromosome."""
+    best = spark.createDataFrame([(f"n{i}", f"n{i * 7 % 1000}") for i in range(1000)] + [("n1", "n500"), ("n1", "gone")], "query string, hit string")
+    at = spark.createDataFrame([(f"n{i}", "c", i, i + 2000, "+") for i in range(1000)] + [("n1", None, 0, 9, "+")], "name string, chrom string, start long, end long, strand string")
+    seen, was = [], H.overlap_join
+    monkeypatch.setattr(H, "overlap_join", lambda *a, **k: seen.append(was(*a, **k)) or seen[-1])
+    got = {tuple(r) for r in H.settle_by_overlap(best, at, at).collect()}
+    assert ("n1", "n7", True) in got and ("n1", "n500", True) not in got and len(got) == 1000
+    assert seen[0].count() <= 1002
