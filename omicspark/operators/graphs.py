@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,7 +15,8 @@ from omicspark.operators.ranks import global_row_number
 from omicspark.storage import materialize
 
 ROWS = 1 << 17  # rows of a block of features, about
-_CELLS = 1 << 22  # products held at a time
+_CELLS = 1 << 22  # products or paths held at a time
+TASK_EDGES = 1 << 22  # edges that a task looks for triangles in, about
 _SLACK = 2e-9  # scores count to 9 decimals
 _EDGE = "a string, b string, score double"
 
@@ -188,19 +191,75 @@ def simplify_edges(edges: DataFrame) -> DataFrame:
     return edges.where("src <> dst").groupBy(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).agg(F.max("weight").alias("weight"))
 
 
+def _closed(table: pa.Table, groups: int, nodes: int) -> pa.Table:
+    """(lo, hi, n): in how many triangles each edge is whose nodes lie in the three groups of nodes of this table.
+
+    Each triangle u < v < w is found from its edge u-v, by the later neighbours w of u, and looked up as v-w.
+    """
+    at = table["three"][0].as_py()
+    three = sorted((at // (groups * groups), at // groups % groups, at % groups))
+    lo, hi = (table[c].to_numpy() for c in ("lo", "hi"))
+    order = np.lexsort((hi, hi % groups, lo))
+    lo, hi = lo[order], hi[order]
+    # Rows by their node (dense), the neighbour's group and the neighbour.
+    node, span = np.cumsum(np.diff(lo, prepend=lo[0]) != 0), groups * nodes
+    by = node * span + (hi % groups) * nodes + hi
+    key = lo * nodes + hi
+    sorter = np.argsort(key, kind="stable")
+    known, n = key[sorter], np.zeros(len(lo), np.int64)
+    for a, b, c in {(three[x], three[y], three[z]) for x, y, z in ((0, 1, 2), (1, 0, 2), (2, 0, 1))}:
+        # u in a, one neighbour in b, the other in c; b <= c, so neither pair comes twice.
+        heads = np.flatnonzero((lo % groups == a) & (hi % groups == b))
+        begin = np.searchsorted(by, node[heads] * span + c * nodes, "left")
+        if b == c:
+            begin = heads + 1
+        end = np.searchsorted(by, node[heads] * span + (c + 1) * nodes, "left")
+        size = end - begin
+        upto, done = np.cumsum(size), 0
+        while done < len(heads):
+            to = max(done + 1, int(np.searchsorted(upto, (upto[done - 1] if done else 0) + _CELLS, side="right")))
+            s = size[done:to]
+            one = np.repeat(heads[done:to], s)
+            two = np.arange(s.sum()) - np.repeat(np.cumsum(s) - s, s) + np.repeat(begin[done:to], s)
+            third = np.minimum(hi[one], hi[two]) * nodes + np.maximum(hi[one], hi[two])
+            found = np.minimum(np.searchsorted(known, third), len(known) - 1)
+            hit = known[found] == third
+            for e in (one[hit], two[hit], sorter[found[hit]]):
+                n += np.bincount(e, minlength=len(n))
+            done = to
+    some = np.flatnonzero(n)
+    return pa.table({"lo": lo[some], "hi": hi[some], "n": n[some]})
+
+
+def common_neighbours(edges: DataFrame, nodes: int, rows: int = TASK_EDGES) -> DataFrame:
+    """(lo, hi, common): how many common neighbours the ends of each edge (lo < hi, numbers up to ``nodes``, once each) have, where there are any.
+
+    Nodes are dealt into g groups and each edge goes to the g threes of groups that hold
+    it; a task counts the triangles of one three and gives a number an edge. So g rows an edge
+    move, whatever the number of paths, with g such that a task has about ``rows`` edges.
+    """
+    n = edges.count()
+    groups = max(1, math.ceil(math.sqrt(6 * n / rows)) if n > rows else 1)
+    a, b, c = F.col("lo") % groups, F.col("hi") % groups, F.col("id")
+    three = F.array_sort(F.array(a, b, c))
+    told = F.element_at(three, 1) * groups * groups + F.element_at(three, 2) * groups + F.element_at(three, 3)
+    dealt = edges.select("lo", "hi", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))).alias("id")).select("lo", "hi", told.alias("three"))
+    found = dealt.groupBy("three").applyInArrow(lambda t: _closed(t, groups, nodes + 1), "lo long, hi long, n long")
+    return found.groupBy("lo", "hi").agg(F.sum("n").alias("common"))
+
+
 def edge_stats(edges: DataFrame, valid: DataFrame | None = None) -> DataFrame:
     """Simplified edges with the degrees of both ends, their common neighbours and Dice similarity; ``known``: both ends are in ``valid`` (node)."""
-    simple = simplify_edges(edges)
-    both = simple.select("src", "dst").unionByName(simple.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    degree = both.groupBy(F.col("src").alias("node")).agg(F.count("*").alias("degree"))
-    out = simple.join(degree.select(F.col("node").alias("src"), F.col("degree").alias("src_degree")), "src").join(degree.select(F.col("node").alias("dst"), F.col("degree").alias("dst_degree")), "dst")
-    # Triangles: neighbours of the end with fewer of them that are neighbours of the other, from edges and not from pairs of nodes.
-    few = F.when(F.col("src_degree") <= F.col("dst_degree"), F.col("src")).otherwise(F.col("dst"))
-    turned = out.select("src", "dst", few.alias("few"), F.when(few == F.col("src"), F.col("dst")).otherwise(F.col("src")).alias("many"))
-    third = turned.join(both.select(F.col("src").alias("few"), F.col("dst").alias("third")), "few")
-    common = third.join(both.select(F.col("src").alias("many"), F.col("dst").alias("third")), ["many", "third"]).groupBy("src", "dst").agg(F.count("*").alias("common"))
-    out = out.join(common, ["src", "dst"], "left").withColumn("common", F.coalesce("common", F.lit(0).cast("bigint")))
-    out = out.withColumn("dice", 2 * F.col("common") / (F.col("src_degree") + F.col("dst_degree")))
+    simple = materialize(simplify_edges(edges), "simple-edges")
+    degree = simple.select(F.explode(F.array("src", "dst")).alias("node")).groupBy("node").agg(F.count("*").alias("degree"))
+    # Nodes of few edges first: an edge leads to the node of more, so no node has many later neighbours.
+    numbered = materialize(global_row_number(degree, ["degree", "node"], "number"), "numbered-nodes")
+    nodes = numbered.count()
+    ends = lambda e: numbered.select(F.col("node").alias(e), F.col("degree").alias(f"{e}_degree"), F.col("number").cast("long").alias(f"__{e}"))
+    out = materialize(simple.join(ends("src"), "src").join(ends("dst"), "dst").withColumns({"lo": F.least("__src", "__dst"), "hi": F.greatest("__src", "__dst")}), "numbered-edges")
+    common = common_neighbours(out.select("lo", "hi"), nodes)
+    out = out.join(common, ["lo", "hi"], "left").withColumn("common", F.coalesce("common", F.lit(0).cast("bigint")))
+    out = out.select("src", "dst", "weight", "src_degree", "dst_degree", "common", (2 * F.col("common") / (F.col("src_degree") + F.col("dst_degree"))).alias("dice"))
     if valid is None:
         return out
     seen = valid.select("node").distinct()

@@ -715,3 +715,21 @@ def test_only_places_of_own_hits_meet(spark, monkeypatch):
     got = {tuple(r) for r in H.settle_by_overlap(best, at, at).collect()}
     assert ("n1", "n7", True) in got and ("n1", "n500", True) not in got and len(got) == 1000
     assert seen[0].count() <= 1002
+
+
+def test_common_neighbours_by_threes_of_groups(spark, monkeypatch):
+    """Hubs, loops, edges that come twice: whatever the number of groups, and no path of two edges is a row."""
+    rng = np.random.default_rng(6)
+    pairs = {(min(a, b), max(a, b)) for a, b in rng.integers(0, 40, (220, 2)).tolist() if a != b} | {(0, i) for i in range(1, 40)}
+    near = {v: {a + b - v for a, b in pairs if v in (a, b)} for v in range(40)}
+    edges = spark.createDataFrame([*pairs], "lo long, hi long")
+    want = {(a, b): len(near[a] & near[b]) for a, b in pairs if near[a] & near[b]}
+    for rows, cells in ((1 << 20, 1 << 22), (600, 7), (60, 1 << 22)):
+        monkeypatch.setattr(G, "_CELLS", cells)
+        assert {(r.lo, r.hi): r.common for r in G.common_neighbours(edges, 40, rows).collect()} == want
+    named = spark.createDataFrame([(f"n{b}", f"n{a}", float(a)) for a, b in pairs] + [("n0", "n1", 9.0), ("n3", "n3", 1.0)], "src string, dst string, weight double")
+    got = G.edge_stats(named)
+    for r in got.collect():
+        a, b = int(r.src[1:]), int(r.dst[1:])
+        assert (r.src_degree, r.dst_degree, r.common) == (len(near[a]), len(near[b]), len(near[a] & near[b])) and r.src < r.dst
+    assert got.count() == len(pairs) and "third" not in got._jdf.queryExecution().optimizedPlan().toString()
