@@ -18,6 +18,10 @@ ROWS = 1 << 17  # rows of a block of features, about
 _CELLS = 1 << 22  # products or paths held at a time
 TASK_EDGES = 1 << 22  # edges that a task looks for triangles in, about
 _SLACK = 2e-9  # scores count to 9 decimals
+MANY_BLOCKS = 8  # beyond, features that seldom meet go by the samples that they share
+MOST_MET = 32  # pairs of features with a common sample, for each row
+FEW = 256  # features that are tried with each other first
+MOST_TRIED = 4096  # features that are tried with each other
 _EDGE = "a string, b string, score double"
 
 
@@ -114,6 +118,7 @@ def cooccurrence(counts: DataFrame, k: int, method: str = "pearson", rows: int =
     themselves and with their neighbours; what they find bounds which others have to meet. A pair of blocks
     is one group that keeps its own k at either end, so edges are never written or shuffled
     beyond these. A block has more rows only where one feature has (at most a row a sample).
+    With over MANY_BLOCKS blocks whose features seldom meet, pairs with a common sample are made instead (``_sparse_edges``).
     """
     totals = counts.groupBy("sample").agg(F.sum("value").alias("__t"))
     x = counts.groupBy("feature", "sample").agg(F.sum("value").alias("value")).join(totals, "sample").select("feature", "sample", (F.col("value") / F.col("__t")).cast("double").alias("v"))
@@ -135,6 +140,10 @@ def cooccurrence(counts: DataFrame, k: int, method: str = "pearson", rows: int =
     blocks = max(1, -(-features // a_block))
     own = numbered.withColumn("block", F.floor((F.col("number") - 1) / a_block).cast("int")).select("feature", "s", "ss", "d", "block")
     dealt = materialize(x.join(own, "feature").select("feature", F.xxhash64("sample").alias("sample"), "v", "s", "ss", "d", "block"), "dealt")
+    if blocks > MANY_BLOCKS:
+        edges = _sparse_edges(materialize(x, "ranks") if method == "spearman" else x, numbered, n, size, k, method)
+        if edges is not None:
+            return _both_ends(edges, k)
     found = _block_edges(k, method, n)
     # Each block by itself, with the one before and with the one after it.
     near = F.filter(F.array(*[F.struct(i.alias("i"), j.alias("j")) for i, j in ((F.col("block"), F.col("block")), (F.col("block") - 1, F.col("block")), (F.col("block"), F.col("block") + 1))]), lambda p: (p["i"] >= 0) & (p["j"] < blocks))
@@ -143,11 +152,83 @@ def cooccurrence(counts: DataFrame, k: int, method: str = "pearson", rows: int =
         pairs = _bounded_pairs(dealt, own, edges, blocks, n, k, method)
         asked = materialize(pairs.select("i", "j", F.explode(F.array("i", "j")).alias("block")), "pairs-of-blocks")
         edges = edges.unionByName(materialize(dealt.join(asked, "block").groupBy("i", "j").applyInPandas(found, _EDGE), "edges"))
+    return _both_ends(edges, k)
+
+
+def _both_ends(edges: DataFrame, k: int) -> DataFrame:
     best = edges.orderBy(F.desc(F.round("score", 9)), "a", "b").limit(k).withColumn("side", F.lit("top"))
     worst = edges.orderBy(F.round("score", 9), "a", "b").limit(k).withColumn("side", F.lit("bottom"))
     return best.unionByName(worst)
 
 
+def _sparse_edges(x: DataFrame, own: DataFrame, n: int, size: int, k: int, method: str) -> DataFrame | None:
+    """(a, b, score): edges that hold the k first and the k last, for features that mostly have no common sample; None where this can't tell.
+
+    x: feature, sample, v; own: feature, s, d. Pairs with a common sample are made by a join on
+    samples, if there are at most MOST_MET a row of x. The score of any other pair is
+    -t * t of its two features (t: s / d; 0 for bray). None of these comes first where k
+    met pairs are above the greatest of them. Those that come last hold the features whose t by the
+    greatest t reaches the kth edge so far; if these are too many, they are alike, and the
+    first by name decide.
+    """
+    met = x.groupBy("sample").agg(F.count("*").alias("c")).agg(F.sum(F.col("c") * (F.col("c") - 1) / 2)).first()[0] or 0
+    if met > MOST_MET * size:
+        return None
+    t = F.lit(0.0) if method == "bray" else F.col("s") / F.col("d")
+    features = materialize(global_row_number(own.select("feature", t.alias("t"), "s", "d"), ["feature"], "number"), "features-by-name")  # so numbers go in the order of names
+    value = F.col("v") if method == "bray" else F.col("v") / F.col("d")
+    told = x.join(features, "feature").select("sample", F.col("number").cast("long").alias("number"), value.alias("v"), F.col("s" if method == "bray" else "t").alias("w"))
+    side = lambda i: told.select("sample", F.col("number").alias(i), F.col("v").alias(f"v_{i}"), F.col("w").alias(f"w_{i}"))
+    both, of_two = (F.least("v_i", "v_j"), F.col("w_i") + F.col("w_j")) if method == "bray" else (F.col("v_i") * F.col("v_j"), F.col("w_i") * F.col("w_j"))
+    pairs = side("i").join(side("j"), "sample").where("i < j").groupBy("i", "j").agg(F.sum(both).alias("p"), F.max(of_two).alias("w"))
+    score = 2 * F.col("p") / F.col("w") if method == "bray" else n * F.col("p") - F.col("w")
+    shared = materialize(pairs.select("i", "j", score.alias("score")), "met-pairs")
+    place = F.round("score", 9)
+    first = materialize(shared.orderBy(F.desc(place), "i", "j").limit(k), "first-edges")
+    last = materialize(shared.orderBy(place, "i", "j").limit(k), "last-edges")
+    known = first.agg(F.count("*").alias("n"), F.min(place).alias("o")).first()
+    low = features.orderBy("t").limit(2).agg(F.min("t") * F.max("t")).first()[0]
+    if known["n"] < k or known["o"] + low <= _SLACK:
+        return None  # a pair without a common sample could be among the first
+    top = features.agg(F.max("t")).first()[0]
+
+    def apart(some: DataFrame, others: DataFrame) -> DataFrame:
+        """The k last edges so far and those of pairs of ``some`` and ``others`` without a common sample. Both are few, or one is very few."""
+        ends = lambda df, c: df.select(F.col("number").cast("long").alias(c), F.col("t").alias(f"t_{c}"))
+        tried = F.broadcast(ends(some, "x")).crossJoin(ends(others, "y")).where("x <> y").select(F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"), (-F.col("t_x") * F.col("t_y")).alias("score")).distinct()
+        here = lambda c: shared.join(F.broadcast(some.select(F.col("number").cast("long").alias(c))), c, "left_semi").select("i", "j")
+        near = here("i").unionByName(here("j"))
+        found = last.unionByName(tried.join(near, ["i", "j"], "left_anti")).distinct()
+        return materialize(found.orderBy(place, "i", "j").limit(k), "last-edges")
+
+    def kth() -> tuple[float, int] | None:
+        row = last.agg(F.count("*").alias("n"), F.max(F.struct(place.alias("o"), "i")).alias("m")).first()
+        return (-row["m"]["o"], row["m"]["i"]) if row["n"] == k else None
+
+    def reach(least: float) -> DataFrame:
+        return features.where(F.col("t") * top >= least)
+
+    some = materialize(features.orderBy(F.desc("t"), "number").limit(FEW), "greatest")
+    last = apart(some, some)
+    if (end := kth()) is None:
+        return None
+    wanted = materialize(reach(end[0] - _SLACK), "reaching")
+    if wanted.count() <= MOST_TRIED:
+        last = apart(wanted, wanted)
+    else:
+        ahead = materialize(wanted.orderBy("number").limit(FEW // 16), "first-by-name")
+        last = apart(ahead, wanted)
+        end = kth()
+        # Pairs of the others come later where they are equal; they could still be below.
+        beyond = materialize(reach(end[0] + _SLACK / 8), "below")
+        if end[1] > ahead.agg(F.max("number")).first()[0] or beyond.count() > MOST_TRIED:
+            return None
+        last = apart(beyond, beyond)
+    # _both_ends takes the first of first and the last of last again.
+    name = lambda c: features.select(F.col("number").cast("long").alias(c), F.col("feature").alias({"i": "a", "j": "b"}[c]))
+    return materialize(first.unionByName(last).distinct().join(name("i"), "i").join(name("j"), "j").select("a", "b", "score"), "edges")
+
+
 def _bounded_pairs(dealt: DataFrame, own: DataFrame, diagonal: DataFrame, blocks: int, n: int, k: int, method: str) -> DataFrame:
     """(i, j): pairs of blocks that can hold one of the k first or last edges, given those within blocks and between neighbours.
 

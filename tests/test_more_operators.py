@@ -733,3 +733,21 @@ def test_common_neighbours_by_threes_of_groups(spark, monkeypatch):
         a, b = int(r.src[1:]), int(r.dst[1:])
         assert (r.src_degree, r.dst_degree, r.common) == (len(near[a]), len(near[b]), len(near[a] & near[b])) and r.src < r.dst
     assert got.count() == len(pairs) and "third" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("method", ["pearson", "spearman", "bray"])
+@pytest.mark.parametrize("tried", [4096, 20])
+def test_cooccurrence_of_features_that_seldom_meet(spark, method, tried, monkeypatch):
+    """Copies of few features in samples of their own, so many edges are equal: no pairs of blocks are made, and names decide."""
+    monkeypatch.setattr(G, "MOST_TRIED", tried)
+    rng = np.random.default_rng(9)
+    base = [(f, s, float(rng.integers(1, 9))) for s in range(8) for f in rng.choice(5, 2, replace=False)]
+    rows = [(f"f{(f * 7 + g * 3) % 50:02d}{f}{g}", f"s{g}.{s}", v) for g in range(12) for f, s, v in base]
+    df = spark.createDataFrame(rows, "feature string, sample string, value double")
+    met, made = G._sparse_edges, []
+    monkeypatch.setattr(G, "_sparse_edges", lambda *a: made.append(met(*a)) or made[-1])
+    got = G.cooccurrence(df, 6, method, rows=8).collect()
+    assert made[0] is not None
+    for side, want in zip(("top", "bottom"), brute_cooccurrence(rows, 6, method)):
+        found = [(r.a, r.b, r.score) for r in got if r.side == side]
+        assert {f[:2] for f in found} == {e[:2] for e in want} and all(math.isclose(f[2], dict((e[:2], e[2]) for e in want)[f[:2]], abs_tol=1e-8) for f in found)
