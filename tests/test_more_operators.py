@@ -751,3 +751,14 @@ def test_cooccurrence_of_features_that_seldom_meet(spark, method, tried, monkeyp
     for side, want in zip(("top", "bottom"), brute_cooccurrence(rows, 6, method)):
         found = [(r.a, r.b, r.score) for r in got if r.side == side]
         assert {f[:2] for f in found} == {e[:2] for e in want} and all(math.isclose(f[2], dict((e[:2], e[2]) for e in want)[f[:2]], abs_tol=1e-8) for f in found)
+
+
+def test_ranges_to_sweep_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(I, "RANGE_ROWS", 16)
+    rows = [("c", i * 10, i * 10 + 4, "+", f"x{i:03d}") for i in range(320)]
+    df = spark.createDataFrame(rows, "chrom string, start long, end long, strand string, name string")
+    seen, was = {}, I.materialize
+    monkeypatch.setattr(I, "materialize", lambda d, name: seen.setdefault(name, was(d, name)))
+    assert I.link_loci(df, df.limit(0)).count() == 320
+    sizes = [r["count"] for r in seen["sweep-ranges"].groupBy("range").count().collect()]
+    assert sum(sizes) == 320 and max(sizes) <= 32
