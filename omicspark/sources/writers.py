@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from omicspark.storage import dealt
+
 
 def _text(col: str) -> F.col:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
@@ -78,4 +80,5 @@ def nested_hits(df: DataFrame) -> DataFrame:
 
 
 def write_hits_xml(df: DataFrame, path: str, mode: str = "error") -> None:
-    nested_hits(df).write.mode(mode).format("xml").option("rootTag", "queries").option("rowTag", "query").save(path)
+    """A reader takes a file of XML whole, so files follow the hits: about ROWS of them a file, and no query in two."""
+    nested_hits(dealt(df.select("query", "hit", "bits", "start", "end"), "hits", "query")).write.mode(mode).format("xml").option("rootTag", "queries").option("rowTag", "query").save(path)

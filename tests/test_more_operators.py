@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from omicspark.sources import readers as IN
+from omicspark.sources import readers as IN, writers as OUT
 from omicspark.operators import expression as E, features as FT, graphs as G, grams as GR, haplotypes as HP, hits as H, intervals as I, kmers as K, ranks as R, reads as RD, tables as TB, taxa as TX
 
 
@@ -762,3 +762,13 @@ def test_ranges_to_sweep_are_bounded(spark, monkeypatch):
     assert I.link_loci(df, df.limit(0)).count() == 320
     sizes = [r["count"] for r in seen["sweep-ranges"].groupBy("range").count().collect()]
     assert sum(sizes) == 320 and max(sizes) <= 32
+
+
+def test_xml_files_follow_the_hits(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("omicspark.storage.ROWS", 50, raising=False)
+    rows = [(f"q{i % 40}", f"h{i}", float(i), 1, 9) for i in range(400)]
+    OUT.write_hits_xml(spark.createDataFrame(rows, "query string, hit string, bits double, start int, end int"), str(tmp_path / "xml"))
+    files = list((tmp_path / "xml").glob("part-*"))
+    assert len(files) > 4  # the session's partitions
+    back = spark.read.format("xml").option("rowTag", "query").schema("query STRING, hit ARRAY<STRUCT<id: STRING, bits: DOUBLE>>").load(str(tmp_path / "xml"))
+    assert sorted((r.query, h.id, h.bits) for r in back.collect() for h in r.hit) == sorted(r[:3] for r in rows)
