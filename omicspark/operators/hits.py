@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from omicspark.operators.intervals import overlap_join
+from omicspark.storage import dealt, materialize, parts_of
 
 
 def self_scores(hits: DataFrame) -> DataFrame:
@@ -70,13 +71,20 @@ def settle_by_overlap(best: DataFrame, loc_q: DataFrame, loc_s: DataFrame, min_f
     return stay.select(*best.columns, ((F.col("__n") == 1) | F.col("__most").isNotNull()).alias("settled"))
 
 
+def ranked_hits(hits: DataFrame) -> DataFrame:
+    """(query, hits array): the names of each query's hits, most bits first, equal ones by name."""
+    ranked = F.sort_array(F.collect_list(F.struct((-F.col("bits")).alias("b"), "hit")))
+    return dealt(hits.select("query", "hit", "bits"), "hits", "query").groupBy("query").agg(F.transform(ranked, lambda x: x["hit"]).alias("hits"))
+
+
 def mark_reciprocal(relations: DataFrame) -> DataFrame:
-    """Relations (qdb, query, sdb, hits array) with ``marked``: each hit, with ``*`` if its own relation names the query."""
-    rows = relations.select("qdb", "query", "sdb", F.posexplode("hits").alias("at", "hit"))
-    back = rows.select(F.col("sdb").alias("qdb"), F.col("hit").alias("query"), F.col("qdb").alias("sdb"), F.col("query").alias("hit"), F.lit("*").alias("mark")).distinct()
-    marked = rows.join(back, ["qdb", "query", "sdb", "hit"], "left")
+    """Relations (qdb, query, sdb, hits array) with ``marked``: each hit, with ``*`` if its own relation names the query. Tasks get a number of hits, not a share of them."""
+    rows = materialize(relations.select("qdb", "query", "sdb", F.posexplode("hits").alias("at", "hit")), "relations")
+    parts, pair, own = parts_of(rows.count()), ["qdb", "query", "sdb", "hit"], ["qdb", "query", "sdb"]
+    back = rows.select(F.col("sdb").alias("qdb"), F.col("hit").alias("query"), F.col("qdb").alias("sdb"), F.col("query").alias("hit"), F.lit("*").alias("mark")).repartition(parts, *pair).distinct()
+    marked = rows.repartition(parts, *pair).join(back.hint("shuffle_hash"), pair, "left").repartition(parts, *own)
     entry = F.struct("at", F.concat("hit", F.coalesce("mark", F.lit(""))).alias("hit"))
-    return marked.groupBy("qdb", "query", "sdb").agg(F.array_join(F.transform(F.sort_array(F.collect_list(entry)), lambda e: e["hit"]), ";").alias("marked"))
+    return marked.groupBy(*own).agg(F.array_join(F.transform(F.sort_array(F.collect_list(entry)), lambda e: e["hit"]), ";").alias("marked"))
 
 
 def exclusive_pairs(hits: DataFrame, min_bits: float, max_evalue: float) -> DataFrame:

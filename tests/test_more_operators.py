@@ -772,3 +772,12 @@ def test_xml_files_follow_the_hits(spark, tmp_path, monkeypatch):
     assert len(files) > 4  # the session's partitions
     back = spark.read.format("xml").option("rowTag", "query").schema("query STRING, hit ARRAY<STRUCT<id: STRING, bits: DOUBLE>>").load(str(tmp_path / "xml"))
     assert sorted((r.query, h.id, h.bits) for r in back.collect() for h in r.hit) == sorted(r[:3] for r in rows)
+
+
+def test_tasks_of_relations_follow_the_hits(spark, monkeypatch):
+    monkeypatch.setattr("omicspark.storage.ROWS", 50, raising=False)
+    pairs = [(i % 20, i // 20) for i in range(400) if i % 3]
+    of = {f"n{q}": [f"n{h}" for p, h in pairs if p == q] for q in range(20)}
+    marked = H.mark_reciprocal(spark.createDataFrame([("A", q, "A", x) for q, x in of.items()], "qdb string, query string, sdb string, hits array<string>"))
+    assert {r.query: r.marked for r in marked.collect()} == {q: ";".join(h + "*" * (q in of[h]) for h in x) for q, x in of.items()}
+    assert marked.rdd.getNumPartitions() > 4
