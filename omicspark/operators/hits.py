@@ -17,19 +17,22 @@ def self_scores(hits: DataFrame) -> DataFrame:
 
 def near_best_hits(hits: DataFrame, ratio: float, reverse: DataFrame | None = None) -> DataFrame:
     """Hits with at least ``ratio`` of their query's best score; ``is_rbh``: ``reverse`` has the pair the other way round."""
-    best = hits.groupBy("query").agg(F.max("bits").alias("__best"))
-    near = hits.join(best, "query").where(F.col("bits") >= ratio * F.col("__best")).drop("__best")
+    held = materialize(hits, "hits")
+    parts = parts_of(held.count())
+    by_query = held.repartition(parts, "query")
+    best = by_query.groupBy("query").agg(F.max("bits").alias("__best"))
+    near = by_query.join(best.hint("shuffle_hash"), "query").where(F.col("bits") >= ratio * F.col("__best")).drop("__best")
     if reverse is None:
         return near.withColumn("is_rbh", F.lit(False))
-    back = reverse.select(F.col("hit").alias("query"), F.col("query").alias("hit"), F.lit(True).alias("__back")).distinct()
-    return near.join(back, ["query", "hit"], "left").withColumn("is_rbh", F.coalesce("__back", F.lit(False))).drop("__back")
+    back = reverse.select(F.col("hit").alias("query"), F.col("query").alias("hit"), F.lit(True).alias("__back")).repartition(parts, "query", "hit").distinct()
+    return near.repartition(parts, "query", "hit").join(back.hint("shuffle_hash"), ["query", "hit"], "left").withColumn("is_rbh", F.coalesce("__back", F.lit(False))).drop("__back")
 
 
 def top_hits(hits: DataFrame, max_evalue: float = float("inf")) -> DataFrame:
-    """Each query's best hit: most bits, then lowest e-value, then name; rows without bits don't count. One aggregate, which combines before rows move."""
+    """Each query's best hit: most bits, then lowest e-value, then name; rows without bits don't count. One aggregate, over rows dealt by query."""
     best = F.min_by(F.struct("hit", "bits", "evalue"), F.struct(-F.col("bits"), "evalue", "hit"))
     known = hits.where((F.col("evalue") <= max_evalue) & F.col("bits").isNotNull())
-    return known.groupBy("query").agg(best.alias("b")).select("query", "b.hit", "b.bits", "b.evalue")
+    return dealt(known.select("query", "hit", "bits", "evalue"), "known", "query").groupBy("query").agg(best.alias("b")).select("query", "b.hit", "b.bits", "b.evalue")
 
 
 def best_hit(hits: DataFrame, self_q: DataFrame, self_s: DataFrame, threshold: float, max_evalue: float, tolerance: float = 2.0, first_hit_free: bool = True) -> DataFrame:

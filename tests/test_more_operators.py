@@ -774,6 +774,19 @@ def test_xml_files_follow_the_hits(spark, tmp_path, monkeypatch):
     assert sorted((r.query, h.id, h.bits) for r in back.collect() for h in r.hit) == sorted(r[:3] for r in rows)
 
 
+def test_tasks_of_hits_follow_the_hits(spark, monkeypatch):
+    monkeypatch.setattr("omicspark.storage.ROWS", 50, raising=False)
+    rows = [(f"n{i % 20}", f"n{i // 20}", float(i % 7), 0.1) for i in range(400) if i % 3]
+    hits = spark.createDataFrame(rows, "query string, hit string, bits double, evalue double")
+    top = H.top_hits(hits)
+    near = H.near_best_hits(hits, 0.9, top)
+    by_query = {q: sorted(((-b, h) for p, h, b, _ in rows if p == q)) for q in {r[0] for r in rows}}
+    best = {q: (x[0][1], -x[0][0]) for q, x in by_query.items()}
+    assert {(r.query, r.hit, r.bits) for r in top.collect()} == {(q, *x) for q, x in best.items()}
+    assert sorted((r.query, r.hit, r.is_rbh) for r in near.collect()) == sorted((q, h, best.get(h, ("",))[0] == q) for q, h, b, _ in rows if b >= 0.9 * best[q][1])
+    assert top.rdd.getNumPartitions() > 4 and near.rdd.getNumPartitions() > 4  # the session's partitions
+
+
 def test_tasks_of_relations_follow_the_hits(spark, monkeypatch):
     monkeypatch.setattr("omicspark.storage.ROWS", 50, raising=False)
     pairs = [(i % 20, i // 20) for i in range(400) if i % 3]
