@@ -13,13 +13,14 @@ from pyspark.sql import functions as F
 from omicspark.storage import free_name, materialize
 
 
-def global_row_number(df: DataFrame, order: list[str], name: str = "row_number") -> DataFrame:
+def global_row_number(df: DataFrame, order: list[str], name: str = "row_number", parts: int | None = None) -> DataFrame:
     """``df`` with numbers from 1 in the order of columns that are unique together.
 
     Rows are dealt by range and sorted within each range; a range's numbers begin
     after the rows of those before, which are counted first. No task sees all rows.
+    parts: how many ranges, instead of the session's number.
     """
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__range", F.spark_partition_id()).withColumn("__at", F.monotonically_increasing_id())
+    ranged = df.repartitionByRange(*([parts] if parts else []), *order).sortWithinPartitions(*order).withColumn("__range", F.spark_partition_id()).withColumn("__at", F.monotonically_increasing_id())
     placed = materialize(ranged, "ranges")
     sizes = placed.groupBy("__range").agg(F.count("*").alias("n"), F.min("__at").alias("first"))
     before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)  # a row a range
