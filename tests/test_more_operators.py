@@ -442,6 +442,39 @@ def test_sweep_of_whole_texts(spark):
     assert got == want == {"all", "late", "early"}
 
 
+@pytest.mark.parametrize(("k", "most"), [(1, 1 << 22), (2, 1 << 22), (3, 1 << 22), (5, 1 << 22), (12, 1 << 22), (1, 2), (3, 20), (5, 300), (5, 1), (12, 600)])
+def test_sweep_holds_the_whole_query_or_a_part(spark, monkeypatch, k, most):
+    """Rows are the same, whatever part of the query's k-mers tasks hold."""
+    monkeypatch.setattr(GR, "MOST_HELD", most)
+    monkeypatch.setattr(K, "_PIECE", 50)
+    rng = np.random.default_rng(k)
+    word = lambda n: "".join(rng.choice(list("abé\U0001f9ec"), n, p=[0.5, 0.3, 0.1, 0.1]))
+    known = [word(40), None, "", word(3), word(90)]
+    taken = lambda: known[4][(i := int(rng.integers(60))) : i + 30]
+    reads = [(i, word(int(rng.integers(0, 60))) + taken() * (i % 4) + word(int(rng.integers(0, 60)))) for i in range(200)] + [(200, None), (201, ""), (202, known[0]), (203, "a"), (204, "z" * 70)]
+    kmers = {t[i : i + k] for t in known if t for i in range(len(t) - k + 1)}
+    want = {i for i, s in reads if s and len(s) >= k and 2 * sum(s[j : j + k] in kmers for j in range(len(s) - k + 1)) >= len(s) - k + 1}
+    got = K.sweep_reads(spark.createDataFrame(reads, "read_id int, seq string").repartition(3), spark.createDataFrame([(t,) for t in known], "seq string"), k)
+    assert sorted(r.read_id for r in got.collect()) == sorted(want) and 0 < len(want) < len(reads)
+    assert ("Join Inner" in got._jdf.queryExecution().analyzed().toString() or len(kmers) <= most // k) and (most > 1000 or len(kmers) > most // k)
+
+
+def test_sweep_moves_ids_only(spark):
+    """Where tasks hold all of the query's k-mers, reads' k-mers are no rows of a join."""
+    got = K.sweep_reads(spark.createDataFrame([("a", "ACGTACGT"), ("b", "TTTTTTTT")], "read_id string, seq string"), spark.createDataFrame([("ACGTACG",)], "seq string"), 4)
+    assert [r.read_id for r in got.collect()] == ["a"]
+    assert "Join Inner" not in got._jdf.queryExecution().analyzed().toString()
+
+
+def test_equal_hashes_are_told_apart(spark, monkeypatch):
+    """Substrings are compared, so one hash for all of them changes nothing."""
+    monkeypatch.setattr(GR, "hashed", lambda codes, k: np.zeros(max(len(codes) - k + 1, 0), np.uint64))
+    for k, known, text in [(4, ["abcd", "bcde"], "abcdebcdx"), (5, ["abcde"], "xabcdeabcd"), (7, [], "abcdefgh"), (1, ["b"], "abc")]:
+        codes = GR.codes_of([text])
+        held = GR.GramSet(known, k).holds(GR.hashed(codes, k), GR.words_of(codes, k))
+        assert held.tolist() == [text[i : i + k] in known for i in range(len(text) - k + 1)]
+
+
 def brute_trim(reads, k, least, most):
     kmers = lambda s: [s.upper()[i : i + k] for i in range(len(s or "") - k + 1)]
     n = {}
