@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from omicspark.sources import readers as IN, writers as OUT
-from omicspark.operators import expression as E, features as FT, graphs as G, grams as GR, haplotypes as HP, hits as H, intervals as I, kmers as K, ranks as R, reads as RD, tables as TB, taxa as TX
+from omicspark.operators import expression as E, features as FT, graphs as G, grams as GR, haplotypes as HP, hits as H, intervals as I, kmers as K, pairs as P, ranks as R, reads as RD, tables as TB, taxa as TX
 
 
 def stored(df, path):
@@ -739,6 +739,24 @@ def test_exact_matches_without_pairs_that_move(spark, min_frac):
     assert "Window" not in got._jdf.queryExecution().optimizedPlan().toString()
 
 
+@pytest.mark.parametrize("block", [8, 1 << 12])
+def test_pairs_of_one_sequence_are_made_by_many_tasks(spark, monkeypatch, block):
+    """Tasks follow the pairs and not the bytes that move; a sequence of many rows meets in blocks, rows that come twice count twice."""
+    for name, value in (("BLOCK", block), ("TASK_PAIRS", 64), ("LEAST_PAIRS", 16)):
+        monkeypatch.setattr(P, name, value)
+    make = lambda tag, n, chrom: [(f"{tag}{i // 2}", chrom, i, i + 5, "+", "AC" if i % 5 else f"S{i}") for i in range(n)] + [(f"{tag}z", chrom, 1, 2, "+", "only" + tag)]
+    a, b = make("a", 60, "c"), make("b", 45, "d")
+    schema = "name string, chrom string, start long, end long, strand string, seq string"
+    got = I.exact_match(spark.createDataFrame(a, schema), spark.createDataFrame(b, schema), 0.5).withColumn("task", F.spark_partition_id()).collect()
+    partners = Counter(x[0] for x in a for y in b if x[5] == y[5])
+    assert Counter((r.a_name, r.b_name, r.settled) for r in got) == Counter((x[0], y[0], partners[x[0]] == 1) for x in a for y in b if x[5] == y[5])
+    tasks = Counter(r.task for r in got)
+    assert len(got) > 1700 and (max(tasks.values()) < 600 and len(tasks) > 12 if block == 8 else len(tasks) > 2)
+    rows = [spark.createDataFrame([(k, v) for k in (1, 2, None) for v in range(n)], f"k int, {c} int") for c, n in (("x", 30), ("y", 1))]
+    made = P.all_pairs(*(P.materialize(df, "test") for df in rows), "k")
+    assert sorted(map(tuple, made.select("k", "x", "y").collect())) == [(k, x, 0) for k in (1, 2) for x in range(30)]
+
+
 def test_only_places_of_own_hits_meet(spark, monkeypatch):
     """A thousand places over each other on one chromosome: pairs are those of the hits, not of the chromosome."""
     best = spark.createDataFrame([(f"n{i}", f"n{i * 7 % 1000}") for i in range(1000)] + [("n1", "n500"), ("n1", "gone")], "query string, hit string")
