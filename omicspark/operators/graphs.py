@@ -12,11 +12,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from omicspark.operators.ranks import global_row_number
-from omicspark.storage import materialize
+from omicspark.storage import materialize, release, spread
 
 ROWS = 1 << 17  # rows of a block of features, about
 _CELLS = 1 << 22  # products or paths held at a time
-TASK_EDGES = 1 << 22  # edges that a task looks for triangles in, about
+_PACK = 1 << 20  # edges that are packed together, or looked at together
+TASK_EDGES = 1 << 23  # edges that a task looks for triangles in, about
+FEW_EDGES = 1 << 18  # edges that one task sees
+LEAST_GROUPS = 4  # of nodes, so 20 tasks, beyond
 _SLACK = 2e-9  # scores count to 9 decimals
 MANY_BLOCKS = 8  # beyond, features that seldom meet go by the samples that they share
 MOST_MET = 32  # pairs of features with a common sample, for each row
@@ -272,74 +275,132 @@ def simplify_edges(edges: DataFrame) -> DataFrame:
     return edges.where("src <> dst").groupBy(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).agg(F.max("weight").alias("weight"))
 
 
+def _put(keys: np.ndarray) -> bytes:
+    """Whole numbers in order as their differences, byte by byte, packed; ``_taken`` gives them back."""
+    steps = np.diff(keys, prepend=0)
+    return pa.compress(np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T).tobytes(), "zstd", asbytes=True)
+
+
+def _taken(data: bytes, n: int) -> np.ndarray:
+    held = np.frombuffer(pa.decompress(data, 8 * n, "zstd", asbytes=True), np.uint8)
+    return np.cumsum(np.ascontiguousarray(held.reshape(8, n).T).view(np.int64).ravel())
+
+
+def _packed(batches: Iterator[pa.RecordBatch], groups: int, nodes: int) -> Iterator[pa.RecordBatch]:
+    """Edges (lo, hi) as rows (a, b, n, data) for the groups of lo and hi: about three bytes an edge."""
+    span, held, size = nodes // groups + 1, [], 0
+
+    def told():
+        lo, hi = (np.concatenate([h[e] for h in held]) for e in (0, 1))
+        block = lo % groups * groups + hi % groups
+        order = np.argsort(block, kind="stable")
+        at = np.searchsorted(block[order], np.arange(groups * groups + 1))
+        keys = (lo // groups * span + hi // groups)[order]
+        for k in np.flatnonzero(np.diff(at)).tolist():
+            own = np.sort(keys[at[k] : at[k + 1]])
+            yield pa.RecordBatch.from_pylist([{"a": k // groups, "b": k % groups, "n": len(own), "data": _put(own)}], pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64()), ("data", pa.binary())]))
+
+    for batch in batches:
+        if batch.num_rows:
+            held.append([batch.column(c).to_numpy() for c in (0, 1)])
+            size += batch.num_rows
+        if size >= _PACK:
+            yield from told()
+            held, size = [], 0
+    if held:
+        yield from told()
+
+
 def _closed(table: pa.Table, groups: int, nodes: int) -> pa.Table:
     """(lo, hi, n): in how many triangles each edge is whose nodes lie in the three groups of nodes of this table.
 
     Each triangle u < v < w is found from its edge u-v, by the later neighbours w of u, and looked up as v-w.
     """
-    at = table["three"][0].as_py()
+    at, span = table["three"][0].as_py(), nodes // groups + 1
     three = sorted((at // (groups * groups), at // groups % groups, at % groups))
-    lo, hi = (table[c].to_numpy() for c in ("lo", "hi"))
-    order = np.lexsort((hi, hi % groups, lo))
-    lo, hi = lo[order], hi[order]
-    # Rows by their node (dense), the neighbour's group and the neighbour.
-    node, span = np.cumsum(np.diff(lo, prepend=lo[0]) != 0), groups * nodes
-    by = node * span + (hi % groups) * nodes + hi
-    key = lo * nodes + hi
-    sorter = np.argsort(key, kind="stable")
-    known, n = key[sorter], np.zeros(len(lo), np.int64)
-    for a, b, c in {(three[x], three[y], three[z]) for x, y, z in ((0, 1, 2), (1, 0, 2), (2, 0, 1))}:
+    own = np.array(sorted(set(three)))
+    place = {x: i for i, x in enumerate(own.tolist())}
+    # A node is known by its group's place here and its number there; edges by both nodes, in order of u, the neighbour's group and the neighbour.
+    all_ = len(own) * span
+    keys, upto = np.empty(sum(table["n"].to_pylist()), np.int64), 0
+    for x, y, n, data in zip(*(table[c] for c in ("a", "b", "n", "data"))):
+        part = _taken(data.as_py(), n.as_py())
+        keys[upto : (upto := upto + len(part))] = (place[x.as_py()] * span + part // span) * all_ + place[y.as_py()] * span + part % span
+    keys.sort()
+    found = np.zeros(len(keys), np.int64)
+    number = lambda node: node % span * groups + own[node // span]
+    spot = [place[x] for x in three]
+    for a, b, c in {(spot[x], spot[y], spot[z]) for x, y, z in ((0, 1, 2), (1, 0, 2), (2, 0, 1))}:
         # u in a, one neighbour in b, the other in c; b <= c, so neither pair comes twice.
-        heads = np.flatnonzero((lo % groups == a) & (hi % groups == b))
-        begin = np.searchsorted(by, node[heads] * span + c * nodes, "left")
-        if b == c:
-            begin = heads + 1
-        end = np.searchsorted(by, node[heads] * span + (c + 1) * nodes, "left")
-        size = end - begin
-        upto, done = np.cumsum(size), 0
-        while done < len(heads):
-            to = max(done + 1, int(np.searchsorted(upto, (upto[done - 1] if done else 0) + _CELLS, side="right")))
-            s = size[done:to]
-            one = np.repeat(heads[done:to], s)
-            two = np.arange(s.sum()) - np.repeat(np.cumsum(s) - s, s) + np.repeat(begin[done:to], s)
-            third = np.minimum(hi[one], hi[two]) * nodes + np.maximum(hi[one], hi[two])
-            found = np.minimum(np.searchsorted(known, third), len(known) - 1)
-            hit = known[found] == third
-            for e in (one[hit], two[hit], sorter[found[hit]]):
-                n += np.bincount(e, minlength=len(n))
-            done = to
-    some = np.flatnonzero(n)
-    return pa.table({"lo": lo[some], "hi": hi[some], "n": n[some]})
+        first, last = np.searchsorted(keys, [a * span * all_, (a + 1) * span * all_])
+        for start in range(first, last, _PACK):
+            head = keys[start : min(start + _PACK, last)]
+            mine = np.flatnonzero(head % all_ // span == b)
+            heads, lo = mine + start, head[mine] // all_ * all_
+            begin = heads + 1 if b == c else np.searchsorted(keys, lo + c * span, "left")
+            size = np.searchsorted(keys, lo + (c + 1) * span, "left") - begin
+            total, done = np.cumsum(size), 0
+            while done < len(heads):
+                to = max(done + 1, int(np.searchsorted(total, (total[done - 1] if done else 0) + _CELLS, side="right")))
+                s = size[done:to]
+                one = np.repeat(heads[done:to], s)
+                two = np.arange(s.sum()) - np.repeat(np.cumsum(s) - s, s) + np.repeat(begin[done:to], s)
+                v, w = keys[one] % all_, keys[two] % all_
+                swap = number(v) > number(w)
+                third = np.where(swap, w, v) * all_ + np.where(swap, v, w)
+                met = np.minimum(np.searchsorted(keys, third), len(keys) - 1)
+                hit = keys[met] == third
+                for e in (one[hit], two[hit], met[hit]):
+                    edge, times = np.unique(e, return_counts=True)
+                    found[edge] += times
+                done = to
+    some = np.flatnonzero(found)
+    lo, hi = number(keys[some] // all_), number(keys[some] % all_)
+    return pa.table({"lo": lo, "hi": hi, "n": found[some]})
 
 
 def common_neighbours(edges: DataFrame, nodes: int, rows: int = TASK_EDGES) -> DataFrame:
     """(lo, hi, common): how many common neighbours the ends of each edge (lo < hi, numbers up to ``nodes``, once each) have, where there are any.
 
     Nodes are dealt into g groups and each edge goes to the g threes of groups that hold
-    it; a task counts the triangles of one three and gives a number an edge. So g rows an edge
-    move, whatever the number of paths, with g such that a task has about ``rows`` edges.
+    it; a task counts the triangles of one three and gives a number an edge. So g times the edges
+    move, whatever the number of paths, with g such that a task has about ``rows`` edges; they move
+    packed, many a row.
     """
     n = edges.count()
-    groups = max(1, math.ceil(math.sqrt(6 * n / rows)) if n > rows else 1)
-    a, b, c = F.col("lo") % groups, F.col("hi") % groups, F.col("id")
+    groups = max(1, math.ceil(math.sqrt(6 * n / rows)) if n > rows else 1, LEAST_GROUPS if n > FEW_EDGES else 1)
+    packed = edges.select("lo", "hi").mapInArrow(lambda batches: _packed(batches, groups, nodes), "a long, b long, n long, data binary")
+    a, b, c = F.col("a"), F.col("b"), F.col("id")
     three = F.array_sort(F.array(a, b, c))
     told = F.element_at(three, 1) * groups * groups + F.element_at(three, 2) * groups + F.element_at(three, 3)
-    dealt = edges.select("lo", "hi", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))).alias("id")).select("lo", "hi", told.alias("three"))
-    found = dealt.groupBy("three").applyInArrow(lambda t: _closed(t, groups, nodes + 1), "lo long, hi long, n long")
+    dealt = packed.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))).alias("id")).select("a", "b", "n", "data", told.alias("three"))
+    threes = groups * (groups + 1) * (groups + 2) // 6
+    found = dealt.repartition(spread(edges.sparkSession, threes), "three").groupBy("three").applyInArrow(lambda t: _closed(t, groups, nodes), "lo long, hi long, n long")
     return found.groupBy("lo", "hi").agg(F.sum("n").alias("common"))
 
 
 def edge_stats(edges: DataFrame, valid: DataFrame | None = None) -> DataFrame:
-    """Simplified edges with the degrees of both ends, their common neighbours and Dice similarity; ``known``: both ends are in ``valid`` (node)."""
+    """Simplified edges with the degrees of both ends, their common neighbours and Dice similarity; ``known``: both ends are in ``valid`` (node).
+
+    Each step is written and what it shuffled let go, so disk holds one step's shuffles at a time.
+    """
+    spark = edges.sparkSession
     simple = materialize(simplify_edges(edges), "simple-edges")
+    release(spark)
     degree = simple.select(F.explode(F.array("src", "dst")).alias("node")).groupBy("node").agg(F.count("*").alias("degree"))
     # Nodes of few edges first: an edge leads to the node of more, so no node has many later neighbours.
     numbered = materialize(global_row_number(degree, ["degree", "node"], "number"), "numbered-nodes")
     nodes = numbered.count()
+    release(spark)
     ends = lambda e: numbered.select(F.col("node").alias(e), F.col("degree").alias(f"{e}_degree"), F.col("number").cast("long").alias(f"__{e}"))
-    out = materialize(simple.join(ends("src"), "src").join(ends("dst"), "dst").withColumns({"lo": F.least("__src", "__dst"), "hi": F.greatest("__src", "__dst")}), "numbered-edges")
-    common = common_neighbours(out.select("lo", "hi"), nodes)
-    out = out.join(common, ["lo", "hi"], "left").withColumn("common", F.coalesce("common", F.lit(0).cast("bigint")))
+    both = simple.join(ends("src"), "src").join(ends("dst"), "dst")
+    edge = lambda lo, hi: lo * F.lit(nodes + 1).cast("long") + hi
+    out = materialize(both.withColumn("edge", edge(F.least("__src", "__dst"), F.greatest("__src", "__dst"))).drop("__src", "__dst"), "numbered-edges")
+    release(spark)
+    shared = common_neighbours(out.select(F.expr(f"edge div {nodes + 1}L").alias("lo"), F.expr(f"edge % {nodes + 1}L").alias("hi")), nodes)
+    shared = materialize(shared.select(edge(F.col("lo"), F.col("hi")).alias("edge"), "common"), "common-neighbours")
+    release(spark)
+    out = out.join(shared, "edge", "left").withColumn("common", F.coalesce("common", F.lit(0).cast("bigint")))
     out = out.select("src", "dst", "weight", "src_degree", "dst_degree", "common", (2 * F.col("common") / (F.col("src_degree") + F.col("dst_degree"))).alias("dice"))
     if valid is None:
         return out

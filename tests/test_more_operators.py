@@ -786,6 +786,34 @@ def test_common_neighbours_by_threes_of_groups(spark, monkeypatch):
     assert got.count() == len(pairs) and "third" not in got._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_edges_move_packed(spark, monkeypatch):
+    """What goes to the threes of groups are blocks of a few bytes an edge, each edge once for a group; whole numbers come back as they were."""
+    rng = np.random.default_rng(12)
+    n, nodes = 60_000, 2_000_000
+    lo, hi = np.sort(rng.choice(np.arange(1, nodes + 1), (n, 2)), axis=1).T
+    pairs = sorted({(a, b) for a, b in zip(lo.tolist(), hi.tolist()) if a < b} | {(a, b) for a in range(5, 60) for b in range(a + 1, 60)})
+    for keys in ([0], [7], [0, 1, 1 << 62], np.unique(rng.integers(0, 1 << 40, 999))):
+        keys = np.array(keys, np.int64)
+        assert np.array_equal(G._taken(G._put(keys), len(keys)), keys)
+    monkeypatch.setattr(G, "FEW_EDGES", 1000)
+    packed = []
+    was = G._packed
+    batch = G.pa.RecordBatch.from_arrays([G.pa.array([p[e] for p in pairs], G.pa.int64()) for e in (0, 1)], names=["lo", "hi"])
+    for part in was(iter([batch.slice(at, 9999) for at in range(0, len(pairs), 9999)]), 4, nodes):
+        packed += part.to_pylist()
+    span = nodes // 4 + 1
+    back = sorted((int(k) // span * 4 + r["a"], int(k) % span * 4 + r["b"]) for r in packed for k in G._taken(r["data"], r["n"]))
+    assert back == pairs and len(packed) == 16 and sum(len(r["data"]) for r in packed) < 5 * len(pairs)
+    got = G.common_neighbours(spark.createDataFrame(pairs, "lo long, hi long"), nodes)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "data#" in plan
+    near = {}
+    for a, b in pairs:
+        near.setdefault(a, set()).add(b)
+        near.setdefault(b, set()).add(a)
+    assert {(r.lo, r.hi): r.common for r in got.collect()} == {(a, b): len(near[a] & near[b]) for a, b in pairs if near[a] & near[b]}
+
+
 @pytest.mark.parametrize("method", ["pearson", "spearman", "bray"])
 @pytest.mark.parametrize("tried", [4096, 20])
 def test_cooccurrence_of_features_that_seldom_meet(spark, method, tried, monkeypatch):
