@@ -711,6 +711,19 @@ def test_places_of_mature_sequences_move_once(spark, monkeypatch):
     assert "Aggregate" not in plan.split("Join")[0] and "contains" not in plan
 
 
+def test_places_are_dealt_by_their_pairs(spark, monkeypatch):
+    """One sequence that all texts hold: its pairs are made by many tasks, of equal ids too."""
+    for name, value in (("BLOCK", 16), ("TASK_PAIRS", 64), ("LEAST_PAIRS", 16)):
+        monkeypatch.setattr(P, name, value)
+    mature = spark.createDataFrame([(f"m{i}", "ACG") for i in range(40)] + [(None, "ACG"), ("n", "TTTT")], "id string, seq string")
+    texts = spark.createDataFrame([(f"p{i % 50}", "GACGT" + "C" * i) for i in range(60)] + [(None, "ACGACG")], "id string, seq string")
+    got = K.find_in(mature, texts, 3).withColumn("task", F.spark_partition_id()).collect()
+    names = [*(f"m{i}" for i in range(40)), None]
+    assert Counter((r.mature, r.precursor, r.position) for r in got) == Counter([(m, f"p{i % 50}", 2) for m in names for i in range(60)] + [(m, None, at) for m in names for at in (1, 4)])
+    tasks = Counter(r.task for r in got)
+    assert len(tasks) >= 4 and max(tasks.values()) < 0.7 * len(got)
+
+
 @pytest.mark.parametrize("min_frac", [0.3, 0.0])
 def test_exact_matches_without_pairs_that_move(spark, min_frac):
     """Names that come twice, empty intervals, other strands and chromosomes, nulls; no window over the pairs of equal sequences."""
